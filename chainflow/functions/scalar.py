@@ -76,7 +76,7 @@ def uint256_sum(x) -> Column:
     carries (10^12 rows per group), then carries are propagated low to high.
     """
     hi, mid, lo = (F.sum(limb) for limb in uint256_limbs(x))
-    base = F.lit(LIMB_BASE).cast(_DEC)
+    base = F.lit(str(LIMB_BASE)).cast(_DEC)
 
     def carry(total):
         rest = total % base

@@ -31,4 +31,5 @@ def load_all() -> None:
     """Import every module that registers queries."""
     from chainflow.plans import (  # noqa: F401
         fanout_queries,
+        metric_queries,
     )
