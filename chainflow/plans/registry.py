@@ -32,4 +32,5 @@ def load_all() -> None:
     from chainflow.plans import (  # noqa: F401
         fanout_queries,
         metric_queries,
+        relational_queries,
     )
