@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 
-def vwd(v: str, d: int) -> str:
-    """value / 10^d as exact text (mirror of scalar.value_with_decimals)."""
-    if d <= 0:
+def vwd(v: str, d) -> str:
+    """value / 10^d as exact text (mirror of scalar.value_with_decimals).
+
+    ``d`` is an int or a SQL expression.
+    """
+    if isinstance(d, int) and d <= 0:
         return v
-    p = f"lpad({v}, cast(greatest(length({v}), {d + 1}) AS integer), '0')"
+    p = f"lpad({v}, cast(greatest(length({v}), {d} + 1) AS integer), '0')"
     shifted = f"(left({p}, length({p}) - {d}) || '.' || right({p}, {d}))"
-    return f"regexp_replace(regexp_replace({shifted}, '0+$', ''), '\\.$', '')"
+    out = f"regexp_replace(regexp_replace({shifted}, '0+$', ''), '\\.$', '')"
+    return out if isinstance(d, int) else f"CASE WHEN {d} <= 0 THEN {v} ELSE {out} END"
 
 
 def part(topic: str, i: int) -> str:

@@ -444,7 +444,7 @@ def q_first_24_hours(spark, sf_dir):
 
 
 @query("metric_series", oracle("""
-SELECT chainId, epoch(date_trunc('day', make_timestamp(ts * 1000000))) AS timestamp,
+SELECT chainId, cast(epoch(date_trunc('day', make_timestamp(ts * 1000000))) AS bigint) AS timestamp,
   cast(count(*) AS double) AS value
 FROM (SELECT chainId, blockTimestamp AS ts FROM transactions) t GROUP BY ALL""", ("transactions",)))
 def q_metric_series(spark, sf_dir):

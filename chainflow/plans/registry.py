@@ -33,4 +33,5 @@ def load_all() -> None:
         fanout_queries,
         metric_queries,
         relational_queries,
+        source_queries,
     )
