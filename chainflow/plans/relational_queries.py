@@ -636,3 +636,52 @@ def q_replay(spark, sf_dir):
     """Re-read the whole topic history (batch read = earliest offsets)."""
     return Fixtures(spark, sf_dir).topic_messages.select("topic", "partition", "offset", "key", "value")
 
+
+
+# --- streaming rows in batch form (T09, T10) -------------------------------------
+
+@query("dynamic_chains", oracle(f"""
+SELECT b.chainId, b.blockNumber FROM blocks b JOIN (
+  SELECT chainId, min(since) AS since FROM (
+    SELECT '0' AS chainId, cast(-1 AS bigint) AS since UNION ALL SELECT '1', -1
+    UNION ALL SELECT chainId, eventTime FROM event_log WHERE event_type LIKE 'chain.%') s
+  GROUP BY chainId) c ON b.chainId = c.chainId AND b.blockTimestamp >= c.since""",
+                                ("blocks", "event_log")))
+def q_dynamic_chains(spark, sf_dir):
+    """T09 (batch form): a block is synced once its chain is monitored —
+    seed chains always, others from their first chain event on."""
+    fx = Fixtures(spark, sf_dir)
+    seed = spark.createDataFrame([(c, -1) for c in SEED_CHAINS], "chainId string, since bigint")
+    seen = fx.event_log.filter(F.col("event_type").startswith("chain.")).select(
+        "chainId", F.col("eventTime").alias("since"))
+    since = seed.unionByName(seen).groupBy("chainId").agg(F.min("since").alias("since"))
+    b = fx.blocks.select("chainId", "blockNumber", "blockTimestamp")
+    return b.join(since, "chainId").filter(F.col("blockTimestamp") >= F.col("since")) \
+        .select("chainId", "blockNumber")
+
+
+@query("webhook_fanout", oracle(f"""
+SELECT output, rows FROM (
+  SELECT count(DISTINCT (t.orderKey, t.copy)) AS transactions,
+    count(*) FILTER (WHERE c.kind = 'erc20') AS erc20,
+    count(*) FILTER (WHERE c.kind = 'erc721') AS erc721,
+    count(*) FILTER (WHERE c.kind = 'erc1155') AS erc1155,
+    count(*) FILTER (WHERE c.lineStatus = 'F') AS internal,
+    count(c.orderKey) AS logs
+  FROM {DELIVERIES} t LEFT JOIN children c ON c.orderKey = t.orderKey) q
+UNPIVOT (rows FOR output IN (transactions, erc20, erc721, erc1155, internal, logs))""",
+                                ("children", "orders_tx")))
+def q_webhook_fanout(spark, sf_dir):
+    """T10 (batch form): row counts of the six outputs of one envelope pass,
+    computed in a single aggregation over the envelopes."""
+    from chainflow.plans.fanout_queries import webhook_envelopes
+    tx = P.tx_rows(webhook_envelopes(Fixtures(spark, sf_dir)))
+    sizes = tx.agg(
+        F.count("*").alias("transactions"),
+        F.sum(F.size("erc20Transfers")).alias("erc20"),
+        F.sum(F.size("erc721Transfers")).alias("erc721"),
+        F.sum(F.size("erc1155Transfers")).alias("erc1155"),
+        F.sum(F.size("internalTransactions")).alias("internal"),
+        F.sum(F.size("logs")).alias("logs"))
+    return sizes.unpivot([], ["transactions", "erc20", "erc721", "erc1155", "internal", "logs"],
+                         "output", "rows")
