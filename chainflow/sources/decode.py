@@ -29,20 +29,46 @@ def decode_webhook(raw: DataFrame, secret: str | None, body: str = "body",
     """
     sig = C.signature_header(*headers)
     valid = C.signature_valid(body, sig, secret) if secret else F.lit(True)
-    return raw.select(
+    parsed = raw.select(
         "*",
-        F.from_json(F.col(body), S.WEBHOOK_ENVELOPE).alias("envelope"),
+        _parse_with_corrupt(F.col(body), S.WEBHOOK_ENVELOPE).alias("envelope"),
         sig.alias("signature"),
-        valid.alias("signature_valid"),
-        F.try_parse_json(F.col(body)).isNull().alias("is_corrupt"),
-    ).select("*", "envelope.*").drop("envelope")
+        valid.alias("signature_valid"))
+    return _split_parsed(parsed, "envelope")
+
+
+CORRUPT = "_corrupt_record"
+
+
+def _parse_with_corrupt(text, struct_type: str):
+    """One JSON parse that also reports undecodable input.
+
+    PERMISSIVE ``from_json`` fills ``_corrupt_record`` with the raw text when
+    the document is malformed or a field has the wrong type, so no second
+    parse is needed to detect it.
+    """
+    schema = struct_type[:-1] + f",{CORRUPT}:string>"
+    return F.from_json(text, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+
+
+def _split_parsed(df: DataFrame, col: str) -> DataFrame:
+    """Flatten the parsed struct and turn its corrupt-record field into a flag.
+
+    A corrupt row keeps NULL fields (as a failed decode in the reference).
+    """
+    fields = [f for f in df.schema[col].dataType.fieldNames() if f != CORRUPT]
+    bad = F.col(f"{col}.{CORRUPT}").isNotNull()
+    return df.select(*[c for c in df.columns if c != col],
+                     *[F.when(~bad, F.col(f"{col}.{f}")).alias(f) for f in fields],
+                     bad.alias("is_corrupt"))
 
 
 def decode_newheads(frames: DataFrame, frame: str = "frame") -> DataFrame:
     """``newHeads`` socket frames -> typed frames + ``is_corrupt``."""
-    return frames.select(
-        "*", F.from_json(F.col(frame), S.NEWHEADS_FRAME).alias("msg"),
-        F.try_parse_json(F.col(frame)).isNull().alias("is_corrupt"))
+    parsed = frames.select("*", _parse_with_corrupt(F.col(frame), S.NEWHEADS_FRAME).alias("_m"))
+    bad = F.col(f"_m.{CORRUPT}").isNotNull()
+    return parsed.select(*frames.columns, F.when(~bad, F.col("_m").dropFields(CORRUPT)).alias("msg"),
+                         bad.alias("is_corrupt"))
 
 
 def newheads_filter(decoded: DataFrame) -> DataFrame:

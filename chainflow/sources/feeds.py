@@ -24,9 +24,18 @@ TOKEN_DECIMALS = 18
 HEADS_SUBSCRIPTION = "0xsubheads"
 
 
-def _by_log_index(arr: Column) -> Column:
-    return F.array_sort(arr, lambda l, r: F.when(l["logIndex"] < r["logIndex"], -1)
-                        .when(l["logIndex"] > r["logIndex"], 1).otherwise(0))
+def _by_log_index(items: Column) -> Column:
+    """Sort collected ``(logIndex, item)`` pairs and keep the items.
+
+    Structs order by their first field, so the built-in (codegen'd) sort
+    orders by logIndex without a comparator lambda.
+    """
+    return F.transform(F.sort_array(items), lambda x: x["item"])
+
+
+def _keyed(cond, item: Column) -> Column:
+    pair = F.struct(F.col("logIndex").alias("k"), item.alias("item"))
+    return F.when(cond, pair) if cond is not None else pair
 
 
 def _empty_if_null(arr: Column, ddl: str) -> Column:
@@ -75,17 +84,16 @@ def transactions_nested(fx: Fixtures) -> DataFrame:
         F.lit(False).alias("removed"))
 
     per_order = ch.groupBy("orderKey").agg(
-        _by_log_index(F.collect_list(F.when(F.col("kind") == "erc20", erc20))).alias("erc20Transfers"),
-        _by_log_index(F.collect_list(F.when(F.col("kind") == "erc721", erc721))).alias("erc721Transfers"),
-        _by_log_index(F.collect_list(F.when(F.col("kind") == "erc1155", erc1155))).alias("erc1155Transfers"),
-        F.collect_list(F.when(F.col("lineStatus") == "F", F.struct(F.col("logIndex"), internal)))
-         .alias("_internal"),
-        _by_log_index(F.collect_list(log)).alias("logs"),
-    ).withColumn("internalTransactions",
-                 F.transform(_by_log_index(F.col("_internal")), lambda x: x["col2"]))
+        _by_log_index(F.collect_list(_keyed(F.col("kind") == "erc20", erc20))).alias("erc20Transfers"),
+        _by_log_index(F.collect_list(_keyed(F.col("kind") == "erc721", erc721))).alias("erc721Transfers"),
+        _by_log_index(F.collect_list(_keyed(F.col("kind") == "erc1155", erc1155))).alias("erc1155Transfers"),
+        _by_log_index(F.collect_list(_keyed(F.col("lineStatus") == "F", internal)))
+         .alias("internalTransactions"),
+        _by_log_index(F.collect_list(_keyed(None, log))).alias("logs"),
+    )
 
     tx = fx.orders_tx
-    joined = tx.join(per_order.drop("_internal"), "orderKey", "left")
+    joined = tx.join(per_order, "orderKey", "left")
     return joined.select(
         F.sha2(F.concat(F.lit("b:"), F.col("chainId"), F.lit(":"), F.col("blockNumber")), 256)
          .alias("_bh"),

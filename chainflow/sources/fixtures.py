@@ -102,22 +102,29 @@ FROM {D.t("transactions")} GROUP BY chainId, blockNumber"""
 
 
 def _children(D: Dialect) -> str:
+    # The window partitions by the same column the consumers group and join
+    # on (orderKey), so Spark reuses one hash partitioning for all of them.
     q = D.q
     return f"""
-SELECT '0x' || {D.sha("'o' || cast(l_orderkey AS string)")} AS transactionHash,
-  cast(row_number() OVER (PARTITION BY l_orderkey
+SELECT transactionHash,
+  cast(row_number() OVER (PARTITION BY orderKey
        ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) - 1 AS int) AS logIndex,
-  CASE l_returnflag WHEN 'N' THEN 'erc20' WHEN 'A' THEN 'erc721' ELSE 'erc1155' END AS kind,
-  CASE WHEN l_linestatus = 'O' THEN '0x' || lpad('', 40, '0') ELSE {_addr("l_suppkey")} END AS {q("from")},
-  {_addr("o_custkey")} AS {q("to")},
-  {_addr("l_partkey % 200", "0xe", 39)} AS tokenAddress,
-  cast(l_partkey AS string) AS tokenId,
-  cast({_cents("l_extendedprice")} AS string) || '0000' AS value,
-  CASE l_linenumber % 3 WHEN 0 THEN 'CREATE' WHEN 1 THEN 'CALL' ELSE 'SELFDESTRUCT' END AS internalTxType,
-  cast({D.epoch_s("o_orderdate")} AS bigint) AS blockTimestamp,
-  l_orderkey AS orderKey, l_linestatus AS lineStatus,
-  cast(cast(l_quantity * 1000 AS bigint) AS string) AS gasUsed
-FROM {D.t("lineitem")} JOIN {D.t("orders")} ON l_orderkey = o_orderkey"""
+  kind, {q("from")}, {q("to")}, tokenAddress, tokenId, value, internalTxType, blockTimestamp,
+  orderKey, lineStatus, gasUsed
+FROM (
+  SELECT '0x' || {D.sha("'o' || cast(l_orderkey AS string)")} AS transactionHash,
+    CASE l_returnflag WHEN 'N' THEN 'erc20' WHEN 'A' THEN 'erc721' ELSE 'erc1155' END AS kind,
+    CASE WHEN l_linestatus = 'O' THEN '0x' || lpad('', 40, '0') ELSE {_addr("l_suppkey")} END AS {q("from")},
+    {_addr("o_custkey")} AS {q("to")},
+    {_addr("l_partkey % 200", "0xe", 39)} AS tokenAddress,
+    cast(l_partkey AS string) AS tokenId,
+    cast({_cents("l_extendedprice")} AS string) || '0000' AS value,
+    CASE l_linenumber % 3 WHEN 0 THEN 'CREATE' WHEN 1 THEN 'CALL' ELSE 'SELFDESTRUCT' END AS internalTxType,
+    cast({D.epoch_s("o_orderdate")} AS bigint) AS blockTimestamp,
+    l_orderkey AS orderKey, l_linestatus AS lineStatus,
+    cast(cast(l_quantity * 1000 AS bigint) AS string) AS gasUsed,
+    l_linenumber, l_partkey, l_suppkey, l_extendedprice
+  FROM {D.t("lineitem")} JOIN {D.t("orders")} ON l_orderkey = o_orderkey) AS lines"""
 
 
 def _orders_tx(D: Dialect) -> str:
