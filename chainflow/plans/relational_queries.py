@@ -685,3 +685,84 @@ def q_webhook_fanout(spark, sf_dir):
         F.sum(F.size("logs")).alias("logs"))
     return sizes.unpivot([], ["transactions", "erc20", "erc721", "erc1155", "internal", "logs"],
                          "output", "rows")
+
+
+# --- per-entity sinks (K07-K25) ---------------------------------------------------
+# Each entity is encoded as (topic, key, value JSON) for its topic.  Payload
+# fields are strings and integers so the JSON text is engine-independent.
+
+def _sink(key, entity, spark_fn, cols, duck_from, views, key_col="chainId", topic_entity=None):
+    topic = TOPICS.topic(topic_entity or entity)
+    packed = ", ".join(f'"{c}" := "{c}"' for c in cols)
+    sql = oracle(f"""SELECT '{topic}' AS topic, cast("{key_col}" AS varchar) AS key,
+  to_json(struct_pack({packed})) AS value FROM {duck_from}""", views)
+
+    def run(spark, sf_dir):
+        df = spark_fn(Fixtures(spark, sf_dir)).withColumn("topic", F.lit(topic))
+        return K.encode_payload(df, cols, key=key_col)
+    query(key, sql)(run)
+
+
+def _nested(fx):
+    return feeds.transactions_nested(fx)
+
+
+def _kind(kind_filter):
+    return (f"(SELECT c.*, t.chainId FROM children c JOIN orders_tx t ON c.orderKey = t.orderKey "
+            f"WHERE {kind_filter}) x")
+
+
+_sink("sink_transactions", "transactions", lambda fx: fx.transactions,
+      ["txHash", "chainId", "blockNumber", "from", "to", "value", "transactionIndex"],
+      "transactions", ("transactions",))
+_sink("sink_single_tx", "transactions", lambda fx: fx.transactions.filter(F.col("txStatus") == "0"),
+      ["txHash", "chainId", "txStatus"], "transactions WHERE txStatus = '0'", ("transactions",))
+_sink("sink_erc20", "erc20",
+      lambda fx: P.explode_erc20(_nested(fx)).select("chainId", "transactionHash", "logIndex", "value"),
+      ["transactionHash", "logIndex", "value"], _kind("c.kind = 'erc20'"), ("children", "orders_tx"))
+_sink("sink_erc721", "erc721",
+      lambda fx: P.explode_erc721(_nested(fx)).select("chainId", "transactionHash", "logIndex", "tokenId"),
+      ["transactionHash", "logIndex", "tokenId"], _kind("c.kind = 'erc721'"), ("children", "orders_tx"))
+_sink("sink_erc1155", "erc1155",
+      lambda fx: P.explode_erc1155(_nested(fx)).select("chainId", "transactionHash", "logIndex", "tokenId",
+                                                       "value"),
+      ["transactionHash", "logIndex", "tokenId", "value"], _kind("c.kind = 'erc1155'"),
+      ("children", "orders_tx"))
+_sink("sink_internal", "internal",
+      lambda fx: P.explode_internal(_nested(fx)).select("chainId", "transactionHash", "internalTxType",
+                                                        "value"),
+      ["transactionHash", "internalTxType", "value"], _kind("c.lineStatus = 'F'"), ("children", "orders_tx"))
+_sink("sink_logs", "logs",
+      lambda fx: P.explode_children(_nested(fx), "logs").select("chainId", "txHash", "logIndex", "address"),
+      ["txHash", "logIndex", "address"],
+      "(SELECT t.chainId, t.txHash, c.logIndex, c.tokenAddress AS address FROM children c "
+      "JOIN orders_tx t ON c.orderKey = t.orderKey) x", ("children", "orders_tx"))
+_sink("sink_chains", "chains", lambda fx: fx.chains, ["chainId", "chainName", "vmName"], "chains",
+      ("chains",))
+_sink("sink_blocks", "blocks", lambda fx: fx.blocks,
+      ["chainId", "blockNumber", "blockTimestamp", "blockHash", "txCount", "gasUsed"], "blocks", ("blocks",))
+_sink("sink_subnets", "subnets", lambda fx: FL.nonempty_id(fx.subnets), ["subnetId", "subnetName"],
+      "subnets WHERE subnetId <> ''", ("subnets",), key_col="subnetId")
+_sink("sink_blockchains", "blockchains", lambda fx: fx.blockchains, ["blockchainId", "vmId", "subnetId"],
+      "blockchains", ("blockchains",), key_col="blockchainId")
+_sink("sink_validators", "validators", lambda fx: fx.validators, ["nodeId", "stakeAmount", "startTime"],
+      "validators", ("validators",), key_col="nodeId")
+_sink("sink_delegators", "delegators", lambda fx: fx.delegators, ["delegator", "nodeId", "stakeAmount"],
+      "delegators", ("delegators",), key_col="nodeId")
+_sink("sink_bridges", "bridges", lambda fx: fx.bridge_txs, ["id", "sourceChain", "destChain", "amount"],
+      "bridge_txs", ("bridge_txs",), key_col="sourceChain")
+
+
+def _hourly_counts(fx):
+    from chainflow.operators import metrics as M
+    return M.tx_counts(M.tx_features(fx.transactions), 3600, 3600)
+
+
+_HOURLY_DUCK = ("(SELECT chainId, blockTimestamp - blockTimestamp % 3600 AS window_start, "
+                "count(*) AS tx_count FROM transactions GROUP BY ALL) h")
+for _k, _fam in [("sink_activity", "metrics.activity"), ("sink_performance", "metrics.performance"),
+                 ("sink_gas", "metrics.gas"), ("sink_cumulative", "metrics.cumulative"),
+                 ("sink_metrics", "metrics")]:
+    # An unset family topic falls back to the default metrics topic.
+    _sink(_k, _fam, _hourly_counts, ["chainId", "window_start", "tx_count"], _HOURLY_DUCK,
+          ("transactions",), topic_entity=_fam if TOPICS.topic(_fam) else "metrics")
