@@ -53,6 +53,23 @@ def segmented_running_sum(df: DataFrame, key: str, order: str, value: str, out:
         .withColumn(out, F.col("_run") + F.col("_off")).drop("_seg", "_run", "_off")
 
 
+def segmented_row_number(df: DataFrame, key: str, segment: Column, order: list, out: str) -> DataFrame:
+    """``row_number() OVER (PARTITION BY key ORDER BY order)`` for hot keys.
+
+    ``segment`` must be monotone in ``order`` (e.g. the hour of a timestamp
+    that leads the order).  Rows are numbered within (key, segment); each
+    segment's offset is a running sum over the per-segment counts — a table
+    with one row per (key, segment), not per row.
+    """
+    d = df.withColumn("_seg", segment)
+    d = d.withColumn("_rn", F.row_number().over(Window.partitionBy(key, "_seg").orderBy(*order)))
+    counts = d.groupBy(key, "_seg").agg(F.count("*").alias("_n"))
+    w_seg = Window.partitionBy(key).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(key, "_seg", F.coalesce(F.sum("_n").over(w_seg), F.lit(0)).alias("_off"))
+    return d.join(offsets, [key, "_seg"]).withColumn(out, F.col("_rn") + F.col("_off")) \
+        .drop("_seg", "_rn", "_off")
+
+
 def cumulative_tx(blocks: DataFrame) -> DataFrame:
     """``cumulativeTransactions`` per block: running txCount per chain."""
     b = blocks.withColumn("_n", F.col("blockNumber").cast("bigint")) \

@@ -67,6 +67,11 @@ def _addr(expr: str, prefix: str = "0x", width: int = 40) -> str:
 def _transactions(D: Dialect) -> str:
     q, ep, blk = D.q, D.epoch_s("ts"), D.epoch_div("ts", 1800)
     price = _cents("value")
+    # nonce = per-sender sequence number.  In Spark it is added afterwards by
+    # a segmented row number (a hot sender is never one task); DuckDB, the
+    # single-node oracle, uses the plain window.
+    nonce = ("user_id AS _user, ts AS _ts, event_id AS _eid" if D.name == "spark" else
+             "cast(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS string) AS nonce")
     return f"""
 SELECT cast(user_id % 5 AS string) AS chainId,
   cast({ep} AS bigint) AS blockTimestamp,
@@ -87,7 +92,7 @@ SELECT cast(user_id % 5 AS string) AS chainId,
   cast(25000000000 + {price} * 1000000 AS string) AS receiptEffectiveGasPrice,
   CASE WHEN {price} = 0 THEN '0' ELSE cast({price} AS string) || '0000000000000000' END AS value,
   cast(row_number() OVER (PARTITION BY user_id % 5, {blk} ORDER BY ts, event_id) - 1 AS int) AS transactionIndex,
-  cast(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS string) AS nonce
+  {nonce}
 FROM {D.t("events")}"""
 
 
@@ -381,5 +386,18 @@ class Fixtures:
         if name not in self._cache:
             template, deps = VIEWS[name]
             frames = {d: self.view(d) for d in deps}
-            self._cache[name] = self.spark.sql(template(SPARK), **frames)
+            df = self.spark.sql(template(SPARK), **frames)
+            self._cache[name] = _SPARK_POST.get(name, lambda x: x)(df)
         return self._cache[name]
+
+
+def _add_nonce(tx: DataFrame) -> DataFrame:
+    from pyspark.sql import functions as F
+    from chainflow.operators.timeline import segmented_row_number
+    hour = F.floor(F.unix_micros(F.col("_ts").cast("timestamp")) / 3_600_000_000)
+    cols = [c for c in tx.columns if not c.startswith("_")]
+    numbered = segmented_row_number(tx, "_user", hour, ["_ts", "_eid"], "_n")
+    return numbered.select(*cols, (F.col("_n") - 1).cast("string").alias("nonce"))
+
+
+_SPARK_POST = {"transactions": _add_nonce}
