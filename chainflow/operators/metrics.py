@@ -356,11 +356,16 @@ def value_transferred(tx: DataFrame, bucket_s: int = 86400) -> DataFrame:
         C.uint256_sum("value").alias("value_transferred"), F.count("*").alias("tx_count"))
 
 
+USD_SCALE = 20  # common denominator 10^20 = 10^18 (max token decimals) * 100 (cents)
+
+
 def value_transferred_usd(transfers: DataFrame, prices: DataFrame, bucket_s: int = 86400) -> DataFrame:
-    """USD value of ERC20 transfers per bucket.
+    """USD value of ERC20 transfers per bucket (J09), exact.
 
-    Values are summed exactly per (bucket, token); only the per-token total
-    is scaled by decimals and priced, so rounding happens once per token.
+    Values are summed exactly per (bucket, token); each token total times
+    its price in cents is brought to the common denominator 10^20 (token
+    decimals ≤ 18), summed as decimal(38,0) and shifted to decimal text.
+    No float rounding is involved, so every engine gives the same digits.
     """
     per_token = transfers.groupBy(pane_of("blockTimestamp", bucket_s).alias("window_start"),
                                   F.col("tokenAddress")).agg(F.sum(C.uint("value")).alias("raw"))
@@ -368,9 +373,13 @@ def value_transferred_usd(transfers: DataFrame, prices: DataFrame, bucket_s: int
     # spark.sql.autoBroadcastJoinThreshold (its size is checked), else shuffles.
     priced = per_token.join(prices.select("address", "decimals", "price"),
                             per_token["tokenAddress"] == prices["address"])
-    usd = F.col("raw").cast("double") / F.pow(F.lit(10.0), F.col("decimals")) * F.col("price")
-    return priced.groupBy("window_start").agg(F.round(F.sum(usd), 4).alias("value_transferred_usd"),
-                                              F.count("*").alias("tokens"))
+    cents = F.round(F.col("price") * 100).cast("bigint").cast(DEC)
+    scale = F.concat(F.lit("1"), F.repeat(F.lit("0"), 18 - F.col("decimals"))).cast(DEC)
+    term = (F.col("raw") * cents).cast(DEC) * scale
+    total = F.sum(term.cast(DEC)).cast(DEC).cast("string")
+    return priced.groupBy("window_start").agg(
+        C.value_with_decimals(total, F.lit(USD_SCALE)).alias("value_transferred_usd"),
+        F.count("*").alias("tokens"))
 
 
 # --- token activity (A39, A40) and the hourly set (T07) ----------------------

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from chainflow.operators import fanout as P
 from chainflow.operators import metrics as M
+from chainflow.plans.duck import vwd
 from chainflow.plans.registry import query
 from chainflow.sources import decode, feeds
 from chainflow.sources.feeds import WEBHOOK_SECRET
@@ -327,8 +328,9 @@ def q_value_transferred(spark, sf_dir):
 
 
 @query("value_transferred_usd", oracle(f"""
-SELECT window_start, round(sum(cast(raw AS double) / pow(10.0, decimals) * price), 4) AS value_transferred_usd,
-  count(*) AS tokens
+SELECT window_start, {vwd('cast(sum(cast(raw * cast(round(price * 100) AS bigint) AS decimal(38,0)) '
+                          "* cast('1' || repeat('0', 18 - decimals) AS decimal(38,0))) AS varchar)", 20)}
+  AS value_transferred_usd, count(*) AS tokens
 FROM (SELECT blockTimestamp - blockTimestamp % {DAY} AS window_start, tokenAddress,
         sum(cast(value AS decimal(38,0))) AS raw FROM children WHERE kind = 'erc20' GROUP BY ALL) p
 JOIN tokens t ON p.tokenAddress = t.address GROUP BY window_start""", ("children", "tokens")))
