@@ -34,9 +34,18 @@ def suppress_recent(sightings: DataFrame, keys: list[str], ts: str, interval_s:
         .select(*keys, F.col("_e._ts").alias(ts), *[F.col(f"_e.{c}").alias(c) for c in tiebreak])
 
 
-def dedup_message(df: DataFrame, key: str = "messageId") -> DataFrame:
-    """Batch form of T02: one row per message id (first delivery kept)."""
-    return df.dropDuplicates([key])
+def dedup_message(df: DataFrame, key: str = "messageId", first_by: str | None = None) -> DataFrame:
+    """Batch form of T02: one row per message id.
+
+    With ``first_by`` the earliest delivery is kept via ``min_by`` (partial
+    aggregation, and the same row on every retry of a lost task); without it
+    Spark's ``dropDuplicates`` keeps any one copy.
+    """
+    if first_by is None:
+        return df.dropDuplicates([key])
+    others = [c for c in df.columns if c != key]
+    first = df.groupBy(key).agg(F.min_by(F.struct(*others), F.struct(first_by, *others)).alias("_r"))
+    return first.select(key, "_r.*")
 
 
 def dedup_message_stream(df: DataFrame, key: str, event_time: str, delay: str = "10 minutes") -> DataFrame:

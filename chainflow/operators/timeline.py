@@ -66,7 +66,7 @@ def segmented_row_number(df: DataFrame, key: str, segment: Column, order: list,
     counts = d.groupBy(key, "_seg").agg(F.count("*").alias("_n"))
     w_seg = Window.partitionBy(key).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(key, "_seg", F.coalesce(F.sum("_n").over(w_seg), F.lit(0)).alias("_off"))
-    return d.join(offsets, [key, "_seg"]).withColumn(out, F.col("_rn") + F.col("_off")) \
+    return d.join(offsets, [key, "_seg"], "left").withColumn(out, F.col("_rn") + F.col("_off")) \
         .drop("_seg", "_rn", "_off")
 
 

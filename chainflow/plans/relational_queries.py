@@ -626,8 +626,8 @@ SELECT cast(orderKey AS varchar) AS messageId, txHash FROM orders_tx WHERE order
 def q_dedup_message(spark, sf_dir):
     from chainflow.plans.fanout_queries import webhook_envelopes
     env = webhook_envelopes(Fixtures(spark, sf_dir)).select(
-        "messageId", F.col("event.transaction.txHash").alias("txHash"))
-    return D.dedup_message(env, "messageId")
+        "messageId", F.col("event.transaction.txHash").alias("txHash"), "receivedAt")
+    return D.dedup_message(env, "messageId", first_by="receivedAt").drop("receivedAt")
 
 
 @query("replay", oracle("""
