@@ -126,6 +126,30 @@ def keyset_page(df: DataFrame, key: str, page_size: int, after=None,
     return page.withColumn("next_token", F.when(F.col("_more"), edge)).drop("_rn", "_more")
 
 
+def keyset_pages(df: DataFrame, group: str, key: str, page_size: int, after=None,
+                 descending: bool = False, segment: int = 1 << 20) -> DataFrame:
+    """One page per group after a token (O01/O02/S03 in set form).
+
+    Two-phase top-k, so a hot group is never sorted in one task: keep the
+    first ``page_size + 1`` rows of every (group, key range), then rank only
+    those survivors per group.  ``next_token`` = the page's last key when a
+    further row exists.
+    """
+    k = F.col(key)
+    src = df if after is None else df.filter(k < after if descending else k > after)
+    order = k.desc() if descending else k.asc()
+    seg = F.floor(k / segment)
+    first = src.withColumn("_r", F.row_number().over(Window.partitionBy(group, seg).orderBy(order))) \
+        .filter(F.col("_r") <= page_size + 1).drop("_r")
+    ranked = first.withColumn("_rn", F.row_number().over(Window.partitionBy(group).orderBy(order))) \
+        .filter(F.col("_rn") <= page_size + 1)
+    whole = Window.partitionBy(group)
+    page = ranked.withColumn("_more", F.max("_rn").over(whole) > page_size) \
+        .filter(F.col("_rn") <= page_size)
+    edge = (F.min(k) if descending else F.max(k)).over(whole)
+    return page.withColumn("next_token", F.when(F.col("_more"), edge)).drop("_rn", "_more")
+
+
 def drain_pages(df: DataFrame, key: str, page_size: int, partition: str | None = None) -> DataFrame:
     """All pages at once (O04): page number = ``(rank - 1) div page_size``.
 

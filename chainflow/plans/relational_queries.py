@@ -469,44 +469,45 @@ def q_chain_continuity(spark, sf_dir):
     return W.chain_continuity(Fixtures(spark, sf_dir).blocks)
 
 
-@query("keyset_page", oracle(f"""
-SELECT blockNumber, blockHash, CASE WHEN (SELECT count(*) FROM b1) > {PAGE}
-  THEN max(n) OVER () END AS next_token FROM (
-  SELECT *, cast(blockNumber AS bigint) AS n FROM b1 ORDER BY n LIMIT {PAGE}) p""", ("blocks",),
-                             ["b1 AS (SELECT * FROM blocks WHERE chainId = '1')"]))
-def q_keyset_page(spark, sf_dir):
-    """First page of chain 1's blocks in number order, with the next token."""
-    b = Fixtures(spark, sf_dir).blocks.filter(F.col("chainId") == "1") \
-        .withColumn("n", F.col("blockNumber").cast("bigint"))
-    return W.keyset_page(b, "n", PAGE).select("blockNumber", "blockHash", "next_token")
+def _pages_sql(desc: bool, after: int | None) -> str:
+    cond = f"WHERE cast(blockNumber AS bigint) > {after}" if after is not None else ""
+    d = "DESC" if desc else ""
+    edge = "min(n)" if desc else "max(n)"
+    return oracle(f"""
+SELECT chainId, blockNumber, blockHash, CASE WHEN total > {PAGE} THEN {edge} OVER (PARTITION BY chainId) END
+  AS next_token
+FROM (SELECT chainId, blockNumber, blockHash, cast(blockNumber AS bigint) AS n,
+        row_number() OVER (PARTITION BY chainId ORDER BY cast(blockNumber AS bigint) {d}) AS rn,
+        count(*) OVER (PARTITION BY chainId) AS total
+      FROM blocks {cond}) q
+WHERE rn <= {PAGE}""", ("blocks",))
+
+
+def _pages(spark, sf_dir, desc=False, after=None):
+    b = Fixtures(spark, sf_dir).blocks.withColumn("n", F.col("blockNumber").cast("bigint"))
+    return W.keyset_pages(b, "chainId", "n", PAGE, after=after, descending=desc) \
+        .select("chainId", "blockNumber", "blockHash", "next_token")
 
 
 PAGE_TOKEN = 946804  # a page token: block numbers of January 2024 start at 946704
 
 
-@query("scan_blocks_page", oracle(f"""
-SELECT blockNumber, blockHash, CASE WHEN (SELECT count(*) FROM b1) > {PAGE}
-  THEN max(n) OVER () END AS next_token FROM (
-  SELECT *, cast(blockNumber AS bigint) AS n FROM b1 ORDER BY n LIMIT {PAGE}) p""", ("blocks",),
-                                  [f"b1 AS (SELECT * FROM blocks WHERE chainId = '2' "
-                                   f"AND cast(blockNumber AS bigint) > {PAGE_TOKEN})"]))
-def q_scan_blocks_page(spark, sf_dir):
-    """One chain's blocks, the page after a page token."""
-    b = Fixtures(spark, sf_dir).blocks.filter(F.col("chainId") == "2") \
-        .withColumn("n", F.col("blockNumber").cast("bigint"))
-    return W.keyset_page(b, "n", PAGE, after=PAGE_TOKEN).select("blockNumber", "blockHash", "next_token")
+@query("keyset_page", _pages_sql(False, None))
+def q_keyset_page(spark, sf_dir):
+    """The first page of every chain's blocks in number order, with next tokens."""
+    return _pages(spark, sf_dir)
 
 
-@query("sort_order", oracle(f"""
-SELECT blockNumber, blockHash, CASE WHEN (SELECT count(*) FROM b1) > {PAGE}
-  THEN min(n) OVER () END AS next_token FROM (
-  SELECT *, cast(blockNumber AS bigint) AS n FROM b1 ORDER BY n DESC LIMIT {PAGE}) p""", ("blocks",),
-                            ["b1 AS (SELECT * FROM blocks WHERE chainId = '1')"]))
+@query("sort_order", _pages_sql(True, None))
 def q_sort_order(spark, sf_dir):
-    """The same page in descending order."""
-    b = Fixtures(spark, sf_dir).blocks.filter(F.col("chainId") == "1") \
-        .withColumn("n", F.col("blockNumber").cast("bigint"))
-    return W.keyset_page(b, "n", PAGE, descending=True).select("blockNumber", "blockHash", "next_token")
+    """The same pages in descending order."""
+    return _pages(spark, sf_dir, desc=True)
+
+
+@query("scan_blocks_page", _pages_sql(False, PAGE_TOKEN))
+def q_scan_blocks_page(spark, sf_dir):
+    """Every chain's block page after a page token."""
+    return _pages(spark, sf_dir, after=PAGE_TOKEN)
 
 
 @query("drain_pages", oracle(f"""

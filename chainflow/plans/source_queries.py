@@ -49,9 +49,13 @@ def q_scan_chains(spark, sf_dir):
     return _chain_cols(_scan_chains(spark, sf_dir))
 
 
-@query("lookup_chain", oracle(_CHAINS_SQL + " WHERE chainId = '7'", ("chains",)))
+@query("lookup_chain", oracle(_CHAINS_SQL + """
+WHERE chainId IN (SELECT chainId FROM event_log WHERE event_type LIKE 'chain.%')""", ("chains", "event_log")))
 def q_lookup_chain(spark, sf_dir):
-    return _chain_cols(_scan_chains(spark, sf_dir).filter(F.col("chainId") == "7"))
+    """S02 (set form): details of every chain named by a chain event."""
+    fx = Fixtures(spark, sf_dir)
+    wanted = fx.event_log.filter(F.col("event_type").startswith("chain.")).select("chainId")
+    return _chain_cols(_scan_chains(spark, sf_dir).join(wanted, "chainId", "left_semi"))
 
 
 @query("scan_validators", oracle("SELECT * FROM validators", ("validators",)))
@@ -61,12 +65,18 @@ def q_scan_validators(spark, sf_dir):
     return decode.decode_pages(docs, S.VALIDATOR, "validators")
 
 
-@query("lookup_validator", oracle("SELECT * FROM validators WHERE nodeId = 'NodeID-7'", ("validators",)))
+@query("lookup_validator", oracle("""
+SELECT * FROM validators WHERE nodeId IN (SELECT nodeId FROM delegators)""", ("validators", "delegators")))
 def q_lookup_validator(spark, sf_dir):
-    """Single-validator responses arrive wrapped as ``{"validator": {...}}``."""
-    v = Fixtures(spark, sf_dir).validators
+    """S06 (set form): the validator of every delegation.
+
+    Single-validator responses arrive wrapped as ``{"validator": {...}}``.
+    """
+    fx = Fixtures(spark, sf_dir)
+    v = fx.validators
     docs = v.select(F.to_json(F.struct(_struct_of(v).alias("validator"))).alias("value"))
-    return decode.decode_single(docs, S.VALIDATOR, "validator").filter(F.col("nodeId") == "NodeID-7")
+    found = decode.decode_single(docs, S.VALIDATOR, "validator")
+    return found.join(fx.delegators.select("nodeId"), "nodeId", "left_semi")
 
 
 @query("scan_delegators", oracle("SELECT * FROM delegators", ("delegators",)))
@@ -92,13 +102,15 @@ def q_scan_subnets(spark, sf_dir):
     return _scan_subnets(spark, sf_dir).select("subnetId", F.size("blockchains").alias("n_blockchains"))
 
 
-@query("lookup_subnet", oracle(f"SELECT * FROM ({_SUBNET_SQL}) q WHERE subnetId = '2'",
-                               ("subnets", "blockchains")))
+@query("lookup_subnet", oracle(f"""SELECT * FROM ({_SUBNET_SQL}) q
+WHERE subnetId IN (SELECT subnetId FROM chains)""", ("subnets", "blockchains", "chains")))
 def q_lookup_subnet(spark, sf_dir):
-    """Subnet detail arrives wrapped as ``{"subnet": {...}}``."""
-    sn = feeds.subnets_nested(Fixtures(spark, sf_dir))
+    """S09 (set form): the subnet of every chain; detail wrapped as ``{"subnet": {...}}``."""
+    fx = Fixtures(spark, sf_dir)
+    sn = feeds.subnets_nested(fx)
     docs = sn.select(F.to_json(F.struct(_struct_of(sn).alias("subnet"))).alias("value"))
-    got = decode.decode_single(docs, S.SUBNET, "subnet").filter(F.col("subnetId") == "2")
+    got = decode.decode_single(docs, S.SUBNET, "subnet").join(
+        fx.chains.select("subnetId"), "subnetId", "left_semi")
     return got.select("subnetId", F.size("blockchains").alias("n_blockchains"))
 
 
@@ -111,13 +123,13 @@ def q_scan_blockchains(spark, sf_dir):
 
 @query("scan_bridge_txs", oracle("""
 SELECT id, sourceChain, destChain, asset, amount, sender, receiver, status FROM bridge_txs
-WHERE sourceChain = 'C1' AND destChain = 'C2'""", ("bridge_txs",)))
+WHERE sourceChain <> destChain""", ("bridge_txs",)))
 def q_scan_bridge_txs(spark, sf_dir):
-    """Bridge transactions of one (source, destination) pair."""
+    """S11 (set form): bridge transactions of every cross-chain (source, destination) route."""
     b = Fixtures(spark, sf_dir).bridge_txs.drop("blockTimestamp")
     docs = feeds.landed_pages(b, _struct_of(b), "transactions", _DIGITS("id"), 100)
     rows = decode.decode_pages(docs, S.BRIDGE_TX, "transactions")
-    return rows.filter((F.col("sourceChain") == "C1") & (F.col("destChain") == "C2"))
+    return rows.filter(F.col("sourceChain") != F.col("destChain"))
 
 
 @query("lookup_token", oracle("""
