@@ -178,3 +178,26 @@ def latest_chain_table(spark: SparkSession, table: str):
         if os.path.exists(os.path.join(path, "_SUCCESS")):
             return spark.read.parquet(path)
     return None
+
+
+# --- T11 / T12: stream-static joins ----------------------------------------------
+
+def heads_to_blocks_stream(frames: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Decoded head stream ⋈ static block table on hash, stamped with the
+    stream's chain (J01 + P12).  Stream-static inner joins keep no state."""
+    from chainflow.operators.lookups import heads_join_blocks
+    from chainflow.sources import decode, feeds
+    heads = decode.newheads_filter(decode.decode_newheads(frames)).select(
+        "hash", F.substring("subscription", len(feeds.HEADS_SUBSCRIPTION) + 1, 64).alias("streamChain"))
+    joined = heads_join_blocks(heads, blocks.select("blockHash", "blockNumber", "blockTimestamp"))
+    return joined.select("hash", "blockNumber", "blockTimestamp", F.col("streamChain").alias("chainId"))
+
+
+def live_fanout_stream(messages: DataFrame, subscriptions: DataFrame) -> DataFrame:
+    """Topic stream -> arity filter -> stamp -> match against the current
+    subscriptions (static side, latest per client) -> envelope per subscriber."""
+    from chainflow.operators import filters
+    from chainflow.operators.lookups import fanout_subscriptions, resolve_subscriptions
+    msgs = P.stamp_live(filters.topic_arity_filter(messages), F.col("eventTime"))
+    matched = fanout_subscriptions(msgs, resolve_subscriptions(subscriptions))
+    return P.live_envelope(matched, data_col="value").select("clientId", "offset", "envelope")

@@ -82,3 +82,15 @@ def test_snapshot_changes(spark):
     prev = spark.createDataFrame([("a", "1", None), ("b", "2", 6)], "k string, x string, y long")
     got = sorted(map(tuple, J.snapshot_changes(cur, prev, "k", "e").collect()))
     assert got == [("b", "e.updated"), ("c", "e.created")]
+
+
+def test_keyset_pages_per_group(spark):
+    rnd = random.Random(11)
+    rows = [(f"g{rnd.randrange(3)}", n) for n in rnd.sample(range(100000), 900)]
+    df = spark.createDataFrame(rows, "g string, k long")
+    got = W.keyset_pages(df, "g", "k", 50, segment=997).collect()
+    for g in ("g0", "g1", "g2"):
+        keys = sorted(k for gg, k in rows if gg == g)
+        page = sorted(r.k for r in got if r.g == g)
+        assert page == keys[:50]
+        assert {r.next_token for r in got if r.g == g} == {keys[49]}

@@ -65,3 +65,47 @@ def test_webhook_fanout_foreach_batch(spark, scratch):
     q.awaitTermination()
     n = spark.read.parquet(os.path.join(sink, "erc20")).count()
     assert n == env.selectExpr("sum(size(event.transaction.erc20Transfers))").first()[0]
+
+
+def test_heads_to_blocks_stream_equals_batch(spark, scratch):
+    from __spark_entry__ import queries
+    QUERIES = queries()
+    from chainflow.sources import feeds
+    fx = Fixtures(spark, SF)
+    raw = feeds.newheads_raw(fx)
+    src = os.path.join(scratch, "heads")
+    raw.write.parquet(src)
+    out = jobs.heads_to_blocks_stream(jobs.file_stream(spark, src, raw.schema), fx.blocks)
+    jobs.run_available_now(out, os.path.join(scratch, "hb"), os.path.join(scratch, "hbc"))
+    got = spark.read.parquet(os.path.join(scratch, "hb"))
+    want = QUERIES["heads_to_blocks"](spark, SF)
+    cols = ["hash", "blockNumber", "blockTimestamp", "chainId"]
+    assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, want.select(cols).collect()))
+
+
+def test_live_fanout_stream_equals_batch(spark, scratch):
+    from __spark_entry__ import queries
+    QUERIES = queries()
+    fx = Fixtures(spark, SF)
+    msgs = fx.topic_messages
+    src = os.path.join(scratch, "msgs")
+    msgs.write.parquet(src)
+    out = jobs.live_fanout_stream(jobs.file_stream(spark, src, msgs.schema), fx.subscriptions)
+    jobs.run_available_now(out, os.path.join(scratch, "lf"), os.path.join(scratch, "lfc"))
+    got = spark.read.parquet(os.path.join(scratch, "lf"))
+    want = QUERIES["live_fanout"](spark, SF)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(got.columns).collect()))
+
+
+def test_dynamic_chains_foreach_batch(spark, scratch):
+    fx = Fixtures(spark, SF)
+    ev = fx.event_log
+    src = os.path.join(scratch, "ev")
+    ev.write.parquet(src)
+    table = os.path.join(scratch, "chains")
+    q = jobs.micro_batches(jobs.file_stream(spark, src, ev.schema), jobs.dynamic_chains_batch(table, ["0", "1"]),
+                           os.path.join(scratch, "evc"), available_now=True)
+    q.awaitTermination()
+    got = sorted(r.chainId for r in jobs.latest_chain_table(spark, table).collect())
+    seen = {r.chainId for r in ev.filter(ev.event_type.startswith("chain.")).select("chainId").collect()}
+    assert got == sorted(seen | {"0", "1"})
