@@ -147,15 +147,21 @@ def staking_row(staking: DataFrame, network: str) -> DataFrame:
     return staking.select(F.lit("staking").alias("type"), "*", F.lit(network).alias("network"))
 
 
+# The type tag and metric names of the bridge metric rows.
+BRIDGE_ROW_TYPE = "teleporter"
+BRIDGE_METRICS = ("activeBridges", "bridgeTxCount", "totalBridgedBTC")
+
+
 def bridge_metric_rows(bridge: DataFrame, ts=None) -> DataFrame:
-    """Three ``{type: "teleporter", metric, value, timestamp}`` rows."""
+    """Three ``{type, metric, value, timestamp}`` bridge metric rows."""
     tcol = ts if isinstance(ts, Column) else F.lit(ts).cast("bigint")
+    a, b, c = BRIDGE_METRICS
     return bridge.select(F.expr(
-        "stack(3, 'activeBridges', cast(active_bridges AS double), "
-        "'bridgeTxCount', cast(bridge_tx_count AS double), "
-        "'totalBridgedBTC', cast(total_bridged AS double)) AS (metric, value)"),
+        f"stack(3, '{a}', cast(active_bridges AS double), "
+        f"'{b}', cast(bridge_tx_count AS double), "
+        f"'{c}', cast(total_bridged AS double)) AS (metric, value)"),
         *[c for c in bridge.columns if c not in ("active_bridges", "bridge_tx_count", "total_bridged")]
-    ).select(F.lit("teleporter").alias("type"), "*", tcol.alias("timestamp"))
+    ).select(F.lit(BRIDGE_ROW_TYPE).alias("type"), "*", tcol.alias("timestamp"))
 
 
 def include_flags(tx: DataFrame, include_logs: bool = False,

@@ -18,6 +18,8 @@ def webhook_envelopes(fx: Fixtures):
     return good
 
 
+MONITORED_CHAIN = "9000"  # the configured chain a head stream belongs to
+
 _CHILD = "FROM children c JOIN orders_tx t ON c.orderKey = t.orderKey"
 
 
@@ -170,11 +172,11 @@ def q_live_envelope(spark, sf_dir):
 
 
 @query("stamp_chain", duck_with("""
-SELECT blockNumber, blockHash, blockTimestamp, '43114' AS chainId FROM blocks""", "blocks"))
+SELECT blockNumber, blockHash, blockTimestamp, '9000' AS chainId FROM blocks""", "blocks"))
 def q_stamp_chain(spark, sf_dir):
     """Blocks looked up for the monitored chain's head stream get its id stamped."""
     blocks = Fixtures(spark, sf_dir).blocks.select("blockNumber", "blockHash", "blockTimestamp")
-    return P.stamp_chain(blocks, "43114")
+    return P.stamp_chain(blocks, MONITORED_CHAIN)
 
 
 @query("network_token", duck_with("""
