@@ -162,15 +162,18 @@ def webhook_raw(fx: Fixtures) -> DataFrame:
            .when(F.col("messageId_key") % 11 == 0, C.signature_of("body", WRONG_SECRET))
            .otherwise(C.signature_of("body", WEBHOOK_SECRET)))
     slot = F.col("messageId_key") % 3
-    out = signed.select(
+    # Every 10th message is delivered twice, 30 s apart: one pass, no union.
+    delays = F.when(F.col("messageId_key") % 10 == 0, F.array(F.lit(1), F.lit(31))) \
+        .otherwise(F.array(F.lit(1)))
+    once = signed.select(
         F.col("messageId_key").alias("deliveryKey"), "body",
         F.when(slot == 0, sig).alias("sigPrimary"),
         F.when(slot == 1, sig).alias("sigAlt"),
         F.when(slot == 2, sig).alias("sigHub"),
-        (F.col("blockTimestamp") + 1).alias("receivedAt"))
-    repeats = out.filter(F.col("deliveryKey") % 10 == 0) \
-        .withColumn("receivedAt", F.col("receivedAt") + 30)
-    return out.unionByName(repeats)
+        "blockTimestamp", delays.alias("_delays"))
+    return once.select("*", F.explode("_delays").alias("_d")).select(
+        "deliveryKey", "body", "sigPrimary", "sigAlt", "sigHub",
+        (F.col("blockTimestamp") + F.col("_d")).alias("receivedAt"))
 
 
 def newheads_raw(fx: Fixtures) -> DataFrame:
