@@ -108,27 +108,27 @@ FROM {D.t("transactions")} GROUP BY chainId, blockNumber"""
 
 def _children(D: Dialect) -> str:
     # The window partitions by the same column the consumers group and join
-    # on (orderKey), so Spark reuses one hash partitioning for all of them.
+    # on (orderKey), so Spark reuses one hash partitioning for all of them;
+    # the string columns are computed above the window, after the shuffle,
+    # so only the raw numeric line columns move through it.
     q = D.q
     return f"""
-SELECT transactionHash,
+SELECT '0x' || {D.sha("'o' || cast(orderKey AS string)")} AS transactionHash,
   cast(row_number() OVER (PARTITION BY orderKey
        ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) - 1 AS int) AS logIndex,
-  kind, {q("from")}, {q("to")}, tokenAddress, tokenId, value, internalTxType, blockTimestamp,
-  orderKey, lineStatus, gasUsed
+  CASE l_returnflag WHEN 'N' THEN 'erc20' WHEN 'A' THEN 'erc721' ELSE 'erc1155' END AS kind,
+  CASE WHEN l_linestatus = 'O' THEN '0x' || lpad('', 40, '0') ELSE {_addr("l_suppkey")} END AS {q("from")},
+  {_addr("o_custkey")} AS {q("to")},
+  {_addr("l_partkey % 200", "0xe", 39)} AS tokenAddress,
+  cast(l_partkey AS string) AS tokenId,
+  cast({_cents("l_extendedprice")} AS string) || '0000' AS value,
+  CASE l_linenumber % 3 WHEN 0 THEN 'CREATE' WHEN 1 THEN 'CALL' ELSE 'SELFDESTRUCT' END AS internalTxType,
+  cast({D.epoch_s("o_orderdate")} AS bigint) AS blockTimestamp,
+  orderKey, l_linestatus AS lineStatus,
+  cast(cast(l_quantity * 1000 AS bigint) AS string) AS gasUsed
 FROM (
-  SELECT '0x' || {D.sha("'o' || cast(l_orderkey AS string)")} AS transactionHash,
-    CASE l_returnflag WHEN 'N' THEN 'erc20' WHEN 'A' THEN 'erc721' ELSE 'erc1155' END AS kind,
-    CASE WHEN l_linestatus = 'O' THEN '0x' || lpad('', 40, '0') ELSE {_addr("l_suppkey")} END AS {q("from")},
-    {_addr("o_custkey")} AS {q("to")},
-    {_addr("l_partkey % 200", "0xe", 39)} AS tokenAddress,
-    cast(l_partkey AS string) AS tokenId,
-    cast({_cents("l_extendedprice")} AS string) || '0000' AS value,
-    CASE l_linenumber % 3 WHEN 0 THEN 'CREATE' WHEN 1 THEN 'CALL' ELSE 'SELFDESTRUCT' END AS internalTxType,
-    cast({D.epoch_s("o_orderdate")} AS bigint) AS blockTimestamp,
-    l_orderkey AS orderKey, l_linestatus AS lineStatus,
-    cast(cast(l_quantity * 1000 AS bigint) AS string) AS gasUsed,
-    l_linenumber, l_partkey, l_suppkey, l_extendedprice
+  SELECT l_orderkey AS orderKey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice,
+    l_returnflag, l_linestatus, o_custkey, o_orderdate
   FROM {D.t("lineitem")} JOIN {D.t("orders")} ON l_orderkey = o_orderkey) AS lines"""
 
 
@@ -366,6 +366,10 @@ class Fixtures:
     """Lazily built Spark views over one scale-factor directory."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
+        # All times are UTC Unix seconds; the parquet timestamps are zone-less.
+        # Pin the session zone so epoch, truncation and RFC 3339 text do not
+        # depend on the machine's or the caller's default zone.
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self._cache: dict[str, DataFrame] = {}
