@@ -220,10 +220,19 @@ def gas(tx: DataFrame, blocks: DataFrame, size_s: int, slide_s: int | None = Non
         _ratio(F.sum("sp"), F.sum("np")).alias("avg_gas_price"),
         F.min("mn").cast("string").alias("min_gas_price"),
         F.max("mx").cast("string").alias("max_gas_price"))
-    rows = windowed(feat.select("chainId", "ts", F.col("gasPrice").cast("double").alias("p")),
-                    "ts", size_s, slide_s)
-    med = F.median("p") if exact_median else F.percentile_approx("p", 0.5, 10000).cast("double")
-    median = rows.groupBy(*keys).agg(med.alias("median_gas_price"))
+    # Exact median from per-pane price histograms: (chain, pane, price) -> n
+    # rows are fanned out instead of raw rows, and percentile() weighs each
+    # price by its frequency (same result as over the expanded rows).
+    hist = feat.groupBy("chainId", pane_of("ts", slide_s).alias("pane"),
+                        F.col("gasPrice").cast("double").alias("p")).agg(F.count("*").alias("n"))
+    if exact_median:
+        median = fan_out(hist, size_s, slide_s).groupBy(*keys).agg(
+            F.percentile("p", F.lit(0.5), F.col("n")).alias("median_gas_price"))
+    else:  # percentile_approx takes no weights: row level
+        rows = windowed(feat.select("chainId", "ts", F.col("gasPrice").cast("double").alias("p")),
+                        "ts", size_s, slide_s)
+        median = rows.groupBy(*keys).agg(
+            F.percentile_approx("p", 0.5, 10000).cast("double").alias("median_gas_price"))
 
     bf = block_typed(blocks)
     bpanes = bf.groupBy("chainId", pane_of("ts", slide_s).alias("pane")).agg(

@@ -94,3 +94,22 @@ def test_keyset_pages_per_group(spark):
         page = sorted(r.k for r in got if r.g == g)
         assert page == keys[:50]
         assert {r.next_token for r in got if r.g == g} == {keys[49]}
+
+
+def test_exact_and_approx_median(spark):
+    from chainflow.operators import metrics as M
+    rnd = random.Random(5)
+    rows = [("c", t, str(25_000_000_000 + 1_000_000 * rnd.randrange(20))) for t in range(0, 3600, 7)]
+    tx = spark.createDataFrame(rows, "chainId string, blockTimestamp long, gasPrice string") \
+        .selectExpr("*", "'0x1' AS `from`", "'0x2' AS `to`", "'1' AS txStatus", "'0x' AS input",
+                    "'21000' AS receiptGasUsed", "gasPrice AS receiptEffectiveGasPrice")
+    blocks = spark.createDataFrame([("c", "1", 10, 1, "21000", "8000000", "1")],
+                                   "chainId string, blockNumber string, blockTimestamp long, txCount int, "
+                                   "gasUsed string, gasLimit string, feesSpent string")
+    exact = {r.window_start: r.median_gas_price for r in M.gas(tx, blocks, 1800, 300).collect()}
+    approx = {r.window_start: r.median_gas_price for r in M.gas(tx, blocks, 1800, 300, exact_median=False).collect()}
+    import statistics
+    for ws, m in exact.items():
+        prices = [float(p) for _, t, p in rows if ws <= t < ws + 1800]
+        assert m == statistics.median(prices)
+        assert abs(approx[ws] - m) <= 1_000_000
