@@ -86,15 +86,20 @@ def block_gaps(blocks: DataFrame) -> DataFrame:
         .drop("_n", "_prevTs")
 
 
-def chain_continuity(blocks: DataFrame) -> DataFrame:
+def chain_continuity(blocks: DataFrame, ranges: bool = False) -> DataFrame:
     """Missing block numbers and parent-hash breaks per chain.
 
     Returns one row per missing number (``kind = 'missing'``) and one per
     block whose ``parentHash`` differs from the previous block's hash while
-    numbers are consecutive (``kind = 'parent_mismatch'``).
+    numbers are consecutive (``kind = 'parent_mismatch'``).  With
+    ``ranges=True`` each gap is one row ``(chainId, fromBlock, toBlock)``,
+    so output size no longer grows with the length of a gap.
     """
     b = blocks.withColumn("_n", F.col("blockNumber").cast("bigint"))
     prev_n = segmented_lag(b, "chainId", "_n", "_n", "_prevN")
+    if ranges:
+        return prev_n.filter(F.col("_n") - F.col("_prevN") > 1).select(
+            "chainId", (F.col("_prevN") + 1).alias("fromBlock"), (F.col("_n") - 1).alias("toBlock"))
     both = segmented_lag(prev_n, "chainId", "_n", "blockHash", "_prevHash")
     gaps = both.filter(F.col("_n") - F.col("_prevN") > 1).select(
         "chainId", F.explode(F.sequence(F.col("_prevN") + 1, F.col("_n") - 1)).alias("blockNumber"),

@@ -49,12 +49,13 @@ def run_available_now(stream: DataFrame, sink: str, checkpoint: str, mode: str =
 
 
 def micro_batches(stream: DataFrame, fn, checkpoint: str, every: str = "5 seconds",
-                  max_offsets: int | None = None, available_now: bool = False):
+                  available_now: bool = False, mode: str = "append"):
     """Flush on a processing-time trigger; ``fn(batch_df, batch_id)`` per batch.
 
-    ``max_offsets`` bounds a Kafka batch (``maxOffsetsPerTrigger`` on the source).
+    The batch size is bounded on the source (``maxOffsetsPerTrigger`` for
+    Kafka, ``maxFilesPerTrigger`` for files).
     """
-    w = stream.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
+    w = stream.writeStream.foreachBatch(fn).outputMode(mode).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=every)
     return w.start()
 
@@ -82,6 +83,18 @@ def window_counts_stream(tx: DataFrame, size: str, slide: str | None = None) ->
              "tx_count", "success_count", "active_senders_approx")
 
 
+def cumulative_stream(tx: DataFrame) -> DataFrame:
+    """T06 stream form: all-time running totals per chain in update mode.
+
+    The state is one row per chain (bounded by the number of chains), so no
+    watermark is needed; each trigger emits the chains that changed.
+    """
+    return tx.groupBy("chainId").agg(
+        F.count("*").alias("total_txs"),
+        F.sum(F.col("receiptGasUsed").try_cast("decimal(38,0)")).cast("string").alias("total_gas_used"),
+        F.max("blockTimestamp").alias("last_ts"))
+
+
 # --- T01: re-emit suppression with state -------------------------------------
 
 def suppress_recent_stream(sightings: DataFrame, keys: list[str], ts: str, interval_s: int,

@@ -109,3 +109,28 @@ def test_dynamic_chains_foreach_batch(spark, scratch):
     got = sorted(r.chainId for r in jobs.latest_chain_table(spark, table).collect())
     seen = {r.chainId for r in ev.filter(ev.event_type.startswith("chain.")).select("chainId").collect()}
     assert got == sorted(seen | {"0", "1"})
+
+
+def test_cumulative_stream_update_mode(spark, scratch):
+    tx = Fixtures(spark, SF).transactions
+    src = os.path.join(scratch, "ctx")
+    lo = tx.agg({"blockTimestamp": "min"}).first()[0]
+    tx.filter(tx.blockTimestamp < lo + 86400 * 10).write.parquet(src)
+    tx.filter(tx.blockTimestamp >= lo + 86400 * 10).write.mode("append").parquet(src)
+    seen = []
+    q = jobs.micro_batches(jobs.cumulative_stream(jobs.file_stream(spark, src, tx.schema, max_files=1)),
+                           lambda df, i: seen.extend(map(tuple, df.select("chainId", "total_txs").collect())),
+                           os.path.join(scratch, "cc"), available_now=True, mode="update")
+    q.awaitTermination()
+    final = {}
+    for chain, n in seen:
+        final[chain] = max(final.get(chain, 0), n)
+    want = {r.chainId: r["count"] for r in tx.groupBy("chainId").count().collect()}
+    assert final == want
+
+
+def test_chain_continuity_ranges(spark):
+    from chainflow.operators import timeline as W
+    rows = [("a", "1", "h1", "h0"), ("a", "2", "h2", "h1"), ("a", "500000", "h5", "h4")]
+    df = spark.createDataFrame(rows, "chainId string, blockNumber string, blockHash string, parentHash string")
+    assert [tuple(r) for r in W.chain_continuity(df, ranges=True).collect()] == [("a", 3, 499999)]
