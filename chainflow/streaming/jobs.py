@@ -95,6 +95,20 @@ def cumulative_stream(tx: DataFrame) -> DataFrame:
         F.max("blockTimestamp").alias("last_ts"))
 
 
+def first_seen_stream(tx: DataFrame) -> DataFrame:
+    """A26 / W06 stream form: exact first appearance per (chain, address).
+
+    A streaming ``min(ts)`` in update mode: a row is emitted when an address
+    is new or seen earlier than before.  The state is one entry per address
+    (RocksDB on a cluster), which is the size of the answer itself; running
+    distinct counts are counts of first-seen times up to t.
+    """
+    parties = tx.select("chainId", F.col("blockTimestamp").alias("ts"),
+                        F.explode(F.array("from", "to")).alias("address")) \
+        .filter(F.col("address").isNotNull() & (F.col("address") != ""))
+    return parties.groupBy("chainId", "address").agg(F.min("ts").alias("first_ts"))
+
+
 # --- T01: re-emit suppression with state -------------------------------------
 
 def suppress_recent_stream(sightings: DataFrame, keys: list[str], ts: str, interval_s: int,

@@ -134,3 +134,23 @@ def test_chain_continuity_ranges(spark):
     rows = [("a", "1", "h1", "h0"), ("a", "2", "h2", "h1"), ("a", "500000", "h5", "h4")]
     df = spark.createDataFrame(rows, "chainId string, blockNumber string, blockHash string, parentHash string")
     assert [tuple(r) for r in W.chain_continuity(df, ranges=True).collect()] == [("a", 3, 499999)]
+
+
+def test_first_seen_stream_equals_batch(spark, scratch):
+    from chainflow.operators import metrics as M
+    tx = Fixtures(spark, SF).transactions
+    src = os.path.join(scratch, "fs")
+    mid = tx.agg({"blockTimestamp": "avg"}).first()[0]
+    tx.filter(tx.blockTimestamp >= mid).write.parquet(src)          # later half lands first
+    tx.filter(tx.blockTimestamp < mid).write.mode("append").parquet(src)
+    latest = {}
+
+    def keep(df, _):
+        for r in df.collect():
+            latest[(r.chainId, r.address)] = r.first_ts
+
+    q = jobs.micro_batches(jobs.first_seen_stream(jobs.file_stream(spark, src, tx.schema, max_files=1)),
+                           keep, os.path.join(scratch, "fsc"), available_now=True, mode="update")
+    q.awaitTermination()
+    want = {(r.chainId, r.item): r.first_ts for r in M.first_seen(M.tx_features(tx)).collect()}
+    assert latest == want
