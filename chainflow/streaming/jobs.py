@@ -220,6 +220,48 @@ def heads_to_blocks_stream(frames: DataFrame, blocks: DataFrame) -> DataFrame:
     return joined.select("hash", "blockNumber", "blockTimestamp", F.col("streamChain").alias("chainId"))
 
 
+def heads_join_blocks_streams(heads: DataFrame, blocks: DataFrame, delay_s: int = 600,
+                              watermark: str = WATERMARK) -> DataFrame:
+    """J01 with both sides streaming: a head matches its block when the block
+    arrives within ``delay_s`` seconds of the head (either order).
+
+    Watermarks on both sides plus the event-time range bound the join state:
+    rows older than watermark - delay are evicted.
+    """
+    h = heads.select("hash", F.timestamp_seconds("receivedAt").alias("headTime")) \
+        .withWatermark("headTime", watermark)
+    b = blocks.select("blockHash", "blockNumber", "chainId",
+                      F.timestamp_seconds("blockTimestamp").alias("blockTime")) \
+        .withWatermark("blockTime", watermark)
+    cond = ((h["hash"] == b["blockHash"])
+            & (b["blockTime"] >= h["headTime"] - F.expr(f"INTERVAL {delay_s} SECONDS"))
+            & (b["blockTime"] <= h["headTime"] + F.expr(f"INTERVAL {delay_s} SECONDS")))
+    return h.join(b, cond, "inner").select("hash", "blockNumber", "chainId")
+
+
+def observe_counters(stream: DataFrame, name: str = "ingest") -> DataFrame:
+    """A36/A37 on a stream: processed / error / invalid-signature counters and
+    the last event time, reported per micro-batch in
+    ``query.lastProgress["observedMetrics"]`` without an extra pass."""
+    cols = stream.columns
+    metrics = [F.count(F.lit(1)).alias("messages")]
+    if "is_corrupt" in cols:
+        metrics += [F.count_if(~F.col("is_corrupt")).alias("processed"),
+                    F.count_if(F.col("is_corrupt")).alias("errors")]
+    if "signature_valid" in cols:
+        metrics.append(F.count_if(~F.col("signature_valid")).alias("invalid_sigs"))
+    if "eventTime" in cols:
+        metrics.append(F.max("eventTime").alias("last_event_time"))
+    return stream.observe(name, *metrics)
+
+
+def resubscribe_stream(subscriptions: DataFrame) -> DataFrame:
+    """T13 on a stream: the latest subscription per client (update mode)."""
+    return subscriptions.groupBy("clientId").agg(
+        F.max_by(F.struct("subTopic", "subChain"), "subTime").alias("s")) \
+        .select("clientId", "s.subTopic", "s.subChain")
+
+
 def live_fanout_stream(messages: DataFrame, subscriptions: DataFrame) -> DataFrame:
     """Topic stream -> arity filter -> stamp -> match against the current
     subscriptions (static side, latest per client) -> envelope per subscriber."""

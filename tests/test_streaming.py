@@ -154,3 +154,36 @@ def test_first_seen_stream_equals_batch(spark, scratch):
     q.awaitTermination()
     want = {(r.chainId, r.item): r.first_ts for r in M.first_seen(M.tx_features(tx)).collect()}
     assert latest == want
+
+
+def test_heads_join_blocks_both_streaming(spark, scratch):
+    from chainflow.sources import decode, feeds
+    fx = Fixtures(spark, SF)
+    heads = decode.newheads_filter(decode.decode_newheads(feeds.newheads_raw(fx))).select("hash", "receivedAt")
+    hsrc, bsrc = os.path.join(scratch, "h"), os.path.join(scratch, "b")
+    heads.write.parquet(hsrc)
+    fx.blocks.write.parquet(bsrc)
+    out = jobs.heads_join_blocks_streams(jobs.file_stream(spark, hsrc, heads.schema),
+                                         jobs.file_stream(spark, bsrc, fx.blocks.schema), watermark="1 hour")
+    jobs.run_available_now(out, os.path.join(scratch, "hj"), os.path.join(scratch, "hjc"))
+    got = sorted(map(tuple, spark.read.parquet(os.path.join(scratch, "hj")).collect()))
+    from __spark_entry__ import queries
+    want = sorted(map(tuple, queries()["heads_join_blocks"](spark, SF).select("hash", "blockNumber", "chainId").collect()))
+    assert got == want
+
+
+def test_observe_counters(spark, scratch):
+    from chainflow.sources import decode, feeds
+    raw = feeds.webhook_raw(Fixtures(spark, SF))
+    src = os.path.join(scratch, "raw")
+    raw.write.parquet(src)
+    decoded = decode.decode_webhook(jobs.file_stream(spark, src, raw.schema), feeds.WEBHOOK_SECRET)
+    q = jobs.observe_counters(decoded.select("deliveryKey", "is_corrupt", "signature_valid")) \
+        .writeStream.format("noop").option("checkpointLocation", os.path.join(scratch, "oc")) \
+        .trigger(availableNow=True).start()
+    q.awaitTermination()
+    m = q.lastProgress["observedMetrics"]["ingest"]
+    batch = decode.decode_webhook(raw, feeds.WEBHOOK_SECRET).agg(
+        {"deliveryKey": "count"}).first()[0]
+    assert int(m["messages"]) == batch
+    assert int(m["processed"]) + int(m["errors"]) == batch
