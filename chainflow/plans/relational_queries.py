@@ -270,26 +270,26 @@ def q_route_metric_long(spark, sf_dir):
 
 
 @query("encode_payload", oracle("""
-SELECT 'chain.blocks' AS topic, chainId AS key, to_json(struct_pack(chainId := chainId,
+SELECT 'chain.blocks' AS topic, chainId AS key, CAST(to_json(struct_pack(chainId := chainId,
   blockNumber := blockNumber, blockTimestamp := blockTimestamp, blockHash := blockHash,
-  txCount := txCount)) AS value FROM blocks""", ("blocks",)))
+  txCount := txCount)) AS VARCHAR) AS value FROM blocks""", ("blocks",)))
 def q_encode_payload(spark, sf_dir):
     blocks = Fixtures(spark, sf_dir).blocks.withColumn("topic", F.lit(TOPICS.topic("blocks")))
     return K.encode_payload(blocks, ["chainId", "blockNumber", "blockTimestamp", "blockHash", "txCount"])
 
 
 _SINK_SQL = """
-SELECT 'chain.blocks' AS topic, chainId AS key, to_json(struct_pack(chainId := chainId,
-  blockNumber := blockNumber, blockHash := blockHash)) AS value FROM blocks
-UNION ALL SELECT 'chain.transactions', chainId, to_json(struct_pack(txHash := txHash,
-  chainId := chainId, value := value)) FROM transactions
-UNION ALL SELECT 'chain.chains', chainId, to_json(struct_pack(chainId := chainId,
-  chainName := chainName)) FROM chains
-UNION ALL SELECT 'chain.validators', nodeId, to_json(struct_pack(nodeId := nodeId,
-  stakeAmount := stakeAmount)) FROM validators
-UNION ALL SELECT 'chain.delegators', nodeId, to_json(struct_pack(delegator := delegator,
-  nodeId := nodeId)) FROM delegators
-UNION ALL SELECT 'chain.bridges', sourceChain, to_json(struct_pack(id := id, amount := amount))
+SELECT 'chain.blocks' AS topic, chainId AS key, CAST(to_json(struct_pack(chainId := chainId,
+  blockNumber := blockNumber, blockHash := blockHash)) AS VARCHAR) AS value FROM blocks
+UNION ALL SELECT 'chain.transactions', chainId, CAST(to_json(struct_pack(txHash := txHash,
+  chainId := chainId, value := value)) AS VARCHAR) FROM transactions
+UNION ALL SELECT 'chain.chains', chainId, CAST(to_json(struct_pack(chainId := chainId,
+  chainName := chainName)) AS VARCHAR) FROM chains
+UNION ALL SELECT 'chain.validators', nodeId, CAST(to_json(struct_pack(nodeId := nodeId,
+  stakeAmount := stakeAmount)) AS VARCHAR) FROM validators
+UNION ALL SELECT 'chain.delegators', nodeId, CAST(to_json(struct_pack(delegator := delegator,
+  nodeId := nodeId)) AS VARCHAR) FROM delegators
+UNION ALL SELECT 'chain.bridges', sourceChain, CAST(to_json(struct_pack(id := id, amount := amount)) AS VARCHAR)
   FROM bridge_txs"""
 
 
@@ -696,7 +696,7 @@ def _sink(key, entity, spark_fn, cols, duck_from, views, key_col="chainId", topi
     topic = TOPICS.topic(topic_entity or entity)
     packed = ", ".join(f'"{c}" := "{c}"' for c in cols)
     sql = oracle(f"""SELECT '{topic}' AS topic, cast("{key_col}" AS varchar) AS key,
-  to_json(struct_pack({packed})) AS value FROM {duck_from}""", views)
+  CAST(to_json(struct_pack({packed})) AS VARCHAR) AS value FROM {duck_from}""", views)
 
     def run(spark, sf_dir):
         df = spark_fn(Fixtures(spark, sf_dir)).withColumn("topic", F.lit(topic))

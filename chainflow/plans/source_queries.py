@@ -267,7 +267,7 @@ def q_topic_source(spark, sf_dir):
                      F.col("value").cast("binary").alias("value"),
                      F.timestamp_seconds("eventTime").alias("timestamp"))
     return kafka.select("topic", "partition", "offset", F.col("key").cast("string").alias("key"),
-                        F.length("value").alias("value_bytes"),
+                        F.length("value").cast("bigint").alias("value_bytes"),
                         F.unix_seconds("timestamp").alias("timestamp"))
 
 
