@@ -26,12 +26,21 @@ def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
 
 
+SPARK_TO_DUCK = {"IntegerType": "INTEGER", "LongType": "BIGINT", "StringType": "VARCHAR",
+                 "DoubleType": "DOUBLE", "BooleanType": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("key", sorted(ORACLES))
 def test_query_matches_oracle(spark, con, key):
     df = QUERIES[key](spark, SF)
     res = con.execute(ORACLES[key])
     dcols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(dcols)
+    duck_types = {d[0]: str(d[1]) for d in res.description}
+    for f in df.schema.fields:
+        t = type(f.dataType).__name__
+        if t in SPARK_TO_DUCK:
+            assert duck_types[f.name] == SPARK_TO_DUCK[t], (f.name, t, duck_types[f.name])
     assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(dcols, res.fetchall())
 
 
