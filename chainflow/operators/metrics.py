@@ -206,9 +206,10 @@ def gas(tx: DataFrame, blocks: DataFrame, size_s: int, slide_s: int | None = Non
     """A09-A18 per ``(chainId, window_start)``.
 
     Price statistics come from transactions, gas/fee totals from blocks.
-    The exact median needs each window's price multiset (Spark keeps a
-    value->count map, so memory grows with distinct prices, not rows);
-    ``exact_median=False`` uses ``approx_percentile`` instead.
+    The exact median is computed from per-pane price histograms (one row per
+    chain, pane and distinct price, weighted by its count), so memory grows
+    with distinct prices, not rows; ``exact_median=False`` uses
+    ``approx_percentile`` over the rows instead.
     """
     slide_s = slide_s or size_s
     keys = ["chainId", "window_start"]
