@@ -18,6 +18,11 @@ _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Partition sizing: AQE coalesces shuffle output towards 128 MB per task
+    # and splits skewed partitions; file splits stay at 256 MB.  A cluster's
+    # own settings win (these only apply to a session built here).
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
     # Broadcast only what is size-checked: the planner's own threshold is the
     # guard for the small dimension tables (chains, subscriptions, topic map).
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),

@@ -115,15 +115,22 @@ def read_pages(spark: SparkSession, path: str, entity: str, array_field: str) ->
     return decode_pages(spark.read.text(path), entity, array_field)
 
 
-def read_topic(spark: SparkSession, options: dict, stream: bool = False):
+def read_topic(spark: SparkSession, options: dict, stream: bool = False,
+               replay_from_ms: int | None = None, replay: bool = False):
     """Topic source (S20): Kafka when the connector is present.
 
     ``startingOffsets=latest`` as the reference's consumer; per-group offsets
     become the streaming checkpoint.  ``subscribePattern`` carries wildcard
-    topics (S21).
+    topics (S21).  Replay (T14) starts from the earliest offsets, or from a
+    timestamp (``startingTimestamp``, milliseconds) when given.
     """
     reader = spark.readStream if stream else spark.read
     opts = {"startingOffsets": "latest"} if stream else {}
+    if replay:
+        opts["startingOffsets"] = "earliest"
+    if replay_from_ms is not None:
+        opts.pop("startingOffsets", None)
+        opts["startingTimestamp"] = str(replay_from_ms)
     opts.update(options)
     return reader.format("kafka").options(**opts).load()
 
