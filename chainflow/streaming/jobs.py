@@ -83,6 +83,20 @@ def window_counts_stream(tx: DataFrame, size: str, slide: str | None = None) ->
              "tx_count", "success_count", "active_senders_approx")
 
 
+def distinct_senders_stream(tx: DataFrame, size: str, slide: str | None = None) -> DataFrame:
+    """Exact distinct senders per chain and window on a stream.
+
+    Two chained stateful operators in append mode: (window, chain, sender)
+    is deduplicated under the watermark, then counted per window.  Both
+    states are evicted once the watermark passes the window end.
+    """
+    t = with_event_time(tx)
+    win = F.window("eventTime", size, slide) if slide else F.window("eventTime", size)
+    pairs = t.select(win.alias("w"), "chainId", "from").dropDuplicates(["w", "chainId", "from"])
+    return pairs.groupBy("w", "chainId").agg(F.count("*").alias("active_senders")) \
+        .select("chainId", F.unix_seconds(F.col("w.start")).alias("window_start"), "active_senders")
+
+
 def cumulative_stream(tx: DataFrame) -> DataFrame:
     """T06 stream form: all-time running totals per chain in update mode.
 
