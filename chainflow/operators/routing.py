@@ -87,6 +87,11 @@ def drop_empty_topic(df: DataFrame, topic: str = "topic") -> DataFrame:
     return df.filter(F.coalesce(F.col(topic), F.lit("")) != "")
 
 
+def empty_topic_rejects(df: DataFrame, topic: str = "topic") -> DataFrame:
+    """The messages K03 discards, for counting or auditing (the complement filter)."""
+    return df.filter(F.coalesce(F.col(topic), F.lit("")) == "")
+
+
 def encode_payload(df: DataFrame, cols: list[str] | None = None, key: str | None = "chainId",
                    topic: str = "topic") -> DataFrame:
     """Kafka-shaped rows ``(topic, key, value)``; value = JSON of the entity

@@ -225,8 +225,7 @@ def q_drop_empty_topic(spark, sf_dir):
     """The messages K03 discards (configured topic empty)."""
     fx = Fixtures(spark, sf_dir)
     joined = J.events_join_topics(fx.event_log.select("eventId", "event_type"), K.topic_map(spark, TOPICS))
-    kept = K.drop_empty_topic(joined)
-    return joined.join(kept.select("eventId"), "eventId", "left_anti").select("eventId", "event_type")
+    return K.empty_topic_rejects(joined).select("eventId", "event_type")
 
 
 @query("events_by_topic", oracle("""
