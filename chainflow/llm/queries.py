@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import common as C
 from . import decontaminate as dec
+from . import packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -60,3 +61,10 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = C.read(spark, sf_dir, "documents").select("doc_id", "text")
     found = dec.find_contamination(docs, C.read(spark, sf_dir, "benchmark").select("item_id", "text"))
     return dec.report(found)
+
+
+@query("op3_best_fit_packing")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces, packed into sequences of at most 1024 tokens."""
+    pieces = packing.pack(C.read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return pieces.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
