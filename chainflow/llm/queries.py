@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import common as C
 from . import decontaminate as dec
+from . import jaccard_join as jac
 from . import packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +69,32 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces, packed into sequences of at most 1024 tokens."""
     pieces = packing.pack(C.read(spark, sf_dir, "documents").select("doc_id", "text"))
     return pieces.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+OP2_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + least(4, len(w)) - 1], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - least(4, len(w)) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id
+      GROUP BY ALL),
+e AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+      WHERE 100 * i >= 85 * (na.n + nb.n - i)),
+r AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+c AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a),
+k AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY g) AS class_id
+      FROM (SELECT doc_id, string_agg(g, chr(10) ORDER BY g) AS g FROM s GROUP BY doc_id))
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, coalesce(k.class_id, d.doc_id) AS class_id
+FROM d JOIN c USING (doc_id) LEFT JOIN n USING (doc_id) LEFT JOIN k USING (doc_id)
+"""
+
+
+@query("op2_ngram_jaccard_join", OP2_SQL)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents: Jaccard >= 0.85 over 4-word shingles."""
+    docs = C.read(spark, sf_dir, "documents").select("doc_id", "text")
+    return jac.near_classes(docs).select("doc_id", "n_shingles", "component_id", "class_id")
