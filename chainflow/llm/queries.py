@@ -5,11 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import common as C
 from . import decontaminate as dec
 from . import jaccard_join as jac
+from . import language
 from . import packing
+from . import quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -98,3 +101,23 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents: Jaccard >= 0.85 over 4-word shingles."""
     docs = C.read(spark, sf_dir, "documents").select("doc_id", "text")
     return jac.near_classes(docs).select("doc_id", "n_shingles", "component_id", "class_id")
+
+
+@query("op8_quality_classifier")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, from a factorisation machine fitted outside the held-out fold."""
+    docs = C.read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, C.read(spark, sf_dir, "labels"))
+    return quality.score(docs, model).select(
+        "doc_id", F.coalesce(C.crc_fold("doc_id", quality.FOLDS) == 0, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
+@query("op10_language_id")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document by byte context trees fitted outside the held-out fold."""
+    docs = C.read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    trees = language.train(docs)
+    return language.identify(docs.select("doc_id", "text"), trees).select(
+        "doc_id", F.coalesce(C.crc_fold("doc_id", language.FOLDS) == language.HELD, F.lit(False)).alias("held_out"),
+        "lang_pred", "score")
