@@ -32,7 +32,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder below the shared one."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return scratch_below(shared_dir(spark), name)
+
+
+def scratch_below(path: str, name: str) -> str:
+    """A new folder below ``path``."""
+    return f"{path.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -13,6 +13,7 @@ from . import jaccard_join as jac
 from . import language
 from . import packing
 from . import quality
+from . import secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -121,3 +122,36 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs.select("doc_id", "text"), trees).select(
         "doc_id", F.coalesce(C.crc_fold("doc_id", language.FOLDS) == language.HELD, F.lit(False)).alias("held_out"),
         "lang_pred", "score")
+
+
+OP6_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+rules(kind, rank, p) AS (VALUES
+  ('assign', 0, '(?:(?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?[A-Za-z0-9+/_.=-]+)'),
+  ('access', 1, 'AKIA[A-Z0-9]+'),
+  ('hex', 2, '[0-9a-f]+')),
+x AS (
+  SELECT r, kind, rank, p, unnest(parts) AS hit, generate_subscripts(parts, 1) AS i
+  FROM (SELECT r, kind, rank, p, regexp_extract_all(t, '(?s)' || p || '|.') AS parts FROM d, rules
+        WHERE regexp_matches(t, CASE kind WHEN 'hex' THEN '[0-9a-f]{32}' ELSE p END))),
+h AS (SELECT r, kind, rank, p, hit,
+             CAST(sum(length(hit)) OVER (PARTITION BY r, kind ORDER BY i) AS BIGINT) AS e FROM x),
+f AS (
+  SELECT r, kind, rank, e - length(hit) AS s, e FROM h
+  WHERE regexp_full_match(hit, p)
+    AND CASE kind WHEN 'assign' THEN length(regexp_extract(hit, '^[^:=]*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)$', 1)) >= 8
+             WHEN 'access' THEN length(hit) >= 16 ELSE length(hit) >= 32 END),
+g AS (SELECT r, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+             count(*) FILTER (kind = 'hex') AS n_hex,
+             string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank, e) AS spans FROM f GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN g USING (r)
+"""
+
+
+@query("op6_secret_scans", OP6_SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, each distinct text scanned once through a fresh ledger."""
+    docs = C.read(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("content"))
+    return secrets.report(secrets.findings(docs, C.scratch(spark, "ledger")))
