@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import chat
 from . import common as C
 from . import decontaminate as dec
 from . import jaccard_join as jac
@@ -155,3 +156,38 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document, each distinct text scanned once through a fresh ledger."""
     docs = C.read(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("content"))
     return secrets.report(secrets.findings(docs, C.scratch(spark, "ledger")))
+
+
+OP7_SQL = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT * FROM (VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'),
+                                  (-7, 1, 'assistant', '</s>[INST] ok [/INST]'))),
+o AS (SELECT *, row_number() OVER w AS i, lag(role) OVER w AS last_role, lead(role) OVER w AS next_role
+      FROM c WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+p AS (
+  SELECT conv_id, i, role, text,
+         length(text) + length(regexp_replace(text, '[^<\[]', '', 'g'))
+         + CASE WHEN last_role IS NULL OR last_role <> role
+                THEN 9 + length(role) + length(regexp_replace(role, '[^<\[]', '', 'g'))
+                     + 2 * length(regexp_replace(role, '[^\n]', '', 'g')) ELSE 8 END
+         + CASE WHEN next_role IS NULL OR next_role <> role THEN 8 ELSE 0 END AS chars
+  FROM o)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY i)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY i) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM p GROUP BY conv_id
+"""
+
+
+@query("op7_chat_formatting", OP7_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations formatted and read back, with one whose texts are control strings."""
+    extra = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"))
+    rows = C.read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return chat.report(chat.read_back(chat.format_chats(rows)))
