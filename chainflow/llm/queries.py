@@ -14,6 +14,7 @@ from . import jaccard_join as jac
 from . import language
 from . import packing
 from . import quality
+from . import quality_rules as rules
 from . import secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -191,3 +192,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("</s>[INST] ok [/INST]").alias("text"))
     rows = C.read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
     return chat.report(chat.read_back(chat.format_chats(rows)))
+
+
+@query("op1_quality_rules")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and distribution verdict of every document."""
+    docs = C.read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return rules.quality_rules(docs).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
