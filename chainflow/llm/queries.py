@@ -15,7 +15,9 @@ from . import language
 from . import packing
 from . import quality
 from . import quality_rules as rules
+from . import resharding
 from . import secrets
+from . import warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -200,3 +202,49 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = C.read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return rules.quality_rules(docs).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+OP4_SQL = r"""
+WITH p AS (SELECT row_number() OVER () AS r, page_id, coalesce(html, '') AS h FROM pages),
+o AS (SELECT page_id, h, row_number() OVER (PARTITION BY h ORDER BY page_id NULLS LAST) AS i,
+             min(page_id) OVER (PARTITION BY h) AS first_id, sha1(h) AS x FROM p),
+b AS (SELECT *, array_to_string(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        CAST((('0x' || substr(x, 1 + 10 * (k // 8), 10))::BIGINT >> (35 - 5 * (k % 8))) & 31 AS BIGINT) + 1, 1)), '')
+        AS payload_digest FROM o)
+SELECT page_id, strlen(h) AS payload_bytes, payload_digest,
+       CASE WHEN i = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN i > 1 THEN first_id END AS refers_to
+FROM b
+"""
+
+
+@query("op4_warc", OP4_SQL)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as sharded WARC archives, then read back."""
+    out = C.scratch(spark, "warc")
+    warc.write_warc(C.read(spark, sf_dir, "pages"), out)
+    return warc.read_warc(spark, out, with_payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op5_sharding")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents moved from source-hashed shards into 16 shards of equal counts, read back from the new files.
+
+    Law ``rows``: shards' counts differ by at most one, with the fewest bytes moved.
+    """
+    docs = C.read(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    old = F.pmod(F.crc32(F.coalesce(F.col("source"), F.lit("")).cast("binary")), F.lit(resharding.SHARDS))
+    placed, transfers = resharding.reshard(docs, old)
+    out = C.scratch(spark, "shards")
+    body = F.coalesce("text", F.lit("")).cast("binary")
+    columns = [F.col("doc_id"), (F.octet_length(body).cast("long") + 1).alias("size"),
+               F.crc32(body).alias("text_crc32"), F.lit("rows").alias("law"), F.col("shard").cast("int"), "slot",
+               F.lit(None).cast("int").alias("grown_shard"), "old_shard"]
+    moved = resharding.rewrite(placed, transfers, out)
+    if not moved:
+        return placed.select(*columns)
+    found = spark.read.schema(placed.schema).parquet(out).select(*columns)
+    if len(moved) < resharding.SHARDS:
+        found = found.unionByName(placed.where(~F.col("shard").isin(moved)).select(*columns))
+    return found
