@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import pickle
 import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .kernels import worker_cache
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share (``spark.checkpoint.dir``).
@@ -48,6 +52,24 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Shared:
+    """A broadcast object of this subpackage's classes, for executors without a copy of the repository.
+
+    The caller sees to its size.  A worker unpacks it once and keeps the last one only.
+    """
+
+    def __init__(self, spark: SparkSession, value):
+        self.key = uuid.uuid4().hex
+        self.packed = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    @property
+    def value(self):
+        cache = worker_cache()
+        if cache.get("shared", ("",))[0] != self.key:
+            cache["shared"] = (self.key, pickle.loads(self.packed.value))
+        return cache["shared"][1]
+
+
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], schema: T.StructType) -> DataFrame:
     """``mapInArrow`` with a function from one batch to named columns (None: no rows)."""
     from pyspark.sql.pandas.types import to_arrow_schema

@@ -143,10 +143,9 @@ def _blocks(windows: DataFrame, max_bytes: int) -> list:
     """The windows as broadcast blocks; each one's bytes are bounded before it is collected."""
     total = windows.agg(F.sum(F.length("words") + F.coalesce(F.length("item_id"), F.lit(0)) + 64)).first()[0] or 0
     count = -(-int(total) // max_bytes) or 1
-    sc = windows.sparkSession.sparkContext
     for b in range(count):
         part = windows if count == 1 else windows.where(F.pmod(F.xxhash64("words"), F.lit(count)) == b)
-        yield sc.broadcast(Windows(part.collect()))
+        yield C.Shared(windows.sparkSession, Windows(part.collect()))
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", n: int = 10,
@@ -180,7 +179,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text"
                 .where("n_hit > 0").select(digest.alias("_text_key"), "items", "hit_spans").distinct())
         hits = part if hits is None else hits.unionByName(part)
     empty = Windows([])
-    base = C.map_arrow(docs, scanner(docs.sparkSession.sparkContext.broadcast(empty)), full)
+    base = C.map_arrow(docs, scanner(C.Shared(docs.sparkSession, empty)), full)
     merged = (hits.groupBy("_text_key")
               .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("_items"),
                    F.array_sort(F.array_distinct(F.flatten(F.collect_list("hit_spans")))).alias("_spans")))

@@ -201,7 +201,7 @@ def identify(docs: DataFrame, trees: Trees, text: str = "text") -> DataFrame:
     """``docs`` with lang_pred and score."""
     docs = C.without(docs, ["lang_pred", "score"])
     at, names = docs.columns.index(text), docs.columns
-    shared = docs.sparkSession.sparkContext.broadcast(trees)
+    shared = C.Shared(docs.sparkSession, trees)
 
     def run(batch: pa.RecordBatch) -> dict:
         found, scores = shared.value.predict(batch.column(at))

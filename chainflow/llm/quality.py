@@ -185,7 +185,7 @@ def score(docs: DataFrame, model: Machine, text: str = "text", name: str = "scor
     """``docs`` with the score as a last column."""
     docs = C.without(docs, [name])
     at, names = docs.columns.index(text), docs.columns
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = C.Shared(docs.sparkSession, model)
 
     def run(batch: pa.RecordBatch) -> dict:
         return dict(zip(names, batch.columns)) | {name: shared.value.scores(batch.column(at))}

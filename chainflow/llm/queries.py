@@ -196,7 +196,58 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.report(chat.read_back(chat.format_chats(rows)))
 
 
-@query("op1_quality_rules")
+def _op1_sql() -> str:
+    words = ", ".join("'" + w + "'" for w in rules.WORDS)
+    vowels, lower, upper, digits, marks, symbols, beyond, spaces = (
+        f"len(t) - len(regexp_replace(t, '{p}', '', 'g'))" for p in (
+            "[aeiou]", "[a-z]", "[A-Z]", "[0-9]", """[.,;:!?''"()/-]""", "[#*$%&|<>]", r"[^\x00-\x7F]",
+            r"[\x20\x09-\x0D]"))
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS t,
+                  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT r, i, array_to_string(w[i:i + 4], ' ') AS win
+      FROM (SELECT r, w, unnest(generate_series(1, len(w) - 4)) AS i FROM d WHERE len(w) >= 5)),
+rep AS (SELECT r, count(DISTINCT p) AS n_repeat_words
+        FROM (SELECT r, unnest(generate_series(i, i + 4)) AS p
+              FROM (SELECT r, i, count(*) OVER (PARTITION BY r, win) AS n FROM g) WHERE n > 1) GROUP BY r),
+dup AS (SELECT r, count(*) - count(DISTINCT l) AS n_dup_lines
+        FROM (SELECT r, unnest(string_split(t, chr(10))) AS l FROM d) WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY r),
+b AS (SELECT r, doc_id, lang, t, w, CAST(len(w) AS BIGINT) AS n_words,
+             CAST(len(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+             CAST({symbols} AS BIGINT) AS n_symbols, CAST(coalesce(n_dup_lines, 0) AS BIGINT) AS n_dup_lines,
+             CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
+             len(w) < {rules.MIN_WORDS} OR 100 * coalesce(n_repeat_words, 0) > {rules.MAX_REPEAT_PERCENT} * len(w) AS base_failed
+      FROM d LEFT JOIN rep USING (r) LEFT JOIN dup USING (r)),
+cc AS (SELECT r, [{vowels}, ({lower}) - ({vowels}), {upper}, {digits}, {marks}, {symbols}, {beyond}, {spaces}] AS c,
+              len(t) AS n, {lower} AS low FROM b),
+cb AS (SELECT r, 'c' AS kind, unnest(list_append(c, n - low - list_sum(c[3:]))) AS n,
+              'c' || generate_subscripts(list_append(c, 0), 1) AS bin FROM cc),
+wl AS (SELECT r, lower(x) AS x, count(*) AS n FROM (SELECT r, unnest(w) AS x FROM b) WHERE lower(x) IN ({words}) GROUP BY ALL),
+wb AS (SELECT r, 'w' AS kind, n, 'w' || x AS bin FROM wl
+       UNION ALL SELECT b.r, 'w', b.n_words - coalesce(s.n, 0), 'rest' FROM b LEFT JOIN (SELECT r, sum(n) AS n FROM wl GROUP BY r) s USING (r)),
+bins AS (SELECT * FROM cb UNION ALL SELECT r, kind, n, bin FROM wb),
+slots AS (SELECT 'c' AS kind, 'c' || unnest(generate_series(1, 9)) AS bin
+          UNION ALL SELECT 'w', 'w' || unnest([{words}]) UNION ALL SELECT 'w', 'rest'),
+langs AS (SELECT DISTINCT lang FROM b WHERE lang IS NOT NULL AND NOT base_failed),
+sums AS (SELECT l.lang, s.kind, s.bin, coalesce(x.n, 0) + 1 AS n FROM langs l CROSS JOIN slots s
+         LEFT JOIN (SELECT lang, bin, sum(n) AS n FROM bins JOIN b USING (r) WHERE NOT base_failed GROUP BY ALL) x
+                ON x.lang = l.lang AND x.bin = s.bin),
+refs AS (SELECT lang, kind, bin, n / sum(n) OVER (PARTITION BY lang, kind) AS q FROM sums),
+tot AS (SELECT r, kind, sum(n) AS total FROM bins GROUP BY ALL),
+far AS (SELECT tot.r, tot.kind, refs.lang, sqrt(greatest(sum(
+               CASE WHEN coalesce(bins.n, 0) > 0 THEN (bins.n / total) * log2((bins.n / total) / ((bins.n / total + q) / 2)) ELSE 0 END
+               + q * log2(q / ((coalesce(bins.n, 0) / total + q) / 2))) / 2, 0)) AS far
+        FROM tot JOIN refs USING (kind) LEFT JOIN bins ON bins.r = tot.r AND bins.bin = refs.bin
+        WHERE total >= CASE tot.kind WHEN 'c' THEN {rules.MIN_CHARS} ELSE {rules.MIN_COMMON} END GROUP BY ALL),
+bad AS (SELECT DISTINCT r FROM (SELECT r, kind, min(far) AS far FROM far GROUP BY ALL)
+        WHERE far > CASE kind WHEN 'c' THEN {rules.CHAR_DISTANCE} ELSE {rules.WORD_DISTANCE} END)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND r NOT IN (SELECT r FROM bad) AS kept
+FROM b
+"""
+
+
+@query("op1_quality_rules", _op1_sql())
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and distribution verdict of every document."""
     docs = C.read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
