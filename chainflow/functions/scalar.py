@@ -94,6 +94,40 @@ def uint256_sum(x) -> Column:
             .when(stripped == "", F.lit("0")).otherwise(stripped))
 
 
+def _digits_of(totals: list[Column], width: int) -> Column:
+    """Limb totals, highest first -> digit string; each total keeps its low
+    ``width`` digits and carries the rest up (one fold, so the plan stays linear)."""
+    base = F.lit(str(10 ** width)).cast(_DEC)
+    start = F.struct(F.lit(0).cast(_DEC).alias("carry"), F.lit("").alias("text"))
+
+    def step(acc, limb):
+        total = (limb + acc["carry"]).cast(_DEC)
+        rest = (total % base).cast(_DEC)
+        # total - rest is a multiple of the base, so the division is exact
+        return F.struct(((total - rest) / base).cast(_DEC).alias("carry"),
+                        F.concat(F.lpad(rest.cast("string"), width, "0"), acc["text"]).alias("text"))
+
+    text = F.aggregate(F.array(*reversed(totals)), start, step,
+                       lambda acc: F.concat(acc["carry"].cast("string"), acc["text"]))
+    return F.regexp_replace(text, "^0+(?=.)", "")
+
+
+def _limbs(x, n: int, width: int) -> list[Column]:
+    s = F.when(_c(x).rlike(DIGITS) & (F.length(_c(x)) <= n * width), F.lpad(_c(x), n * width, "0"))
+    return [F.substring(s, 1 + i * width, width).try_cast(_DEC) for i in range(n)]
+
+
+def digits_sum(x, digits: int) -> Column:
+    """Exact sum of digit strings of up to ``digits`` digits, as text (aggregate)."""
+    return _digits_of([F.sum(limb) for limb in _limbs(x, -(-digits // LIMB), LIMB)], LIMB)
+
+
+def digits_times(x, factor, digits: int = 104) -> Column:
+    """Exact product of a digit string and a whole decimal of up to 27 digits, as text."""
+    f = _c(factor).cast("decimal(27,0)")
+    return _digits_of([(limb.cast("decimal(10,0)") * f).cast(_DEC) for limb in _limbs(x, -(-digits // 10), 10)], 10)
+
+
 def value_with_decimals(value, decimals) -> Column:
     """``value / 10^decimals`` as exact text, by moving the decimal point."""
     v, d = _c(value), _c(decimals)
@@ -110,10 +144,10 @@ def value_with_decimals(value, decimals) -> Column:
 # --- C05 - C08: numbers, times, durations -----------------------------------
 
 def hex_quantity(x) -> Column:
-    """``0x``-prefixed hex quantity -> bigint (≤ 63 bits)."""
+    """``0x``-prefixed hex quantity -> bigint (≤ 63 bits; leading zeros allowed)."""
     s = _c(x)
-    return F.when(s.rlike("^0[xX][0-9a-fA-F]{1,15}$"),
-                  F.conv(F.substring(s, 3, 64), 16, 10).cast("bigint"))
+    return F.when(s.rlike("^0[xX]0*([0-9a-fA-F]{1,15}|[1-7][0-9a-fA-F]{15})$"),
+                  F.conv(F.regexp_replace(s, "^0[xX]0*(?=.)", ""), 16, 10).cast("bigint"))
 
 
 def to_hex_quantity(x) -> Column:

@@ -142,14 +142,18 @@ def metric_long_rows(wide: DataFrame, ids: list[str], metrics: list[str],
     return long.withColumn("interval", F.lit(interval)).withColumn("collectTime", ct)
 
 
-def staking_row(staking: DataFrame, network: str) -> DataFrame:
-    """``{type: "staking", ..., network}``."""
-    return staking.select(F.lit("staking").alias("type"), "*", F.lit(network).alias("network"))
+def staking_row(staking: DataFrame, network: str, ts=None) -> DataFrame:
+    """``{type: "staking", validatorCount, delegatorCount, totalStaked, network, timestamp}``."""
+    tcol = ts if isinstance(ts, Column) else F.lit(ts).cast("bigint")
+    return staking.select(
+        F.lit("staking").alias("type"), F.col("validator_count").alias("validatorCount"),
+        F.col("delegator_count").alias("delegatorCount"), F.col("total_staked").alias("totalStaked"),
+        F.lit(network).alias("network"), tcol.alias("timestamp"))
 
 
 # The type tag and metric names of the bridge metric rows.
 BRIDGE_ROW_TYPE = "teleporter"
-BRIDGE_METRICS = ("activeBridges", "bridgeTxCount", "totalBridgedBTC")
+BRIDGE_METRICS = ("activeTeleporterBridges", "teleporterTransactions", "totalBridgedBtc")
 
 
 def bridge_metric_rows(bridge: DataFrame, ts=None) -> DataFrame:

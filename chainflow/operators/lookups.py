@@ -102,10 +102,15 @@ def delegators_join_validators(delegators: DataFrame, validators: DataFrame) ->
 
 def transfers_join_prices(transfers: DataFrame, prices: DataFrame,
                           token_col: str = "tokenAddress") -> DataFrame:
-    """Transfer ⋈ token price -> USD value per transfer."""
+    """Transfer ⋈ token price -> USD value per transfer.
+
+    Transfers of a token without a price are kept: ``price`` and ``valueUsd`` are NULL.
+    A 256-bit value is read as a double, so no digits are cut off.
+    """
     p = prices.select(F.lower("address").alias("_addr"), "decimals", "price")
-    j = transfers.join(p, F.lower(F.col(token_col)) == F.col("_addr"), "inner").drop("_addr")
-    usd = C.uint("value").cast("double") / F.pow(F.lit(10.0), F.col("decimals")) * F.col("price")
+    j = transfers.join(p, F.lower(F.col(token_col)) == F.col("_addr"), "left").drop("_addr")
+    value = F.when(F.col("value").rlike(C.DIGITS), F.col("value")).cast("double")
+    usd = value / F.pow(F.lit(10.0), F.col("decimals")) * F.col("price")
     return j.withColumn("valueUsd", usd)
 
 

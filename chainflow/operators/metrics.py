@@ -350,12 +350,12 @@ def staking(validators: DataFrame, delegators: DataFrame) -> DataFrame:
 
 
 def bridge(bridge_txs: DataFrame, asset: str | None = None) -> DataFrame:
-    """Active routes, tx count and amount bridged (one asset or all)."""
-    src = bridge_txs if asset is None else bridge_txs.filter(F.col("asset") == asset)
-    return src.agg(
+    """Active routes and tx count of all assets; amount bridged (of one asset or all)."""
+    amount = F.col("amount") if asset is None else F.when(F.col("asset") == asset, F.col("amount"))
+    return bridge_txs.agg(
         F.count_distinct("sourceChain", "destChain").alias("active_bridges"),
         F.count("*").alias("bridge_tx_count"),
-        C.uint256_sum("amount").alias("total_bridged"))
+        C.uint256_sum(amount).alias("total_bridged"))
 
 
 # --- value transferred (A34-A35) ---------------------------------------------
@@ -366,30 +366,43 @@ def value_transferred(tx: DataFrame, bucket_s: int = 86400) -> DataFrame:
         C.uint256_sum("value").alias("value_transferred"), F.count("*").alias("tx_count"))
 
 
-USD_SCALE = 20  # common denominator 10^20 = 10^18 (max token decimals) * 100 (cents)
+PRICE_DIGITS = 18  # decimal places of a price
+MAX_DECIMALS = 77  # of a token: 10^77 is the largest power of ten in 256 bits
+_USD_DIGITS = 182  # 104 of amount times price, and up to MAX_DECIMALS zeros
 
 
 def value_transferred_usd(transfers: DataFrame, prices: DataFrame, bucket_s: int = 86400) -> DataFrame:
     """USD value of ERC20 transfers per bucket (J09), exact.
 
-    Values are summed exactly per (bucket, token); each token total times
-    its price in cents is brought to the common denominator 10^20 (token
-    decimals ≤ 18), summed as decimal(38,0) and shifted to decimal text.
-    No float rounding is involved, so every engine gives the same digits.
+    Values are summed in limbs per (bucket, token), so 256-bit amounts keep all
+    their digits.  Each token total times its price (an exact decimal of 18
+    places, below 10^9) is brought to one denominator by appending zeros, and those texts
+    are summed in limbs again.  No digit is rounded away.
+
+    ``tokens`` were priced; ``unpriced_tokens`` have no usable price, or decimals
+    outside 0 to 77; ``bad_amounts`` counts transfers whose value is not a
+    digit string of at most 78 digits.
     """
+    value = F.when(F.col("value").rlike(C.DIGITS) & (F.length("value") <= 78), F.col("value"))
     per_token = transfers.groupBy(pane_of("blockTimestamp", bucket_s).alias("window_start"),
-                                  F.col("tokenAddress")).agg(F.sum(C.uint("value")).alias("raw"))
+                                  F.col("tokenAddress")).agg(
+        C.uint256_sum(value).alias("raw"), F.count_if(value.isNull()).alias("bad"))
     # The price table is a dimension; the planner broadcasts it only under
     # spark.sql.autoBroadcastJoinThreshold (its size is checked), else shuffles.
     priced = per_token.join(prices.select("address", "decimals", "price"),
-                            per_token["tokenAddress"] == prices["address"])
-    cents = F.round(F.col("price") * 100).cast("bigint").cast(DEC)
-    scale = F.concat(F.lit("1"), F.repeat(F.lit("0"), 18 - F.col("decimals"))).cast(DEC)
-    term = (F.col("raw") * cents).cast(DEC) * scale
-    total = F.sum(term.cast(DEC)).cast(DEC).cast("string")
+                            per_token["tokenAddress"] == prices["address"], "left")
+    exact = F.col("price").try_cast(f"decimal(27,{PRICE_DIGITS})")
+    usable = (exact >= 0) & F.col("decimals").between(0, MAX_DECIMALS)
+    units = F.replace(exact.cast("string"), F.lit("."), F.lit("")).cast("decimal(27,0)")
+    term = F.when(usable, F.concat(C.digits_times("raw", units),
+                                   F.repeat(F.lit("0"), MAX_DECIMALS - F.col("decimals"))))
+    term = F.regexp_replace(term, "^0+(?=.)", "")
     return priced.groupBy("window_start").agg(
-        C.value_with_decimals(total, F.lit(USD_SCALE)).alias("value_transferred_usd"),
-        F.count("*").alias("tokens"))
+        C.value_with_decimals(C.digits_sum(term, _USD_DIGITS), F.lit(MAX_DECIMALS + PRICE_DIGITS))
+        .alias("value_transferred_usd"),
+        F.count_if(F.coalesce(usable, F.lit(False))).alias("tokens"),
+        F.count_if(~F.coalesce(usable, F.lit(False))).alias("unpriced_tokens"),
+        F.sum("bad").cast("bigint").alias("bad_amounts"))
 
 
 # --- token activity (A39, A40) and the hourly set (T07) ----------------------

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SEGMENT = 4096  # order-key values per range
+GAP_SLICE = 100_000  # missing numbers made at once
 
 
 def _seg(order: str, segment: int) -> Column:
@@ -96,16 +97,19 @@ def chain_continuity(blocks: DataFrame, ranges: bool = False) -> DataFrame:
     so output size no longer grows with the length of a gap.
     """
     b = blocks.withColumn("_n", F.col("blockNumber").cast("bigint"))
-    prev_n = segmented_lag(b, "chainId", "_n", "_n", "_prevN")
+    both = segmented_lag(b.withColumn("_block", F.struct(F.col("_n").alias("n"), F.col("blockHash").alias("hash"))),
+                         "chainId", "_n", "_block", "_before")
+    gap = both.filter(F.col("_n") - F.col("_before.n") > 1).select(
+        "chainId", (F.col("_before.n") + 1).alias("fromBlock"), (F.col("_n") - 1).alias("toBlock"))
     if ranges:
-        return prev_n.filter(F.col("_n") - F.col("_prevN") > 1).select(
-            "chainId", (F.col("_prevN") + 1).alias("fromBlock"), (F.col("_n") - 1).alias("toBlock"))
-    both = segmented_lag(prev_n, "chainId", "_n", "blockHash", "_prevHash")
-    gaps = both.filter(F.col("_n") - F.col("_prevN") > 1).select(
-        "chainId", F.explode(F.sequence(F.col("_prevN") + 1, F.col("_n") - 1)).alias("blockNumber"),
+        return gap
+    slices = gap.select("chainId", "toBlock", F.explode(
+        F.sequence("fromBlock", "toBlock", F.lit(GAP_SLICE))).alias("_from"))
+    gaps = slices.select("chainId", F.explode(F.sequence(
+        F.col("_from"), F.least(F.col("_from") + GAP_SLICE - 1, F.col("toBlock")))).alias("blockNumber"),
         F.lit("missing").alias("kind"))
-    breaks = both.filter((F.col("_n") - F.col("_prevN") == 1)
-                         & (F.col("parentHash") != F.col("_prevHash"))).select(
+    breaks = both.filter((F.col("_n") - F.col("_before.n") == 1)
+                         & (F.col("parentHash") != F.col("_before.hash"))).select(
         "chainId", F.col("_n").alias("blockNumber"), F.lit("parent_mismatch").alias("kind"))
     return gaps.unionByName(breaks)
 

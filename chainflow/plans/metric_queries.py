@@ -288,14 +288,16 @@ query("delegator_count", _proj(_STAKING_SQL, "delegator_count"))(
 query("total_staked", _proj(_STAKING_SQL, "total_staked"))(
     lambda s, d: _staking(s, d).select("total_staked"))
 query("staking_point", _STAKING_SQL)(_staking)
-query("staking_row", _proj(_STAKING_SQL, "'staking' AS type, *, 'mainnet' AS network"))(
-    lambda s, d: P.staking_row(_staking(s, d), "mainnet"))
+query("staking_row", _proj(_STAKING_SQL, """'staking' AS type, validator_count AS "validatorCount",
+  delegator_count AS "delegatorCount", total_staked AS "totalStaked", 'mainnet' AS network,
+  cast(0 AS bigint) AS "timestamp" """))(
+    lambda s, d: P.staking_row(_staking(s, d), "mainnet", 0))
 
 BRIDGE_ASSET = "1-URGENT"  # the one asset whose bridged total is reported
 _BRIDGE_SQL = oracle(f"""
 SELECT count(DISTINCT (sourceChain, destChain)) AS active_bridges, count(*) AS bridge_tx_count,
-  cast(sum(cast(amount AS decimal(38,0))) AS varchar) AS total_bridged
-FROM bridge_txs WHERE asset = '{BRIDGE_ASSET}'""", ("bridge_txs",))
+  cast(sum(cast(amount AS decimal(38,0))) FILTER (asset = '{BRIDGE_ASSET}') AS varchar) AS total_bridged
+FROM bridge_txs""", ("bridge_txs",))
 
 
 def _bridge(spark, sf_dir):
@@ -311,9 +313,9 @@ query("total_bridged", _proj(_BRIDGE_SQL, "total_bridged"))(
 query("bridge_metric_point", _BRIDGE_SQL)(_bridge)
 query("bridge_metric_rows", oracle("""
 SELECT 'teleporter' AS type, metric, value, cast(0 AS bigint) AS timestamp FROM (
-  SELECT 'activeBridges' AS metric, cast(active_bridges AS double) AS value FROM b UNION ALL
-  SELECT 'bridgeTxCount', cast(bridge_tx_count AS double) FROM b UNION ALL
-  SELECT 'totalBridgedBTC', cast(total_bridged AS double) FROM b) s""",
+  SELECT 'activeTeleporterBridges' AS metric, cast(active_bridges AS double) AS value FROM b UNION ALL
+  SELECT 'teleporterTransactions', cast(bridge_tx_count AS double) FROM b UNION ALL
+  SELECT 'totalBridgedBtc', cast(total_bridged AS double) FROM b) s""",
                                    ctes=[f"b AS ({_proj(_BRIDGE_SQL, '*')})"]))(
     lambda s, d: P.bridge_metric_rows(_bridge(s, d), 0))
 
@@ -330,14 +332,14 @@ def q_value_transferred(spark, sf_dir):
 @query("value_transferred_usd", oracle(f"""
 SELECT window_start, {vwd('cast(sum(cast(raw * cast(round(price * 100) AS bigint) AS decimal(38,0)) '
                           "* cast('1' || repeat('0', 18 - decimals) AS decimal(38,0))) AS varchar)", 20)}
-  AS value_transferred_usd, count(*) AS tokens
+  AS value_transferred_usd, count(t.price) AS tokens, count(*) - count(t.price) AS unpriced_tokens,
+  cast(0 AS bigint) AS bad_amounts
 FROM (SELECT blockTimestamp - blockTimestamp % {DAY} AS window_start, tokenAddress,
         sum(cast(value AS decimal(38,0))) AS raw FROM children WHERE kind = 'erc20' GROUP BY ALL) p
-JOIN tokens t ON p.tokenAddress = t.address GROUP BY window_start""", ("children", "tokens")))
+LEFT JOIN tokens t ON p.tokenAddress = t.address GROUP BY window_start""", ("children", "tokens")))
 def q_value_transferred_usd(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
-    transfers = P.explode_erc20(feeds.transactions_nested(fx)).select(
-        "blockTimestamp", "value", F.col("erc20Token.address").alias("tokenAddress"))
+    transfers = fx.children.filter(F.col("kind") == "erc20").select("blockTimestamp", "value", "tokenAddress")
     return M.value_transferred_usd(transfers, fx.tokens, DAY)
 
 
@@ -367,7 +369,7 @@ def q_topic_counters(spark, sf_dir):
 @query("internal_by_type", oracle("""
 SELECT internalTxType, count(*) AS n FROM children WHERE lineStatus = 'F' GROUP BY 1""", ("children",)))
 def q_internal_by_type(spark, sf_dir):
-    internal = P.explode_internal(feeds.transactions_nested(Fixtures(spark, sf_dir)))
+    internal = feeds.child_rows(Fixtures(spark, sf_dir), "internal")
     return internal.groupBy("internalTxType").agg(F.count("*").alias("n"))
 
 
@@ -376,12 +378,8 @@ SELECT kind, tokenAddress, count(*) FILTER (WHERE "from" = '{M.ZERO_ADDRESS}') A
   count(*) AS transfers
 FROM children WHERE kind IN ('erc721', 'erc1155') GROUP BY ALL""", ("children",)))
 def q_nft_mints(spark, sf_dir):
-    nested = feeds.transactions_nested(Fixtures(spark, sf_dir))
-    t721 = P.explode_erc721(nested).select(F.lit("erc721").alias("kind"), "from",
-                                           F.col("erc721Token.address").alias("tokenAddress"))
-    t1155 = P.explode_erc1155(nested).select(F.lit("erc1155").alias("kind"), "from",
-                                             F.col("erc1155Token.address").alias("tokenAddress"))
-    return M.nft_mints(t721.unionByName(t1155))
+    nfts = Fixtures(spark, sf_dir).children.filter(F.col("kind").isin("erc721", "erc1155"))
+    return M.nft_mints(nfts.select("kind", "from", "tokenAddress"))
 
 
 @query("erc1155_batches", oracle("""
@@ -390,7 +388,7 @@ SELECT transactionHash, tokenAddress, count(*) AS n,
   string_agg(tokenId, ',' ORDER BY tokenId) AS token_ids
 FROM children WHERE kind = 'erc1155' GROUP BY ALL""", ("children",)))
 def q_erc1155_batches(spark, sf_dir):
-    t = P.explode_erc1155(feeds.transactions_nested(Fixtures(spark, sf_dir))).select(
+    t = feeds.child_rows(Fixtures(spark, sf_dir), "erc1155").select(
         "transactionHash", "tokenId", "value", F.col("erc1155Token.address").alias("tokenAddress"))
     return M.erc1155_batches(t)
 

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from chainflow.functions import scalar as C
 from chainflow.operators import dedup as D
 from chainflow.operators import fanout as P
 from chainflow.operators import filters as FL
 from chainflow.operators import lookups as J
 from chainflow.operators import routing as K
 from chainflow.operators import timeline as W
-from chainflow.plans.duck import DELIVERIES, arity, part
+from chainflow.plans.duck import DELIVERIES, arity, part, vwd
 from chainflow.plans.metric_queries import oracle
 from chainflow.plans.registry import query
 from chainflow.sources import decode, feeds
@@ -327,16 +328,16 @@ def q_delegators_join_validators(spark, sf_dir):
 
 
 @query("transfers_join_prices", oracle("""
-SELECT c.transactionHash, c.logIndex, cast(c.value AS decimal(38,0)) IS NOT NULL AS priced,
-  cast(cast(c.value AS decimal(38,0)) AS double) / pow(10.0, t.decimals) * t.price AS valueUsd
-FROM children c JOIN tokens t ON lower(c.tokenAddress) = lower(t.address) WHERE c.kind = 'erc20'""",
+SELECT c.transactionHash, c.logIndex, t.price IS NOT NULL AS priced,
+  cast(c.value AS double) / pow(10.0, t.decimals) * t.price AS valueUsd
+FROM children c LEFT JOIN tokens t ON lower(c.tokenAddress) = lower(t.address) WHERE c.kind = 'erc20'""",
                                        ("children", "tokens")))
 def q_transfers_join_prices(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
-    transfers = P.explode_erc20(feeds.transactions_nested(fx)).select(
+    transfers = feeds.child_rows(fx, "erc20").select(
         "transactionHash", "logIndex", "value", F.col("erc20Token.address").alias("tokenAddress"))
     return J.transfers_join_prices(transfers, fx.tokens).select(
-        "transactionHash", "logIndex", F.col("value").isNotNull().alias("priced"), "valueUsd")
+        "transactionHash", "logIndex", F.col("price").isNotNull().alias("priced"), "valueUsd")
 
 
 @query("children_join_parent", oracle("""
@@ -345,8 +346,7 @@ FROM children c JOIN orders_tx t ON c.transactionHash = t.txHash WHERE c.kind =
                                       ("children", "orders_tx")))
 def q_children_join_parent(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
-    transfers = P.explode_erc20(feeds.transactions_nested(fx), parents=()).select(
-        "transactionHash", "logIndex")
+    transfers = feeds.child_rows(fx, "erc20").select("transactionHash", "logIndex")
     parents = fx.orders_tx.select("txHash", "from", "chainId")
     return J.children_join_parent(transfers, parents).select(
         "transactionHash", "logIndex", "parentFrom", "parentChainId")
@@ -400,10 +400,13 @@ def q_subnets_union(spark, sf_dir):
 SELECT 'staking' AS type, CAST(NULL AS VARCHAR) AS chainId, metric, value FROM (
   SELECT 'validatorCount' AS metric, cast((SELECT count(DISTINCT nodeId) FROM validators) AS double) AS value
   UNION ALL SELECT 'delegatorCount', cast((SELECT count(*) FROM delegators) AS double)) s
+UNION ALL SELECT 'teleporter', NULL, metric, value FROM (
+  SELECT 'activeTeleporterBridges' AS metric, cast(count(DISTINCT (sourceChain, destChain)) AS double) AS value
+  FROM bridge_txs UNION ALL SELECT 'teleporterTransactions', cast(count(*) AS double) FROM bridge_txs) b
 UNION ALL SELECT 'chain', chainId, 'txCount', cast(count(*) AS double) FROM transactions GROUP BY chainId""",
-                               ("validators", "delegators", "transactions")))
+                               ("validators", "delegators", "transactions", "bridge_txs")))
 def q_metrics_union(spark, sf_dir):
-    """Staking and chain metrics into one long stream (missing columns NULL)."""
+    """Staking, bridge and chain metrics into one long stream (missing columns NULL)."""
     from chainflow.operators import metrics as M
     fx = Fixtures(spark, sf_dir)
     st = M.staking(fx.validators, fx.delegators).select(
@@ -412,7 +415,9 @@ def q_metrics_union(spark, sf_dir):
                "'delegatorCount', cast(delegator_count AS double)) AS (metric, value)"))
     chain = fx.transactions.groupBy("chainId").agg(F.count("*").cast("double").alias("value")) \
         .select(F.lit("chain").alias("type"), "chainId", F.lit("txCount").alias("metric"), "value")
-    return J.union_all(st, chain, allow_missing=True)
+    bridge = P.bridge_metric_rows(M.bridge(fx.bridge_txs), 0).drop("timestamp") \
+        .filter(F.col("metric") != P.BRIDGE_METRICS[2])  # amounts of several assets have no sum
+    return J.union_all(st, bridge, chain, allow_missing=True)
 
 
 # --- ordered operators ----------------------------------------------------------
@@ -688,81 +693,143 @@ def q_webhook_fanout(spark, sf_dir):
 
 
 # --- per-entity sinks (K07-K25) ---------------------------------------------------
-# Each entity is encoded as (topic, key, value JSON) for its topic.  Payload
-# fields are strings and integers so the JSON text is engine-independent.
+# Each entity is encoded as (topic, key, value JSON) for its topic, with the fields
+# of its wire form.  Ratio metrics travel as long rows (K06): their JSON text would
+# depend on how an engine prints a double.
 
 def _sink(key, entity, spark_fn, cols, duck_from, views, key_col="chainId", topic_entity=None):
+    """``cols`` are names, or (name, DuckDB expression) where the view has no such column."""
     topic = TOPICS.topic(topic_entity or entity)
-    packed = ", ".join(f'"{c}" := "{c}"' for c in cols)
+    pairs = [c if isinstance(c, tuple) else (c, f'"{c}"') for c in cols]
+    packed = ", ".join(f'"{name}" := {expr}' for name, expr in pairs)
     sql = oracle(f"""SELECT '{topic}' AS topic, cast("{key_col}" AS varchar) AS key,
   CAST(to_json(struct_pack({packed})) AS VARCHAR) AS value FROM {duck_from}""", views)
 
     def run(spark, sf_dir):
         df = spark_fn(Fixtures(spark, sf_dir)).withColumn("topic", F.lit(topic))
-        return K.encode_payload(df, cols, key=key_col)
+        return K.encode_payload(df, [name for name, _ in pairs], key=key_col)
     query(key, sql)(run)
 
 
-def _nested(fx):
-    return feeds.transactions_nested(fx)
-
-
 def _kind(kind_filter):
-    return (f"(SELECT c.*, t.chainId FROM children c JOIN orders_tx t ON c.orderKey = t.orderKey "
+    return (f"(SELECT c.*, t.chainId, t.txHash FROM children c JOIN orders_tx t ON c.orderKey = t.orderKey "
             f"WHERE {kind_filter}) x")
 
 
-_sink("sink_transactions", "transactions", lambda fx: fx.transactions,
-      ["txHash", "chainId", "blockNumber", "from", "to", "value", "transactionIndex"],
-      "transactions", ("transactions",))
-_sink("sink_single_tx", "transactions", lambda fx: fx.transactions.filter(F.col("txStatus") == "0"),
-      ["txHash", "chainId", "txStatus"], "transactions WHERE txStatus = '0'", ("transactions",))
-_sink("sink_erc20", "erc20",
-      lambda fx: P.explode_erc20(_nested(fx)).select("chainId", "transactionHash", "logIndex", "value"),
-      ["transactionHash", "logIndex", "value"], _kind("c.kind = 'erc20'"), ("children", "orders_tx"))
-_sink("sink_erc721", "erc721",
-      lambda fx: P.explode_erc721(_nested(fx)).select("chainId", "transactionHash", "logIndex", "tokenId"),
-      ["transactionHash", "logIndex", "tokenId"], _kind("c.kind = 'erc721'"), ("children", "orders_tx"))
-_sink("sink_erc1155", "erc1155",
-      lambda fx: P.explode_erc1155(_nested(fx)).select("chainId", "transactionHash", "logIndex", "tokenId",
-                                                       "value"),
-      ["transactionHash", "logIndex", "tokenId", "value"], _kind("c.kind = 'erc1155'"),
-      ("children", "orders_tx"))
-_sink("sink_internal", "internal",
-      lambda fx: P.explode_internal(_nested(fx)).select("chainId", "transactionHash", "internalTxType",
-                                                        "value"),
-      ["transactionHash", "internalTxType", "value"], _kind("c.lineStatus = 'F'"), ("children", "orders_tx"))
-_sink("sink_logs", "logs",
-      lambda fx: P.explode_children(_nested(fx), "logs").select("chainId", "txHash", "logIndex", "address"),
-      ["txHash", "logIndex", "address"],
-      "(SELECT t.chainId, t.txHash, c.logIndex, c.tokenAddress AS address FROM children c "
-      "JOIN orders_tx t ON c.orderKey = t.orderKey) x", ("children", "orders_tx"))
-_sink("sink_chains", "chains", lambda fx: fx.chains, ["chainId", "chainName", "vmName"], "chains",
-      ("chains",))
-_sink("sink_blocks", "blocks", lambda fx: fx.blocks,
-      ["chainId", "blockNumber", "blockTimestamp", "blockHash", "txCount", "gasUsed"], "blocks", ("blocks",))
-_sink("sink_subnets", "subnets", lambda fx: FL.nonempty_id(fx.subnets), ["subnetId", "subnetName"],
-      "subnets WHERE subnetId <> ''", ("subnets",), key_col="subnetId")
+def _children(kind):
+    return lambda fx: feeds.child_rows(fx, kind, ("chainId",))
+
+
+_CH = ("children", "orders_tx")
+_TX_FIELDS = ["blockHash", "blockNumber", "from", "gas", "gasPrice", "txHash", "txStatus", "input", "nonce", "to",
+              "transactionIndex", "value", "chainId", "receiptGasUsed", "receiptEffectiveGasPrice", "blockTimestamp"]
+_TOKEN = ("struct_pack(address := tokenAddress, name := 'Token ' || right(tokenAddress, 4), "
+          "symbol := 'T' || right(tokenAddress, 4)")
+_VALUE_18 = vwd("value", 18)
+_HEAD = ["transactionHash"]
+_TAIL = ["blockTimestamp", "logIndex"]
+
+_sink("sink_transactions", "transactions", lambda fx: fx.transactions, _TX_FIELDS, "transactions", ("transactions",))
+_sink("sink_single_tx", "transactions", lambda fx: P.flatten_tx_detail(feeds.tx_details(fx)),
+      ["txHash", "blockHash", "blockNumber", "blockTimestamp", "chainId", ("from", 'lower("from")'),
+       ("to", 'lower("to")'), "transactionIndex", "gasPrice", "txStatus", "value"], "transactions", ("transactions",))
+_sink("sink_erc20", "erc20", _children("erc20"),
+      [*_HEAD, ("type", "'ERC20'"), "from", "to", "value", *_TAIL,
+       ("erc20Token", f"{_TOKEN}, decimals := 18, \"valueWithDecimals\" := {_VALUE_18})")],
+      _kind("c.kind = 'erc20'"), _CH)
+_sink("sink_erc721", "erc721", _children("erc721"),
+      [*_HEAD, ("type", "'ERC721'"), "from", "to", "tokenId", *_TAIL, ("erc721Token", f"{_TOKEN})")],
+      _kind("c.kind = 'erc721'"), _CH)
+_sink("sink_erc1155", "erc1155", _children("erc1155"),
+      [*_HEAD, ("type", "'ERC1155'"), "from", "to", "tokenId", "value", *_TAIL, ("erc1155Token", f"{_TOKEN})")],
+      _kind("c.kind = 'erc1155'"), _CH)
+_sink("sink_internal", "internal", _children("internal"),
+      [("from", '"to"'), ("to", "tokenAddress"), "internalTxType", "value", "gasUsed", ("gasLimit", "'100000'"),
+       "transactionHash"], _kind("c.lineStatus = 'F'"), _CH)
+_sink("sink_logs", "logs", lambda fx: _children("logs")(fx).withColumn("topic2", F.coalesce("topic2", F.lit(""))),
+      [("address", "tokenAddress"),
+       ("topic0", f"CASE WHEN kind = 'erc1155' THEN '{feeds.TRANSFER_SINGLE_TOPIC}' ELSE '{feeds.TRANSFER_TOPIC}' END"),
+       ("topic1", '"from"'), ("topic2", "CASE WHEN lineStatus = 'F' THEN '' ELSE \"to\" END"), ("data", "value"),
+       ("transactionIndex", "0"), "logIndex", ("removed", "false")], _kind("true"), _CH)
+_sink("sink_chains", "chains", lambda fx: fx.chains.withColumn("networkToken", F.struct(
+    F.col("tokenName").alias("name"), F.col("tokenSymbol").alias("symbol"), F.col("tokenDecimals").alias("decimals"),
+    F.col("tokenLogoUri").alias("logoUri"), F.col("tokenDescription").alias("description")))
+      .withColumn("enabledFeatures", F.filter(F.split("features", ","), lambda x: x != "")),
+      ["chainId", "status", "chainName", "description", "platformChainId", "subnetId", "vmId", "vmName", "explorerUrl",
+       "rpcUrl", "wsUrl", "isTestnet", "private", "chainLogoUri",
+       ("enabledFeatures", "list_filter(string_split(features, ','), lambda x: x <> '')"),
+       ("networkToken", 'struct_pack(name := tokenName, symbol := tokenSymbol, decimals := tokenDecimals, '
+                        '"logoUri" := tokenLogoUri, description := tokenDescription)')], "chains", ("chains",))
+_sink("sink_blocks", "blocks", lambda fx: W.cumulative_tx(fx.blocks).withColumn(
+    "cumulativeTransactions", F.col("cumulativeTransactions").cast("string")),
+      ["chainId", "blockNumber", "blockTimestamp", "blockHash", "txCount", "baseFee", "gasUsed", "gasLimit",
+       "parentHash", "feesSpent", ("cumulativeTransactions", """cast(cast(sum(txCount) OVER (PARTITION BY chainId
+         ORDER BY cast(blockNumber AS bigint)) AS bigint) AS varchar)""")], "blocks", ("blocks",))
+_sink("sink_subnets", "subnets", lambda fx: FL.nonempty_id(feeds.subnets_nested(fx)).withColumn(
+    "blockchains", F.transform(F.array_sort(F.transform("blockchains", lambda b: b["blockchainId"])), lambda b: b)),
+      ["subnetId", ("blockchains", "list_sort(coalesce(ids, []))")],
+      "(SELECT s.*, (SELECT list(blockchainId) FROM blockchains b WHERE b.subnetId = s.subnetId) AS ids "
+      "FROM subnets s WHERE s.subnetId <> '') x", ("subnets", "blockchains"), key_col="subnetId")
 _sink("sink_blockchains", "blockchains", lambda fx: fx.blockchains, ["blockchainId", "vmId", "subnetId"],
       "blockchains", ("blockchains",), key_col="blockchainId")
-_sink("sink_validators", "validators", lambda fx: fx.validators, ["nodeId", "stakeAmount", "startTime"],
+_sink("sink_validators", "validators", lambda fx: fx.validators.withColumn("uptime", F.coalesce("uptime", F.lit(0))),
+      ["nodeId", "startTime", "endTime", "stakeAmount", ("uptime", "coalesce(uptime, 0)")],
       "validators", ("validators",), key_col="nodeId")
-_sink("sink_delegators", "delegators", lambda fx: fx.delegators, ["delegator", "nodeId", "stakeAmount"],
+_sink("sink_delegators", "delegators", lambda fx: fx.delegators,
+      ["delegator", "nodeId", "stakeAmount", "startTime", "endTime", "rewardAddress"],
       "delegators", ("delegators",), key_col="nodeId")
-_sink("sink_bridges", "bridges", lambda fx: fx.bridge_txs, ["id", "sourceChain", "destChain", "amount"],
+_sink("sink_bridges", "bridges", lambda fx: fx.bridge_txs,
+      ["id", "sourceChain", "destChain", "asset", "amount", "sender", "receiver", "status"],
       "bridge_txs", ("bridge_txs",), key_col="sourceChain")
 
 
-def _hourly_counts(fx):
-    from chainflow.operators import metrics as M
-    return M.tx_counts(M.tx_features(fx.transactions), 3600, 3600)
+# Metric families: each its own measures over its own window, under wire names.
+def _family_sink(key, entity, make, period_s, duck, fields):
+    """``fields``: wire name -> column of the family's table."""
+    topic = TOPICS.topic(entity if TOPICS.topic(entity) else "metrics")  # an unset topic falls back (K04)
+    names = {"chainId": "chainId", "timestamp": "window_start", "period": None, **fields}
+    period = f"{period_s // 3600}h0m0s" if period_s % 3600 == 0 else f"{period_s // 60}m0s"
+    packed = ", ".join(f'"{n}" := ' + (f"'{period}'" if c is None else f'"{c}"') for n, c in names.items())
+    sql = f"""SELECT '{topic}' AS topic, chainId AS key, CAST(to_json(struct_pack({packed})) AS VARCHAR) AS value
+FROM ({duck}) f"""
+
+    def run(spark, sf_dir):
+        fx = Fixtures(spark, sf_dir)
+        df = make(fx).withColumn("topic", F.lit(topic)).select("topic", *[
+            (C.go_duration(F.lit(period_s)) if c is None else F.col(c)).alias(n) for n, c in names.items()])
+        return K.encode_payload(df, list(names))
+    query(key, sql)(run)
 
 
-_HOURLY_DUCK = ("(SELECT chainId, blockTimestamp - blockTimestamp % 3600 AS window_start, "
-                "count(*) AS tx_count FROM transactions GROUP BY ALL) h")
-for _k, _fam in [("sink_activity", "metrics.activity"), ("sink_performance", "metrics.performance"),
-                 ("sink_gas", "metrics.gas"), ("sink_cumulative", "metrics.cumulative"),
-                 ("sink_metrics", "metrics")]:
-    # An unset family topic falls back to the default metrics topic.
-    _sink(_k, _fam, _hourly_counts, ["chainId", "window_start", "tx_count"], _HOURLY_DUCK,
-          ("transactions",), topic_entity=_fam if TOPICS.topic(_fam) else "metrics")
+def _metric_sinks():
+    from chainflow.operators import metrics as M
+    from chainflow.plans import metric_queries as Q
+
+    activity = {"activeAddresses": "active_addresses", "activeSenders": "active_senders",
+                "newAddresses": "new_addresses", "uniqueContracts": "unique_contracts", "txCount": "tx_count",
+                "successfulTxCount": "success_count", "failedTxCount": "fail_count"}
+    _family_sink("sink_activity", "metrics.activity", lambda fx: M.activity(fx.transactions, fx.blocks, 1800, 300),
+                 1800, Q.activity_sql(1800, 300), activity)
+    _family_sink("sink_performance", "metrics.performance",
+                 lambda fx: M.performance(fx.transactions, fx.blocks, 900, 60).filter("current_block_time IS NOT NULL"),
+                 900, f"SELECT * FROM ({Q.perf_sql(900, 60)}) p WHERE current_block_time IS NOT NULL",
+                 {"maxTps": "max_tps", "maxGps": "max_gps", "currentBlockTime": "current_block_time"})
+    _family_sink("sink_gas", "metrics.gas",
+                 lambda fx: M.gas(fx.transactions, fx.blocks, 1800, 300).filter("gas_used IS NOT NULL"),
+                 1800, f"SELECT * FROM ({Q.gas_sql(1800, 300)}) g WHERE gas_used IS NOT NULL",
+                 {"totalGasUsed": "gas_used", "minimumGasPrice": "min_gas_price", "maximumGasPrice": "max_gas_price",
+                  "feesPaid": "fees_paid"})
+    _family_sink("sink_cumulative", "metrics.cumulative",
+                 lambda fx: M.cumulative(fx.transactions, fx.blocks, 900).filter("total_gas_used IS NOT NULL"),
+                 900, f"SELECT * FROM ({Q.cumulative_sql(900)}) c WHERE total_gas_used IS NOT NULL",
+                 {"totalTxs": "total_txs", "totalAddresses": "cumulative_addresses",
+                  "totalContracts": "cumulative_contracts", "totalGasUsed": "total_gas_used",
+                  "totalFeesCollected": "total_fees_collected", "totalBlocksProduced": "total_blocks_produced"})
+    hourly = f"SELECT chainId, window_start, active_addresses, tx_count, fees_paid FROM ({Q.hourly_sql()}) h"
+    _family_sink("sink_metrics", "metrics",
+                 lambda fx: M.hourly_set(M.tx_features(fx.transactions), fx.blocks, 3600).filter("fees_paid IS NOT NULL"),
+                 3600, f"SELECT * FROM ({hourly}) h WHERE fees_paid IS NOT NULL",
+                 {"activeAddresses": "active_addresses", "txCount": "tx_count", "feesPaid": "fees_paid"})
+
+
+_metric_sinks()

@@ -29,7 +29,7 @@ def _struct_of(df):
 def _scan_chains(spark, sf_dir):
     chains = feeds.chains_nested(Fixtures(spark, sf_dir))
     docs = feeds.landed_pages(chains, _struct_of(chains), "chains", F.col("chainId").cast("bigint"), 10)
-    return decode.decode_pages(docs, S.CHAIN, "chains")
+    return decode.good_items(decode.decode_pages(docs, S.CHAIN, "chains"))
 
 
 _CHAINS_SQL = """SELECT chainId, chainName, isTestnet, private,
@@ -62,7 +62,7 @@ def q_lookup_chain(spark, sf_dir):
 def q_scan_validators(spark, sf_dir):
     v = Fixtures(spark, sf_dir).validators
     docs = feeds.landed_pages(v, _struct_of(v), "validators", _DIGITS("nodeId"), 50)
-    return decode.decode_pages(docs, S.VALIDATOR, "validators")
+    return decode.good_items(decode.decode_pages(docs, S.VALIDATOR, "validators"))
 
 
 @query("lookup_validator", oracle("""
@@ -75,7 +75,7 @@ def q_lookup_validator(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
     v = fx.validators
     docs = v.select(F.to_json(F.struct(_struct_of(v).alias("validator"))).alias("value"))
-    found = decode.decode_single(docs, S.VALIDATOR, "validator")
+    found = decode.good_items(decode.decode_single(docs, S.VALIDATOR, "validator"))
     return found.join(fx.delegators.select("nodeId"), "nodeId", "left_semi")
 
 
@@ -83,7 +83,7 @@ def q_lookup_validator(spark, sf_dir):
 def q_scan_delegators(spark, sf_dir):
     d = Fixtures(spark, sf_dir).delegators
     docs = feeds.landed_pages(d, _struct_of(d), "delegations", _DIGITS("delegator"), 50)
-    return decode.decode_pages(docs, S.DELEGATOR, "delegations")
+    return decode.good_items(decode.decode_pages(docs, S.DELEGATOR, "delegations"))
 
 
 _SUBNET_SQL = """SELECT s.subnetId, cast(count(b.blockchainId) AS int) AS n_blockchains
@@ -94,7 +94,7 @@ def _scan_subnets(spark, sf_dir):
     sn = feeds.subnets_nested(Fixtures(spark, sf_dir))
     docs = feeds.landed_pages(sn, _struct_of(sn), "subnets",
                               F.coalesce(F.col("subnetId").try_cast("bigint"), F.lit(-1)), 10)
-    return decode.decode_pages(docs, S.SUBNET, "subnets")
+    return decode.good_items(decode.decode_pages(docs, S.SUBNET, "subnets"))
 
 
 @query("scan_subnets", oracle(_SUBNET_SQL, ("subnets", "blockchains")))
@@ -109,7 +109,7 @@ def q_lookup_subnet(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
     sn = feeds.subnets_nested(fx)
     docs = sn.select(F.to_json(F.struct(_struct_of(sn).alias("subnet"))).alias("value"))
-    got = decode.decode_single(docs, S.SUBNET, "subnet").join(
+    got = decode.good_items(decode.decode_single(docs, S.SUBNET, "subnet")).join(
         fx.chains.select("subnetId"), "subnetId", "left_semi")
     return got.select("subnetId", F.size("blockchains").alias("n_blockchains"))
 
@@ -118,7 +118,7 @@ def q_lookup_subnet(spark, sf_dir):
 def q_scan_blockchains(spark, sf_dir):
     b = Fixtures(spark, sf_dir).blockchains.select("blockchainId", "vmId", "subnetId")
     docs = feeds.landed_pages(b, _struct_of(b), "blockchains", _DIGITS("blockchainId"), 10)
-    return decode.decode_pages(docs, S.BLOCKCHAIN, "blockchains")
+    return decode.good_items(decode.decode_pages(docs, S.BLOCKCHAIN, "blockchains"))
 
 
 @query("scan_bridge_txs", oracle("""
@@ -128,7 +128,7 @@ def q_scan_bridge_txs(spark, sf_dir):
     """S11 (set form): bridge transactions of every cross-chain (source, destination) route."""
     b = Fixtures(spark, sf_dir).bridge_txs.drop("blockTimestamp")
     docs = feeds.landed_pages(b, _struct_of(b), "transactions", _DIGITS("id"), 100)
-    rows = decode.decode_pages(docs, S.BRIDGE_TX, "transactions")
+    rows = decode.good_items(decode.decode_pages(docs, S.BRIDGE_TX, "transactions"))
     return rows.filter(F.col("sourceChain") != F.col("destChain"))
 
 
@@ -143,8 +143,8 @@ def q_lookup_token(spark, sf_dir):
     docs = t.select(F.to_json(F.struct("address", "name", "symbol", "decimals", "logoUri",
                                        F.struct(F.col("price").alias("value"),
                                                 F.col("currencyCode")).alias("price"))).alias("value"))
-    tokens = decode.decode_single(docs, S.TOKEN)
-    seen = P.explode_erc20(feeds.transactions_nested(fx)).select(
+    tokens = decode.good_items(decode.decode_single(docs, S.TOKEN))
+    seen = feeds.child_rows(fx, "erc20").select(
         F.lower("erc20Token.address").alias("_a")).distinct()
     return tokens.join(seen, F.lower(tokens["address"]) == seen["_a"], "left_semi").select(
         "address", "symbol", "decimals", F.col("price.value").alias("price"))
@@ -303,7 +303,7 @@ FROM children c JOIN tokens t ON c.tokenAddress = t.address WHERE c.kind = 'erc2
 def q_value_with_decimals(spark, sf_dir):
     """Token amounts shifted by each token's decimals, exactly, as text."""
     fx = Fixtures(spark, sf_dir)
-    transfers = P.explode_erc20(feeds.transactions_nested(fx), parents=()).select(
+    transfers = feeds.child_rows(fx, "erc20").select(
         "transactionHash", "logIndex", "value", F.col("erc20Token.address").alias("tokenAddress"))
     j = transfers.join(fx.tokens.select("address", "decimals"),
                        transfers["tokenAddress"] == F.col("address"))

@@ -58,13 +58,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and streaming checkpoints.
 
     Reads ``spark.checkpoint.dir`` from the session (the cluster names a shared
-    folder there).  Only when it is unset — local runs and tests — a fresh
-    scratch folder is created and registered.
+    folder there).  Only when it is unset in a local session (tests) a fresh scratch
+    folder is created and registered; off-local that is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         spark.sparkContext.setCheckpointDir(configured)
         return configured
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir is unset: name a folder that all executors share")
     local = tempfile.mkdtemp(prefix="chainflow-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)

@@ -94,20 +94,47 @@ def newheads_confirmations(decoded: DataFrame) -> DataFrame:
 
 
 def decode_pages(docs: DataFrame, entity: str, array_field: str, value: str = "value") -> DataFrame:
-    """Landed REST pages -> one row per item.
+    """Landed REST pages -> one row per item + ``is_corrupt`` + ``corrupt_value``.
 
-    The page envelope is unwrapped and its result array exploded.
+    The page envelope is unwrapped and its result array exploded.  A malformed
+    document, or one with a field of the wrong type, is one row of NULL fields
+    with its text in ``corrupt_value``; ``good_items`` leaves those out.
     """
-    page = F.from_json(F.col(value), S.page(entity, array_field))
-    return docs.select(F.explode(page[array_field]).alias("item")).select("item.*")
+    parsed = docs.select(F.col(value).alias("_text"),
+                         _parse_with_corrupt(F.col(value), S.page(entity, array_field)).alias("_p"))
+    bad = F.col("_p").isNull() | F.col(f"_p.{CORRUPT}").isNotNull()
+    items = F.when(bad, F.array(F.lit(None).cast(entity))).otherwise(F.col(f"_p.{array_field}"))
+    return parsed.select(F.explode(items).alias("item"), bad.alias("is_corrupt"),
+                         F.when(bad, F.col("_text")).alias("corrupt_value")) \
+        .select("item.*", "is_corrupt", "corrupt_value")
 
 
 def decode_single(docs: DataFrame, entity: str, wrapper: str | None = None,
                   value: str = "value") -> DataFrame:
-    """Single-object responses, optionally wrapped (``{"validator": {...}}``)."""
+    """Single-object responses, optionally wrapped (``{"validator": {...}}``),
+    + ``is_corrupt`` + ``corrupt_value`` as ``decode_pages``."""
     schema = f"struct<{wrapper}:{entity}>" if wrapper else entity
-    parsed = F.from_json(F.col(value), schema)
-    return docs.select((parsed[wrapper] if wrapper else parsed).alias("item")).select("item.*")
+    parsed = docs.select(F.col(value).alias("_text"), _parse_with_corrupt(F.col(value), schema).alias("_p"))
+    bad = F.col("_p").isNull() | F.col(f"_p.{CORRUPT}").isNotNull()
+    item = F.col(f"_p.{wrapper}") if wrapper else F.col("_p").dropFields(CORRUPT)
+    return parsed.select(F.when(~bad, item).alias("item"), bad.alias("is_corrupt"),
+                         F.when(bad, F.col("_text")).alias("corrupt_value")) \
+        .select("item.*", "is_corrupt", "corrupt_value")
+
+
+def good_items(decoded: DataFrame) -> DataFrame:
+    """The decoded items without the corrupt documents' rows."""
+    return decoded.filter(~F.col("is_corrupt")).drop("is_corrupt", "corrupt_value")
+
+
+def missing_pages(docs: DataFrame, token: str = "pageToken", value: str = "value") -> DataFrame:
+    """Tokens that a landed page names as the next one but that no document was landed for.
+
+    ``docs`` has the token each document was asked for (NULL for the first page).
+    """
+    following = F.get_json_object(F.col(value), "$.nextPageToken")
+    named = docs.select(following.alias(token)).filter(F.coalesce(F.col(token), F.lit("")) != "").distinct()
+    return named.join(docs.select(token).filter(F.col(token).isNotNull()).distinct(), token, "left_anti")
 
 
 def read_pages(spark: SparkSession, path: str, entity: str, array_field: str) -> DataFrame:

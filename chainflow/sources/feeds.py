@@ -42,16 +42,8 @@ def _empty_if_null(arr: Column, ddl: str) -> Column:
     return F.coalesce(arr, F.array().cast(f"array<{ddl}>"))
 
 
-def transactions_nested(fx: Fixtures) -> DataFrame:
-    """One transaction per order with its five nested arrays.
-
-    Children are grouped per order (a group is one order's lines, so it is
-    bounded), then left-joined to every order; orders without lines get
-    empty arrays.
-    """
-    from chainflow import schemas as S
-
-    ch = fx.children
+def child_structs() -> dict[str, Column]:
+    """The wire form of each kind of child row, from the columns of ``children``."""
     token = lambda: F.col("tokenAddress")
     name = F.concat(F.lit("Token "), F.substring(token(), -4, 4))
     symbol = F.concat(F.lit("T"), F.substring(token(), -4, 4))
@@ -82,14 +74,49 @@ def transactions_nested(fx: Fixtures) -> DataFrame:
         F.lit(None).cast("string").alias("topic3"),
         F.col("value").alias("data"), F.lit(0).alias("transactionIndex"), F.col("logIndex"),
         F.lit(False).alias("removed"))
+    return {"erc20": erc20, "erc721": erc721, "erc1155": erc1155, "internal": internal, "logs": log}
+
+
+# Which rows of ``children`` are children of each kind (None: all).
+CHILD_KINDS = {"erc20": ("kind", "erc20"), "erc721": ("kind", "erc721"), "erc1155": ("kind", "erc1155"),
+               "internal": ("lineStatus", "F"), "logs": None}
+
+
+def child_rows(fx: Fixtures, kind: str, parents: tuple[str, ...] = ()) -> DataFrame:
+    """Flat child rows in their wire form, with columns of their transaction.
+
+    Equal to exploding the nested array, without building it first.
+    """
+    own = CHILD_KINDS[kind]
+    ch = fx.children if own is None else fx.children.filter(F.col(own[0]) == own[1])
+    rows = ch.select(child_structs()[kind].alias("_child"), "orderKey")
+    if not parents:
+        return rows.select("_child.*")
+    tx = fx.orders_tx.select("orderKey", *[F.col(c).alias(f"_p_{c}") for c in parents])
+    child = rows.schema["_child"].dataType.fieldNames()
+    return rows.join(tx, "orderKey").select(
+        *[F.col(f"_p_{c}").alias(c) for c in parents if c not in child], "_child.*")
+
+
+def transactions_nested(fx: Fixtures) -> DataFrame:
+    """One transaction per order with its five nested arrays.
+
+    Children are grouped per order (a group is one order's lines, so it is
+    bounded), then left-joined to every order; orders without lines get
+    empty arrays.
+    """
+    from chainflow import schemas as S
+
+    ch = fx.children
+    child = child_structs()
 
     per_order = ch.groupBy("orderKey").agg(
-        _by_log_index(F.collect_list(_keyed(F.col("kind") == "erc20", erc20))).alias("erc20Transfers"),
-        _by_log_index(F.collect_list(_keyed(F.col("kind") == "erc721", erc721))).alias("erc721Transfers"),
-        _by_log_index(F.collect_list(_keyed(F.col("kind") == "erc1155", erc1155))).alias("erc1155Transfers"),
-        _by_log_index(F.collect_list(_keyed(F.col("lineStatus") == "F", internal)))
+        _by_log_index(F.collect_list(_keyed(F.col("kind") == "erc20", child["erc20"]))).alias("erc20Transfers"),
+        _by_log_index(F.collect_list(_keyed(F.col("kind") == "erc721", child["erc721"]))).alias("erc721Transfers"),
+        _by_log_index(F.collect_list(_keyed(F.col("kind") == "erc1155", child["erc1155"]))).alias("erc1155Transfers"),
+        _by_log_index(F.collect_list(_keyed(F.col("lineStatus") == "F", child["internal"])))
          .alias("internalTransactions"),
-        _by_log_index(F.collect_list(_keyed(None, log))).alias("logs"),
+        _by_log_index(F.collect_list(_keyed(None, child["logs"]))).alias("logs"),
     )
 
     tx = fx.orders_tx

@@ -12,7 +12,9 @@ from __future__ import annotations
 
 import os
 
+import numpy as np
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
@@ -142,18 +144,20 @@ def suppress_recent_stream(sightings: DataFrame, keys: list[str], ts: str, inter
             state.remove()
             return
         last = state.get[0] if state.exists else None
+        # a key's rows come in several frames: order them together
+        rows = pd.concat([pdf[cols] for pdf in frames]).sort_values([ts, *tiebreak])
+        times = rows[ts].to_numpy()
+        at = 0 if last is None else int(np.searchsorted(times, last + interval_s))
         emitted = []
-        for pdf in frames:
-            for row in pdf.sort_values([ts, *tiebreak]).itertuples(index=False):
-                t = getattr(row, ts)
-                if last is None or t - last >= interval_s:
-                    emitted.append(tuple(getattr(row, c) for c in cols))
-                    last = t
+        while at < len(times):  # jump from one emitted sighting to the next
+            emitted.append(at)
+            last = int(times[at])
+            at = int(np.searchsorted(times, last + interval_s))
         if last is not None:
             state.update((int(last),))
             state.setTimeoutTimestamp((int(last) + interval_s) * 1000)
         if emitted:
-            yield pd.DataFrame(emitted, columns=cols)
+            yield rows.iloc[emitted]
 
     timed = sightings.withColumn("_et", F.timestamp_seconds(F.col(ts))).withWatermark("_et", watermark)
     return timed.groupBy(*keys).applyInPandasWithState(
@@ -197,28 +201,25 @@ def webhook_fanout_batch(sink: str):
 def dynamic_chains_batch(table: str, seed: list[str]):
     """Chain events extend the monitored chain table while running.
 
-    Each batch writes a new version folder of the table (seed ∪ previous ∪
-    chains in this batch); readers take the newest complete version.
+    Each batch writes its own chains (and the seed) to its own folder, so a
+    retried batch replaces itself; the table is the distinct set of all folders.
     """
     def run(batch: DataFrame, batch_id: int):
         spark = batch.sparkSession
         new = batch.filter(F.col("event_type").startswith("chain.")).select("chainId")
-        prev = latest_chain_table(spark, table)
-        base = prev if prev is not None else spark.createDataFrame([(c,) for c in seed], "chainId string")
-        base.unionByName(new).distinct().write.mode("overwrite").parquet(
-            os.path.join(table, f"v={batch_id:012d}"))
+        spark.createDataFrame([(c,) for c in seed], "chainId string").unionByName(new).distinct() \
+            .write.mode("overwrite").parquet(f"{table.rstrip('/')}/v={batch_id}")
     return run
 
 
 def latest_chain_table(spark: SparkSession, table: str):
-    if not os.path.isdir(table):
+    """All monitored chains so far; None before the first batch.  Read by Spark, from any store."""
+    try:
+        return spark.read.schema("chainId string, v bigint").parquet(table).select("chainId").distinct()
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in (e.getCondition() or str(e)):
+            raise
         return None
-    versions = sorted(v for v in os.listdir(table) if v.startswith("v="))
-    for v in reversed(versions):
-        path = os.path.join(table, v)
-        if os.path.exists(os.path.join(path, "_SUCCESS")):
-            return spark.read.parquet(path)
-    return None
 
 
 # --- T11 / T12: stream-static joins ----------------------------------------------

@@ -6,10 +6,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from chainflow.plans import registry
 from tools.oracle_check import TABLES, rows_of
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = E.queries(), E.oracle_sql()
+registry.load_all()
+QUERIES, ORACLES = registry.QUERIES, registry.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -24,6 +26,7 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLES) <= set(E.oracle_sql())
 
 
 SPARK_TO_DUCK = {"IntegerType": "INTEGER", "LongType": "BIGINT", "StringType": "VARCHAR",
