@@ -43,6 +43,9 @@ def blocks_semi_chains(blocks: DataFrame, chains: DataFrame) -> DataFrame:
     return blocks.join(chains, "chainId", "left_semi")
 
 
+FANOUT_SALTS = 16  # parts that the messages of one match key are split into
+
+
 def resolve_subscriptions(subs: DataFrame) -> DataFrame:
     """Latest subscription per client wins."""
     latest = subs.groupBy("clientId").agg(
@@ -58,7 +61,8 @@ def fanout_subscriptions(messages: DataFrame, subs: DataFrame, type_col: str = "
     The OR condition would plan as a nested-loop join.  Instead each message
     is expanded to its four match keys — (type, chain), (type, *), (*, chain),
     (*, *) — and subscribers' wildcards are normalised to ``*``: one equi-join,
-    output exactly the matching pairs.
+    output exactly the matching pairs.  Every message has the key (*, *), so
+    messages are dealt over ``FANOUT_SALTS`` copies of the subscribers.
     """
     norm = lambda c: F.when(F.coalesce(F.col(c), F.lit("")).isin("", WILD), F.lit(WILD))
     s = subs.select("clientId", norm("subTopic").otherwise(F.col("subTopic")).alias("_kt"),
@@ -68,8 +72,10 @@ def fanout_subscriptions(messages: DataFrame, subs: DataFrame, type_col: str = "
         F.struct(F.col(type_col).alias("_kt"), F.lit(WILD).alias("_kc")),
         F.struct(F.lit(WILD).alias("_kt"), F.col(chain_col).alias("_kc")),
         F.struct(F.lit(WILD).alias("_kt"), F.lit(WILD).alias("_kc"))))
-    m = messages.select("*", keys.alias("_k")).select("*", "_k._kt", "_k._kc").drop("_k")
-    return m.join(s, ["_kt", "_kc"], "inner").drop("_kt", "_kc")
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in messages.columns]), F.lit(FANOUT_SALTS)).cast("int")
+    s = s.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(FANOUT_SALTS - 1))))
+    m = messages.withColumn("_salt", salt).select("*", keys.alias("_k")).select("*", "_k._kt", "_k._kc").drop("_k")
+    return m.join(s, ["_kt", "_kc", "_salt"], "inner").drop("_kt", "_kc", "_salt")
 
 
 def tx_semi_watchlist(tx: DataFrame, watch: DataFrame, address_col: str = "address") -> DataFrame:

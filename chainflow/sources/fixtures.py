@@ -299,16 +299,18 @@ FROM {D.t("events")}"""
 
 
 def _subscriptions(D: Dialect) -> str:
-    # A dimension table of live subscribers; the work grows with the
-    # message stream it is joined to.  c1 re-subscribes later.
-    return """
-SELECT * FROM (VALUES
-  ('c1', 'blocks', '0', cast(1 AS bigint)),
-  ('c2', '*', '1', cast(1 AS bigint)),
-  ('c3', 'transactions', '', cast(1 AS bigint)),
-  ('c4', '', '*', cast(1 AS bigint)),
-  ('c1', 'logs', '*', cast(2 AS bigint))
-) AS s(clientId, subTopic, subChain, subTime)"""
+    # One live client per supplier; every second one re-subscribes later.
+    # A few take every chain or every topic, most a chain of their own.
+    topic = "CASE (s_suppkey + {0}) % 4 WHEN 0 THEN 'blocks' WHEN 1 THEN 'transactions' WHEN 2 THEN 'logs' ELSE '*' END"
+    chain = ("CASE WHEN (s_suppkey + {0}) % 400 = 7 THEN '' WHEN (s_suppkey + {0}) % 400 = 8 THEN '*' "
+             "ELSE cast((s_suppkey + {0}) % 200 AS string) END")
+    return f"""
+SELECT 'c' || cast(s_suppkey AS string) AS clientId, {topic.format(0)} AS subTopic, {chain.format(0)} AS subChain,
+  cast(1 AS bigint) AS subTime
+FROM {D.t("supplier")}
+UNION ALL
+SELECT 'c' || cast(s_suppkey AS string), {topic.format(1)}, {chain.format(1)}, cast(2 AS bigint)
+FROM {D.t("supplier")} WHERE s_suppkey % 2 = 0"""
 
 
 # name -> (template, dependencies)
@@ -329,7 +331,7 @@ VIEWS: dict[str, tuple] = {
     "watch_addresses": (_watch_addresses, ("customer",)),
     "event_log": (_event_log, ("events",)),
     "topic_messages": (_topic_messages, ("events",)),
-    "subscriptions": (_subscriptions, ()),
+    "subscriptions": (_subscriptions, ("supplier",)),
 }
 
 
