@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,27 +14,46 @@ def suppress_recent(sightings: DataFrame, keys: list[str], ts: str, interval_s:
     """Emit a sighting iff its key was never emitted or was last *emitted* at
     least ``interval_s`` earlier (T01).
 
-    The rule depends on the last emitted time, not the last seen one, so it
-    is a sequential fold: sightings of one key are sorted and folded with
-    ``aggregate``.  The key is an entity key (chain, block number), whose
-    sightings are bounded by the polling of one block, so a group stays
-    small.  The streaming form keeps the last emitted time as state with a
-    TTL instead of an unbounded map (see ``streaming.stateful``).
+    The rule depends on the last emitted time, not the last seen one, so a
+    key's sightings are read in order: they are sorted within their partition
+    and scanned batch by batch.  A scan jumps from an emitted sighting to the
+    first one at least ``interval_s`` later and carries the last emitted time
+    over batches, so memory does not grow with a key's sightings.  Rows
+    without a time are left out.
     """
     tiebreak = tiebreak or []
-    item = F.struct(F.col(ts).alias("_ts"), *[F.col(c) for c in tiebreak])
-    grouped = sightings.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("_s"))
-    elem_type = grouped.schema["_s"].dataType.simpleString()
-    init = F.struct(F.lit(None).cast("bigint").alias("last"), F.array().cast(elem_type).alias("out"))
-
-    def step(acc, x):
-        emit = acc["last"].isNull() | (x["_ts"] - acc["last"] >= interval_s)
-        return F.when(emit, F.struct(x["_ts"].cast("bigint").alias("last"),
-                                     F.concat(acc["out"], F.array(x)).alias("out"))).otherwise(acc)
-
-    emitted = F.aggregate("_s", init, step, lambda acc: acc["out"])
-    return grouped.select(*keys, F.explode(emitted).alias("_e")) \
-        .select(*keys, F.col("_e._ts").alias(ts), *[F.col(f"_e.{c}").alias(c) for c in tiebreak])
+    cols = [*keys, ts, *tiebreak]
+    ordered = (sightings.select(*cols).filter(F.col(ts).isNotNull()).repartition(*keys)
+               .sortWithinPartitions(*keys, ts, *tiebreak))
+
+    def scan(batches):
+        key, last = None, None
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            table = pa.Table.from_batches([batch])
+            marks = [pc.rank(table[k].combine_chunks(), tiebreaker="dense").to_numpy(zero_copy_only=False) for k in keys]
+            new = np.zeros(n, bool)
+            new[0] = True
+            for m in marks:
+                new[1:] |= m[1:] != m[:-1]
+            times = batch.column(len(keys)).to_numpy(zero_copy_only=False)
+            starts = np.flatnonzero(new).tolist()
+            emitted = []
+            for start, end in zip(starts, [*starts[1:], n]):
+                own = tuple(batch.column(i)[start].as_py() for i in range(len(keys)))
+                if own != key:
+                    key, last = own, None
+                at = start if last is None else start + int(np.searchsorted(times[start:end], last + interval_s))
+                while at < end:
+                    emitted.append(at)
+                    last = int(times[at])
+                    at = start + int(np.searchsorted(times[start:end], last + interval_s))
+            if emitted:
+                yield batch.take(pa.array(emitted))
+
+    return ordered.mapInArrow(scan, ordered.schema)
 
 
 def dedup_message(df: DataFrame, key: str = "messageId", first_by: str | None = None) -> DataFrame:

@@ -120,21 +120,19 @@ def distinct_per_window(items: DataFrame, size_s: int, slide_s: int,
     return per_window.groupBy(*keys, "window_start", item_cols[0]).agg(F.count("*").alias("n"))
 
 
-def _roles(feat: DataFrame) -> DataFrame:
-    """(chainId, ts, role, item): a = any party, s = sender, c = called contract."""
-    return feat.select("chainId", "ts", F.explode(F.array(
-        F.struct(F.lit("a").alias("role"), F.col("from").alias("item")),
-        F.struct(F.lit("a").alias("role"), F.col("to").alias("item")),
-        F.struct(F.lit("s").alias("role"), F.col("from").alias("item")),
-        F.struct(F.lit("c").alias("role"), F.when(F.col("is_call"), F.col("to")).alias("item")),
-    )).alias("r")).select("chainId", "ts", "r.role", "r.item") \
+def _roles(feat: DataFrame, roles: tuple[str, ...] = ("a", "s", "c")) -> DataFrame:
+    """(chainId, ts, role, item): a = any party, s = sender, c = called contract; only the wanted roles."""
+    parties = {"a": [F.col("from"), F.col("to")], "s": [F.col("from")],
+               "c": [F.when(F.col("is_call"), F.col("to"))]}
+    return feat.select("chainId", "ts", F.explode(F.array(*[
+        F.struct(F.lit(r).alias("role"), item.alias("item")) for r in roles for item in parties[r]])).alias("r")) \
+        .select("chainId", "ts", "r.role", "r.item") \
         .filter(F.col("item").isNotNull() & (F.col("item") != ""))
 
 
 def first_seen(feat: DataFrame, role: str = "a") -> DataFrame:
     """First appearance per ``(chainId, address)`` (W06): ``min(ts)``."""
-    return _roles(feat).filter(F.col("role") == role).groupBy("chainId", "item") \
-        .agg(F.min("ts").alias("first_ts"))
+    return _roles(feat, (role,)).groupBy("chainId", "item").agg(F.min("ts").alias("first_ts"))
 
 
 # ---------------------------------------------------------------------------
@@ -153,13 +151,15 @@ def tx_counts(feat: DataFrame, size_s: int, slide_s: int) -> DataFrame:
         F.sum("fee").alias("fee"))
 
 
-def address_counts(feat: DataFrame, size_s: int, slide_s: int) -> DataFrame:
-    """Distinct parties, senders and called contracts."""
-    counts = distinct_per_window(_roles(feat), size_s, slide_s)
-    return counts.groupBy(*KEYS).agg(
-        F.sum(F.when(F.col("role") == "a", F.col("n")).otherwise(0)).cast("bigint").alias("active_addresses"),
-        F.sum(F.when(F.col("role") == "s", F.col("n")).otherwise(0)).cast("bigint").alias("active_senders"),
-        F.sum(F.when(F.col("role") == "c", F.col("n")).otherwise(0)).cast("bigint").alias("unique_contracts"))
+ADDRESS_COUNTS = {"a": "active_addresses", "s": "active_senders", "c": "unique_contracts"}
+
+
+def address_counts(feat: DataFrame, size_s: int, slide_s: int, roles: tuple[str, ...] = ("a", "s", "c")) -> DataFrame:
+    """Distinct parties, senders and called contracts (only the wanted ones)."""
+    counts = distinct_per_window(_roles(feat, roles), size_s, slide_s)
+    return counts.groupBy(*KEYS).agg(*[
+        F.sum(F.when(F.col("role") == r, F.col("n")).otherwise(0)).cast("bigint").alias(ADDRESS_COUNTS[r])
+        for r in roles])
 
 
 def new_addresses(feat: DataFrame, size_s: int, slide_s: int) -> DataFrame:
@@ -242,7 +242,8 @@ def gas(tx: DataFrame, blocks: DataFrame, size_s: int, slide_s: int | None = Non
     totals = fan_out(bpanes, size_s, slide_s).groupBy(*keys).agg(
         F.sum("gu").alias("gu"), F.sum("gl").alias("gl"), F.sum("fs").alias("fs"),
         F.sum("nb").alias("nb"))
-    out = prices.join(median, keys).join(totals, keys, "left")
+    # left joins against sides that are distinct on the keys: unused ones are pruned
+    out = prices.join(median, keys, "left").join(totals, keys, "left")
     return out.select(
         *keys,
         F.col("gu").cast(DEC).cast("string").alias("gas_used"),
@@ -429,7 +430,7 @@ def hourly_set(feat: DataFrame, blocks: DataFrame, size_s: int = 3600) -> DataFr
     base = feat.groupBy("chainId", pane_of("ts", size_s).alias("window_start")).agg(
         F.count("*").alias("tx_count"), F.sum("gasPrice").alias("sp"),
         F.count("gasPrice").alias("np"))
-    addrs = address_counts(feat, size_s, size_s).select(*KEYS, "active_addresses")
+    addrs = address_counts(feat, size_s, size_s, ("a",))
     fees = block_typed(blocks).groupBy("chainId", pane_of("ts", size_s).alias("window_start")) \
         .agg(F.sum("feesSpent").alias("fs"))
     return base.join(addrs, KEYS).join(fees, KEYS, "left").select(

@@ -188,19 +188,19 @@ def _part(key, cols, sql_fn, build):
     query(key, _proj(sql_fn(HOUR), f"{_K}, {cols}"))(build)
 
 
-def _feat_part(fn, cols):
+def _feat_part(fn, cols, **options):
     def run(spark, sf_dir):
         _, tx, _b = _tb(spark, sf_dir)
-        return fn(M.tx_features(tx), HOUR, HOUR).select(*M.KEYS, *cols)
+        return fn(M.tx_features(tx), HOUR, HOUR, **options).select(*M.KEYS, *cols)
     return run
 
 
 _part("active_addresses", "active_addresses", activity_sql,
-      _feat_part(M.address_counts, ["active_addresses"]))
+      _feat_part(M.address_counts, ["active_addresses"], roles=("a",)))
 _part("active_senders", "active_senders", activity_sql,
-      _feat_part(M.address_counts, ["active_senders"]))
+      _feat_part(M.address_counts, ["active_senders"], roles=("s",)))
 _part("unique_contracts", "unique_contracts", activity_sql,
-      _feat_part(M.address_counts, ["unique_contracts"]))
+      _feat_part(M.address_counts, ["unique_contracts"], roles=("s", "c")))  # senders show every window
 _part("tx_count", "tx_count", activity_sql, _feat_part(M.tx_counts, ["tx_count"]))
 _part("tx_success_fail", "success_count, fail_count", activity_sql,
       lambda s, d: M.tx_counts(M.tx_features(_tb(s, d)[1]), HOUR, HOUR).select(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from chainflow import schemas as S
 from chainflow.functions import scalar as C
+from chainflow.operators import dedup as D
 from chainflow.operators import metrics as M
 from chainflow.operators import timeline as W
 from chainflow.sources import decode
@@ -88,3 +89,17 @@ def test_chain_table_on_a_uri_keeps_every_chain(spark, scratch):
         step(spark.createDataFrame([("chain.created", chain), ("block.created", "5")], "event_type string, chainId string"), i)
     step(spark.createDataFrame([("chain.created", "9")], "event_type string, chainId string"), 2)  # a retried batch
     assert sorted(r.chainId for r in jobs.latest_chain_table(spark, table).collect()) == ["0", "7", "8", "9"]
+
+
+def test_suppression_of_a_long_key_in_bounded_memory(spark):
+    """One key with many sightings over many batches, and many short keys, against a plain fold."""
+    hot = spark.range(60_000).select(F.lit("hot").alias("k"), (F.col("id") * 7919 % 60_000).alias("t"))
+    many = spark.range(3_000).select((F.col("id") % 700).cast("string").alias("k"), (F.col("id") * 31 % 997).alias("t"))
+    rows = hot.union(many).union(spark.createDataFrame([(None, 5), (None, 6), (None, 99)], "k string, t long"))
+    got = sorted(map(str, map(tuple, D.suppress_recent(rows, ["k"], "t", 30).collect())))
+    want, last = [], {}
+    for k, t in sorted(((r.k, r.t) for r in rows.collect()), key=lambda x: x[1]):
+        if k not in last or t - last[k] >= 30:
+            want.append((k, t))
+            last[k] = t
+    assert got == sorted(map(str, want))
