@@ -7,22 +7,23 @@ at most ``tau = floor((den - num) * |A| / den)`` of the other's tokens.
 1. One Arrow pass builds each text's set; equal sets are one *class*.  Only the
    tokens of a *low zone* (the lowest fifth of the hash space) are kept on disk,
    and how many texts hold each of them is counted with map-side combining.
-2. All tokens have one global order: low zone by (count, hash), then the rest by
-   hash.  A class with more than ``tau`` low-zone tokens that nobody else has can
-   link with nobody and goes no further; this is most of a corpus.
-3. The others index a prefix of that order.  A rare token is indexed alone.
-   Tokens of the frequent class (``frequent`` texts or more) fall into
-   sub-classes by hash and are indexed as pairs within a sub-class; its first
-   token then proves nothing, so the prefix is extended until
-   ``rare + sum(max(0, taken - 1)) > tau``.  Two linked sets share a whole pair or
-   a rare token, whichever of their prefixes ends first (pigeonhole).
+2. A class with more than ``tau`` tokens that nobody else has can link with nobody and
+   goes no further.  The low zone alone settles this for most of a corpus; the other
+   classes' remaining tokens are counted among those classes only, which settles
+   most of the rest.
+3. All tokens have one global order, by (count, hash).  A class indexes a prefix of it.
+   A rare token is indexed alone.  Tokens of the frequent class (``frequent`` texts
+   or more) fall into sub-classes by hash and are indexed as pairs within a sub-class;
+   its first token then proves nothing, so the prefix is extended until
+   ``alone + rare + sum(max(0, taken - 1)) > tau``.  Two linked sets share a whole pair
+   or a rare token, whichever of their prefixes ends first (pigeonhole).
    Signatures also hold the size band, and a set near a band's lower end is
-   indexed in both, so sets of unlike size never meet.
+   indexed in both, so sets of unlike size seldom meet.
 4. Candidates are verified on the whole sets.  A bucket of m classes is not
-   expanded into m*m pairs: rounds link every member with one pivot, components
-   are contracted, and pairs inside one component need no check.  What still
-   shares a bucket across components after the pivot rounds is checked pair by
-   pair, so no link between components is lost.
+   expanded into m*m pairs: its members are first linked with one pivot, chosen anew by
+   each of ``pivots`` groups of signatures, and what is linked is contracted to
+   components; pairs inside one need no check.  What still shares a bucket across
+   components is then checked pair by pair, so no link between components is lost.
 
 Counts, components and pairs stay distributed.  The only broadcast is the list of
 document ids whose sets are needed, up to ``max_broadcast_ids`` (counted first);
@@ -54,13 +55,21 @@ NO_ID = (1 << 63) - 1
 MAX_BROADCAST_IDS = 4_000_000
 
 DOC_SETS = "doc_id long, node binary, n long, zone_n long, part_key long, zone array<long>"
-PREFIXES = "node binary, rep long, n long, tokens array<long>, signatures array<long>"
+SETS = ("node binary, rep long, n long, alone long, hashes array<long>, counts array<long>, rest_n long, "
+        "tokens array<long>")
+CLASSES = "id long, node binary, rep long, n long, alone long, tokens array<long>, signatures array<long>"
 
 
 def _digest(tokens: np.ndarray) -> bytes:
     return hashlib.blake2b(tokens.tobytes(), digest_size=11).digest()
 
 
+def _distinct(tokens: np.ndarray) -> int:
+    """How many tokens differ in their top 44 bits, by which they are counted."""
+    top = tokens >> np.uint64(20)
+    return len(top) - int((top[1:] == top[:-1]).sum())
+
+
 def doc_sets(docs: DataFrame, doc_id: str, text: str, k: int) -> DataFrame:
     """Per row its set's digest (node), sizes, and the low-zone tokens (once per task for equal sets).
 
@@ -79,7 +88,7 @@ def doc_sets(docs: DataFrame, doc_id: str, text: str, k: int) -> DataFrame:
                     cut = int(np.searchsorted(s, np.uint64(_ZONE_LIMIT)))
                     out["node"].append(node)
                     out["n"].append(len(s))
-                    out["zone_n"].append(cut)
+                    out["zone_n"].append(_distinct(s[:cut]))
                     out["part_key"].append(int.from_bytes(node[:8], "big", signed=True) if node else 0)
                     if node and node not in seen:
                         seen.add(node)
@@ -98,20 +107,13 @@ def doc_sets(docs: DataFrame, doc_id: str, text: str, k: int) -> DataFrame:
     return src.mapInArrow(lambda it: run(b for b in it if b.num_rows), C.take(DOC_SETS))
 
 
-def prefix_signatures(tokens: np.ndarray, shared: dict[int, int], num: int, den: int, frequent: int) -> set[int]:
-    """Signatures of one set; ``shared`` has the counts of its low-zone tokens (top 44 bits) held by others."""
-    n = len(tokens)
-    cut = int(np.searchsorted(tokens, np.uint64(_ZONE_LIMIT)))
-    low = (tokens[:cut] >> np.uint64(20)).tolist()
-    known = sorted((shared[t], t) for t in low if t in shared)
-    need = (den - num) * n // den + 1 - (cut - len(known))
-    if need <= 0:
-        return set()
+def prefix_signatures(n: int, shared: dict[int, int], alone: int, num: int, den: int, frequent: int) -> set[int]:
+    """Signatures of a set of n tokens: counts of those that others hold as well, and how many are its own."""
+    known = sorted((count, t) for t, count in shared.items())
     found: set[int] = set()
-    smallest = -(-num * n // den)
-    for band in range(smallest.bit_length(), n.bit_length() + 1):
-        left = need
-        groups = max(1, round(0.03 * (1 << band)))
+    for band in range((-(-num * n // den)).bit_length(), n.bit_length() + 1):
+        left = (den - num) * n // den + 1 - alone
+        groups = max(1, round(0.15 * (1 << band)))  # about as many as a prefix needs
         taken: dict[int, list[int]] = {}
         for count, t in known:
             if left <= 0:
@@ -124,31 +126,34 @@ def prefix_signatures(tokens: np.ndarray, shared: dict[int, int], num: int, den:
                 found.update(hash((band, 2, m, t)) for m in mates)
                 left -= 1 if mates else 0
                 mates.append(t)
-        if left > 0:
-            found.update(hash((band, 1, t)) for t in tokens[cut:cut + left].tolist())
     return found
 
 
-def _prefixes(num: int, den: int, frequent: int, k: int):
+def _whole_sets(k: int):
     def build(batch: pa.RecordBatch) -> dict:
-        rep, node, texts, hashes, counts = (batch.column(i) for i in range(5))
-        out = {"node": [], "rep": [], "n": [], "tokens": [], "signatures": []}
-        rep, node, hashes, counts = rep.to_pylist(), node.to_pylist(), hashes.to_pylist(), counts.to_pylist()
-        for lo, rows, raw, offsets in K.slices(texts):
+        out: dict[str, list] = {c.split()[0]: [] for c in SETS.split(", ")}
+        carried = {c: batch.column(c).to_pylist() for c in ("node", "rep", "n", "alone", "hashes", "counts")}
+        for lo, rows, raw, offsets in K.slices(batch.column("text")):
             for i, s in enumerate(K.shingle_sets(K.Words(raw, offsets, K.SPACE_WORDS), k), lo):
-                if not len(s) or _digest(s) != node[i]:
-                    continue  # another text under the same doc_id
-                signatures = prefix_signatures(s, dict(zip(hashes[i], counts[i])), num, den, frequent)
-                if signatures:
-                    out["node"].append(node[i])
-                    out["rep"].append(rep[i])
-                    out["n"].append(len(s))
+                if len(s) and _digest(s) == carried["node"][i]:  # else another text under the same doc_id
+                    for c, values in carried.items():
+                        out[c].append(values[i])
+                    out["rest_n"].append(_distinct(s[int(np.searchsorted(s, np.uint64(_ZONE_LIMIT))):]))
                     out["tokens"].append(s.view(np.int64))
-                    out["signatures"].append(sorted(signatures))
         return out
     return build
 
 
+def _index(num: int, den: int, frequent: int):
+    def build(batch: pa.RecordBatch) -> dict:
+        cols = dict(zip(batch.schema.names, batch.columns))
+        rows = zip(*(cols[c].to_pylist() for c in ("n", "alone", "hashes", "counts", "more_hashes", "more_counts")))
+        signatures = [sorted(prefix_signatures(n, dict(zip([*h, *mh], [*c, *mc])), alone, num, den, frequent))
+                      for n, alone, h, c, mh, mc in rows]
+        return {c.split()[0]: cols.get(c.split()[0]) for c in CLASSES.split(", ")} | {"signatures": signatures}
+    return build
+
+
 def _texts_of(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str, limit: int) -> DataFrame:
     """Rows of ``wanted`` with the texts under their ids; a short list of ids is broadcast."""
     src = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("rep"),
@@ -159,120 +164,135 @@ def _texts_of(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str, limit:
 
 
 def components(links: DataFrame, name: str = "components") -> DataFrame:
-    """(node, root) for every node of ``links`` (columns a, b), root being the smallest node reachable.
+    """(node, root) for every node of ``links`` (columns a, b); a component's nodes have one root.
 
-    Alternating large-star and small-star steps; every step's edges are a written table.
+    Each round maps every node to its smallest neighbour (or itself) and contracts the links,
+    which at least halves the nodes of a component; the rounds' maps are then joined up.
     """
-    edges = C.written(links.select("a", "b").where("a <> b"), name)
+    links = links.select("a", "b").where("a <> b")
+    maps = []
     while True:
-        before = edges
-        both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = C.written(both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-                          .where("a <> b").distinct(), name)
-        down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        low = down.groupBy("a").agg(F.min("b").alias("m"))
-        small = (down.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-                 .union(low.select("a", F.col("m").alias("b"))).distinct())
-        edges = C.written(small, name)
-        # a forest of stars: no node is both a child and a root, and no child has two roots
-        roots = edges.select(F.col("b").alias("a")).distinct()
-        if edges.join(roots, "a", "left_semi").isEmpty() and edges.groupBy("a").count().where("count > 1").isEmpty():
-            del before
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
-                roots.select(F.col("a").alias("node"), F.col("a").alias("root")))
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets link."""
+        both = links.union(links.select("b", "a"))
+        low = C.written(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), name)
+        maps.append(low)
+        links = C.written(
+            links.join(low.select("a", F.col("m").alias("x")), "a")
+            .join(low.select(F.col("a").alias("b"), F.col("m").alias("y")), "b").where("x <> y")
+            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), name)
+        if links.isEmpty():
+            break
+    roots = maps[0].select(F.col("a").alias("node"), F.col("m").alias("root"))
+    for low in maps[1:]:
+        roots = (roots.join(low.withColumnRenamed("a", "root"), "root", "left")
+                 .select("node", F.coalesce("m", "root").alias("root")))
+    return C.written(roots, name)
+
+
+def _verified(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) of class ids whose whole sets link."""
     def side(x):
-        return sets.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("tokens").alias(f"s_{x}"))
-    sized = (pairs.join(sets.select(F.col("node").alias("a"), F.col("n").alias("k_a")), "a")
-             .join(sets.select(F.col("node").alias("b"), F.col("n").alias("k_b")), "b")
-             .where(f"{den} * least(k_a, k_b) >= {num} * greatest(k_a, k_b)").select("a", "b"))
-    common = F.size(F.array_intersect("s_a", "s_b"))
-    return (sized.join(side("b"), "b").join(side("a"), "a").withColumn("both", common)
+        return classes.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("tokens").alias(f"s_{x}"))
+    return (pairs.join(side("b"), "b").join(side("a"), "a")
+            .withColumn("both", F.size(F.array_intersect("s_a", "s_b")))
             .where(f"{den} * both >= {num} * (n_a + n_b - both)").select("a", "b"))
 
 
+def _fit(num: int, den: int) -> str:
+    """Two sets can link as far as their sizes (n) and the tokens that others hold as well (u) tell."""
+    return f"a <> b AND {den} * least(u_a, u_b) >= {num} * (n_a + n_b - least(u_a, u_b))"
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _shared(entries: DataFrame, key: list[str]) -> DataFrame:
+    """Per key its tokens that another key holds as well, with their counts."""
+    counts = entries.groupBy("token").agg(F.count(F.lit(1)).alias("count")).where("count > 1")
+    return (entries.join(counts, "token").groupBy(*key)
+            .agg(F.collect_set(F.struct("token", "count")).alias("shared")))
+
+
 def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 4, num: int = 85,
-                 den: int = 100, frequent: int = 32, pivot_rounds: int = 3,
+                 den: int = 100, frequent: int = 32, pivots: int = 16,
                  max_broadcast_ids: int = MAX_BROADCAST_IDS) -> DataFrame:
     """One row per input row: doc_id, n_shingles, class_id (smallest id with the same set), component_id, node."""
     rows = C.written(doc_sets(docs, doc_id, text, k), "sets")
     classes = rows.where("n > 0").groupBy("node").agg(
         F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("zone_n").alias("zone_n"),
         F.first("part_key").alias("part_key"))
+    tau = f"floor({den - num} * n / {den})"
+    nothing = F.array().cast("array<struct<token:bigint,count:bigint>>")
 
-    # 2. tokens that more than one text holds, and the classes that have too few of their own
+    # low zone: classes with too few tokens of their own
     entries = rows.where("zone IS NOT NULL").select("part_key", F.explode("zone").alias("entry"))
     entries = entries.select(F.shiftrightunsigned("entry", 20).alias("token"),
                              F.col("entry").bitwiseAND(0xFFFFF).alias("tail"), "part_key")
-    counts = entries.groupBy("token").agg(F.count(F.lit(1)).alias("count")).where("count > 1")
-    shared = (entries.join(counts, "token").groupBy("part_key", "tail")
-              .agg(F.collect_set(F.struct("token", "count")).alias("shared")))
     tail = F.conv(F.substring(F.hex("node"), 18, 5), 16, 10).cast("long")
     survivors = C.written(
-        classes.withColumn("tail", tail).join(shared, ["part_key", "tail"], "left")
-        .withColumn("shared", F.coalesce("shared", F.array().cast("array<struct<token:bigint,count:bigint>>")))
-        .where(f"zone_n - size(shared) <= floor({den - num} * n / {den})")
-        .select("rep", "node", F.col("shared.token").alias("hashes"), F.col("shared.count").alias("counts")),
-        "survivors")
-
-    # 3. whole sets and signatures of the survivors
-    texts = _texts_of(docs, survivors, doc_id, text, max_broadcast_ids).select(
-        "rep", "node", "text", "hashes", "counts")
-    found = C.map_arrow(texts, _prefixes(num, den, frequent, k), C.take(PREFIXES))
-    sets = C.written(found.dropDuplicates(["node"]) if _ids_repeat(rows) else found, "prefixes")
-    buckets = sets.select("node", F.explode("signatures").alias("signature"))
-
-    # 4. pivots, components, and what is left across components
-    roots, links, checked = None, None, None
-    for turn in range(pivot_rounds + 1):
-        here = buckets
-        if roots is not None:
-            here = buckets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        else:
-            here = here.withColumn("root", F.col("node"))
-        open_buckets = (here.groupBy("signature")
-                        .agg(F.min("root").alias("low"), F.max("root").alias("high"),
-                             F.min_by("node", F.xxhash64("node", F.lit(turn))).alias("pivot"),
-                             F.min_by("root", F.xxhash64("node", F.lit(turn))).alias("pivot_root"))
-                        .where("low <> high").select("signature", "pivot", "pivot_root"))
-        members = here.join(open_buckets, "signature")
-        if turn < pivot_rounds:
-            pairs = members.where("root <> pivot_root").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-        else:
-            left = members.select("signature", F.col("node").alias("a"), F.col("root").alias("root_a"))
-            right = members.select("signature", F.col("node").alias("b"), F.col("root").alias("root_b"))
-            pairs = left.join(right, "signature").where("a < b AND root_a <> root_b").select("a", "b")
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        if checked is not None:
-            pairs = pairs.join(checked, ["a", "b"], "left_anti")
-        pairs = C.written(pairs, "pairs")
-        if pairs.isEmpty():
-            continue
-        checked = pairs if checked is None else checked.union(pairs)
-        new = C.written(_verified(pairs, sets, num, den), "links")
-        if new.isEmpty():
-            continue
-        links = new if links is None else links.union(new)
-        roots = components(links)
-
-    named = classes.select("node", "rep")
-    if roots is not None:
-        smallest = named.join(roots, "node").groupBy("root").agg(F.min("rep").alias("component"))
-        named = (named.join(roots, "node", "left").join(smallest, "root", "left")
-                 .select("node", "rep", F.coalesce("component", "rep").alias("component")))
-    else:
-        named = named.withColumn("component", F.col("rep"))
+        classes.withColumn("tail", tail).join(_shared(entries, ["part_key", "tail"]), ["part_key", "tail"], "left")
+        .withColumn("shared", F.coalesce("shared", nothing)).withColumn("alone", F.col("zone_n") - F.size("shared"))
+        .where(f"alone <= {tau}")
+        .select("rep", "node", "n", "alone", F.col("shared.token").alias("hashes"),
+                F.col("shared.count").alias("counts")), "survivors")
+
+    # their whole sets, and the other tokens counted among them
+    sets = C.map_arrow(_texts_of(docs, survivors, doc_id, text, max_broadcast_ids), _whole_sets(k), C.take(SETS))
+    if _ids_repeat(rows):
+        sets = sets.dropDuplicates(["node"])
+    sets = C.written(sets.withColumn("id", F.monotonically_increasing_id()), "whole")
+    rest = (sets.select("id", F.explode("tokens").alias("token"))
+            .select("id", F.shiftrightunsigned("token", 20).alias("token")).where(F.col("token") >= _ZONE_LIMIT >> 20))
+    alive = (sets.join(_shared(rest, ["id"]), "id", "left").withColumn("shared", F.coalesce("shared", nothing))
+             .withColumn("alone", F.col("alone") + F.col("rest_n") - F.size("shared")).where(f"alone <= {tau}")
+             .withColumn("more_hashes", F.col("shared.token")).withColumn("more_counts", F.col("shared.count"))
+             .drop("shared", "rest_n"))
+    index = C.written(C.map_arrow(alive, _index(num, den, frequent), C.take(CLASSES)), "index")
+    buckets = index.select("id", "n", (F.col("n") - F.col("alone")).alias("u"), F.explode("signatures").alias("signature"))
+
+    # pivots first: the member with most in common with others, or by a hash of its own for each group
+    group = F.pmod("signature", F.lit(pivots))
+    rank = F.when(group == 0, 1 - F.col("u") / F.col("n")).otherwise(F.pmod(F.xxhash64("id", group), F.lit(1 << 30)) / (1 << 30))
+    pivot = buckets.groupBy("signature").agg(
+        F.min_by(F.struct(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("u").alias("u_a")),
+                 F.struct(rank, "id")).alias("pivot"),
+        F.count(F.lit(1)).alias("m")).where("m > 1").select("signature", "pivot.*")
+    pairs = C.written(_ordered(
+        buckets.select("signature", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("u").alias("u_b"))
+        .join(pivot, "signature")
+        .where(_fit(num, den))), "pairs")
+    links = C.written(_verified(pairs, index, num, den), "links")
+    roots = components(links)
+
+    # then, pair by pair, what shares a bucket across components; a pair is made in its first shared bucket only
+    here = (buckets.join(roots.withColumnRenamed("node", "id"), "id", "left")
+            .select("signature", "id", "n", "u", F.coalesce("root", "id").alias("root")))
+    open_buckets = here.groupBy("signature").agg(F.min("root").alias("low"), F.max("root").alias("high")).where(
+        "low <> high").select("signature")
+    members = here.join(open_buckets, "signature")
+    members = members.join(members.groupBy("id").agg(F.collect_set("signature").alias("own")), "id")
+
+    def side(x):
+        return members.select("signature", F.col("id").alias(x), *[F.col(c).alias(f"{c}_{x}")
+                                                                  for c in ("n", "u", "root", "own")])
+    across = (side("a").join(side("b"), "signature").where("a < b AND root_a <> root_b").where(_fit(num, den))
+              .where(F.array_min(F.array_intersect("own_a", "own_b")) == F.col("signature")).select("a", "b"))
+    left = C.written(across.join(pairs, ["a", "b"], "left_anti"), "pairs")
+    more = C.written(_verified(left, index, num, den), "links")
+    if not more.isEmpty():
+        roots = components(links.union(more))
+
+    named = index.select("id", "node", "rep").join(roots.withColumnRenamed("node", "id"), "id")
+    smallest = named.groupBy("root").agg(F.min("rep").alias("component"))
+    named = named.join(smallest, "root").select("node", "component")
 
     def real(c):
         return F.when(c != NO_ID, c)
 
-    return (rows.select("doc_id", "n", "node").join(named, "node", "left")
+    return (rows.select("doc_id", "n", "node").join(classes.select("node", "rep").join(named, "node", "left"),
+                                                    "node", "left")
             .select(real(F.col("doc_id")).alias("doc_id"), F.col("n").alias("n_shingles"),
-                    real(F.coalesce("component", "doc_id")).alias("component_id"),
+                    real(F.coalesce("component", "rep", "doc_id")).alias("component_id"),
                     real(F.coalesce("rep", "doc_id")).alias("class_id"), "node"))
 
 
