@@ -104,7 +104,7 @@ def scaled(stats: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.ndarray
     return np.clip((stats - mean) / scale, -4, 4) / 4
 
 
-def fit(rows: list[tuple], rank: int = 8, steps: int = 2000, batch: int = 64, rate: float = 0.08,
+def fit(rows: list[tuple], rank: int = 8, steps: int = 700, batch: int = 64, rate: float = 0.2,
         decay: float = 1e-5, seed: int = 7) -> Machine:
     """AdaGrad on the log loss over (indices, values, statistics, label) rows.
 
