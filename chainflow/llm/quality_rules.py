@@ -55,18 +55,17 @@ def base_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     inner = F.btrim(body, F.lit(" \t\n\x0b\f\r"))
     df = df.select(*kept, body.alias("_t"), F.when(F.length(inner) > 0, F.split(inner, SPACE)).otherwise(
         F.array().cast("array<string>")).alias("_w"))
-    windows = F.when(F.size("_w") >= 5, F.transform(
-        F.sequence(F.lit(1), F.size("_w") - 4), lambda i: F.array_join(F.slice("_w", i, 5), " "))
-    ).otherwise(F.array().cast("array<string>"))
+    places = F.sequence(F.lit(1), F.size("_w") - 4)
     lines = F.filter(F.split("_t", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     common = F.filter(F.transform("_w", F.lower), lambda w: w.isin(*WORDS))
     code = F.create_map(*(F.lit(x) for pair in zip(WORDS, _CODES) for x in pair))
-    df = df.select("*", windows.alias("_win"), lines.alias("_lines"),
+    df = df.select("*", lines.alias("_lines"),
                    F.array_join(F.transform(common, lambda w: code[w]), "").alias("_codes"))
-    # a text whose windows all differ repeats nothing; the others sort theirs
-    repeats = F.size(F.array_distinct("_win")) < F.size("_win")
+    # a text whose windows' hashes all differ repeats nothing; the others sort the windows themselves
+    repeats = (F.size("_w") >= 5) & (F.size(F.array_distinct(F.transform(
+        places, lambda i: F.xxhash64(F.slice("_w", i, 5))))) < F.size("_w") - 4)
     df = df.withColumn("_sorted", F.when(repeats, F.sort_array(F.transform(
-        "_win", lambda w, i: F.struct(w.alias("w"), i.alias("i"))))))
+        places, lambda i: F.struct(F.array_join(F.slice("_w", i, 5), " ").alias("w"), i.alias("i"))))))
     twice = F.array_sort(F.transform(F.filter("_sorted", lambda x, j: F.coalesce(
         (F.get("_sorted", j - 1)["w"] == x["w"]) | (F.get("_sorted", j + 1)["w"] == x["w"]),
         F.get("_sorted", j - 1)["w"] == x["w"], F.get("_sorted", j + 1)["w"] == x["w"], F.lit(False))),
@@ -80,20 +79,24 @@ def base_counts(docs: DataFrame, text: str = "text") -> DataFrame:
         return F.length(F.regexp_replace("_t", pattern, ""))
 
     n_chars, n_symbols = F.length("_t"), left(r"[^#*$%&|<>]+")
-    word_chars = left(SPACE)
-    vowels, lower, upper = left("[^aeiou]+"), left("[^a-z]+"), left("[^A-Z]+")
+    word_chars = F.length(F.array_join("_w", ""))
+    others = F.col("_t")
+    for vowel in "aeiou":
+        others = F.replace(others, F.lit(vowel), F.lit(""))
+    vowels, upper = n_chars - F.length(others), left("[^A-Z]+")
     digits, marks, beyond = left("[^0-9]+"), left(r"[^.,;:!?'\"()/-]+"), left(r"[\x00-\x7F]+")
     df = df.select(
         *kept, F.size("_w").cast("long").alias("n_words"), word_chars.cast("long").alias("word_chars"),
         n_symbols.cast("long").alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         repeat_words.cast("long").alias("n_repeat_words"), F.length("_codes").alias("_common"), "_codes",
-        n_chars.alias("_n"), vowels.alias("_vowels"), lower.alias("_lower"), upper.alias("_upper"),
+        n_chars.alias("_n"), vowels.alias("_vowels"), upper.alias("_upper"),
         digits.alias("_digits"), marks.alias("_marks"), beyond.alias("_beyond"))
-    chars = [F.col("_vowels"), F.col("_lower") - F.col("_vowels"), F.col("_upper"), F.col("_digits"), F.col("_marks"),
-             F.col("n_symbols"), F.col("_beyond"), F.col("_n") - F.col("word_chars")]
+    # vowels, capitals, digits, marks, symbols, beyond ASCII, white space; the rest is mostly consonants
+    chars = [F.col("_vowels"), F.col("_upper"), F.col("_digits"), F.col("_marks"), F.col("n_symbols"), F.col("_beyond"),
+             F.col("_n") - F.col("word_chars")]
     rest = F.col("_n")
-    for c in (F.col("_lower"), *chars[2:]):
+    for c in chars:
         rest = rest - c
     words = [F.length("_codes") - F.length(F.replace("_codes", F.lit(c), F.lit(""))) for c in _CODES]
     return df.select(
@@ -106,7 +109,7 @@ def base_counts(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def references(counts: DataFrame, lang: str = "lang", max_languages: int = 64) -> list[tuple[list[float], list[float]]]:
     """(character, word) distributions of each language, smoothed by one count per bin."""
-    n_chars, n_words = 9, len(WORDS) + 1
+    n_chars, n_words = 8, len(WORDS) + 1
     rows = (counts.where(F.col(lang).isNotNull() & ~F.col("base_failed")).groupBy(lang)
             .agg(F.count(F.lit(1)).alias("n"),
                  *(F.sum(F.col("char_counts")[i]).alias(f"c{i}") for i in range(n_chars)),

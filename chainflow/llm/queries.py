@@ -198,9 +198,9 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _op1_sql() -> str:
     words = ", ".join("'" + w + "'" for w in rules.WORDS)
-    vowels, lower, upper, digits, marks, symbols, beyond, spaces = (
+    vowels, upper, digits, marks, symbols, beyond, spaces = (
         f"len(t) - len(regexp_replace(t, '{p}', '', 'g'))" for p in (
-            "[aeiou]", "[a-z]", "[A-Z]", "[0-9]", """[.,;:!?''"()/-]""", "[#*$%&|<>]", r"[^\x00-\x7F]",
+            "[aeiou]", "[A-Z]", "[0-9]", """[.,;:!?''"()/-]""", "[#*$%&|<>]", r"[^\x00-\x7F]",
             r"[\x20\x09-\x0D]"))
     return rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS t,
@@ -218,15 +218,14 @@ b AS (SELECT r, doc_id, lang, t, w, CAST(len(w) AS BIGINT) AS n_words,
              CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
              len(w) < {rules.MIN_WORDS} OR 100 * coalesce(n_repeat_words, 0) > {rules.MAX_REPEAT_PERCENT} * len(w) AS base_failed
       FROM d LEFT JOIN rep USING (r) LEFT JOIN dup USING (r)),
-cc AS (SELECT r, [{vowels}, ({lower}) - ({vowels}), {upper}, {digits}, {marks}, {symbols}, {beyond}, {spaces}] AS c,
-              len(t) AS n, {lower} AS low FROM b),
-cb AS (SELECT r, 'c' AS kind, unnest(list_append(c, n - low - list_sum(c[3:]))) AS n,
+cc AS (SELECT r, [{vowels}, {upper}, {digits}, {marks}, {symbols}, {beyond}, {spaces}] AS c, len(t) AS n FROM b),
+cb AS (SELECT r, 'c' AS kind, unnest(list_append(c, n - list_sum(c))) AS n,
               'c' || generate_subscripts(list_append(c, 0), 1) AS bin FROM cc),
 wl AS (SELECT r, lower(x) AS x, count(*) AS n FROM (SELECT r, unnest(w) AS x FROM b) WHERE lower(x) IN ({words}) GROUP BY ALL),
 wb AS (SELECT r, 'w' AS kind, n, 'w' || x AS bin FROM wl
        UNION ALL SELECT b.r, 'w', b.n_words - coalesce(s.n, 0), 'rest' FROM b LEFT JOIN (SELECT r, sum(n) AS n FROM wl GROUP BY r) s USING (r)),
 bins AS (SELECT * FROM cb UNION ALL SELECT r, kind, n, bin FROM wb),
-slots AS (SELECT 'c' AS kind, 'c' || unnest(generate_series(1, 9)) AS bin
+slots AS (SELECT 'c' AS kind, 'c' || unnest(generate_series(1, 8)) AS bin
           UNION ALL SELECT 'w', 'w' || unnest([{words}]) UNION ALL SELECT 'w', 'rest'),
 langs AS (SELECT DISTINCT lang FROM b WHERE lang IS NOT NULL AND NOT base_failed),
 sums AS (SELECT l.lang, s.kind, s.bin, coalesce(x.n, 0) + 1 AS n FROM langs l CROSS JOIN slots s
