@@ -321,6 +321,23 @@ def test_spans_match_plain(spark, edge, scratch):
     assert sorted(map(str, map(tuple, found))) == sorted(map(str, want))
 
 
+def test_names_in_any_case_are_found_alone(spark, scratch):
+    names = ("password", "passwd", "secret", "token", "apikey", "api_key")
+    cases = [c for n in names for c in (n, n.upper(), n.title(), n.swapcase(), n[:-1] + n[-1].upper(), n[:5] + n[5:].upper())]
+    texts = [t for n in cases for t in (f"{n}=abcdefgh1", f"{n}: abcdefgh1", f"DB_{n}=abcdefgh1", f"{n}'=\"abcdefgh1\"",
+                                        f"{n}=abc", f"{n}s=abcdefgh1")]
+    for text in texts:
+        got = [(r.kind, s, e) for r in secrets.RULES for s, e in secrets.spans_of(r, text)]
+        assert got == plain.secrets(text), text
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    # a ledger of the first version that holds these texts as clean
+    old = df.select(F.sha2("text", 256).alias("blob"), F.lit("assign").alias("kind"), F.lit(1).alias("version"),
+                    F.array().cast("array<struct<start:int,end:int>>").alias("spans"))
+    old.write.parquet(f"{scratch}/old/batch")
+    found = secrets.report(secrets.findings(df, f"{scratch}/old", "text")).collect()
+    assert {r.doc_id: r.n_assign for r in found} == {i: len(plain.secrets(t)) for i, t in enumerate(texts)}
+
+
 def test_ledger_scans_each_blob_and_rule_version_once(spark, scratch):
     ledger = f"{scratch}/ledger"
     df = spark.createDataFrame([("a", "x=1"), ("b", "x=1"), ("c", None), ("d", "secret=abcdefgh")],
