@@ -1,17 +1,13 @@
-"""Best-fit packing of token pieces by hierarchical residual rounds.
+"""Best-fit packing of token pieces, longest first, over the whole table.
 
-Round 0 runs where the texts are: each partition tokenises its documents, cuts
-only what is longer than a sequence, and packs its pieces best-fit, longest
-first.  Sequences that are nearly full are final.  The pieces of underfull ones
-travel up a tree: groups of ``fan_in`` partitions meet in one task, are packed
-again, and pass on what is still underfull, until one node is left.
-
-An underfull sequence is opened when it meets others: two sequences over half
-full can never share one, but their pieces can fill other gaps.
-
-A node holds at most ``fan_in * max_open`` pieces: it passes on at most
-``max_open`` pieces of its emptiest sequences and makes the fuller ones final as
-they are, so no piece is ever dropped and memory does not follow the input.
+Texts are tokenised where they are; only what is longer than a sequence is cut.
+Pieces of one length are alike to best fit, so its outcome follows from the number of
+pieces of each length.  Partitions count their pieces, the counts are added up, and
+``Plan`` packs the sums: bins that are alike are kept as one range of bin numbers, so
+its size follows ``size`` and not the input.  A piece's number among those of its
+length (its own partition's, after those of the partitions before) then says its
+sequence and offset.  No task holds the pieces, and the sequences are as many as plain
+best fit over all pieces makes.
 
 Tokens come from a byte-level BPE rank file (its path is a parameter); the ids
 equal those of the ``tokenizers`` library for the same vocabulary, with special
@@ -33,13 +29,16 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from . import common as C
 from . import kernels as K
 
 SEQUENCE = 1024
-PIECES = ("doc_id long, piece int, start long, length long, ids_crc32 long, ids array<int>, "
-          "sequence_id long, offset long, open boolean, node long")
+MAX_BROADCAST_ROWS = 200_000
+_PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long, ids array<int>"
+PIECES = f"{_PIECE}, node long, number long"
+PLACED = f"{_PIECE}, sequence_id long, offset long"
 
 #: The rank file's split pattern, and the same without its look-ahead.  They differ
 #: only where white space follows white space.
@@ -129,23 +128,62 @@ def best_fit(lengths: list[int], size: int) -> tuple[list[int], list[int], list[
     return bins, offsets, fills
 
 
-def _settle(lengths: list[int], size: int, slack: int, max_open: int, last: bool):
-    """Pack; say which bins are final: nearly full ones, and the fullest beyond ``max_open`` pieces."""
-    bins, offsets, fills = best_fit(lengths, size)
-    open_bin = [not last and f < size - slack for f in fills]
-    count = [0] * len(fills)
-    for b in bins:
-        count[b] += 1
-    room = max_open
-    for b in sorted((b for b in range(len(fills)) if open_bin[b]), key=lambda b: fills[b]):
-        room -= count[b]
-        if room < 0:
-            open_bin[b] = False
-    return bins, offsets, open_bin
+class Plan:
+    """Best fit, longest first, of counted lengths: where the pieces of every length go.
 
+    A row: of pieces of ``length`` those from number ``start`` on fill bins from ``first``
+    on, ``per`` in each, from ``offset`` on.
+    """
 
-def _sequence(round_no: int, node: int, number: int) -> int:
-    return round_no << 57 | node << 29 | number
+    def __init__(self, counts: dict[int, int], size: int):
+        rows: list[tuple[int, int, int, int, int]] = []
+        by_left: dict[int, list[tuple[int, int]]] = {}  # ranges (first bin, bins) by what is left in them
+        self.bins = 0
+        for n in sorted(counts, reverse=True):
+            start, todo = 0, counts[n]
+
+            def fill(first: int, bins: int, left: int) -> None:
+                """Pieces into as many bins of the range as are needed; the rest of the range stays as it is."""
+                nonlocal start, todo
+                per = left // n
+                whole = min(bins, todo // per)
+                some = todo - whole * per if whole < bins else 0
+                for at, many, each in ((first, whole, per), (first + whole, 1, some)):
+                    if many and each:
+                        rows.append((n, start, at, each, size - left))
+                        start, todo = start + many * each, todo - many * each
+                        by_left.setdefault(left - each * n, []).append((at, many))
+                used = whole + (some > 0)
+                if used < bins:
+                    by_left.setdefault(left, []).append((first + used, bins - used))
+
+            for left in sorted(x for x in by_left if x >= n):
+                if not todo:
+                    break
+                for first, bins in by_left.pop(left):
+                    if todo:
+                        fill(first, bins, left)
+                    else:
+                        by_left.setdefault(left, []).append((first, bins))
+            if todo:
+                new = -(-todo // (size // n))
+                self.bins += new
+                fill(self.bins - new, new, size)
+        rows.sort()
+        self.length, self.start, self.first, self.per, self.offset = (
+            np.array([r[i] for r in rows], np.int64) for i in range(5))
+        #: The rows of each length.
+        self.low = np.searchsorted(self.length, np.arange(size + 2))
+
+    def place(self, lengths: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(sequence, offset) of pieces by length and number among those of that length."""
+        row = np.empty(len(lengths), np.int64)
+        for n in np.unique(lengths):
+            own = lengths == n
+            low, high = self.low[n], self.low[n + 1]
+            row[own] = low + np.searchsorted(self.start[low:high], numbers[own], "right") - 1
+        bins, at = np.divmod(numbers - self.start[row], self.per[row])
+        return self.first[row] + bins, self.offset[row] + at * lengths
 
 
 def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SEQUENCE, end_id: int = 2,
@@ -154,6 +192,8 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int
     """One row per piece: where its document's ids begin, and its sequence and offset there.
 
     ``with_ids`` carries the ids themselves, from which ``assemble`` builds the sequences.
+    ``local_pieces`` are written at a time.  ``fan_in``, ``slack`` and ``max_open`` belonged
+    to a merge tree; they are still taken and change nothing.
     """
     src = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     schema = C.take(PIECES)
@@ -162,58 +202,45 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         node = TaskContext.get().partitionId()
         rows: list[tuple] = []
-        number = 0
+        seen = [0] * (size + 1)
 
         def flush():
-            nonlocal number
-            bins, offsets, open_bin = _settle([r[3] for r in rows], size, slack, max_open, False)
-            cols = [*map(list, zip(*rows)),
-                    [_sequence(0, node, number + b) for b in bins], offsets,
-                    [open_bin[b] for b in bins], [node] * len(rows)]
-            number += len(open_bin)
+            batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
             rows.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names)
+            return batch
 
         types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()),
-                 pa.int64(), pa.int64(), pa.bool_(), pa.int64()]
+                 pa.int64(), pa.int64()]
         for batch in batches:
             for key, ids in zip(batch.column(0).to_pylist(), token_ids(batch.column(1), vocabulary)):
                 for k, (start, part) in enumerate(cut(ids, end_id, size)):
-                    rows.append((key, k, start, len(part), zlib.crc32(array.array("I", part).tobytes()),
-                                 part if with_ids else None))
-            if len(rows) >= local_pieces:
-                yield flush()
+                    n = len(part)
+                    rows.append((key, k, start, n, zlib.crc32(array.array("I", part).tobytes()),
+                                 part if with_ids else None, node, seen[n]))
+                    seen[n] += 1
+                if len(rows) >= local_pieces:
+                    yield flush()
         if rows:
             yield flush()
 
     pieces = C.written(src.mapInArrow(local, schema), "pieces")
-    done = pieces.where("NOT open")
-    rest = pieces.where("open")
-    nodes = (pieces.agg(F.max("node")).first()[0] or 0) + 1
-    round_no = 0
-    while nodes > 1 or round_no == 0:
-        round_no += 1
-        nodes = -(-nodes // fan_in)
-        merge = _merger(round_no, nodes == 1, size, slack, max_open, names)
-        merged = C.written(rest.withColumn("node", F.floor(F.col("node") / fan_in).cast("long")).groupBy("node")
-                           .applyInArrow(merge, schema), "pieces")
-        done = done.unionByName(merged.where("NOT open"))
-        rest = merged.where("open")
-    return done.drop("open", "node")
-
-
-def _merger(round_no: int, last: bool, size: int, slack: int, max_open: int, names: list[str]):
-    def merge(part: pa.Table) -> pa.Table:
-        # whatever order the rows come in, equal rows are alike, so the result is the same
-        part = part.sort_by([("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending"),
-                             ("ids_crc32", "ascending")])
-        bins, offsets, open_bin = _settle(part["length"].to_pylist(), size, slack, max_open, last)
-        node = part["node"][0].as_py()
-        new = {"sequence_id": pa.array([_sequence(round_no, node, b) for b in bins], pa.int64()),
-               "offset": pa.array(offsets, pa.int64()), "open": pa.array([open_bin[b] for b in bins], pa.bool_())}
-        return pa.table([new.get(c, part[c]) for c in names], names)
-
-    return merge
+    # a length's window has one row for each partition
+    before = F.sum("n").over(Window.partitionBy("length").orderBy("node")) - F.col("n")
+    counts = C.written(pieces.groupBy("node", "length").agg(F.count(F.lit(1)).alias("n"))
+                       .withColumn("before", before), "counts")
+    plan = Plan({r.length: r.n for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}, size)
+    shared = C.Shared(docs.sparkSession, plan)
+    before = counts.select("node", "length", "before")
+    if before.count() <= MAX_BROADCAST_ROWS:
+        before = F.broadcast(before)
+    numbered = pieces.join(before, ["node", "length"]).select(
+        *names[:6], (F.col("before") + F.col("number")).alias("number"))
+
+    def place(batch: pa.RecordBatch) -> dict:
+        sequence, offset = shared.value.place(batch.column(3).to_numpy(), batch.column(6).to_numpy())
+        return dict(zip(names[:6], batch.columns)) | {"sequence_id": sequence, "offset": offset}
+
+    return C.map_arrow(numbered, place, C.take(PLACED))
 
 
 def assemble(pieces: DataFrame) -> DataFrame:

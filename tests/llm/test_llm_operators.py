@@ -174,6 +174,34 @@ def test_packing_rounds_keep_every_piece(spark):
     assert capped.count() == len(got)  # what a node may not pass on becomes final, nothing is lost
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_plan_is_plain_best_fit(seed):
+    rng = random.Random(seed)
+    size = rng.choice((7, 64, 256))
+    lengths = [min(size, max(1, int(rng.expovariate(3 / size)))) for _ in range(rng.choice((1, 40, 3000)))]
+    plan = packing.Plan({n: lengths.count(n) for n in set(lengths)}, size)
+    number = [lengths[:i].count(n) for i, n in enumerate(lengths)]
+    sequence, offset = plan.place(np.array(lengths), np.array(number))
+    spans = {}
+    for n, s, o in zip(lengths, sequence.tolist(), offset.tolist()):
+        spans.setdefault(s, []).append((o, n))
+    for own in spans.values():
+        assert [o for o, _ in sorted(own)] == [0, *itertools.accumulate(n for _, n in sorted(own))][:-1]
+    _, _, fills = packing.best_fit(lengths, size)
+    assert sorted(fills) == sorted(sum(n for _, n in own) for own in spans.values()) and plan.bins == len(fills)
+
+
+def test_packing_of_sorted_input_is_plain_best_fit(spark):
+    # partitions hold one length each, and more of them than the former tree's nodes passed on
+    word = " word"
+    rows = [(i, word * (150 if i < 400 else 100 if i < 700 else 31)) for i in range(1000)]
+    df = spark.createDataFrame(spark.sparkContext.parallelize(rows, 10), "doc_id long, text string")
+    got = packing.pack(df, size=256, fan_in=3, max_open=20, local_pieces=50).collect()
+    assert len(got) == 1000
+    _, _, together = packing.best_fit([r.length for r in got], 256)
+    assert len({r.sequence_id for r in got}) == len(together)
+
+
 def test_best_fit_takes_the_tightest_gap():
     bins, offsets, fills = packing.best_fit([6, 5, 4, 3, 2], 10)
     assert fills == [10, 10] and bins == [0, 1, 0, 1, 1] and offsets == [0, 0, 6, 5, 8]
