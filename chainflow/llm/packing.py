@@ -9,9 +9,10 @@ length (its own partition's, after those of the partitions before) then says its
 sequence and offset.  No task holds the pieces, and the sequences are as many as plain
 best fit over all pieces makes.
 
-Tokens come from a byte-level BPE rank file (its path is a parameter); the ids
-equal those of the ``tokenizers`` library for the same vocabulary, with special
-strings in a text taken as ordinary text.  Each document ends in id ``end_id``.
+Tokens come from a byte-level BPE rank file (its path is a parameter); the ids of
+``pack`` equal those of the ``tokenizers`` library at its defaults for the same
+vocabulary: an added token's string in a text is its id.  Each document ends in id
+``end_id``.
 
 Defined cases: a null or empty text is its end id alone (one piece of length 1);
 repeated rows are packed each; a null doc_id stays null; extra input columns are
@@ -46,8 +47,24 @@ _SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!
 _SPLIT_SINGLE = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+"""
 
 
+def added_tokens(vocabulary: str | None) -> dict[str, int]:
+    """The added tokens of the vocabulary; a rank file of one's own has none."""
+    if vocabulary is not None:
+        return {}
+    import json
+
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        tokens = json.load(f)["added_tokens"]
+    if any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in tokens):
+        raise ValueError("added tokens that take in or depend on what is beside them")
+    return {t["content"]: t["id"] for t in tokens}
+
+
 def encoders(vocabulary: str | None):
-    """(any text, texts without neighbouring white space) encoders, once per worker."""
+    """(any text, texts without neighbouring white space, texts with added tokens) encoders and the
+    added tokens as bytes, once per worker."""
     cache = K.worker_cache()
     key = ("bpe", vocabulary)
     if key not in cache:
@@ -63,8 +80,11 @@ def encoders(vocabulary: str | None):
             path = vocabulary
         with open(path, "rb") as f:
             ranks = {base64.b64decode(t): int(i) for t, i in map(bytes.split, f)}
-        cache[key] = [tiktoken.Encoding(f"pack{i}", pat_str=p, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-                      for i, p in enumerate((_SPLIT, _SPLIT_SINGLE))]
+        added = added_tokens(vocabulary)
+        full, single = (tiktoken.Encoding(f"pack{i}", pat_str=p, mergeable_ranks=ranks, special_tokens=added)
+                        for i, p in enumerate((_SPLIT, _SPLIT_SINGLE)))
+        cache[key] = (full.encode_ordinary, single.encode_ordinary,
+                      lambda text: full.encode(text, allowed_special="all"), [t.encode() for t in added])
     return cache[key]
 
 
@@ -84,13 +104,17 @@ def plain_spacing(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return total[offsets[1:]] == total[offsets[:-1]]
 
 
-def token_ids(texts: pa.Array, vocabulary: str | None) -> Iterator[list[int]]:
-    full, single = encoders(vocabulary)
+def token_ids(texts: pa.Array, vocabulary: str | None, with_added: bool = False) -> Iterator[list[int]]:
+    """Ids of each text; ``with_added`` takes the strings of added tokens as those, otherwise they are ordinary text."""
+    full, single, special, added = encoders(vocabulary)
     for lo, rows, raw, offsets in K.slices(texts):
         plain = plain_spacing(raw, offsets)
         data = raw.tobytes()
+        some = with_added and any(t in data for t in added)
         for i in range(rows):
-            yield (single if plain[i] else full)(data[offsets[i]:offsets[i + 1]].decode("utf-8", "replace"))
+            text = data[offsets[i]:offsets[i + 1]]
+            encode = special if some and any(t in text for t in added) else single if plain[i] else full
+            yield encode(text.decode("utf-8", "replace"))
 
 
 def cut(ids: list[int], end_id: int, size: int) -> list[tuple[int, list[int]]]:
@@ -212,7 +236,7 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int
         types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()),
                  pa.int64(), pa.int64()]
         for batch in batches:
-            for key, ids in zip(batch.column(0).to_pylist(), token_ids(batch.column(1), vocabulary)):
+            for key, ids in zip(batch.column(0).to_pylist(), token_ids(batch.column(1), vocabulary, True)):
                 for k, (start, part) in enumerate(cut(ids, end_id, size)):
                     n = len(part)
                     rows.append((key, k, start, n, zlib.crc32(array.array("I", part).tobytes()),

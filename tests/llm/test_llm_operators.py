@@ -226,6 +226,24 @@ def test_ids_with_odd_white_space():
     assert list(packing.token_ids(pa.array(texts), None)) == [tok.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_ids_are_the_tokenizers_at_its_defaults(spark):
+    from tokenizers import Tokenizer
+    import public_tokenizers
+
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = [f"a {end} b", end, f" {end}{end}  {end} \n", f"<|endoftext{end}|>", f"a  {end}  b\n\n{end}c", "a  b", "plain text",
+             f"it{end}'s", "<|endoftext |>", f"é　{end}　é", "<|ENDOFTEXT|>", f"x{end}" * 300]
+    want = [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    assert want[0] == [64, 220, 50256, 275]
+    assert list(packing.token_ids(pa.array(texts), None, True)) == want
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {}
+    for r in sorted(packing.pack(df, size=64, with_ids=True).collect(), key=lambda r: r.piece):
+        got.setdefault(r.doc_id, []).extend(r.ids)
+    assert got == {i: [*ids, 2] for i, ids in enumerate(want)}
+
+
 # ---------------------------------------------------------------- WARC
 
 def pages(spark):
