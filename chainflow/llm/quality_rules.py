@@ -9,8 +9,10 @@ reference is above the threshold.  Texts that fail the base rule are rejected an
 no part of a reference.
 
 One pass over the texts makes a slim table of counts in the shared folder;
-references are one aggregate of it (a row per language, at most ``max_languages``
-of them, the most frequent) and become literals.  The texts are never shuffled.
+references are one aggregate of it, a table with a row per language.  Up to
+``LITERALS`` of them become literals; more are broadcast in blocks of about
+``BLOCK_LANGUAGES``, one after the other, each as one array that a text's distances are
+folded over.  The texts are never shuffled.
 
 Defined cases: a null text, like an empty one, has no words and fails the base rule;
 a null language takes part in no reference but is judged against all; with no
@@ -41,6 +43,8 @@ MIN_WORDS, MAX_REPEAT_PERCENT = 10, 20
 #: Guards and thresholds of the distances.
 MIN_CHARS, CHAR_DISTANCE = 100, 0.27
 MIN_COMMON, WORD_DISTANCE = 50, 0.36
+#: References written into the plan, and references of a broadcast block (about 600 bytes each).
+LITERALS, BLOCK_LANGUAGES = 64, 20_000
 
 SPACE = r"[\x20\x09-\x0D]+"
 
@@ -107,23 +111,21 @@ def base_counts(docs: DataFrame, text: str = "text") -> DataFrame:
         F.array(*(c.cast("long") for c in (*words, F.col("n_words") - F.col("_common")))).alias("word_counts"))
 
 
-def references(counts: DataFrame, lang: str = "lang", max_languages: int = 64) -> list[tuple[list[float], list[float]]]:
-    """(character, word) distributions of each language, smoothed by one count per bin."""
+def references(counts: DataFrame, lang: str = "lang") -> DataFrame:
+    """lang, chars, words: both distributions of every language, smoothed by one count per bin."""
     n_chars, n_words = 8, len(WORDS) + 1
-    rows = (counts.where(F.col(lang).isNotNull() & ~F.col("base_failed")).groupBy(lang)
-            .agg(F.count(F.lit(1)).alias("n"),
-                 *(F.sum(F.col("char_counts")[i]).alias(f"c{i}") for i in range(n_chars)),
-                 *(F.sum(F.col("word_counts")[i]).alias(f"w{i}") for i in range(n_words)))
-            .orderBy(F.desc("n"), lang).limit(max_languages).collect())
+    sums = (counts.where(F.col(lang).isNotNull() & ~F.col("base_failed")).groupBy(F.col(lang).alias("lang"))
+            .agg(F.array(*(F.sum(F.col("char_counts")[i]) + 1 for i in range(n_chars))).alias("chars"),
+                 F.array(*(F.sum(F.col("word_counts")[i]) + 1 for i in range(n_words))).alias("words")))
 
-    def shares(row, prefix, n):
-        values = [row[f"{prefix}{i}"] + 1 for i in range(n)]
-        return [v / sum(values) for v in values]
+    def shares(column: str) -> Column:
+        total = F.aggregate(column, F.lit(0).cast("long"), lambda a, x: a + x)
+        return F.transform(column, lambda x: x / total).alias(column)
 
-    return [(shares(r, "c", n_chars), shares(r, "w", n_words)) for r in rows]
+    return C.written(sums.select("lang", shares("chars"), shares("words")), "references")
 
 
-def js_distance(counts: Column, reference: list[float]) -> Column:
+def js_distance(counts: Column, reference: list[float] | Column) -> Column:
     """Jensen-Shannon distance (base 2, 0 to 1) of a count array from a distribution without zeros."""
     total = F.aggregate(counts, F.lit(0).cast("long"), lambda a, x: a + x)
 
@@ -132,21 +134,35 @@ def js_distance(counts: Column, reference: list[float]) -> Column:
         m = (p + q) / 2
         return F.when(x > 0, p * F.log2(p / m)).otherwise(F.lit(0.0)) + q * F.log2(q / m)
 
-    parts = F.zip_with(counts, F.array(*map(F.lit, reference)), term)
+    parts = F.zip_with(counts, reference if isinstance(reference, Column) else F.array(*map(F.lit, reference)), term)
     return F.sqrt(F.greatest(F.aggregate(parts, F.lit(0.0), lambda a, x: a + x) / 2, F.lit(0.0)))
 
 
-def judge(counts: DataFrame, refs: list[tuple[list[float], list[float]]]) -> DataFrame:
-    """``counts`` with char_distance, word_distance (to the nearest reference; null below the guards) and kept."""
-    def nearest(column: str, which: int, enough: Column) -> Column:
-        found = [js_distance(F.col(column), r[which]) for r in refs]
-        if not found:
-            return F.lit(None).cast("double")
-        return F.when(enough, F.least(*found) if len(found) > 1 else found[0])
+def folded(column: str, which: str):
+    return lambda r: js_distance(F.col(column), r[which])
+
 
+def judge(counts: DataFrame, refs: DataFrame) -> DataFrame:
+    """``counts`` with char_distance, word_distance (to the nearest reference; null below the guards) and kept."""
     size = F.aggregate("char_counts", F.lit(0).cast("long"), lambda a, x: a + x)
-    far = counts.withColumn("char_distance", nearest("char_counts", 0, size >= MIN_CHARS)).withColumn(
-        "word_distance", nearest("word_counts", 1, F.col("n_words") >= MIN_COMMON))
+    sides = (("char_distance", "char_counts", "chars", size >= MIN_CHARS),
+             ("word_distance", "word_counts", "words", F.col("n_words") >= MIN_COMMON))
+    far, many = counts, refs.count()
+    if many <= LITERALS:
+        rows = refs.collect()
+        for name, column, which, enough in sides:
+            found = [js_distance(F.col(column), r[which]) for r in rows]
+            far = far.withColumn(name, F.when(enough, F.least(*found) if len(found) > 1 else found[0])
+                                 if found else F.lit(None).cast("double"))
+    else:
+        far = far.select("*", *(F.lit(None).cast("double").alias(name) for name, *_ in sides))
+        blocks = -(-many // BLOCK_LANGUAGES)
+        for b in range(blocks):
+            block = (refs.where(F.pmod(F.xxhash64("lang"), F.lit(blocks)) == b)
+                     .agg(F.collect_list(F.struct("chars", "words")).alias("_refs")))
+            far = far.crossJoin(F.broadcast(block)).withColumns({name: F.when(enough, F.least(name, F.array_min(F.transform(
+                "_refs", folded(column, which))))) for name, column, which, enough in sides}
+            ).drop("_refs")
     bad = F.coalesce(F.col("char_distance") > CHAR_DISTANCE, F.lit(False)) | F.coalesce(
         F.col("word_distance") > WORD_DISTANCE, F.lit(False))
     return far.withColumn("kept", ~F.col("base_failed") & ~bad)

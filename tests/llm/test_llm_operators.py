@@ -64,6 +64,30 @@ def test_divergence_rejects_what_is_unlike_every_language(spark):
     assert rows[902].base_failed and rows[902].char_distance is None and rows[902].word_distance is None
 
 
+@pytest.mark.parametrize("block", (20_000, 9))
+def test_every_language_has_a_reference(spark, monkeypatch, block):
+    import duckdb
+    from chainflow.llm.queries import ORACLES
+
+    monkeypatch.setattr(quality_rules, "BLOCK_LANGUAGES", block)
+    rng = random.Random(8)
+    words = [*quality_rules.COMMON_WORDS["en"], *plain.vocabulary(1, 80)]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(70)), f"l{i // 2:02}") for i in range(140)]
+    # rare languages whose own reference alone is near
+    rows += [(200 + k, " ".join("".join(rng.choice(a) for _ in range(5)) for _ in range(600)), lang)
+             for k, (a, lang) in enumerate((("чшщжю", "ru"), ("0123456789", "num"), ("чшщжю", None)))]
+    rows += [(300, "%%% " * 5 + " ".join(f"{i}$%&|" for i in range(70)), None), (301, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = quality_rules.quality_rules(df).collect()
+    documents = pa.table(dict(zip(("doc_id", "text", "lang"), map(list, zip(*rows)))))
+    con = duckdb.connect()
+    con.register("documents", documents)
+    names = [d[0] for d in con.execute(ORACLES["op1_quality_rules"]).description]
+    assert sorted(tuple(r[n] for n in names) for r in got) == sorted(con.fetchall())
+    kept = {r.doc_id: r.kept for r in got}
+    assert (kept[200], kept[201], kept[202], kept[300]) == (True, True, True, False), [r for r in got if (r.doc_id or 0) >= 200]
+
+
 def test_js_distance_is_the_textbook_one(spark):
     counts, q = [3, 0, 5, 2], [0.1, 0.2, 0.3, 0.4]
     p = np.array(counts) / 10
