@@ -11,10 +11,10 @@ the shortest code wins; ``score`` is its share when code lengths are taken as
 probabilities.
 
 Fitting uses at most ``train_rows`` whole texts of each language (those with the
-lowest hash of their id), outside the held-out fold, from at most ``max_languages``
-languages (the most frequent); both are documented bounds.  Contexts are counted
-by Spark; the compiled table is what those texts hold and is broadcast.  Every
-row is predicted from its whole text.
+lowest hash of their id), outside the held-out fold; a documented bound.  Contexts are
+counted by Spark; the compiled table is what those texts hold and is broadcast.  Where
+it could pass ``MAX_TABLE_BYTES``, languages are compiled in blocks, which score a batch one
+after the other.  Every row is predicted from its whole text.
 
 Defined cases: a null text, an empty one or one without a letter is ``und`` with
 score 0; ties go to the language first in order; with nothing to learn from all
@@ -25,6 +25,7 @@ predicted alike; extra columns are ignored.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,9 @@ from . import kernels as K
 ORDER = 3
 FOLDS, HELD = 4, 2
 TRAIN_ROWS = 300
-MAX_LANGUAGES = 64
+#: Of a compiled table, by the grams counted.
+MAX_TABLE_BYTES = 64 << 20
+MAX_BROADCAST_ROWS = 200_000
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -132,40 +135,79 @@ class Trees:
                 total[:, j] += np.bincount(doc[last], weights=bits[inverse, j], minlength=n)
         return total
 
-    def predict(self, texts: pa.Array) -> tuple[list[str], list[float]]:
-        names, scores = [], []
+    def best(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Per text: the first language of the least bits, those, and the sum of all probabilities over its own."""
+        found = []
         limit = max(1 << 16, K.CHUNK_BYTES * 8 // max(8, len(self.languages)))
         for lo, rows, raw, offsets in K.slices(texts, limit):
-            bits = self.lengths(raw, offsets) if self.languages else None
-            data = raw.tobytes()
-            for i in range(rows):
-                if bits is None or not _LETTER.search(data[offsets[i]:offsets[i + 1]].decode("utf-8", "replace")):
-                    names.append("und")
-                    scores.append(0.0)
-                    continue
-                best = int(np.argmin(bits[i]))
-                names.append(self.languages[best])
-                scores.append(float(1 / np.exp2(np.maximum(bits[i][best] - bits[i], -1000)).sum()))
-        return names, scores
+            bits = self.lengths(raw, offsets)
+            least = bits.min(axis=1)
+            found.append((np.array(self.languages, object)[bits.argmin(axis=1)], least,
+                          np.exp2(np.maximum(least[:, None] - bits, -1000)).sum(axis=1)))
+        return tuple(map(np.concatenate, zip(*found)))
+
+    def predict(self, texts: pa.Array) -> tuple[list[str], list[float]]:
+        return predict([self] if self.languages else [], texts)
+
+
+def predict(blocks: Iterable[Trees], texts: pa.Array) -> tuple[list[str], list[float]]:
+    """Language and score of every text over all blocks, whose languages are in order."""
+    best = None
+    for trees in blocks:
+        new = trees.best(texts)
+        if best is None:
+            best = new
+            continue
+        least = np.minimum(best[1], new[1])
+        mass = sum(m * np.exp2(np.maximum(least - bits, -1000)) for _, bits, m in (best, new))
+        best = np.where(new[1] < best[1], new[0], best[0]), least, mass
+    letters = []
+    for lo, rows, raw, offsets in K.slices(texts):
+        data = raw.tobytes()
+        letters += [bool(_LETTER.search(data[offsets[i]:offsets[i + 1]].decode("utf-8", "replace"))) for i in range(rows)]
+    if best is None:
+        return ["und"] * len(letters), [0.0] * len(letters)
+    return ([x if good else "und" for x, good in zip(best[0], letters)],
+            [float(1 / m) if good else 0.0 for m, good in zip(best[2], letters)])
+
+
+class Blocks:
+    """Trees of blocks of languages, compiled one after the other."""
+
+    def __init__(self, grams: DataFrame, blocks: list[list[str]], order: int):
+        self.grams, self.blocks, self.order = grams, blocks, order
+
+    def __iter__(self) -> Iterator[Trees]:
+        for languages in self.blocks:
+            got = (self.grams.where(F.col("lang").isin(languages)).toArrow()
+                   .sort_by([("lang", "ascending"), ("length", "ascending"), ("gram", "ascending")]))
+            names, lengths = np.array(got["lang"].to_pylist(), object), got["length"].to_numpy()
+            gram, number = got["gram"].to_numpy(), got["count"].to_numpy()
+            counts: dict[int, dict[str, tuple]] = {}
+            for k in range(1, self.order + 2):
+                for name in languages:
+                    own = (lengths == k) & (names == name)
+                    counts.setdefault(k, {})[name] = (gram[own], number[own])
+            yield Trees(languages, counts, self.order)
 
 
 def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", order: int = ORDER,
-          train_rows: int = TRAIN_ROWS, max_languages: int = MAX_LANGUAGES) -> Trees:
-    """Trees of the languages in ``lang``, from a bounded sample outside the held-out fold."""
+          train_rows: int = TRAIN_ROWS) -> Trees | Blocks:
+    """Trees of all languages in ``lang``, from a bounded sample of each outside the held-out fold."""
     rows = (docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"),
                         F.col(lang).cast("string").alias("lang"))
             .where("doc_id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL")
             .where(C.crc_fold("doc_id", FOLDS) != HELD))
-    sizes = {r.lang: r["count"] for r in rows.groupBy("lang").count()
-             .orderBy(F.desc("count"), "lang").limit(max_languages).collect()}
-    languages = sorted(sizes)
+    sizes = C.written(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")), "languages")
+    languages = sorted(r.lang for r in sizes.select("lang").collect())
     if not languages:
         return Trees([], {}, order)
+    if len(languages) <= MAX_BROADCAST_ROWS:
+        sizes = F.broadcast(sizes)
     # Ids hash evenly: a threshold per language lets about twice the wanted rows through to the exact choice.
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
-    limits = F.create_map(*(F.lit(x) for name in languages for x in (
-        name, int((1 << 30) * min(1.0, (2 * train_rows + 200) / sizes[name])))))
-    chosen = (rows.where(F.col("lang").isin(languages)).where(place < limits[F.col("lang")])
+    limit = ((1 << 30) * F.least(F.lit(1.0), F.lit(2 * train_rows + 200.0) / F.col("rows"))).cast("long")
+    chosen = (rows.join(sizes, "lang").where(place < limit)
               .withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy(place, "doc_id", "text")))
               .where(F.col("n") <= train_rows).select("lang", "text"))
 
@@ -184,27 +226,29 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
                     out["count"] += c.tolist()
         return out
 
-    got = (C.map_arrow(chosen, count, C.take("lang string, length int, gram long, count long"))
-           .groupBy("lang", "length", "gram").agg(F.sum("count").alias("count")).toArrow()
-           .sort_by([("lang", "ascending"), ("length", "ascending"), ("gram", "ascending")]))
-    names, lengths = np.array(got["lang"].to_pylist(), object), got["length"].to_numpy()
-    gram, number = got["gram"].to_numpy(), got["count"].to_numpy()
-    counts: dict[int, dict[str, tuple]] = {}
-    for k in range(1, order + 2):
-        for name in languages:
-            own = (lengths == k) & (names == name)
-            counts.setdefault(k, {})[name] = (gram[own], number[own])
-    return Trees(languages, counts, order)
-
-
-def identify(docs: DataFrame, trees: Trees, text: str = "text") -> DataFrame:
+    grams_of = C.written(C.map_arrow(chosen, count, C.take("lang string, length int, gram long, count long"))
+                         .groupBy("lang", "length", "gram").agg(F.sum("count").alias("count")), "grams")
+    held = {r.lang: r["count"] for r in grams_of.groupBy("lang").count().collect()}
+    blocks, total = [[]], 0
+    for name in languages:
+        total += held.get(name, 0)
+        if blocks[-1] and total * (len(blocks[-1]) + 1) * 16 > MAX_TABLE_BYTES:
+            blocks.append([])
+            total = held.get(name, 0)
+        blocks[-1].append(name)
+    trees = Blocks(grams_of, blocks, order)
+    return next(iter(trees)) if len(blocks) == 1 else trees
+
+
+def identify(docs: DataFrame, trees: Trees | Blocks, text: str = "text") -> DataFrame:
     """``docs`` with lang_pred and score."""
     docs = C.without(docs, ["lang_pred", "score"])
     at, names = docs.columns.index(text), docs.columns
-    shared = C.Shared(docs.sparkSession, trees)
+    blocks = trees if isinstance(trees, Blocks) else [trees] if trees.languages else []
+    shared = [C.Shared(docs.sparkSession, t) for t in blocks]
 
     def run(batch: pa.RecordBatch) -> dict:
-        found, scores = shared.value.predict(batch.column(at))
+        found, scores = predict((s.value for s in shared), batch.column(at))
         return dict(zip(names, batch.columns)) | {"lang_pred": found, "score": scores}
 
     return C.map_arrow(docs, run, type(docs.schema)(

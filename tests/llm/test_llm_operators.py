@@ -558,6 +558,24 @@ def test_language_edges(spark, edge, none):
     assert {r.lang_pred for r in language.identify(edge, empty).collect()} == {"und"}
 
 
+def test_every_language_is_learned(spark, monkeypatch):
+    rng = random.Random(4)
+    words = {f"l{k:02}": plain.vocabulary(k, 12) for k in range(70)}
+    rows = [(i, " ".join(rng.choice(words[k]) for _ in range(15)), k)
+            for i, k in enumerate(k for k in words for _ in range(8 if k == "l69" else 12))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(4)
+    whole = language.train(docs)
+    assert isinstance(whole, language.Trees) and whole.languages == sorted(words)
+    want = {r.doc_id: (r.lang_pred, r.score) for r in language.identify(docs, whole).collect()}
+    assert all(want[i][0] == k for i, _, k in rows)
+    monkeypatch.setattr(language, "MAX_TABLE_BYTES", 1 << 20)
+    blocks = language.train(docs)
+    assert len(blocks.blocks) > 2
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language.identify(docs, blocks).collect()}
+    assert {k: v[0] for k, v in got.items()} == {k: v[0] for k, v in want.items()}
+    assert all(got[k][1] == pytest.approx(want[k][1]) for k in want)
+
+
 def test_training_sample_is_bounded(spark):
     docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("abc").alias("text"), F.lit("en").alias("lang"))
     trees = language.train(docs, train_rows=50)
