@@ -13,6 +13,7 @@ from . import decontaminate as dec
 from . import jaccard_join as jac
 from . import language
 from . import packing
+from . import periodic_runs as periodic
 from . import quality
 from . import quality_rules as rules
 from . import resharding
@@ -298,3 +299,32 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     if len(moved) < resharding.SHARDS:
         found = found.unionByName(placed.where(~F.col("shard").isin(moved)).select(*columns))
     return found
+
+
+def planted_runs(docs: DataFrame) -> DataFrame:
+    """``documents`` whose texts repeat a stretch of their words, wherever the id's checksum ends in 0."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    chosen = (docs.withColumn("_h", h)
+              .withColumn("_w", F.when(F.col("_h") % 10 == 0, F.expr(
+                  r"filter(split(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), x -> x <> '')")))
+              .withColumn("_n", F.size("_w")).withColumn("_g", F.expr("_h div 10"))
+              .withColumn("_a", F.expr("CASE WHEN _n > 0 THEN cast(_g % _n AS int) END"))
+              .withColumn("_p", F.expr("cast(1 + (_n - _a) div (3 + _g % 8) AS int)")))
+    return chosen.select("doc_id", F.expr(
+        "CASE WHEN _n > 0 THEN concat_ws(' ', slice(_w, 1, _a), "
+        "transform(sequence(_a, _n - 1), i -> _w[_a + (i - _a) % _p])) ELSE text END").alias("text"))
+
+
+@query("op11_periodic_runs")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of words of every document, its most repetitive one, and digests of all runs and of the collapsed text."""
+    docs = planted_runs(C.read(spark, sf_dir, "documents").select("doc_id", "text"))
+    best = F.col("best")
+    return (periodic.find_runs(docs).withColumn("best", periodic.longest(F.col("runs"))).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"),
+        best["length"].alias("length"), best["period"].alias("period"),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", lambda r: F.concat(
+            F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")),
+            F.lit("\n"))), "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256")))
