@@ -98,6 +98,21 @@ def without(df: DataFrame, names: list[str]) -> DataFrame:
     return df.select([F.col(f"`{c}`") for c in df.columns if c.lower() not in clash])
 
 
+def attach(rows: DataFrame, table: DataFrame, key: str, copies: str, most: int = 50_000) -> DataFrame:
+    """``rows`` with the other columns of ``table``, which has each key of ``rows`` once and its number of rows, ``copies``.
+
+    Keys that hold more than one in ``most`` of all rows are fewer than ``most``; they are broadcast.  The others are shuffled,
+    and none of them can fill a task.
+    """
+    total = table.agg(F.sum(copies)).first()[0] or 0
+    hot = F.col(copies) > max(100, total // most)
+    columns = [*rows.columns, *(c for c in table.columns if c not in (key, copies))]
+    heavy = F.broadcast(table.where(hot).drop(copies))
+    light = table.where(~hot).drop(copies)
+    return (rows.join(heavy, key).select(*columns)
+            .unionByName(rows.join(heavy, key, "left_anti").join(light, key).select(*columns)))
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

@@ -18,6 +18,7 @@ from . import quality
 from . import quality_rules as rules
 from . import resharding
 from . import secrets
+from . import simhash_trees as simhash
 from . import warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -328,3 +329,11 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")),
             F.lit("\n"))), "").cast("binary"), 256).alias("runs_sha256"),
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256")))
+
+
+@query("op13_simhash_near_dedup")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents whose fingerprints differ in at most three bits."""
+    docs = C.read(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.near_components(docs).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
