@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chat
+from . import collocations
 from . import common as C
 from . import decontaminate as dec
 from . import jaccard_join as jac
@@ -337,3 +338,41 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = C.read(spark, sf_dir, "documents").select("doc_id", "text")
     return simhash.near_components(docs).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+OP12_SQL = r"""
+WITH pieces AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM pieces GROUP BY lang),
+grams AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS g
+  FROM (SELECT lang, w, k, unnest(generate_series(1, len(w) - k + 1)) AS i
+        FROM pieces, (SELECT unnest([1, 2, 3, 4, 5]) AS k) WHERE len(w) >= k)),
+f AS (SELECT lang, k, g, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 100),
+parts AS (SELECT lang, k, g, f, string_split(g, ' ') AS w FROM f WHERE k > 1),
+cuts AS (
+  SELECT p.lang, p.g, p.f AS a, p.c, x.f AS l, y.f AS r, total.n,
+         CAST(CAST(1000 AS HUGEINT) * p.f * total.n // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+  FROM (SELECT *, unnest(generate_series(1, k - 1)) AS c FROM parts) p
+  JOIN f x ON x.lang = p.lang AND x.g = array_to_string(p.w[1:p.c], ' ')
+  JOIN f y ON y.lang = p.lang AND y.g = array_to_string(p.w[p.c + 1:p.k], ' ')
+  JOIN total ON total.lang = p.lang),
+weak AS (SELECT *, row_number() OVER (PARTITION BY lang, g ORDER BY score, c) AS nth FROM cuts),
+inside AS (
+  SELECT lang, array_to_string(w[i:i + size - 1], ' ') AS g, max(f) AS f
+  FROM (SELECT lang, w, f, size, unnest(generate_series(1, k - size + 1)) AS i
+        FROM (SELECT *, unnest(generate_series(2, k - 1)) AS size FROM parts WHERE k > 2)) GROUP BY ALL),
+ranked AS (
+  SELECT weak.*, row_number() OVER (PARTITION BY weak.lang ORDER BY score DESC, a DESC, weak.g) AS rank
+  FROM weak LEFT JOIN inside ON inside.lang = weak.lang AND inside.g = weak.g
+  WHERE nth = 1 AND (inside.f IS NULL OR inside.f < a))
+SELECT lang, rank, g AS phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+"""
+
+
+@query("op12_collocation_mining", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The strongest phrases of two to five words of every language, from all documents."""
+    return collocations.collocations(C.read(spark, sf_dir, "documents").select("text", "lang"))
