@@ -209,22 +209,23 @@ def number_texts(docs: DataFrame, words: DataFrame, n_words: int, text: str = "t
 class Trie:
     """Double-array trie of phrases of equal length: the child of state s by symbol c is ``base[s] + c`` if ``check`` there is s.
 
-    Symbols are places in ``alphabet`` from 1; state 0 is the root.  ``number`` has the phrase of an accepting state, else -1.
+    ``symbol`` has the symbols of the words in ``alphabet``, from 1; words with many parents have low ones, so that the
+    children of a wide node lie close together.  State 0 is the root.  ``number`` has the phrase of an accepting state, else -1.
     """
 
-    TRIES = 24
+    WINDOW = 1 << 14
 
     def __init__(self, phrases: np.ndarray, numbers: np.ndarray):
         self.words = phrases.shape[1]
-        self.alphabet = np.unique(phrases)
-        a = len(self.alphabet)
-        phrases = np.searchsorted(self.alphabet, phrases) + 1
+        self.alphabet, at, uses = np.unique(phrases, return_inverse=True, return_counts=True)
+        a, m = len(self.alphabet), len(phrases)
+        self.symbol = np.empty(a, np.int32)
+        self.symbol[np.argsort(-uses, kind="stable")] = np.arange(1, a + 1)
+        phrases = self.symbol[at.reshape(phrases.shape)].astype(np.int64)
         order = np.lexsort(phrases.T[::-1])
         phrases, numbers = phrases[order], numbers[order]
-        m = len(phrases)
-        self.base = np.zeros(2 * a + 2 * m + 2, np.int64)
-        self.check = np.full(len(self.base), -1, np.int64)
-        self.end = a + 1  # symbols of the root's children come first
+        self.base = np.zeros(a + 1, np.int64)
+        self.check = np.full(a + 1, -1, np.int64)  # the root's children come first
         new = np.zeros(m, bool)
         new[:1] = True
         state = np.zeros(m, np.int64)
@@ -238,11 +239,10 @@ class Trie:
             here = self.base[parents] + symbols
             self.check[here] = parents
             state = here[np.cumsum(new) - 1]
-            self.end = max(self.end, int(here.max(initial=0)) + 1)
-        size = self.end + a + 1
-        self._reserve(size)
-        self.base, self.check = self.base[:size].astype(np.int32), self.check[:size].astype(np.int32)
-        self.number = np.full(size, -1, np.int32)
+        end = int(np.flatnonzero(self.check >= 0).max(initial=0)) + a + 2  # any symbol of any state stays inside
+        self._reserve(end)
+        self.base, self.check = self.base[:end].astype(np.int32), self.check[:end].astype(np.int32)
+        self.number = np.full(end, -1, np.int32)
         self.number[state] = numbers
 
     @classmethod
@@ -255,41 +255,46 @@ class Trie:
     def _reserve(self, size: int) -> None:
         more = size - len(self.base)
         if more > 0:
-            self.base = np.concatenate([self.base, np.zeros(more + size // 2, np.int64)])
-            self.check = np.concatenate([self.check, np.full(more + size // 2, -1, np.int64)])
+            more += len(self.base) // 2
+            self.base = np.concatenate([self.base, np.zeros(more, np.int64)])
+            self.check = np.concatenate([self.check, np.full(more, -1, np.int64)])
 
     def _place(self, parents: np.ndarray, symbols: np.ndarray) -> None:
-        """Bases for parents (grouped, symbols ascending): wide nodes look for gaps, single children fill what is left."""
-        first = np.concatenate(([True], parents[1:] != parents[:-1]))
-        heads = np.flatnonzero(first)
+        """Bases for parents (grouped, symbols ascending): the widest first, each at its first fit; single children fill gaps."""
+        heads = np.flatnonzero(np.concatenate(([True], parents[1:] != parents[:-1])))
         sizes = np.diff(np.append(heads, len(parents)))
-        floor = len(self.alphabet) + 1
-        for i in np.flatnonzero(sizes > 1)[np.argsort(-sizes[sizes > 1], kind="stable")].tolist():
+        a = len(self.alphabet)
+        many = np.flatnonzero(sizes > 1)
+        start, width = 0, 0
+        taken = self.check >= 0
+        taken[:a + 1] = True
+        for i in many[np.argsort(-sizes[many], kind="stable")].tolist():
             mine = symbols[heads[i]:heads[i] + sizes[i]]
-            self._reserve(self.end + len(self.alphabet) + 2)
-            free = np.flatnonzero(self.check[floor:self.end] == -1)[:self.TRIES] + floor
-            base = self.end - mine[0]
-            for f in free.tolist():
-                if (self.check[f - mine[0] + mine] == -1).all():
-                    base = f - mine[0]
+            if len(mine).bit_length() != width:  # narrower nodes look again from the left
+                start, width = 0, len(mine).bit_length()
+            while True:
+                if start + self.WINDOW + a + 1 > len(taken):
+                    taken = np.concatenate([taken, np.zeros(len(taken) + self.WINDOW, bool)])
+                blocked = taken[start + mine[0]:start + mine[0] + self.WINDOW].copy()
+                for c in mine[1:].tolist():
+                    blocked |= taken[start + c:start + c + self.WINDOW]
+                at = int(blocked.argmin())
+                if not blocked[at]:
                     break
-            self.base[parents[heads[i]]] = base
-            self.check[base + mine] = parents[heads[i]]
-            self.end = max(self.end, int(base + mine[-1]) + 1)
-            if len(free) == self.TRIES and base != free[0] - mine[0]:
-                floor = int(free[self.TRIES // 2])  # gaps that keep being too small
+                start += self.WINDOW
+            self.base[parents[heads[i]]] = start + at
+            taken[start + at + mine] = True
         single = heads[sizes == 1]
-        self._reserve(self.end + len(single) + len(self.alphabet) + 2)
-        free = np.flatnonzero(self.check[len(self.alphabet) + 1:] == -1)[:len(single)] + len(self.alphabet) + 1
+        free = np.flatnonzero(~taken)[:len(single)]
+        free = np.concatenate([free, len(taken) + np.arange(len(single) - len(free))])
         self.base[parents[single]] = free - symbols[single]
-        self.check[free] = parents[single]
-        if len(free):
-            self.end = max(self.end, int(free[-1]) + 1)
+        last = int((self.base[parents] + symbols).max(initial=0))
+        self._reserve(last + 1)
 
     def accepted(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(positions, numbers) of all phrases in a stream that ends with 0."""
         at = np.minimum(np.searchsorted(self.alphabet, ids), max(0, len(self.alphabet) - 1))
-        symbols = np.where(self.alphabet[at] == ids, at + 1, 0) if len(self.alphabet) else np.zeros(len(ids), np.int64)
+        symbols = np.where(self.alphabet[at] == ids, self.symbol[at], 0) if len(self.alphabet) else np.zeros(len(ids), np.int64)
         symbols = np.append(symbols, np.zeros(self.words, np.int64))
         where = np.flatnonzero(symbols)
         state = np.zeros(len(where), np.int64)
