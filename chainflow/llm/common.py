@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .kernels import worker_cache
+from .kernels import slices, worker_cache
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -88,6 +88,25 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], schema
     return df.mapInArrow(run, schema)
 
 
+def map_slices(df: DataFrame, text: str, fn: Callable[[pa.RecordBatch], dict | None], schema: T.StructType) -> DataFrame:
+    """``map_arrow`` over slices of batches that hold about ``CHUNK_BYTES`` of column ``text``."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    arrow = to_arrow_schema(schema)
+    at = df.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, rows, _, _ in slices(batch.column(at)):
+                cols = fn(batch.slice(lo, rows))
+                if cols is not None:
+                    yield pa.RecordBatch.from_arrays(
+                        [c if isinstance(c := cols[f.name], pa.Array) and c.type == f.type
+                         else pa.array(c, f.type, from_pandas=False) for f in arrow], schema=arrow)
+
+    return df.mapInArrow(run, schema)
+
+
 def take(schema: str) -> T.StructType:
     return T._parse_datatype_string(schema)
 

@@ -39,26 +39,47 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(33))
 
 
-def _tables(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per-byte random values, powers of the base and of its inverse up to n."""
+#: Bytes of a word that are hashed at once.
+_BLOCK = 1 << 12
+
+
+def _tables() -> tuple[np.ndarray, np.ndarray]:
+    """Per-byte random values, and the base's powers for a block."""
     cache = worker_cache()
-    got = cache.get("powers")
-    if got is None or len(got[1]) < n:
-        size = 1 << max(21, int(n).bit_length())
-        base, inv = _BASE, pow(_BASE, -1, 1 << 64)
+    if "powers" not in cache:
+        powers = np.ones(_BLOCK, _U)
         with np.errstate(over="ignore"):
-            def powers(b: int) -> np.ndarray:
-                out = np.empty(size, _U)
-                out[0] = 1
-                done = 1
-                while done < size:
-                    k = min(done, size - done)
-                    out[done:done + k] = out[:k] * _U(pow(b, done, 1 << 64))
-                    done += k
-                return out
-            rnd = mix64(np.arange(1, 257, dtype=_U) * _U(0xD6E8FEB86659FD93))
-            got = cache["powers"] = (rnd, powers(base), powers(inv))
-    return got
+            powers[1:] = _U(_BASE)
+            cache["powers"] = (mix64(np.arange(1, 257, dtype=_U) * _U(0xD6E8FEB86659FD93)), np.cumprod(powers))
+    return cache["powers"]
+
+
+def _word_hashes(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Per word the sum of its bytes' values times the base's power of their place in the word.
+
+    ``values`` has those of all bytes, or of the words' bytes alone.
+    """
+    if not len(starts):
+        return np.zeros(0, _U)
+    powers = _tables()[1]
+    if int(sizes.max()) <= _BLOCK:
+        cuts = np.cumsum(sizes)
+        heads = cuts - sizes
+        if len(values) != cuts[-1]:
+            values = values[np.arange(int(cuts[-1])) + np.repeat(starts - heads, sizes)]
+        place = np.arange(int(cuts[-1]), dtype=np.int32) - np.repeat(heads.astype(np.int32), sizes)
+        return np.add.reduceat(values * powers[place], heads)
+    out = np.empty(len(starts), _U)
+    short = sizes <= _BLOCK
+    out[short] = _word_hashes(values, starts[short], sizes[short])
+    for i in np.flatnonzero(~short).tolist():
+        total, factor, step = 0, 1, pow(_BASE, _BLOCK, 1 << 64)
+        for lo in range(int(starts[i]), int(starts[i] + sizes[i]), _BLOCK):
+            part = values[lo:min(lo + _BLOCK, int(starts[i] + sizes[i]))]
+            total += factor * int((part * powers[:len(part)]).sum(dtype=_U))
+            factor = factor * step % (1 << 64)
+        out[i] = total % (1 << 64)
+    return out
 
 
 def byte_class(pattern_bytes: bytes, lower_ascii: bool = True) -> tuple[np.ndarray, np.ndarray]:
@@ -117,11 +138,11 @@ class Words:
         self.per_doc = np.diff(self.first)
         self.doc = np.repeat(np.arange(n_docs), self.per_doc)
         if hashed:
-            rnd, up, down = _tables(size + 1)
-            total = np.zeros(size + 1, _U)
-            np.cumsum(rnd[fold][raw] * up[:size], out=total[1:])
-            h = (total[self.ends] - total[self.starts]) * down[self.starts]
-            self.hash = mix64(h + (self.ends - self.starts).astype(_U) * _U(0xA24BAED4963EE407))
+            sizes = self.ends - self.starts
+            value = _tables()[0][fold]
+            alone = int(sizes.max(initial=0)) <= _BLOCK
+            h = _word_hashes(value[raw[isw[1:-1]] if alone else raw], self.starts, sizes)
+            self.hash = mix64(h + sizes.astype(_U) * _U(0xA24BAED4963EE407))
         else:
             self.hash = None
 

@@ -4,10 +4,11 @@ Every text version is content-addressed (SHA-256).  The ledger is a folder of
 Parquet files with one row per (blob, rule, rule version) that has been scanned,
 with its spans; blobs without a finding are recorded too.  A scan
 
-1. addresses all versions and leaves one row per blob (map-side first, so a text
-   that fills a third of the table crosses the network once per task),
+1. addresses all versions and counts their digests; texts stay where they are,
 2. drops the (blob, rule version) pairs that the ledger already has,
-3. scans each remaining blob once, with only the rules that it lacks,
+3. scans each remaining blob once, with only the rules that it lacks: a blob of one path in place, one of
+   several paths after they were brought together (map-side first, so a text that fills
+   a third of the table crosses the network once per task),
 4. writes the new rows as one committed batch, and
 5. joins findings back to every path that holds the blob.
 
@@ -58,6 +59,7 @@ _FIRST_LOOK = {
     "access": re.compile("AKIA"), "hex": re.compile(r"[0-9a-f]{32}"),
 }
 MAX_BROADCAST_BYTES = 32 << 20
+MAX_BROADCAST_BLOBS = 500_000
 
 LEDGER = "blob string, kind string, version int, spans array<struct<start:int,end:int>>"
 
@@ -79,44 +81,49 @@ def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
         return spark.createDataFrame([], C.take(LEDGER))
 
 
-def update_ledger(versions: DataFrame, ledger: str, content: str = "content",
-                  rules: tuple[Rule, ...] = RULES) -> DataFrame:
+def _blob(content: str):
+    return F.unhex(F.sha2(F.coalesce(F.col(content).cast("string"), F.lit("")).cast("binary"), 256))
+
+
+def update_ledger(versions: DataFrame, ledger: str, content: str = "content", rules: tuple[Rule, ...] = RULES,
+                  max_broadcast_blobs: int = MAX_BROADCAST_BLOBS) -> DataFrame:
     """Scan what the ledger lacks and add it; returns the pairs scanned now (blob, kind, version, spans)."""
     spark = versions.sparkSession
-    body = F.coalesce(F.col(content).cast("string"), F.lit(""))
-    blobs = (versions.select(F.sha2(body.cast("binary"), 256).alias("blob"), body.alias("content"))
-             .groupBy("blob").agg(F.first("content").alias("content")))
-    have = (read_ledger(spark, ledger).groupBy("blob")
-            .agg(F.collect_set(F.concat_ws("@", "kind", "version")).alias("have")))
     want = [f"{r.kind}@{r.version}" for r in rules]
-    lacking = (blobs.join(have, "blob", "left")
-               .withColumn("lacks", F.array_except(F.array(*map(F.lit, want)),
-                                                   F.coalesce("have", F.array().cast("array<string>"))))
-               .where(F.size("lacks") > 0).select("blob", "content", "lacks"))
+    have = (read_ledger(spark, ledger).groupBy(F.unhex("blob").alias("blob"))
+            .agg(F.collect_set(F.concat_ws("@", "kind", "version")).alias("have")))
+    addressed = versions.select(_blob(content).alias("blob"),
+                                F.coalesce(F.col(content).cast("string"), F.lit("")).alias("content"))
+    lacks = F.array_except(F.array(*map(F.lit, want)), F.coalesce("have", F.array().cast("array<string>")))
+    # digests are dealt out, texts are not: most blobs have one path and lack every rule, and are scanned where they lie
+    others = C.written(addressed.groupBy("blob").count().join(have, "blob", "left").withColumn("lacks", lacks)
+                       .where((F.col("count") > 1) | (F.size("lacks") < len(want))).select("blob", "lacks"), "others")
+    few = others.count() <= max_broadcast_blobs
+    listed = F.broadcast(others) if few else others
+    alone = addressed.join(listed.select("blob"), "blob", "left_anti").withColumn("lacks", F.array(*map(F.lit, want)))
+    repeated = (addressed.join(listed.where(F.size("lacks") > 0), "blob").groupBy("blob")
+                .agg(F.first("content").alias("content"), F.first("lacks").alias("lacks")))
     by_name = dict(zip(want, rules))
 
     def scan(batch: pa.RecordBatch) -> dict:
         out = {"blob": [], "kind": [], "version": [], "spans": []}
-        for blob, text, lacks in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
-            text = text.as_py()
-            for name in lacks:
+        for blob, text, lacking in zip(*(c.to_pylist() for c in batch.columns)):
+            for name in lacking:
                 rule = by_name[name]
-                out["blob"].append(blob)
+                out["blob"].append(blob.hex())
                 out["kind"].append(rule.kind)
                 out["version"].append(rule.version)
                 out["spans"].append([{"start": a, "end": b} for a, b in spans_of(rule, text)])
         return out
 
     batch = C.scratch_below(ledger, "batch")
-    C.map_arrow(lacking, scan, C.take(LEDGER)).write.parquet(batch)
+    C.map_slices(alone.union(repeated), "content", scan, C.take(LEDGER)).write.parquet(batch)
     return spark.read.schema(LEDGER).parquet(batch)
 
 
-def findings(versions: DataFrame, ledger: str, content: str = "content",
-             rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """``versions`` with ``found``: (start, order, kind, end) structs of all its rules, sorted; after a ledger update."""
+def _found_blobs(versions: DataFrame, ledger: str, content: str, rules: tuple[Rule, ...]) -> DataFrame:
+    """(_blob, found) of the blobs with findings, after a ledger update; broadcast where its size allows."""
     spark = versions.sparkSession
-    versions = C.without(versions, ["found", "_blob"])
     update_ledger(versions, ledger, content, rules)
     order = F.create_map(*(F.lit(x) for i, r in enumerate(rules) for x in (f"{r.kind}@{r.version}", i)))
     rank = order[F.concat_ws("@", "kind", "version")]
@@ -126,13 +133,18 @@ def findings(versions: DataFrame, ledger: str, content: str = "content",
                 .select("blob", F.transform("spans", lambda s: F.struct(
                     s["start"].alias("start"), F.col("rank").alias("rank"), F.col("kind").alias("kind"),
                     s["end"].alias("end"))).alias("found"))
-                .groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("found"))).alias("found"))), "found")
+                .groupBy(F.unhex("blob").alias("_blob")).agg(F.array_sort(F.flatten(F.collect_list("found"))).alias("found"))),
+        "found")
     size = per_blob.agg(F.sum(100 + 40 * F.size("found"))).first()[0] or 0
-    if size <= MAX_BROADCAST_BYTES:
-        per_blob = F.broadcast(per_blob)
-    body = F.coalesce(F.col(content).cast("string"), F.lit(""))
-    return (versions.withColumn("_blob", F.sha2(body.cast("binary"), 256))
-            .join(per_blob.withColumnRenamed("blob", "_blob"), "_blob", "left").drop("_blob"))
+    return F.broadcast(per_blob) if size <= MAX_BROADCAST_BYTES else per_blob
+
+
+def findings(versions: DataFrame, ledger: str, content: str = "content",
+             rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """``versions`` with ``found``: (start, order, kind, end) structs of all its rules, sorted; after a ledger update."""
+    versions = C.without(versions, ["found", "_blob"])
+    per_blob = _found_blobs(versions, ledger, content, rules)
+    return versions.withColumn("_blob", _blob(content)).join(per_blob, "_blob", "left").drop("_blob")
 
 
 def report(found: DataFrame, doc_id: str = "doc_id", rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -158,24 +170,31 @@ def redact(docs: DataFrame, ledger: str, text: str = "text", mark: str = "<SECRE
     """``docs`` with every found span replaced by ``mark``; overlapping spans are replaced as one.
 
     Texts whose redaction brings two halves of a new match together are scanned again
-    until none is left; a null text stays null.
+    until none is left; only texts that were changed go into the next round.  A null text stays null.
     """
     columns = docs.columns
-    at = columns.index(text)
+
+    def blank(batch: pa.RecordBatch) -> dict:
+        cols = dict(zip(batch.schema.names, batch.columns))
+        out = []
+        for body, spans in zip(cols[text].to_pylist(), cols["found"].to_pylist()):
+            end, parts = 0, []
+            for s in spans:
+                if s["start"] >= end:
+                    parts += [body[end:s["start"]], mark]
+                end = max(end, s["end"])
+            out.append("".join([*parts, body[end:]]))
+        return cols | {text: out}
+
+    clean = None
     while True:
-        found = C.written(findings(docs, ledger, text, rules), "found")
-        if found.where("found IS NOT NULL").isEmpty():
-            return found.select(*columns)
-
-        def blank(batch: pa.RecordBatch) -> dict:
-            out = []
-            for body, spans in zip(batch.column(at).to_pylist(), batch.column(len(columns)).to_pylist()):
-                end, parts = 0, []
-                for s in spans or ():
-                    if s["start"] >= end:
-                        parts += [body[end:s["start"]], mark]
-                    end = max(end, s["end"])
-                out.append("".join([*parts, body[end:]]) if spans else body)
-            return dict(zip(columns, batch.columns)) | {text: out}
-
-        docs = C.map_arrow(found.select(*columns, "found"), blank, docs.schema)
+        per_blob = _found_blobs(docs, ledger, text, rules)
+        addressed = docs.withColumn("_blob", _blob(text))
+        kept = addressed.join(per_blob, "_blob", "left_anti").select(*columns)
+        clean = kept if clean is None else clean.unionByName(kept)
+        if per_blob.isEmpty():
+            return clean
+        changed = addressed.join(per_blob, "_blob").select(*columns, "found")
+        docs = C.written(C.map_slices(changed, text, blank, docs.schema), "redacted")
+        if docs.isEmpty():
+            return clean
