@@ -8,7 +8,7 @@ shuffle join beyond it, so nothing unbounded is ever broadcast on a hint.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chainflow.functions import scalar as C
@@ -43,7 +43,7 @@ def blocks_semi_chains(blocks: DataFrame, chains: DataFrame) -> DataFrame:
     return blocks.join(chains, "chainId", "left_semi")
 
 
-FANOUT_SALTS = 16  # parts that the messages of one match key are split into
+PART_ROWS = 100_000  # messages of one match key that a part holds
 
 
 def resolve_subscriptions(subs: DataFrame) -> DataFrame:
@@ -53,29 +53,51 @@ def resolve_subscriptions(subs: DataFrame) -> DataFrame:
     return latest.select("clientId", "s.subTopic", "s.subChain")
 
 
-def fanout_subscriptions(messages: DataFrame, subs: DataFrame, type_col: str = "type",
-                         chain_col: str = "chainId") -> DataFrame:
+def subscription_periods(subs: DataFrame) -> DataFrame:
+    """Each subscription with the time span ``[validFrom, validTo)`` in which it was its client's latest (T13 over time)."""
+    later = Window.partitionBy("clientId").orderBy("subTime")
+    return subs.select("clientId", "subTopic", "subChain", F.col("subTime").alias("validFrom"),
+                       F.lead("subTime").over(later).alias("validTo"))
+
+
+def fanout_subscriptions(messages: DataFrame, subs: DataFrame, type_col: str = "type", chain_col: str = "chainId",
+                         time_col: str | None = None, part_rows: int = PART_ROWS) -> DataFrame:
     """Message × subscriber where topic and chain each match exactly or by
     wildcard (``""`` or ``"*"``) (J05).
 
+    With ``time_col``, ``subs`` are periods and a message meets those that held at its time (T12).
+
     The OR condition would plan as a nested-loop join.  Instead each message
     is expanded to its four match keys — (type, chain), (type, *), (*, chain),
     (*, *) — and subscribers' wildcards are normalised to ``*``: one equi-join,
-    output exactly the matching pairs.  Every message has the key (*, *), so
-    messages are dealt over ``FANOUT_SALTS`` copies of the subscribers.
+    output exactly the matching pairs.  Keys are counted first: one with more than
+    ``part_rows`` messages, as (*, *) has in the end, is dealt over as many parts as it needs, and
+    only the subscribers of such keys are copied to their parts.
     """
     norm = lambda c: F.when(F.coalesce(F.col(c), F.lit("")).isin("", WILD), F.lit(WILD))
+    span = ["validFrom", "validTo"] if time_col else []
     s = subs.select("clientId", norm("subTopic").otherwise(F.col("subTopic")).alias("_kt"),
-                    norm("subChain").otherwise(F.col("subChain")).alias("_kc"))
+                    norm("subChain").otherwise(F.col("subChain")).alias("_kc"), *span)
     keys = F.explode(F.array(
         F.struct(F.col(type_col).alias("_kt"), F.col(chain_col).alias("_kc")),
         F.struct(F.col(type_col).alias("_kt"), F.lit(WILD).alias("_kc")),
         F.struct(F.lit(WILD).alias("_kt"), F.col(chain_col).alias("_kc")),
         F.struct(F.lit(WILD).alias("_kt"), F.lit(WILD).alias("_kc"))))
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in messages.columns]), F.lit(FANOUT_SALTS)).cast("int")
-    s = s.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(FANOUT_SALTS - 1))))
-    m = messages.withColumn("_salt", salt).select("*", keys.alias("_k")).select("*", "_k._kt", "_k._kc").drop("_k")
-    return m.join(s, ["_kt", "_kc", "_salt"], "inner").drop("_kt", "_kc", "_salt")
+    heavy = (messages.groupBy(F.col(type_col).alias("t"), F.col(chain_col).alias("c")).count()
+             .select("count", F.explode(F.array(*(F.struct(t.alias("_kt"), c.alias("_kc")) for t, c in (
+                 (F.col("t"), F.col("c")), (F.col("t"), F.lit(WILD)), (F.lit(WILD), F.col("c")), (F.lit(WILD), F.lit(WILD))))))
+                     .alias("k")).select("count", "k.*").groupBy("_kt", "_kc").agg(F.sum("count").alias("n"))
+             .filter(F.col("n") > part_rows).select("_kt", "_kc", F.ceil(F.col("n") / part_rows).cast("int").alias("_parts")))
+    parts = F.coalesce("_parts", F.lit(1))
+    part = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in messages.columns]), parts).cast("int")
+    s = s.join(heavy, ["_kt", "_kc"], "left").withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts")
+    m = (messages.select("*", keys.alias("_k")).select("*", "_k._kt", "_k._kc").drop("_k")
+         .join(heavy, ["_kt", "_kc"], "left").withColumn("_part", part).drop("_parts"))
+    out = m.join(s, ["_kt", "_kc", "_part"], "inner").drop("_kt", "_kc", "_part")
+    if time_col:
+        out = out.filter((F.col(time_col) >= F.col("validFrom"))
+                         & (F.col("validTo").isNull() | (F.col(time_col) < F.col("validTo")))).drop(*span)
+    return out
 
 
 def tx_semi_watchlist(tx: DataFrame, watch: DataFrame, address_col: str = "address") -> DataFrame:

@@ -171,17 +171,16 @@ def new_addresses(feat: DataFrame, size_s: int, slide_s: int) -> DataFrame:
 
 
 def tx_per_block(blocks: DataFrame, size_s: int, slide_s: int) -> DataFrame:
-    """Mean transactions per block of the window's blocks."""
-    b = blocks.select("chainId", F.col("blockTimestamp").alias("ts"),
-                      F.col("txCount").cast("bigint").alias("txCount"))
-    bpanes = b.groupBy("chainId", pane_of("ts", slide_s).alias("pane")).agg(
-        F.sum("txCount").alias("txs"), F.count("*").alias("blocks"))
+    """Mean transactions per block, and gas, of the window's blocks."""
+    bpanes = block_typed(blocks).groupBy("chainId", pane_of("ts", slide_s).alias("pane")).agg(
+        F.sum("txCount").alias("txs"), F.count("*").alias("blocks"), F.sum("gasUsed").alias("gu"))
     return fan_out(bpanes, size_s, slide_s).groupBy(*KEYS).agg(
-        _ratio(F.sum("txs"), F.sum("blocks")).alias("avg_tx_per_block"))
+        _ratio(F.sum("txs"), F.sum("blocks")).alias("avg_tx_per_block"),
+        F.sum("gu").cast(DEC).cast("string").alias("gas_used"))
 
 
 def activity(tx: DataFrame, blocks: DataFrame, size_s: int, slide_s: int | None = None) -> DataFrame:
-    """A01-A08 per ``(chainId, window_start)``.
+    """A01-A09 per ``(chainId, window_start)``.
 
     The parts are aggregated separately and joined on the window key; each
     part's final aggregate is already hash-partitioned on that key.
@@ -198,7 +197,7 @@ def activity(tx: DataFrame, blocks: DataFrame, size_s: int, slide_s: int | None
         "active_addresses", "active_senders", "unique_contracts",
         F.coalesce(F.col("new_addresses"), F.lit(0).cast("bigint")).alias("new_addresses"),
         "avg_tx_per_block",
-        (_ratio(F.col("fee"), F.col("tx_count")) / 1e18).alias("avg_tx_fee"))
+        (_ratio(F.col("fee"), F.col("tx_count")) / 1e18).alias("avg_tx_fee"), "gas_used")
 
 
 def gas(tx: DataFrame, blocks: DataFrame, size_s: int, slide_s: int | None = None,
@@ -290,9 +289,11 @@ def performance(tx: DataFrame, blocks: DataFrame, size_s: int, slide_s: int | No
         F.col("current_block_time").cast("bigint").alias("current_block_time"))
 
 
-def cumulative(tx: DataFrame, blocks: DataFrame, bucket_s: int) -> DataFrame:
+def cumulative(tx: DataFrame, blocks: DataFrame, bucket_s: int, transfers: DataFrame | None = None) -> DataFrame:
     """Running totals per chain at every bucket with activity.
 
+    ``transfers`` (chainId, ts, token) of all token standards give the tokens seen so far.
+
     Totals are aggregated per ``(chainId, bucket)`` first; the running sum is
     then a window over bucket rows (one row per chain and bucket), so the
     per-chain window holds buckets, not transactions.
@@ -311,12 +312,17 @@ def cumulative(tx: DataFrame, blocks: DataFrame, bucket_s: int) -> DataFrame:
     deployers = created.groupBy("chainId", F.col("from").alias("item")).agg(F.min("ts").alias("ts")) \
         .select("chainId", F.lit("d").alias("role"), "item", "ts")
     contracts = created.select("chainId", F.lit("k").alias("role"), F.lit(None).cast("string").alias("item"), "ts")
-    news = firsts.unionByName(deployers).unionByName(contracts).groupBy(
+    facts = firsts.unionByName(deployers).unionByName(contracts)
+    if transfers is not None:
+        facts = facts.unionByName(transfers.filter("token <> ''").groupBy("chainId", F.col("token").alias("item"))
+                                  .agg(F.min("ts").alias("ts")).withColumn("role", F.lit("x")))
+    news = facts.groupBy(
         "chainId", pane_of("ts", bucket_s).alias("bucket")).agg(
         F.count_if(F.col("role") == "a").alias("na"), F.count_if(F.col("role") == "s").alias("ns"),
-        F.count_if(F.col("role") == "k").alias("nk"), F.count_if(F.col("role") == "d").alias("nd"))
+        F.count_if(F.col("role") == "k").alias("nk"), F.count_if(F.col("role") == "d").alias("nd"),
+        F.count_if(F.col("role") == "x").alias("nx"))
 
-    out = b.join(news, ["chainId", "bucket"], "full").na.fill(0, ["txs", "nb", "na", "ns", "nk", "nd"])
+    out = b.join(news, ["chainId", "bucket"], "full").na.fill(0, ["txs", "nb", "na", "ns", "nk", "nd", "nx"])
     return out.select(
         "chainId", F.col("bucket").alias("window_start"),
         F.sum("txs").over(w).cast("bigint").alias("total_txs"),
@@ -326,7 +332,8 @@ def cumulative(tx: DataFrame, blocks: DataFrame, bucket_s: int) -> DataFrame:
         F.sum("na").over(w).cast("bigint").alias("cumulative_addresses"),
         F.sum("ns").over(w).cast("bigint").alias("cumulative_active_accounts"),
         F.sum("nk").over(w).cast("bigint").alias("cumulative_contracts"),
-        F.sum("nd").over(w).cast("bigint").alias("cumulative_deployers"))
+        F.sum("nd").over(w).cast("bigint").alias("cumulative_deployers"),
+        *([F.sum("nx").over(w).cast("bigint").alias("cumulative_tokens")] if transfers is not None else []))
 
 
 def active_contracts_trailing(tx: DataFrame, days: int = 30, day_s: int = 86400) -> DataFrame:

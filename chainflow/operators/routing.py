@@ -11,6 +11,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chainflow.sources import topic_log
 from chainflow.sources.fixtures import EVENT_TYPES
 
 
@@ -117,8 +118,29 @@ def route_metric_long(long_rows: DataFrame, cfg: TopicConfig, metric: str = "met
     return long_rows.withColumn("topic", fam)
 
 
-def write_sink(df: DataFrame, path: str, fmt: str = "parquet"):
-    """Batch sink: Kafka when configured, else files partitioned by topic."""
-    if fmt == "kafka":
-        return df.select("topic", "key", "value").write.format("kafka").save()
+def write_sink(df: DataFrame, path: str, fmt: str = "parquet", **options):
+    """Batch sink: a topic log (``fmt="topiclog"``), Kafka with its options, else files partitioned by topic.
+
+    With the options ``writer`` and ``batch`` a topic log takes a batch once, however often it is sent.
+    """
+    if fmt in ("kafka", topic_log.FORMAT):
+        if fmt == topic_log.FORMAT:
+            topic_log.register(df.sparkSession)
+            options["path"] = path
+        return _messages(df).write.format(fmt).mode("append").options(**options).save()
     return df.write.mode("append").partitionBy("topic").format(fmt).save(path)
+
+
+def write_sink_stream(df: DataFrame, path: str, checkpoint: str, writer: str, **options):
+    """Streaming sink into a topic log (K01-K25): each message once, also where a batch is repeated after a failure.
+
+    ``writer`` names the stream in the log; keep it with the checkpoint.
+    """
+    topic_log.register(df.sparkSession)
+    return (_messages(df).writeStream.format(topic_log.FORMAT).outputMode("append").option("checkpointLocation", checkpoint)
+            .options(path=path, writer=writer, **options))
+
+
+def _messages(df: DataFrame) -> DataFrame:
+    more = [c for c in ("partition", "timestamp") if c in df.columns]
+    return df.select("topic", F.col("key").cast("binary").alias("key"), F.col("value").cast("binary").alias("value"), *more)

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from chainflow.operators import fanout as P
+from chainflow.operators import hourly_store as store
 from chainflow.operators import metrics as M
+from chainflow.operators import series
 from chainflow.plans.duck import vwd
 from chainflow.plans.registry import query
+from chainflow.session import checkpoint_dir
 from chainflow.sources import decode, feeds
 from chainflow.sources.feeds import WEBHOOK_SECRET
 from chainflow.sources.fixtures import DUCK, Fixtures, _closure, view_sql
@@ -65,14 +70,15 @@ def activity_sql(size: int, slide: int | None = None) -> str:
             f"""fresh AS (SELECT chainId, window_start, count(*) AS new_addresses
   FROM (SELECT *, {w('ts')} AS window_start FROM fs) GROUP BY chainId, window_start)""",
             f"""bpb AS (SELECT chainId, window_start,
-  cast(sum(txCount) AS double) / cast(count(*) AS double) AS avg_tx_per_block
-  FROM (SELECT chainId, txCount, {w('blockTimestamp')} AS window_start FROM blocks)
+  cast(sum(txCount) AS double) / cast(count(*) AS double) AS avg_tx_per_block,
+  cast(sum(cast(gasUsed AS decimal(38,0))) AS varchar) AS gas_used
+  FROM (SELECT chainId, txCount, gasUsed, {w('blockTimestamp')} AS window_start FROM blocks)
   GROUP BY chainId, window_start)"""]
     return oracle("""
 SELECT chainId, window_start, tx_count, success_count, tx_count - success_count AS fail_count,
   active_addresses, active_senders, unique_contracts,
   cast(coalesce(new_addresses, 0) AS bigint) AS new_addresses, avg_tx_per_block,
-  cast(fee AS double) / cast(tx_count AS double) / 1e18 AS avg_tx_fee
+  cast(fee AS double) / cast(tx_count AS double) / 1e18 AS avg_tx_fee, gas_used
 FROM base JOIN dist USING (chainId, window_start) LEFT JOIN fresh USING (chainId, window_start)
   LEFT JOIN bpb USING (chainId, window_start)""", TXV, ctes)
 
@@ -127,13 +133,17 @@ def cumulative_sql(bucket: int) -> str:
             """created AS (SELECT * FROM tf WHERE ok AND coalesce("to", '') = '')""",
             f"""news AS (SELECT chainId, ts - ts % {bucket} AS bucket,
   count(*) FILTER (WHERE role = 'a') AS na, count(*) FILTER (WHERE role = 's') AS ns,
-  count(*) FILTER (WHERE role = 'k') AS nk, count(*) FILTER (WHERE role = 'd') AS nd
+  count(*) FILTER (WHERE role = 'k') AS nk, count(*) FILTER (WHERE role = 'd') AS nd,
+  count(*) FILTER (WHERE role = 'x') AS nx
   FROM (SELECT chainId, role, item, min(ts) AS ts FROM roles WHERE role IN ('a', 's') GROUP BY ALL
         UNION ALL SELECT chainId, 'd', "from", min(ts) FROM created GROUP BY chainId, "from"
-        UNION ALL SELECT chainId, 'k', NULL, ts FROM created) u GROUP BY ALL)""",
+        UNION ALL SELECT chainId, 'k', NULL, ts FROM created
+        UNION ALL SELECT t.chainId, 'x', c.tokenAddress, min(c.blockTimestamp)
+        FROM children c JOIN orders_tx t ON c.orderKey = t.orderKey GROUP BY t.chainId, c.tokenAddress) u GROUP BY ALL)""",
             """j AS (SELECT coalesce(b.chainId, n.chainId) AS chainId, coalesce(b.bucket, n.bucket) AS bucket,
   coalesce(txs, 0) AS txs, gas, fees, coalesce(nb, 0) AS nb, coalesce(na, 0) AS na,
-  coalesce(ns, 0) AS ns, coalesce(nk, 0) AS nk, coalesce(nd, 0) AS nd
+  coalesce(ns, 0) AS ns, coalesce(nk, 0) AS nk, coalesce(nd, 0) AS nd,
+  coalesce(nx, 0) AS nx
   FROM b FULL JOIN news n ON b.chainId = n.chainId AND b.bucket = n.bucket)"""]
     return oracle("""
 SELECT chainId, bucket AS window_start, cast(sum(txs) OVER w AS bigint) AS total_txs,
@@ -143,9 +153,10 @@ SELECT chainId, bucket AS window_start, cast(sum(txs) OVER w AS bigint) AS total
   cast(sum(na) OVER w AS bigint) AS cumulative_addresses,
   cast(sum(ns) OVER w AS bigint) AS cumulative_active_accounts,
   cast(sum(nk) OVER w AS bigint) AS cumulative_contracts,
-  cast(sum(nd) OVER w AS bigint) AS cumulative_deployers
+  cast(sum(nd) OVER w AS bigint) AS cumulative_deployers,
+  cast(sum(nx) OVER w AS bigint) AS cumulative_tokens
 FROM j WINDOW w AS (PARTITION BY chainId ORDER BY bucket ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
-                  TXV, ctes)
+                  (*TXV, "children", "orders_tx"), ctes)
 
 
 def _proj(sql: str, cols: str) -> str:
@@ -174,10 +185,17 @@ query("window_gas", gas_sql(1800, 300))(_family(M.gas, 1800, 300))
 query("window_performance", perf_sql(900, 60))(_family(M.performance, 900, 60))
 
 
+def cumulative(spark, sf_dir, bucket_s):
+    """The cumulative family, tokens of the three transfer tables included."""
+    fx, tx, blocks = _tb(spark, sf_dir)
+    transfers = fx.children.select("orderKey", F.col("blockTimestamp").alias("ts"), F.col("tokenAddress").alias("token")).join(
+        fx.orders_tx.select("orderKey", "chainId"), "orderKey").select("chainId", "ts", "token")
+    return M.cumulative(tx, blocks, bucket_s, transfers)
+
+
 @query("window_cumulative", cumulative_sql(900))
 def q_window_cumulative(spark, sf_dir):
-    _, tx, blocks = _tb(spark, sf_dir)
-    return M.cumulative(tx, blocks, 900)
+    return cumulative(spark, sf_dir, 900)
 
 
 # Single metrics at hour grain (A01-A24): each key runs only its own part.
@@ -219,7 +237,7 @@ def q_avg_tx_per_block(spark, sf_dir):
     _, tx, blocks = _tb(spark, sf_dir)
     # Windows are those with transactions; blocks only contribute the ratio.
     windows = M.tx_counts(M.tx_features(tx), HOUR, HOUR).select(*M.KEYS)
-    return windows.join(M.tx_per_block(blocks, HOUR, HOUR), M.KEYS, "left")
+    return windows.join(M.tx_per_block(blocks, HOUR, HOUR).drop("gas_used"), M.KEYS, "left")
 
 
 @query("avg_tx_fee", _proj(activity_sql(HOUR), f"{_K}, avg_tx_fee"))
@@ -246,16 +264,12 @@ for _key, _cols in [("avg_tps", "avg_tps"), ("max_tps", "max_tps"), ("avg_gps",
 
 
 # Cumulative (A25, A26) at hour grain, A27 trailing 30 days
-query("cumulative_totals", _proj(cumulative_sql(HOUR),
-                                 f"{_K}, total_txs, total_gas_used, total_fees_collected, total_blocks_produced"))(
-    lambda s, d: M.cumulative(_tb(s, d)[1], _tb(s, d)[2], HOUR).select(
-        *M.KEYS, "total_txs", "total_gas_used", "total_fees_collected", "total_blocks_produced"))
-query("cumulative_distinct", _proj(cumulative_sql(HOUR),
-                                   f"{_K}, cumulative_addresses, cumulative_active_accounts, "
-                                   "cumulative_contracts, cumulative_deployers"))(
-    lambda s, d: M.cumulative(_tb(s, d)[1], _tb(s, d)[2], HOUR).select(
-        *M.KEYS, "cumulative_addresses", "cumulative_active_accounts", "cumulative_contracts",
-        "cumulative_deployers"))
+for _key, _cols in [
+        ("cumulative_totals", ["total_txs", "total_gas_used", "total_fees_collected", "total_blocks_produced"]),
+        ("cumulative_distinct", ["cumulative_addresses", "cumulative_active_accounts", "cumulative_contracts",
+                                 "cumulative_deployers", "cumulative_tokens"])]:
+    query(_key, _proj(cumulative_sql(HOUR), f"{_K}, {', '.join(_cols)}"))(
+        (lambda cols: lambda s, d: cumulative(s, d, HOUR).select(*M.KEYS, *cols))(_cols))
 
 
 @query("active_contracts_month", oracle(f"""
@@ -410,61 +424,119 @@ def hourly(spark, sf_dir):
     return M.hourly_set(feat, blocks, HOUR)
 
 
-query("window_hourly", hourly_sql())(hourly)
+def stored_hours(spark, sf_dir):
+    """(the hourly rollup, kept as a table in day partitions; the time of the newest transaction)."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/hours-{uuid.uuid4().hex}"
+    hours = hourly(spark, sf_dir)
+    store.update_hours(hours, path)
+    end = Fixtures(spark, sf_dir).transactions.agg(F.max("blockTimestamp")).first()[0] or 0
+    return store.read_hours(spark, path, hours.withColumn("day", store.day_of(F.col("window_start"))).schema), end
+
+
+_NEWEST = oracle("SELECT max(blockTimestamp) FROM transactions", ("transactions",))
+_LAST_DAY_SQL = f"""SELECT * FROM ({hourly_sql()}) h
+WHERE window_start BETWEEN ({_NEWEST}) - {DAY} AND ({_NEWEST})"""
+
+
+@query("window_hourly", _LAST_DAY_SQL)
+def q_window_hourly(spark, sf_dir):
+    """The five hourly metrics of the last 86,400 seconds, from two day partitions of the rollup."""
+    return store.last_day(*stored_hours(spark, sf_dir))
+
 
 _LONG_METRICS = ["active_addresses", "tx_count", "avg_tps", "avg_gas_price", "fees_paid"]
 
 
-@query("metric_long_rows", f"""
-SELECT chainId, window_start AS timestamp, metric, value, 'hour' AS interval, cast(0 AS bigint) AS collectTime
+def _long_sql(source: str) -> str:
+    return f"""SELECT chainId, window_start AS timestamp, metric, value
 FROM (UNPIVOT (SELECT chainId, window_start, cast(active_addresses AS double) AS active_addresses,
   cast(tx_count AS double) AS tx_count, avg_tps, avg_gas_price, cast(fees_paid AS double) AS fees_paid
-  FROM ({hourly_sql()}) h) ON {', '.join(_LONG_METRICS)} INTO NAME metric VALUE value) u""")
+  FROM ({source}) h) ON {', '.join(_LONG_METRICS)} INTO NAME metric VALUE value) u"""
+
+
+def long_points(hours):
+    return P.metric_long_rows(hours, ["chainId", "window_start"], _LONG_METRICS).select(
+        "chainId", F.col("window_start").alias("timestamp"), "metric", "value")
+
+
+@query("metric_long_rows", f"""
+SELECT *, 'hour' AS interval, cast(0 AS bigint) AS collectTime FROM ({_long_sql(hourly_sql())}) l""")
 def q_metric_long_rows(spark, sf_dir):
     long = P.metric_long_rows(hourly(spark, sf_dir), ["chainId", "window_start"], _LONG_METRICS,
                               "hour", 0)
     return long.withColumnRenamed("window_start", "timestamp")
 
 
-@query("first_24_hours", f"""
-SELECT chainId, window_start, tx_count FROM (
-  SELECT chainId, window_start, tx_count,
-    row_number() OVER (PARTITION BY chainId ORDER BY window_start) AS rn
-  FROM ({hourly_sql()}) h) q WHERE rn <= 24""")
+@query("first_24_hours", _long_sql(f"""SELECT * FROM (
+  SELECT *, row_number() OVER (PARTITION BY chainId ORDER BY window_start) AS rn FROM ({_LAST_DAY_SQL}) d) q
+  WHERE rn <= 24"""))
 def q_first_24_hours(spark, sf_dir):
-    """The first page (24 hourly points, ascending) of each chain's series.
+    """The first page (24 points, ascending) of each chain's five series over the last 86,400 seconds.
 
-    The per-chain window runs over hourly rows (one per chain and hour), not
-    over transactions.
+    The per-chain window runs over a day's hourly rows.
     """
-    h = hourly(spark, sf_dir)
     w = Window.partitionBy("chainId").orderBy("window_start")
-    return h.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= 24) \
-        .select("chainId", "window_start", "tx_count")
+    hours = store.last_day(*stored_hours(spark, sf_dir))
+    return long_points(hours.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= 24).drop("rn"))
 
 
-@query("metric_series", oracle("""
-SELECT chainId, cast(epoch(date_trunc('day', make_timestamp(ts * 1000000))) AS bigint) AS timestamp,
-  cast(count(*) AS double) AS value
-FROM (SELECT chainId, blockTimestamp AS ts FROM transactions) t GROUP BY ALL""", ("transactions",)))
+def series_sql() -> str:
+    """All series from the raw rows, each grain by itself, distinct counts by count(DISTINCT)."""
+    grain = {g: f"cast(epoch(date_trunc('{g}', make_timestamp(ts * 1000000))) AS bigint)" for g in ("hour", "day", "week", "month")}
+    each = lambda rows: " UNION ALL ".join(
+        f"SELECT *, '{g}' AS interval, {at} AS bucket FROM {rows}" for g, at in grain.items())
+    key = "chainId, interval, bucket"
+    ctes = [TF, ROLES,
+            """sec AS (SELECT chainId, ts, count(*) AS n, sum(gasUsed) AS g, sum(gasPrice) AS sp, count(gasPrice) AS np,
+  max(gasPrice) AS mp FROM tf GROUP BY chainId, ts)""",
+            f"""x AS (SELECT {key}, sum(n) AS n, sum(g) AS g, max(n) AS mn, max(g) AS mg, sum(sp) AS sp, sum(np) AS np,
+  max(mp) AS mp FROM ({each('sec')}) GROUP BY ALL)""",
+            f"""sets AS (SELECT {key}, count(DISTINCT item) FILTER (role = 'a') AS na, count(DISTINCT item) FILTER (role = 's') AS ns
+  FROM ({each('roles')}) GROUP BY ALL)""",
+            """bt AS (SELECT chainId, blockTimestamp AS ts, cast(gasUsed AS decimal(38,0)) AS gu,
+  cast(feesSpent AS decimal(38,0)) AS fs FROM blocks)""",
+            f"bs AS (SELECT {key}, sum(gu) AS gu, sum(fs) AS fs FROM ({each('bt')}) GROUP BY ALL)",
+            """created AS (SELECT * FROM tf WHERE ok AND coalesce("to", '') = '')""",
+            """fresh AS (SELECT chainId, min(ts) AS ts, 'a' AS what FROM roles WHERE role = 'a' GROUP BY chainId, item
+  UNION ALL SELECT chainId, ts, 'k' FROM created
+  UNION ALL SELECT chainId, min(ts), 'd' FROM created GROUP BY chainId, "from")""",
+            f"""news AS (SELECT {key}, count(*) FILTER (what = 'a') AS ca, count(*) FILTER (what = 'k') AS ck,
+  count(*) FILTER (what = 'd') AS cd FROM ({each('fresh')}) GROUP BY ALL)""",
+            f"keys AS (SELECT {key} FROM x UNION SELECT {key} FROM bs UNION SELECT {key} FROM news)",
+            """j AS (SELECT *, CASE interval WHEN 'hour' THEN 3600 WHEN 'day' THEN 86400 WHEN 'week' THEN 604800
+    ELSE cast(epoch(make_timestamp(bucket * 1000000) + INTERVAL 1 MONTH) AS bigint) - bucket END AS seconds
+  FROM keys LEFT JOIN x USING (chainId, interval, bucket) LEFT JOIN sets USING (chainId, interval, bucket)
+    LEFT JOIN bs USING (chainId, interval, bucket) LEFT JOIN news USING (chainId, interval, bucket))""",
+            """wide AS (SELECT chainId, interval, bucket AS timestamp, cast(na AS double) AS activeAddresses,
+  cast(ns AS double) AS activeSenders, cast(n AS double) AS txCount,
+  cast(sum(coalesce(ca, 0)) OVER w AS double) AS cumulativeAddresses, cast(sum(coalesce(n, 0)) OVER w AS double) AS cumulativeTxCount,
+  cast(sum(coalesce(ck, 0)) OVER w AS double) AS cumulativeContracts, cast(sum(coalesce(cd, 0)) OVER w AS double) AS cumulativeDeployers,
+  cast(gu AS double) AS gasUsed, cast(g AS double) / cast(seconds AS double) AS avgGps, cast(mg AS double) AS maxGps,
+  cast(n AS double) / cast(seconds AS double) AS avgTps, cast(mn AS double) AS maxTps,
+  cast(sp AS double) / cast(np AS double) AS avgGasPrice, cast(mp AS double) AS maxGasPrice, cast(fs AS double) AS feesPaid
+  FROM j WINDOW w AS (PARTITION BY chainId, interval ORDER BY bucket ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""]
+    one = " UNION ALL ".join(f"SELECT chainId, interval, timestamp, '{m}' AS metric, {m} AS value FROM wide WHERE {m} IS NOT NULL"
+                             for m in series.SERIES)
+    return oracle(f"""SELECT chainId, metric, interval, timestamp, value,
+  cast((row_number() OVER (PARTITION BY chainId, metric, interval ORDER BY timestamp) - 1) // {PAGE} AS bigint) AS page
+FROM ({one}) p""", TXV, ctes)
+
+
+PAGE = 100
+
+
+@query("metric_series", series_sql())
 def q_metric_series(spark, sf_dir):
-    """``txCount`` at day grain (C12) over the whole range (F06 open bounds)."""
-    from chainflow.functions import scalar as C
-    from chainflow.operators import filters
-    tx = filters.time_range(Fixtures(spark, sf_dir).transactions, "blockTimestamp", 0, 0)
-    day = C.interval_trunc(C.epoch_to_ts("blockTimestamp"), "day")
-    return tx.groupBy("chainId", C.ts_to_epoch(day).alias("timestamp")).agg(
-        F.count("*").cast("double").alias("value"))
+    """All 15 series at all four grains over the whole range, with the page that each point is on."""
+    _, tx, blocks = _tb(spark, sf_dir)
+    return series.paged(series.in_range(series.metric_series(tx, blocks)), PAGE)
 
 
 @query("metric_point", f"""
 SELECT chainId, metric, max_by(value, timestamp) AS value, max(timestamp) AS timestamp
-FROM (SELECT chainId, window_start AS timestamp, metric, value
-  FROM (UNPIVOT (SELECT chainId, window_start, cast(active_addresses AS double) AS active_addresses,
-    cast(tx_count AS double) AS tx_count, avg_tps, avg_gas_price, cast(fees_paid AS double) AS fees_paid
-    FROM ({hourly_sql()}) h) ON {', '.join(_LONG_METRICS)} INTO NAME metric VALUE value) u) l
-GROUP BY chainId, metric""")
+FROM ({_long_sql(hourly_sql())}) l GROUP BY chainId, metric""")
 def q_metric_point(spark, sf_dir):
-    long = P.metric_long_rows(hourly(spark, sf_dir), ["chainId", "window_start"], _LONG_METRICS)
-    return long.groupBy("chainId", "metric").agg(
-        F.max_by("value", "window_start").alias("value"), F.max("window_start").alias("timestamp"))
+    """The latest point of each series; the rollup's rows are read, not the transactions again."""
+    hours, _ = stored_hours(spark, sf_dir)
+    return long_points(hours.drop("day")).groupBy("chainId", "metric").agg(
+        F.max_by("value", "timestamp").alias("value"), F.max("timestamp").alias("timestamp"))

@@ -11,6 +11,7 @@ from chainflow.operators import filters as FL
 from chainflow.operators import lookups as J
 from chainflow.operators import routing as K
 from chainflow.operators import timeline as W
+from chainflow.plans import metric_queries as _Q
 from chainflow.plans.duck import DELIVERIES, arity, part, vwd
 from chainflow.plans.metric_queries import oracle
 from chainflow.plans.registry import query
@@ -128,33 +129,30 @@ def q_resubscribe(spark, sf_dir):
     return J.resolve_subscriptions(Fixtures(spark, sf_dir).subscriptions)
 
 
-_FANOUT_SQL = """SELECT l.clientId, m."offset", m.type, m.chainId FROM msgs m JOIN latest l
-  ON (l.subTopic = m.type OR l.subTopic IN ('', '*')) AND (l.subChain = m.chainId OR l.subChain IN ('', '*'))"""
+_MATCH = """(l.subTopic = m.type OR l.subTopic IN ('', '*')) AND (l.subChain = m.chainId OR l.subChain IN ('', '*'))"""
 
 
-def _fanout(spark, sf_dir):
+@query("fanout_subscriptions", oracle(f"""SELECT l.clientId, m."offset", m.type, m.chainId FROM msgs m JOIN latest l ON {_MATCH}""",
+                                      ("subscriptions", "topic_messages"), [_SUBS_LATEST, _MSGS]))
+def q_fanout_subscriptions(spark, sf_dir):
+    """Every message against the clients' current subscriptions."""
     fx = Fixtures(spark, sf_dir)
     msgs = P.stamp_live(FL.topic_arity_filter(fx.topic_messages), F.col("eventTime"))
-    subs = J.resolve_subscriptions(fx.subscriptions)
-    return J.fanout_subscriptions(msgs, subs)
-
+    return J.fanout_subscriptions(msgs, J.resolve_subscriptions(fx.subscriptions)).select("clientId", "offset", "type", "chainId")
 
-@query("fanout_subscriptions", oracle(_FANOUT_SQL, ("subscriptions", "topic_messages"),
-                                      [_SUBS_LATEST, _MSGS]))
-def q_fanout_subscriptions(spark, sf_dir):
-    return _fanout(spark, sf_dir).select("clientId", "offset", "type", "chainId")
 
-
-@query("live_fanout", oracle("""
-SELECT l.clientId, m."offset", '{"type":"' || m.type || '","chainId":"' || m.chainId || '","data":'
-  || to_json(m."value") || ',"timestamp":' || cast(m.eventTime AS varchar) || '}' AS envelope
-FROM msgs m JOIN latest l
-  ON (l.subTopic = m.type OR l.subTopic IN ('', '*')) AND (l.subChain = m.chainId OR l.subChain IN ('', '*'))""",
-                             ("subscriptions", "topic_messages"), [_SUBS_LATEST, _MSGS]))
+@query("live_fanout", oracle(f"""
+SELECT l.clientId, m."offset", '{{"type":"' || m.type || '","chainId":"' || m.chainId || '","data":'
+  || to_json(m."value") || ',"timestamp":' || cast(m.eventTime AS varchar) || '}}' AS envelope
+FROM msgs m JOIN periods l ON {_MATCH} AND m.eventTime >= l.subTime AND (l.until IS NULL OR m.eventTime < l.until)""",
+                             ("subscriptions", "topic_messages"), [_MSGS, """periods AS (
+  SELECT *, lead(subTime) OVER (PARTITION BY clientId ORDER BY subTime) AS until FROM subscriptions)"""]))
 def q_live_fanout(spark, sf_dir):
-    """T12 (batch form): F03 -> P10 -> J05 -> P11, one envelope per subscriber."""
-    return P.live_envelope(_fanout(spark, sf_dir), data_col="value").select(
-        "clientId", "offset", "envelope")
+    """T12 (batch form): F03 -> P10 -> J05 -> P11, each message by the subscription that a client had at its time."""
+    fx = Fixtures(spark, sf_dir)
+    msgs = P.stamp_live(FL.topic_arity_filter(fx.topic_messages), F.col("eventTime"))
+    matched = J.fanout_subscriptions(msgs, J.subscription_periods(fx.subscriptions), time_col="eventTime")
+    return P.live_envelope(matched, data_col="value").select("clientId", "offset", "envelope")
 
 
 _PARTICIPANTS = """parts AS (
@@ -396,27 +394,33 @@ def q_subnets_union(spark, sf_dir):
     return J.union_all(listed, details)
 
 
-@query("metrics_union", oracle("""
-SELECT 'staking' AS type, CAST(NULL AS VARCHAR) AS chainId, metric, value FROM (
-  SELECT 'validatorCount' AS metric, cast((SELECT count(DISTINCT nodeId) FROM validators) AS double) AS value
-  UNION ALL SELECT 'delegatorCount', cast((SELECT count(*) FROM delegators) AS double)) s
-UNION ALL SELECT 'teleporter', NULL, metric, value FROM (
-  SELECT 'activeTeleporterBridges' AS metric, cast(count(DISTINCT (sourceChain, destChain)) AS double) AS value
-  FROM bridge_txs UNION ALL SELECT 'teleporterTransactions', cast(count(*) AS double) FROM bridge_txs) b
-UNION ALL SELECT 'chain', chainId, 'txCount', cast(count(*) AS double) FROM transactions GROUP BY chainId""",
-                               ("validators", "delegators", "transactions", "bridge_txs")))
+#: Wire names of the five hourly chain metrics.
+_CHAIN_METRICS = {"active_addresses": "activeAddresses", "tx_count": "txCount", "avg_tps": "avgTps",
+                  "avg_gas_price": "avgGasPrice", "fees_paid": "feesPaid"}
+
+
+@query("metrics_union", f"""
+SELECT 'staking' AS type, CAST(NULL AS VARCHAR) AS chainId, metric, CAST(NULL AS BIGINT) AS timestamp, value FROM (
+  SELECT 'validatorCount' AS metric, cast(validator_count AS double) AS value FROM ({_Q._STAKING_SQL}) a UNION ALL
+  SELECT 'delegatorCount', cast(delegator_count AS double) FROM ({_Q._STAKING_SQL}) b UNION ALL
+  SELECT 'totalStaked', cast(total_staked AS double) FROM ({_Q._STAKING_SQL}) c) s
+UNION ALL SELECT 'teleporter', NULL, metric, NULL, value FROM (
+  SELECT 'activeTeleporterBridges' AS metric, cast(active_bridges AS double) AS value FROM ({_Q._BRIDGE_SQL}) a UNION ALL
+  SELECT 'teleporterTransactions', cast(bridge_tx_count AS double) FROM ({_Q._BRIDGE_SQL}) b UNION ALL
+  SELECT 'totalBridgedBtc', cast(total_bridged AS double) FROM ({_Q._BRIDGE_SQL}) c) b
+UNION ALL SELECT 'chain', chainId,
+  CASE metric {' '.join(f"WHEN '{a}' THEN '{b}'" for a, b in _CHAIN_METRICS.items())} END, timestamp, value
+FROM ({_Q._long_sql(_Q._LAST_DAY_SQL)}) h""")
 def q_metrics_union(spark, sf_dir):
-    """Staking, bridge and chain metrics into one long stream (missing columns NULL)."""
-    from chainflow.operators import metrics as M
-    fx = Fixtures(spark, sf_dir)
-    st = M.staking(fx.validators, fx.delegators).select(
+    """One collection as a long stream: staking, bridge and the chains' last day (missing columns NULL)."""
+    st = _Q._staking(spark, sf_dir).select(
         F.lit("staking").alias("type"),
-        F.expr("stack(2, 'validatorCount', cast(validator_count AS double), "
-               "'delegatorCount', cast(delegator_count AS double)) AS (metric, value)"))
-    chain = fx.transactions.groupBy("chainId").agg(F.count("*").cast("double").alias("value")) \
-        .select(F.lit("chain").alias("type"), "chainId", F.lit("txCount").alias("metric"), "value")
-    bridge = P.bridge_metric_rows(M.bridge(fx.bridge_txs), 0).drop("timestamp") \
-        .filter(F.col("metric") != P.BRIDGE_METRICS[2])  # amounts of several assets have no sum
+        F.expr("stack(3, 'validatorCount', cast(validator_count AS double), 'delegatorCount', cast(delegator_count AS double), "
+               "'totalStaked', cast(total_staked AS double)) AS (metric, value)"))
+    bridge = P.bridge_metric_rows(_Q._bridge(spark, sf_dir), 0).drop("timestamp")
+    hours = _Q.store.last_day(*_Q.stored_hours(spark, sf_dir)).withColumnsRenamed(_CHAIN_METRICS)
+    chain = P.metric_long_rows(hours, ["chainId", "window_start"], list(_CHAIN_METRICS.values())).select(
+        F.lit("chain").alias("type"), "chainId", "metric", F.col("window_start").alias("timestamp"), "value")
     return J.union_all(st, bridge, chain, allow_missing=True)
 
 
@@ -622,7 +626,29 @@ def q_suppress_recent(spark, sf_dir):
                              tiebreak=["txHash"])
 
 
-query("recent_skip", _suppress_oracle())(q_suppress_recent)
+CHAIN_POLL = 30  # seconds within which a chain is not published again
+
+
+def _recent_skip_oracle():
+    from chainflow.sources.fixtures import DUCK, _closure, view_sql
+    views = ", ".join(f"{n} AS ({view_sql(n, DUCK)})" for n in _closure(["event_log"]))
+    return f"""WITH RECURSIVE {views}, s AS (
+  SELECT chainId, eventTime, eventId, row_number() OVER (PARTITION BY chainId ORDER BY eventTime, eventId) AS rn FROM event_log),
+r AS (
+  SELECT chainId, rn, eventTime, eventId, eventTime AS published, true AS emitted FROM s WHERE rn = 1
+  UNION ALL
+  SELECT s.chainId, s.rn, s.eventTime, s.eventId,
+    CASE WHEN s.eventTime - r.published >= {CHAIN_POLL} THEN s.eventTime ELSE r.published END,
+    s.eventTime - r.published >= {CHAIN_POLL}
+  FROM r JOIN s ON s.chainId = r.chainId AND s.rn = r.rn + 1)
+SELECT chainId, eventTime, eventId FROM r WHERE emitted"""
+
+
+@query("recent_skip", _recent_skip_oracle())
+def q_recent_skip(spark, sf_dir):
+    """chain events of a chain that was published within the poll interval are skipped; the key is the chain."""
+    seen = Fixtures(spark, sf_dir).event_log.select("chainId", "eventTime", "eventId")
+    return D.suppress_recent(seen, ["chainId"], "eventTime", CHAIN_POLL, tiebreak=["eventId"])
 
 
 @query("dedup_message", oracle("""
@@ -635,14 +661,6 @@ def q_dedup_message(spark, sf_dir):
     return D.dedup_message(env, "messageId", first_by="receivedAt").drop("receivedAt")
 
 
-@query("replay", oracle("""
-SELECT topic, "partition", "offset", "key", "value" FROM topic_messages""", ("topic_messages",)))
-def q_replay(spark, sf_dir):
-    """Re-read the whole topic history (batch read = earliest offsets)."""
-    return Fixtures(spark, sf_dir).topic_messages.select("topic", "partition", "offset", "key", "value")
-
-
-
 # --- streaming rows in batch form (T09, T10) -------------------------------------
 
 @query("dynamic_chains", oracle(f"""
@@ -783,21 +801,23 @@ _sink("sink_bridges", "bridges", lambda fx: fx.bridge_txs,
       "bridge_txs", ("bridge_txs",), key_col="sourceChain")
 
 
-# Metric families: each its own measures over its own window, under wire names.
+# Metric families: each all its measures over its own window, under wire names.  A field that a window has no
+# value for (no block yet, no gap yet) is left out of the message; the window is sent all the same.  Messages are compared
+# field by field as they are read back, because two engines print a double in different ways.
 def _family_sink(key, entity, make, period_s, duck, fields):
     """``fields``: wire name -> column of the family's table."""
     topic = TOPICS.topic(entity if TOPICS.topic(entity) else "metrics")  # an unset topic falls back (K04)
     names = {"chainId": "chainId", "timestamp": "window_start", "period": None, **fields}
     period = f"{period_s // 3600}h0m0s" if period_s % 3600 == 0 else f"{period_s // 60}m0s"
-    packed = ", ".join(f'"{n}" := ' + (f"'{period}'" if c is None else f'"{c}"') for n, c in names.items())
-    sql = f"""SELECT '{topic}' AS topic, chainId AS key, CAST(to_json(struct_pack({packed})) AS VARCHAR) AS value
-FROM ({duck}) f"""
+    columns = ", ".join((f"'{period}'" if c is None else f'"{c}"') + f' AS "{n}"' for n, c in names.items())
+    sql = f"SELECT '{topic}' AS topic, chainId AS key, {columns} FROM ({duck}) family"
 
     def run(spark, sf_dir):
-        fx = Fixtures(spark, sf_dir)
-        df = make(fx).withColumn("topic", F.lit(topic)).select("topic", *[
+        df = make(spark, sf_dir).withColumn("topic", F.lit(topic)).select("topic", *[
             (C.go_duration(F.lit(period_s)) if c is None else F.col(c)).alias(n) for n, c in names.items()])
-        return K.encode_payload(df, list(names))
+        messages = K.encode_payload(df, list(names))
+        wire = df.drop("topic").schema
+        return messages.select("topic", "key", F.from_json("value", wire).alias("m")).select("topic", "key", "m.*")
     query(key, sql)(run)
 
 
@@ -805,31 +825,33 @@ def _metric_sinks():
     from chainflow.operators import metrics as M
     from chainflow.plans import metric_queries as Q
 
-    activity = {"activeAddresses": "active_addresses", "activeSenders": "active_senders",
-                "newAddresses": "new_addresses", "uniqueContracts": "unique_contracts", "txCount": "tx_count",
-                "successfulTxCount": "success_count", "failedTxCount": "fail_count"}
-    _family_sink("sink_activity", "metrics.activity", lambda fx: M.activity(fx.transactions, fx.blocks, 1800, 300),
-                 1800, Q.activity_sql(1800, 300), activity)
-    _family_sink("sink_performance", "metrics.performance",
-                 lambda fx: M.performance(fx.transactions, fx.blocks, 900, 60).filter("current_block_time IS NOT NULL"),
-                 900, f"SELECT * FROM ({Q.perf_sql(900, 60)}) p WHERE current_block_time IS NOT NULL",
-                 {"maxTps": "max_tps", "maxGps": "max_gps", "currentBlockTime": "current_block_time"})
-    _family_sink("sink_gas", "metrics.gas",
-                 lambda fx: M.gas(fx.transactions, fx.blocks, 1800, 300).filter("gas_used IS NOT NULL"),
-                 1800, f"SELECT * FROM ({Q.gas_sql(1800, 300)}) g WHERE gas_used IS NOT NULL",
-                 {"totalGasUsed": "gas_used", "minimumGasPrice": "min_gas_price", "maximumGasPrice": "max_gas_price",
-                  "feesPaid": "fees_paid"})
-    _family_sink("sink_cumulative", "metrics.cumulative",
-                 lambda fx: M.cumulative(fx.transactions, fx.blocks, 900).filter("total_gas_used IS NOT NULL"),
-                 900, f"SELECT * FROM ({Q.cumulative_sql(900)}) c WHERE total_gas_used IS NOT NULL",
-                 {"totalTxs": "total_txs", "totalAddresses": "cumulative_addresses",
-                  "totalContracts": "cumulative_contracts", "totalGasUsed": "total_gas_used",
-                  "totalFeesCollected": "total_fees_collected", "totalBlocksProduced": "total_blocks_produced"})
-    hourly = f"SELECT chainId, window_start, active_addresses, tx_count, fees_paid FROM ({Q.hourly_sql()}) h"
-    _family_sink("sink_metrics", "metrics",
-                 lambda fx: M.hourly_set(M.tx_features(fx.transactions), fx.blocks, 3600).filter("fees_paid IS NOT NULL"),
-                 3600, f"SELECT * FROM ({hourly}) h WHERE fees_paid IS NOT NULL",
-                 {"activeAddresses": "active_addresses", "txCount": "tx_count", "feesPaid": "fees_paid"})
+    def of(fn, *window):
+        def make(spark, sf_dir):
+            fx = Fixtures(spark, sf_dir)
+            return fn(fx.transactions, fx.blocks, *window)
+        return make
+
+    _family_sink("sink_activity", "metrics.activity", of(M.activity, 1800, 300), 1800, Q.activity_sql(1800, 300), {
+        "activeAddresses": "active_addresses", "activeSenders": "active_senders", "newAddresses": "new_addresses",
+        "uniqueContracts": "unique_contracts", "txCount": "tx_count", "successfulTxCount": "success_count",
+        "failedTxCount": "fail_count", "averageTxPerBlock": "avg_tx_per_block", "averageTxFee": "avg_tx_fee",
+        "totalGasUsed": "gas_used"})
+    _family_sink("sink_performance", "metrics.performance", of(M.performance, 900, 60), 900, Q.perf_sql(900, 60), {
+        "avgTps": "avg_tps", "maxTps": "max_tps", "avgGps": "avg_gps", "maxGps": "max_gps", "blockTime": "block_time",
+        "currentBlockTime": "current_block_time"})
+    _family_sink("sink_gas", "metrics.gas", of(M.gas, 1800, 300), 1800, Q.gas_sql(1800, 300), {
+        "averageGasPrice": "avg_gas_price", "medianGasPrice": "median_gas_price", "minimumGasPrice": "min_gas_price",
+        "maximumGasPrice": "max_gas_price", "totalGasUsed": "gas_used", "averageGasLimit": "avg_gas_limit",
+        "averageGasUsed": "avg_gas_used", "gasUtilizationRate": "gas_utilization_rate", "gasEfficiency": "gas_efficiency",
+        "feesPaid": "fees_paid"})
+    _family_sink("sink_cumulative", "metrics.cumulative", lambda s, d: Q.cumulative(s, d, 900), 900, Q.cumulative_sql(900), {
+        "totalTxs": "total_txs", "totalAddresses": "cumulative_addresses", "totalActiveAccounts": "cumulative_active_accounts",
+        "totalContracts": "cumulative_contracts", "totalDeployers": "cumulative_deployers", "totalTokens": "cumulative_tokens",
+        "totalGasUsed": "total_gas_used", "totalFeesCollected": "total_fees_collected",
+        "totalBlocksProduced": "total_blocks_produced"})
+    _family_sink("sink_metrics", "metrics", Q.hourly, 3600, Q.hourly_sql(), {
+        "activeAddresses": "active_addresses", "txCount": "tx_count", "avgTps": "avg_tps", "avgGasPrice": "avg_gas_price",
+        "feesPaid": "fees_paid"})
 
 
 _metric_sinks()

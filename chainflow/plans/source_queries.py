@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from chainflow import schemas as S
@@ -11,7 +13,8 @@ from chainflow.operators import filters as FL
 from chainflow.plans.duck import part, vwd
 from chainflow.plans.metric_queries import oracle
 from chainflow.plans.registry import query
-from chainflow.sources import decode, feeds
+from chainflow.session import checkpoint_dir
+from chainflow.sources import decode, feeds, topic_log
 from chainflow.sources.feeds import WEBHOOK_SECRET
 from chainflow.sources.fixtures import Fixtures
 
@@ -121,15 +124,25 @@ def q_scan_blockchains(spark, sf_dir):
     return decode.good_items(decode.decode_pages(docs, S.BLOCKCHAIN, "blockchains"))
 
 
-@query("scan_bridge_txs", oracle("""
+#: Asked (source, destination) pairs: some without any transaction, one with a chain that nobody knows.
+_ROUTES = """SELECT DISTINCT 'C' || cast(n_nationkey % 4 AS string) AS sourceChain,
+  'C' || cast((n_nationkey * 3 + 1) % 5 AS string) AS destChain FROM nation"""
+
+
+@query("scan_bridge_txs", oracle(f"""
 SELECT id, sourceChain, destChain, asset, amount, sender, receiver, status FROM bridge_txs
-WHERE sourceChain <> destChain""", ("bridge_txs",)))
+WHERE (sourceChain, destChain) IN ({_ROUTES.replace("AS string", "AS varchar")})""", ("bridge_txs",)))
 def q_scan_bridge_txs(spark, sf_dir):
-    """S11 (set form): bridge transactions of every cross-chain (source, destination) route."""
-    b = Fixtures(spark, sf_dir).bridge_txs.drop("blockTimestamp")
+    """S11 (set form): bridge transactions of the asked (source, destination) pairs."""
+    fx = Fixtures(spark, sf_dir)
+    b = fx.bridge_txs.drop("blockTimestamp")
     docs = feeds.landed_pages(b, _struct_of(b), "transactions", _DIGITS("id"), 100)
     rows = decode.good_items(decode.decode_pages(docs, S.BRIDGE_TX, "transactions"))
-    return rows.filter(F.col("sourceChain") != F.col("destChain"))
+    key = F.col("n_nationkey").cast("int")
+    asked = fx.table("nation").select(
+        F.concat(F.lit("C"), (key % 4).cast("string")).alias("sourceChain"),
+        F.concat(F.lit("C"), ((key * 3 + 1) % 5).cast("string")).alias("destChain")).distinct()
+    return rows.join(asked, ["sourceChain", "destChain"], "left_semi")
 
 
 @query("lookup_token", oracle("""
@@ -152,11 +165,12 @@ def q_lookup_token(spark, sf_dir):
 
 @query("lookup_tx_detail", oracle("""
 SELECT txHash, lower("from") AS "from", lower("to") AS "to", transactionIndex, txStatus
-FROM transactions WHERE txStatus = '0'""", ("transactions",)))
+FROM transactions WHERE txHash IN (SELECT '0x' || sha256(cast(o_orderkey AS varchar)) FROM orders)""", ("transactions",)))
 def q_lookup_tx_detail(spark, sf_dir):
-    """S13 (set form): details of the failed transactions, flattened."""
+    """S13 (set form): details of asked hashes, one for each order, most of them of no transaction; flattened."""
     fx = Fixtures(spark, sf_dir)
-    wanted = fx.transactions.filter(F.col("txStatus") == "0").select(F.col("txHash").alias("_h"))
+    wanted = fx.table("orders").select(
+        F.concat(F.lit("0x"), F.sha2(F.col("o_orderkey").cast("string").cast("binary"), 256)).alias("_h"))
     details = feeds.tx_details(fx)
     hit = details.join(wanted, details["nativeTransaction.hash"] == wanted["_h"], "left_semi")
     return P.flatten_tx_detail(hit).select("txHash", "from", "to", "transactionIndex", "txStatus")
@@ -253,32 +267,54 @@ def q_signature_header(spark, sf_dir):
     return raw.select("deliveryKey", C.signature_header(*named).alias("header"))
 
 
+_LOG = """log AS (SELECT topic, "partition", row_number() OVER (PARTITION BY topic, "partition" ORDER BY "offset") - 1 AS "offset",
+  "key", "value", eventTime FROM topic_messages)"""
+
+
+def _landed_log(spark, sf_dir) -> str:
+    """A new topic log with all messages; ranges of offsets are written by different tasks, in order."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/topics-{uuid.uuid4().hex}"
+    order = ["topic", "partition", "offset"]
+    rows = (Fixtures(spark, sf_dir).topic_messages.repartitionByRange(*order).sortWithinPartitions(*order)
+            .select("topic", "partition", F.timestamp_seconds("eventTime").alias("timestamp"),
+                    F.col("key").cast("binary").alias("key"), F.col("value").cast("binary").alias("value")))
+    topic_log.register(spark)
+    rows.write.format(topic_log.FORMAT).mode("append").save(path)
+    return path
+
+
 @query("topic_source", oracle("""
-SELECT topic, "partition", "offset", "key", strlen("value") AS value_bytes, eventTime AS timestamp
-FROM topic_messages""", ("topic_messages",)))
+SELECT topic, "partition", "offset", "key", strlen("value") AS value_bytes, eventTime AS timestamp FROM log""",
+                              ("topic_messages",), [_LOG]))
 def q_topic_source(spark, sf_dir):
-    """The topic in the Kafka source's shape (binary key/value, timestamp).
-
-    On a cluster this is ``read_topic(spark, {...})``; here the same-schema
-    table stands in for the broker.
-    """
-    m = Fixtures(spark, sf_dir).topic_messages
-    kafka = m.select("topic", "partition", "offset", F.col("key").cast("binary").alias("key"),
-                     F.col("value").cast("binary").alias("value"),
-                     F.timestamp_seconds("eventTime").alias("timestamp"))
-    return kafka.select("topic", "partition", "offset", F.col("key").cast("string").alias("key"),
-                        F.length("value").cast("bigint").alias("value_bytes"),
-                        F.unix_seconds("timestamp").alias("timestamp"))
+    """All topics of a log, read from the earliest offsets."""
+    log = decode.read_topic(spark, {"path": _landed_log(spark, sf_dir)}, fmt=topic_log.FORMAT)
+    return log.select("topic", "partition", "offset", F.col("key").cast("string").alias("key"),
+                      F.length("value").cast("bigint").alias("value_bytes"),
+                      F.unix_seconds("timestamp").alias("timestamp"))
 
 
 @query("topic_wildcard", oracle("""
 SELECT topic, count(*) AS messages FROM topic_messages
 WHERE regexp_full_match(topic, '^chain\\.logs\\.[^.]+$') GROUP BY topic""", ("topic_messages",)))
 def q_topic_wildcard(spark, sf_dir):
-    """Subscribe to ``chain.logs.*`` (one segment per ``*``)."""
-    m = Fixtures(spark, sf_dir).topic_messages
-    return m.filter(decode.topic_matches("topic", "chain.logs.*")).groupBy("topic").agg(
-        F.count("*").alias("messages"))
+    """Subscribe to ``chain.logs.*`` (one segment per ``*``); other topics' files are not opened."""
+    log = decode.read_topic(spark, {"path": _landed_log(spark, sf_dir), "subscribePattern": "chain.logs.*"}, fmt=topic_log.FORMAT)
+    return log.groupBy("topic").agg(F.count("*").alias("messages"))
+
+
+@query("replay", oracle("""
+SELECT topic, "partition", "offset", "key", "value" FROM log JOIN (
+  SELECT topic, "partition", min("offset") AS since FROM log
+  WHERE eventTime >= (SELECT (min(eventTime) + max(eventTime)) // 2 FROM log) GROUP BY ALL) s USING (topic, "partition")
+WHERE "offset" >= since""", ("topic_messages",), [_LOG]))
+def q_replay(spark, sf_dir):
+    """Replay from a time, half way through the history: each partition from its first offset not before it."""
+    low, high = Fixtures(spark, sf_dir).topic_messages.agg(F.min("eventTime"), F.max("eventTime")).first()
+    since = ((low or 0) + (high or 0)) // 2
+    log = decode.read_topic(spark, {"path": _landed_log(spark, sf_dir)}, replay_from_ms=since * 1000, fmt=topic_log.FORMAT)
+    return log.select("topic", "partition", "offset", F.col("key").cast("string").alias("key"),
+                      F.col("value").cast("string").alias("value"))
 
 
 # --- scalar functions (C03, C04, C06, C07, C09-C12) -------------------------------

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from chainflow import schemas as S
 from chainflow.functions import scalar as C
+from chainflow.sources import topic_log
 
 
 def split_corrupt(decoded: DataFrame, flag: str = "is_corrupt") -> tuple[DataFrame, DataFrame]:
@@ -143,14 +144,16 @@ def read_pages(spark: SparkSession, path: str, entity: str, array_field: str) ->
 
 
 def read_topic(spark: SparkSession, options: dict, stream: bool = False,
-               replay_from_ms: int | None = None, replay: bool = False):
-    """Topic source (S20): Kafka when the connector is present.
+               replay_from_ms: int | None = None, replay: bool = False, fmt: str = "kafka"):
+    """Topic source (S20): a topic log on shared storage (``fmt="topiclog"``, option ``path``) or Kafka, where its connector is present.
 
-    ``startingOffsets=latest`` as the reference's consumer; per-group offsets
+    A stream starts at the latest offsets, as the reference's consumer; per-group offsets
     become the streaming checkpoint.  ``subscribePattern`` carries wildcard
     topics (S21).  Replay (T14) starts from the earliest offsets, or from a
     timestamp (``startingTimestamp``, milliseconds) when given.
     """
+    if fmt == topic_log.FORMAT:
+        topic_log.register(spark)
     reader = spark.readStream if stream else spark.read
     opts = {"startingOffsets": "latest"} if stream else {}
     if replay:
@@ -159,7 +162,7 @@ def read_topic(spark: SparkSession, options: dict, stream: bool = False,
         opts.pop("startingOffsets", None)
         opts["startingTimestamp"] = str(replay_from_ms)
     opts.update(options)
-    return reader.format("kafka").options(**opts).load()
+    return reader.format(fmt).options(**opts).load()
 
 
 def topic_matches(topic_col, pattern: str):

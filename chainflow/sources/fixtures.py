@@ -309,7 +309,8 @@ SELECT 'c' || cast(s_suppkey AS string) AS clientId, {topic.format(0)} AS subTop
   cast(1 AS bigint) AS subTime
 FROM {D.t("supplier")}
 UNION ALL
-SELECT 'c' || cast(s_suppkey AS string), {topic.format(1)}, {chain.format(1)}, cast(2 AS bigint)
+SELECT 'c' || cast(s_suppkey AS string), {topic.format(1)}, {chain.format(1)},
+  cast(1704067200 + s_suppkey % 30 * 86400 AS bigint)
 FROM {D.t("supplier")} WHERE s_suppkey % 2 = 0"""
 
 
