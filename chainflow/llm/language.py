@@ -25,6 +25,7 @@ predicted alike; extra columns are ignored.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -42,7 +43,12 @@ TRAIN_ROWS = 300
 #: Of a compiled table, by the grams counted.
 MAX_TABLE_BYTES = 64 << 20
 MAX_BROADCAST_ROWS = 200_000
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER_OR_NUMBER = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str) -> bool:
+    """A character of Unicode's letter categories; signs such as ``½``, ``²`` and ``Ⅷ`` are numbers."""
+    return any(unicodedata.category(m[0])[0] == "L" for m in _LETTER_OR_NUMBER.finditer(text))
 
 
 def grams(raw: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -164,7 +170,7 @@ def predict(blocks: Iterable[Trees], texts: pa.Array) -> tuple[list[str], list[f
     letters = []
     for lo, rows, raw, offsets in K.slices(texts):
         data = raw.tobytes()
-        letters += [bool(_LETTER.search(data[offsets[i]:offsets[i + 1]].decode("utf-8", "replace"))) for i in range(rows)]
+        letters += [has_letter(data[offsets[i]:offsets[i + 1]].decode("utf-8", "replace")) for i in range(rows)]
     if best is None:
         return ["und"] * len(letters), [0.0] * len(letters)
     return ([x if good else "und" for x, good in zip(best[0], letters)],

@@ -177,7 +177,7 @@ def redact(docs: DataFrame, ledger: str, text: str = "text", mark: str = "<SECRE
     def blank(batch: pa.RecordBatch) -> dict:
         cols = dict(zip(batch.schema.names, batch.columns))
         out = []
-        for body, spans in zip(cols[text].to_pylist(), cols["found"].to_pylist()):
+        for body, spans in zip(cols[text].to_pylist(), cols["__found"].to_pylist()):
             end, parts = 0, []
             for s in spans:
                 if s["start"] >= end:
@@ -188,13 +188,13 @@ def redact(docs: DataFrame, ledger: str, text: str = "text", mark: str = "<SECRE
 
     clean = None
     while True:
-        per_blob = _found_blobs(docs, ledger, text, rules)
-        addressed = docs.withColumn("_blob", _blob(text))
-        kept = addressed.join(per_blob, "_blob", "left_anti").select(*columns)
+        per_blob = _found_blobs(docs, ledger, text, rules).toDF("__blob", "__found")
+        addressed = docs.withColumn("__blob", _blob(text))
+        kept = addressed.join(per_blob, "__blob", "left_anti").select(*columns)
         clean = kept if clean is None else clean.unionByName(kept)
         if per_blob.isEmpty():
             return clean
-        changed = addressed.join(per_blob, "_blob").select(*columns, "found")
+        changed = addressed.join(per_blob, "__blob").select(*columns, "__found")
         docs = C.written(C.map_slices(changed, text, blank, docs.schema), "redacted")
         if docs.isEmpty():
             return clean

@@ -247,3 +247,58 @@ def test_query_of_simhash_matches_brute_force(spark):
     for key, f in fps.items():
         low[root[f]] = min(low.get(root[f], key), key)
     assert rows == {key: (f"{f:016x}", low[root[f]]) for key, f in fps.items()}
+
+
+# ---------------------------------------------------------------- mended edges of earlier operators
+
+def test_number_signs_are_no_letters(spark):
+    from chainflow.llm import language
+
+    assert not any(map(language.has_letter, ("", "½ ² Ⅷ", "12 ٣ _-", "\U0001f600")))
+    assert all(map(language.has_letter, ("x", "½é", "١ ب", "ʰ", "中")))
+    docs = spark.createDataFrame([(i, "the cat and the dog", "en") for i in range(9)] + [(20, "½ ² Ⅷ", "en")],
+                                 "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in language.identify(docs.select("doc_id", "text"), language.train(docs)).collect()}
+    assert got[20] == "und" and got[0] == "en"
+
+
+def test_long_words_hash_alike_in_blocks():
+    from chainflow.llm import kernels
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(1)
+    long = bytes(rng.integers(97, 123, 3 * kernels._BLOCK + 17, dtype=np.uint8)).decode()
+    texts = [long, f"a {long} b", f"{long[:-1]} {long}x", long[:kernels._BLOCK], f" {long[:kernels._BLOCK]}"]
+    words = []
+    for _, rows, raw, offsets in kernels.slices(pa.array(texts), 1 << 30):
+        w = kernels.Words(raw, offsets, kernels.SPACE_WORDS)
+        words += [w.hash[w.first[i]:w.first[i + 1]].tolist() for i in range(rows)]
+    assert words[0][0] == words[1][1] and words[3] == words[4] and len({h for w in words for h in w}) == 6
+
+
+def test_ledger_scans_copies_once_and_mixed_blobs(spark, scratch):
+    from chainflow.llm import secrets
+
+    rows = [(i, t) for i, t in enumerate(["password=abcdefgh1", "password=abcdefgh1", "clean", None, "", "AKIA" + "A" * 12] * 3)]
+    docs = spark.createDataFrame(rows, "path long, content string").repartition(4)
+    for few in (0, 1000):  # with and without broadcast digests
+        ledger = f"{scratch}/ledger{few}"
+        first = secrets.update_ledger(docs, ledger, max_broadcast_blobs=few)
+        assert first.count() == 4 * len(secrets.RULES)
+        assert secrets.update_ledger(docs, ledger, max_broadcast_blobs=few).count() == 0
+        newer = (*secrets.RULES[:2], secrets.RULES[2]._replace(version=9))
+        again = secrets.update_ledger(docs, ledger, rules=newer, max_broadcast_blobs=few)
+        assert [r.kind for r in again.collect()] == ["hex"] * 4
+
+
+def test_redaction_goes_on_with_changed_texts_only(spark, scratch):
+    from chainflow.llm import secrets
+
+    rows = [(1, "password=abcdefgh1 x", 5), (2, "clean", 6), (3, None, None), (1, "password=abcdefgh1 x", 5),
+            (4, "pass" + "AKIA" + "A" * 12 + "word=qwertyuiop", 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, found long").repartition(3)
+    out = secrets.redact(docs, f"{scratch}/ledger", mark="")
+    assert out.columns == ["doc_id", "text", "found"]
+    got = sorted((r.doc_id, r.text or "", r.found) for r in out.collect())
+    assert got == [(1, " x", 5), (1, " x", 5), (2, "clean", 6), (3, "", None), (4, "", 7)]  # the halves of a new match
