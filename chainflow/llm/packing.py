@@ -1,13 +1,23 @@
-"""Best-fit packing of token pieces, longest first, over the whole table.
-
-Texts are tokenised where they are; only what is longer than a sequence is cut.
-Pieces of one length are alike to best fit, so its outcome follows from the number of
-pieces of each length.  Partitions count their pieces, the counts are added up, and
-``Plan`` packs the sums: bins that are alike are kept as one range of bin numbers, so
-its size follows ``size`` and not the input.  A piece's number among those of its
-length (its own partition's, after those of the partitions before) then says its
-sequence and offset.  No task holds the pieces, and the sequences are as many as plain
-best fit over all pieces makes.
+"""Best-fit packing of token pieces by hierarchical residual rounds.
+
+Texts are tokenised where they are; only what is longer than a sequence is cut.  Every
+partition packs its pieces best-fit, longest first, and emits the bins that are nearly
+full.  The pieces of underfull bins go up a tree: groups of ``fan_in`` nodes meet in one
+task, which packs them again, emits what is nearly full now and passes on the rest.  The
+last node emits everything.
+
+Pieces of one length are alike to best fit.  So a node takes and passes on numbers of
+pieces by length, at most ``fan_in * size`` rows, however many pieces these are: nothing
+is capped, and no piece moves.  What a node emits are ranges: of a child's pieces of one
+length, those from a number on fill bins from a number on.  On the way down ranges of a
+node become ranges of its children, and at last of the partitions, where a piece's number
+among those of its length says its sequence and offset.
+
+Best fit puts small pieces (at most half a sequence) beside large ones.  A node that has
+few large ones would fill bins with small pieces alone that gaps elsewhere need, as on
+input ordered by length.  So it emits such bins only as long as the share of its small
+pieces stays unused that, counted over all nodes of the round, could fill the gaps beside
+large ones.
 
 Tokens come from a byte-level BPE rank file (its path is a parameter); the ids of
 ``pack`` equal those of the ``tokenizers`` library at its defaults for the same
@@ -30,16 +40,14 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from . import common as C
 from . import kernels as K
 
 SEQUENCE = 1024
 MAX_BROADCAST_ROWS = 200_000
-_PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long, ids array<int>"
-PIECES = f"{_PIECE}, node long, number long"
-PLACED = f"{_PIECE}, sequence_id long, offset long"
+PIECES = ("doc_id long, piece int, start long, length long, ids_crc32 long, ids array<int>, "
+          "node long, number long")
 
 #: The rank file's split pattern, and the same without its look-ahead.  They differ
 #: only where white space follows white space.
@@ -156,11 +164,12 @@ class Plan:
     """Best fit, longest first, of counted lengths: where the pieces of every length go.
 
     A row: of pieces of ``length`` those from number ``start`` on fill bins from ``first``
-    on, ``per`` in each, from ``offset`` on.
+    on, ``per`` in each, from ``offset`` on.  ``left`` lists (first bin, bins, what is left
+    in each) of all bins.
     """
 
     def __init__(self, counts: dict[int, int], size: int):
-        rows: list[tuple[int, int, int, int, int]] = []
+        rows: list[tuple[int, int, int, int, int, int]] = []
         by_left: dict[int, list[tuple[int, int]]] = {}  # ranges (first bin, bins) by what is left in them
         self.bins = 0
         for n in sorted(counts, reverse=True):
@@ -174,7 +183,7 @@ class Plan:
                 some = todo - whole * per if whole < bins else 0
                 for at, many, each in ((first, whole, per), (first + whole, 1, some)):
                     if many and each:
-                        rows.append((n, start, at, each, size - left))
+                        rows.append((n, start, many * each, at, each, size - left))
                         start, todo = start + many * each, todo - many * each
                         by_left.setdefault(left - each * n, []).append((at, many))
                 used = whole + (some > 0)
@@ -193,31 +202,132 @@ class Plan:
                 new = -(-todo // (size // n))
                 self.bins += new
                 fill(self.bins - new, new, size)
-        rows.sort()
-        self.length, self.start, self.first, self.per, self.offset = (
-            np.array([r[i] for r in rows], np.int64) for i in range(5))
-        #: The rows of each length.
-        self.low = np.searchsorted(self.length, np.arange(size + 2))
-
-    def place(self, lengths: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(sequence, offset) of pieces by length and number among those of that length."""
-        row = np.empty(len(lengths), np.int64)
-        for n in np.unique(lengths):
-            own = lengths == n
-            low, high = self.low[n], self.low[n + 1]
-            row[own] = low + np.searchsorted(self.start[low:high], numbers[own], "right") - 1
-        bins, at = np.divmod(numbers - self.start[row], self.per[row])
-        return self.first[row] + bins, self.offset[row] + at * lengths
+        self.length, self.start, self.count, self.first, self.per, self.offset = (
+            np.array([r[i] for r in sorted(rows)], np.int64) for i in range(6))
+        self.left = sorted((first, bins, left) for left, own in by_left.items() for first, bins in own)
+
+
+def emitted(plan: Plan, counts: dict[int, int], size: int, slack: int, reserve: float) -> list[tuple[int, int]]:
+    """(first bin, end) of the bins that a node emits: nearly full, and those of small pieces beyond the reserve."""
+    # bins are made in order of their first piece's length, so those led by a large one come first
+    large = sum(n for length, n in counts.items() if 2 * length > size)
+    small = sum(length * n for length, n in counts.items() if 2 * length <= size)
+    room = int(small * (1 - reserve))
+    out = []
+    for first, bins, left in plan.left:
+        if left > slack:
+            continue
+        alone = min(bins, max(0, first + bins - large))  # bins of small pieces alone
+        take = min(alone, room // (size - left))
+        room -= take * (size - left)
+        if bins - alone + take:
+            out.append((first, first + bins - alone + take))
+    return out
+
+
+RANGES = ("node long, child long, length long, start long, count long, emitted boolean, "
+          "first long, per long, offset long, skip long, base long")
+
+
+def merger(level: int, last: bool, size: int, slack: int, reserve: float):
+    """One node of the tree: ranges of its children's pieces, emitted or passed on."""
+
+    def merge(part: pa.Table) -> pa.Table:
+        part = part.sort_by([("length", "ascending"), ("child", "ascending")])
+        node = part["node"][0].as_py()
+        child, length, n = (part[c].to_numpy() for c in ("child", "length", "n"))
+        counts: dict[int, int] = {}
+        for k, many in zip(length.tolist(), n.tolist()):
+            counts[k] = counts.get(k, 0) + many
+        plan = Plan(counts, size)
+        spans = [(0, plan.bins)] if last else emitted(plan, counts, size, slack, reserve)
+        ends = np.array([e for _, e in spans], np.int64)
+        starts = np.array([s for s, _ in spans], np.int64)
+        number = level << 58 | node << 38
+        # cut the plan's rows at the borders of emitted bins and of children: one number line over all lengths
+        total = np.cumsum(n) - n
+        at = dict(zip(length[::-1].tolist(), total[::-1].tolist()))
+        begin = plan.start + np.array([at[k] for k in plan.length.tolist()], np.int64)
+        order = np.argsort(begin)
+        begin, per, first, offset = begin[order], plan.per[order], plan.first[order], plan.offset[order]
+        bins = plan.count[order] // per
+        cuts = [begin, total]
+        for border in (starts, ends):
+            # rows and borders meet where a border lies inside a row's bins
+            low, high = np.searchsorted(border, first, "right"), np.searchsorted(border, first + bins, "left")
+            row = np.repeat(np.arange(len(first)), high - low)
+            which = np.arange(len(row)) - np.repeat(np.cumsum(high - low) - (high - low), high - low) + low[row]
+            cuts.append(begin[row] + (border[which] - first[row]) * per[row])
+        cut_at = np.unique(np.concatenate(cuts))
+        many = np.diff(np.append(cut_at, n.sum()))
+        row = np.searchsorted(begin, cut_at, "right") - 1
+        own = np.searchsorted(total, cut_at, "right") - 1
+        skip = cut_at - begin[row]
+        inside = first[row] + skip // per[row]
+        done = np.zeros(len(cut_at), bool)
+        if len(starts):
+            span = np.searchsorted(starts, inside, "right") - 1
+            done = (span >= 0) & (inside < ends[span])
+        passed = np.where(done, 0, many)
+        before = np.cumsum(passed) - passed
+        # a passed-on range begins at this number among the node's passed-on pieces of its length
+        head = np.searchsorted(length[own], length[own], "left")
+        base = before - before[head]
+        rows = len(cut_at)
+        return pa.table([np.full(rows, node), child[own], length[own], cut_at - total[own], many, done,
+                         number + first[row], per[row], offset[row], skip, base], NAMES)
+
+    return merge
+
+
+NAMES = [f.split()[0] for f in RANGES.split(", ")]
+
+
+def tree(counts: DataFrame, size: int, fan_in: int, slack: int) -> DataFrame:
+    """Ranges (node, length, start, count, first, per, offset, skip) of all pieces from counts (node, length, n)."""
+    top = counts.agg(F.max("node")).first()[0]
+    levels: list[DataFrame] = []
+    nodes, items = (top or 0) + 1, counts.withColumnRenamed("node", "child").withColumn("node", F.col("child"))
+    while True:
+        last = nodes == 1 and len(levels) > 0
+        gaps, small = items.agg(
+            F.sum(F.when(F.col("length") * 2 > size, (size - F.col("length")) * F.col("n"))),
+            F.sum(F.when(F.col("length") * 2 <= size, F.col("length") * F.col("n")))).first()
+        reserve = min(1.0, (gaps or 0) / small) if small else 0.0
+        ranges = C.written(items.groupBy("node").applyInArrow(
+            merger(len(levels), last, size, slack, reserve), C.take(RANGES)), "ranges")
+        levels.append(ranges)
+        if last:
+            break
+        nodes = -(-nodes // fan_in)
+        items = (ranges.where("NOT emitted").groupBy(F.col("node").alias("child"), "length")
+                 .agg(F.sum("count").alias("n")).withColumn("node", F.floor(F.col("child") / fan_in).cast("long")))
+    columns = ["length", "start", "count", "first", "per", "offset", "skip"]
+    down = None
+    for ranges in reversed(levels):
+        own = ranges.where("emitted").select(F.col("child").alias("node"), *columns)
+        if down is not None:
+            up, low = down.alias("up"), ranges.where("NOT emitted").alias("low")
+            begin = F.greatest("up.start", "low.base")
+            end = F.least(F.col("up.start") + F.col("up.count"), F.col("low.base") + F.col("low.count"))
+            meet = up.join(low, (F.col("up.node") == F.col("low.node")) & (F.col("up.length") == F.col("low.length"))
+                           & (begin < end))
+            own = own.unionByName(meet.select(
+                F.col("low.child").alias("node"), "up.length", (F.col("low.start") + begin - F.col("low.base")).alias("start"),
+                (end - begin).alias("count"), "up.first", "up.per", "up.offset",
+                (F.col("up.skip") + begin - F.col("up.start")).alias("skip")))
+        down = C.written(own, "placed")
+    return down
 
 
 def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SEQUENCE, end_id: int = 2,
          vocabulary: str | None = None, with_ids: bool = False, fan_in: int = 8, slack: int = 8,
-         max_open: int = 50_000, local_pieces: int = 200_000) -> DataFrame:
+         local_pieces: int = 200_000) -> DataFrame:
     """One row per piece: where its document's ids begin, and its sequence and offset there.
 
     ``with_ids`` carries the ids themselves, from which ``assemble`` builds the sequences.
-    ``local_pieces`` are written at a time.  ``fan_in``, ``slack`` and ``max_open`` belonged
-    to a merge tree; they are still taken and change nothing.
+    Bins with at most ``slack`` tokens left are nearly full; ``fan_in`` nodes meet in one.
+    ``local_pieces`` are written at a time.
     """
     src = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     schema = C.take(PIECES)
@@ -248,23 +358,18 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int
             yield flush()
 
     pieces = C.written(src.mapInArrow(local, schema), "pieces")
-    # a length's window has one row for each partition
-    before = F.sum("n").over(Window.partitionBy("length").orderBy("node")) - F.col("n")
-    counts = C.written(pieces.groupBy("node", "length").agg(F.count(F.lit(1)).alias("n"))
-                       .withColumn("before", before), "counts")
-    plan = Plan({r.length: r.n for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}, size)
-    shared = C.Shared(docs.sparkSession, plan)
-    before = counts.select("node", "length", "before")
-    if before.count() <= MAX_BROADCAST_ROWS:
-        before = F.broadcast(before)
-    numbered = pieces.join(before, ["node", "length"]).select(
-        *names[:6], (F.col("before") + F.col("number")).alias("number"))
-
-    def place(batch: pa.RecordBatch) -> dict:
-        sequence, offset = shared.value.place(batch.column(3).to_numpy(), batch.column(6).to_numpy())
-        return dict(zip(names[:6], batch.columns)) | {"sequence_id": sequence, "offset": offset}
-
-    return C.map_arrow(numbered, place, C.take(PLACED))
+    counts = C.written(pieces.groupBy("node", "length").agg(F.count(F.lit(1)).alias("n")), "counts")
+    # a partition has few ranges of one length
+    ranges = tree(counts, size, fan_in, slack)
+    placed = (ranges.groupBy("node", "length")
+              .agg(F.sort_array(F.collect_list(F.struct("start", "first", "per", "offset", "skip"))).alias("ranges")))
+    if ranges.count() <= MAX_BROADCAST_ROWS:
+        placed = F.broadcast(placed)
+    own = F.element_at(F.filter("ranges", lambda r: r["start"] <= F.col("number")), -1)
+    at = F.col("number") - F.col("own.start") + F.col("own.skip")
+    return (pieces.join(placed, ["node", "length"]).withColumn("own", own)
+            .select(*names[:6], F.expr("own.first + (number - own.start + own.skip) div own.per").alias("sequence_id"),
+                    (F.col("own.offset") + at % F.col("own.per") * F.col("length")).alias("offset")))
 
 
 def assemble(pieces: DataFrame) -> DataFrame:

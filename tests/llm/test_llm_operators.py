@@ -1,5 +1,6 @@
 """Operators against plain versions on planted data, and their defined edge cases."""
 
+import collections
 import gzip
 import itertools
 import os
@@ -194,8 +195,18 @@ def test_packing_rounds_keep_every_piece(spark):
     assert all(len(r.ids) <= 256 for r in sequences)
     _, _, together = packing.best_fit([r.length for r in got], 256)
     assert len(sequences) <= 1.02 * len(together) + 1
-    capped = packing.pack(df, size=256, fan_in=3, max_open=4, local_pieces=10)
-    assert capped.count() == len(got)  # what a node may not pass on becomes final, nothing is lost
+    check_spans(got, 256)
+
+
+def check_spans(got, size):
+    spans = {}
+    for r in got:
+        spans.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for own in spans.values():
+        own.sort()
+        assert [o for o, _ in own] == [0, *itertools.accumulate(n for _, n in own)][:-1]
+        assert sum(n for _, n in own) <= size
+    return len(spans)
 
 
 @pytest.mark.parametrize("seed", range(6))
@@ -204,11 +215,15 @@ def test_plan_is_plain_best_fit(seed):
     size = rng.choice((7, 64, 256))
     lengths = [min(size, max(1, int(rng.expovariate(3 / size)))) for _ in range(rng.choice((1, 40, 3000)))]
     plan = packing.Plan({n: lengths.count(n) for n in set(lengths)}, size)
-    number = [lengths[:i].count(n) for i, n in enumerate(lengths)]
-    sequence, offset = plan.place(np.array(lengths), np.array(number))
-    spans = {}
-    for n, s, o in zip(lengths, sequence.tolist(), offset.tolist()):
-        spans.setdefault(s, []).append((o, n))
+    spans, numbers = {}, []
+    for n, start, count, first, per, offset in zip(plan.length.tolist(), plan.start.tolist(), plan.count.tolist(),
+                                                   plan.first.tolist(), plan.per.tolist(), plan.offset.tolist()):
+        numbers += [(n, start + i) for i in range(count)]
+        for i in range(count):
+            spans.setdefault(first + i // per, []).append((offset + i % per * n, n))
+    assert sorted(numbers) == sorted((n, lengths[:i].count(n)) for i, n in enumerate(lengths))
+    assert {s: size - sum(n for _, n in own) for s, own in spans.items()} == {
+        first + i: left for first, bins, left in plan.left for i in range(bins)}
     for own in spans.values():
         assert [o for o, _ in sorted(own)] == [0, *itertools.accumulate(n for _, n in sorted(own))][:-1]
     _, _, fills = packing.best_fit(lengths, size)
@@ -216,14 +231,46 @@ def test_plan_is_plain_best_fit(seed):
 
 
 def test_packing_of_sorted_input_is_plain_best_fit(spark):
-    # partitions hold one length each, and more of them than the former tree's nodes passed on
+    # partitions hold one length each
     word = " word"
     rows = [(i, word * (150 if i < 400 else 100 if i < 700 else 31)) for i in range(1000)]
     df = spark.createDataFrame(spark.sparkContext.parallelize(rows, 10), "doc_id long, text string")
-    got = packing.pack(df, size=256, fan_in=3, max_open=20, local_pieces=50).collect()
+    got = packing.pack(df, size=256, fan_in=3, local_pieces=50).collect()
     assert len(got) == 1000
     _, _, together = packing.best_fit([r.length for r in got], 256)
-    assert len({r.sequence_id for r in got}) == len(together)
+    assert check_spans(got, 256) == len(together)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_residual_rounds_stay_near_plain_best_fit(spark, seed):
+    # a partition's lengths lie together, as when a table is ordered by length or source
+    rng = np.random.default_rng(seed)
+    size = 1024
+    lengths = np.sort(np.clip((rng.lognormal(5.2, 1.0, 40000), rng.exponential(380, 40000),
+                               rng.choice([600, 400, 300, 24, 1024], 40000))[seed].astype(int), 1, size))
+    rows = [(int(i * 40 // len(lengths)), int(n)) for i, n in enumerate(lengths)]
+    counts = spark.createDataFrame([(p, n, c) for (p, n), c in sorted(collections.Counter(rows).items())],
+                                   "node long, length long, n long")
+    got = packing.tree(counts, size, 4, 8).collect()
+    pieces, spans = [], {}
+    for r in got:
+        for i in range(r["start"], r["start"] + r["count"]):
+            pieces.append((r.node, r.length, i))
+            k = i - r.start + r.skip
+            spans.setdefault(r.first + k // r.per, []).append((r.offset + k % r.per * r.length, r.length))
+    seen = collections.Counter()
+    want = []
+    for p, n in rows:
+        want.append((p, n, seen[p, n]))
+        seen[p, n] += 1
+    assert sorted(pieces) == sorted(want)
+    for own in spans.values():
+        own.sort()
+        assert [o for o, _ in own] == [0, *itertools.accumulate(n for _, n in own)][:-1]
+        assert sum(n for _, n in own) <= size
+    plan = packing.Plan(collections.Counter(lengths.tolist()), size)
+    assert len(spans) <= 1.01 * plan.bins
+    assert len({s >> 58 for s in spans}) > 2  # bins are emitted below the last node
 
 
 def test_best_fit_takes_the_tightest_gap():
