@@ -7,13 +7,15 @@ the text's words (hashed to 2^16 places, square-root counts, unit length) and
 statistics of its structure and length.  Language, source, id and labels are
 never inputs of a score.
 
-Fitting uses a bounded sample: the ``train_rows`` labelled rows with the lowest
-hash of their id, outside the held-out fold.  Only these rows' features reach the
-driver; scoring covers every row in Arrow batches against the broadcast model,
+Fitting uses a bounded sample: the ``train_rows`` labelled ids with the lowest hash,
+outside the held-out fold, as long as their texts have at most ``train_words``
+distinct words in all (8 bytes each).  Only their features reach the driver, one row
+for each id; scoring covers every row in Arrow batches against the broadcast model,
 whose size is fixed by ``BITS`` and ``rank``.
 
 Defined cases: a null or empty text has no words and all statistics zero, and is
-scored like any other; repeated rows score alike; labels that are null or whose id
+scored like any other; repeated rows score alike; an id with several texts is learned from the one with the
+smallest SHA-256; labels that are null or whose id
 has no document are not learned from; with no label at all the score is 0.5; a
 null doc_id is not held out; extra columns are ignored, and passed through by
 ``keep_good``.
@@ -25,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from . import common as C
 from . import kernels as K
@@ -32,6 +35,7 @@ from . import kernels as K
 BITS = 16
 FOLDS = 5
 TRAIN_ROWS = 6000
+TRAIN_WORDS = 30_000_000
 THRESHOLD = 0.3
 
 #: Bytes that a statistic counts, as a share of the text's bytes.
@@ -157,26 +161,36 @@ def fit(rows: list[tuple], rank: int = 8, steps: int = 700, batch: int = 64, rat
 
 
 def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality",
-          train_rows: int = TRAIN_ROWS, **options) -> Machine:
-    """Fit on at most ``train_rows`` labelled rows outside the held-out fold."""
+          train_rows: int = TRAIN_ROWS, train_words: int = TRAIN_WORDS, **options) -> Machine:
+    """Fit on at most ``train_rows`` labelled ids outside the held-out fold, with at most
+    ``train_words`` distinct words (a text's words counted for itself) in all."""
     chosen = (labels.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(label).cast("double").alias("label"))
               .where("doc_id IS NOT NULL AND label IS NOT NULL").where(C.crc_fold("doc_id", FOLDS) != 0)
               .groupBy("doc_id").agg(F.max("label").alias("label"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows))
     src = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    labelled = src.join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text")
+    digest = F.coalesce(F.sha2(F.col("text").cast("binary"), 256), F.lit(""))
+    labelled = src.join(F.broadcast(chosen), "doc_id").select("doc_id", "label", digest.alias("digest"), "text")
 
     def extract(batch: pa.RecordBatch) -> dict:
         index, value, stat = [], [], []
-        for i, x, border, stats in features(batch.column(2)):
+        for i, x, border, stats in features(batch.column(3)):
             index += np.split(i, border[1:-1])
             value += np.split(x, border[1:-1])
             stat += list(stats)
-        return {"doc_id": batch.column(0), "label": batch.column(1), "index": index, "value": value, "stats": stat}
-
-    got = C.map_arrow(labelled, extract, C.take(
-        "doc_id long, label double, index array<int>, value array<float>, stats array<double>")).toArrow()
-    rows = got.sort_by([("doc_id", "ascending")]).slice(0, train_rows)
+        return {"doc_id": batch.column(0), "label": batch.column(1), "digest": batch.column(2),
+                "index": index, "value": value, "stats": stat}
+
+    # an id that several rows hold is learned from once; tasks keep one row of it each before the shuffle
+    names = ["label", "index", "value", "stats"]
+    least = (C.map_arrow(labelled, extract, C.take(
+        "doc_id long, label double, digest string, index array<int>, value array<float>, stats array<double>"))
+        .groupBy("doc_id").agg(F.min_by(F.struct(*names), "digest").alias("row")).select("doc_id", "row.*"))
+    seen = C.written(least.withColumn("n", F.size("index").cast("long")), "labelled")
+    # at most train_rows rows
+    total = F.sum("n").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id"))
+    kept = seen.select("doc_id", total.alias("total")).where(F.col("total") <= train_words).select("doc_id")
+    rows = seen.join(F.broadcast(kept), "doc_id").select("doc_id", *names).toArrow().sort_by([("doc_id", "ascending")])
     return fit([(i.values.to_numpy(), v.values.to_numpy(), s.values.to_numpy(), y) for i, v, s, y in
                 zip(rows["index"], rows["value"], rows["stats"], rows["label"].to_pylist())], **options)
 

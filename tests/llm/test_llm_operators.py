@@ -2,10 +2,12 @@
 
 import collections
 import gzip
+import hashlib
 import itertools
 import os
 import random
 import re
+import time
 
 import numpy as np
 import plain
@@ -502,8 +504,48 @@ def test_chats_read_back(spark):
     assert chat.format_chats(df.where("false")).count() == 0
 
 
+def test_chats_of_many_turns(spark):
+    # work and time have to grow with the turns, not with their square
+    n = 100_000
+    rows = spark.range(n).selectExpr(
+        "1L conv_id", "id turn", "CASE WHEN id % 3 = 0 THEN 'user' ELSE 'assistant' END role",
+        "CASE WHEN id % 7 = 0 THEN '' ELSE concat('<é[', id, ' \U0001f600~ ', repeat('x', cast(id % 50 AS int))) END text")
+    began = time.monotonic()
+    got = chat.read_back(chat.format_chats(rows.repartition(8))).first()
+    assert time.monotonic() - began < 60
+    want = [("user" if i % 3 == 0 else "assistant",
+             "" if i % 7 == 0 else f"<é[{i} \U0001f600~ " + "x" * (i % 50)) for i in range(n)]
+    assert [(t.role, t.text) for t in got.turns] == want
+    assert list(got.loss_texts) == [x for r, x in want if r == "assistant"]
+
+
+def test_spans_across_blocks(spark):
+    rng = random.Random(3)
+    text = "".join(rng.choice("aé\U0001f600\n\r ") for _ in range(5 * chat.BLOCK))
+    spans = [(0, 0), (0, 1), (0, len(text)), (len(text), len(text)), (chat.BLOCK, chat.BLOCK), (chat.BLOCK - 1, chat.BLOCK + 1),
+             (chat.BLOCK, 2 * chat.BLOCK)] + [tuple(sorted(rng.choices(range(len(text) + 1), k=2))) for _ in range(200)]
+    df = spark.createDataFrame([(text, spans), ("", [(0, 0)]), ("x", [])], "t string, s array<struct<start:long,end:long>>")
+    got = {r.t: r.c for r in df.select("t", chat.cut_out(F.col("t"), F.col("s")).alias("c")).collect()}
+    assert got == {text: [text[a:b] for a, b in spans], "": [""], "x": []}
+
+
 # ---------------------------------------------------------------- quality classifier
 
+def test_an_id_is_learned_from_once(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, f"text {i % 5} of one id") for i in range(3000)] + [(2, "other words"), (3, None)],
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0), (3, 1), (4, 1)], "doc_id long, quality int")
+    monkeypatch.setattr(quality, "FOLDS", 1 << 40)  # no id is held out
+    taken = []
+    monkeypatch.setattr(quality, "fit", lambda rows, **_: taken.append(rows))
+    quality.train(docs, labels)
+    quality.train(docs, labels, train_words=3)
+    assert sorted((len(r[0]), r[3]) for r in taken[0]) == [(0, 1.0), (2, 0.0), (5, 1.0)]
+    least = min((f"text {i} of one id" for i in range(5)), key=lambda t: hashlib.sha256(t.encode()).hexdigest())
+    (index, _, _, _), = quality.features(pa.array([least]))
+    assert any(list(r[0]) == list(index) for r in taken[0])
+    assert sum(len(r[0]) for r in taken[1]) <= 3
+
 def test_machine_is_the_pairwise_sum():
     rng = np.random.default_rng(1)
     wide = 1 << quality.BITS
