@@ -10,9 +10,13 @@ through a per-chain window to carry across range borders.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from chainflow.session import checkpoint_dir
+
 SEGMENT = 4096  # order-key values per range
 GAP_SLICE = 100_000  # missing numbers made at once
 
@@ -114,6 +118,64 @@ def chain_continuity(blocks: DataFrame, ranges: bool = False) -> DataFrame:
     return gaps.unionByName(breaks)
 
 
+def chain_forks(blocks: DataFrame) -> DataFrame:
+    """Canonical chain, orphans and broken parents among competing blocks.
+
+    One row per (chainId, blockNumber, blockHash) with ``link`` and ``status``:
+
+    * ``link`` is ``start`` if the chain has no block one number lower, ``linked`` if
+      one of those has the ``parentHash``, else ``broken``.  A broken block is taken to
+      follow the one with the smallest hash among them.
+    * ``status`` is ``canonical`` for the blocks on the way back from the tip of each
+      stretch of consecutive numbers (its last number's smallest hash), else ``orphan``.
+
+    A number with one block is canonical whatever the branches do, as every way back
+    passes it.  Only rows of contested numbers are searched: from the block that the
+    uncontested number above names, pointers to the 1st, 2nd, 4th, ... ancestor mark
+    the branch, doubling its length per round.  Rounds grow with the logarithm of the
+    longest fork, not of the chain, and no chain or fork is gathered in one task.
+
+    Defined cases: repeated reports of a hash count once (of several parents the
+    smallest counts); a null parent is broken; rows without chain, hash or a whole
+    number are left out; other columns are ignored; an empty table gives no rows.
+    """
+    checkpoint_dir(blocks.sparkSession)
+    block = ["chainId", "n", "blockHash"]
+    reports = (blocks.select("chainId", F.expr("try_cast(blockNumber AS bigint)").alias("n"), "blockHash", "parentHash")
+               .dropna(subset=block).groupBy(*block).agg(F.min("parentHash").alias("parentHash")))
+    heights = reports.groupBy("chainId", "n").agg(F.count("*").alias("width"), F.min("blockHash").alias("least"))
+    below = heights.select("chainId", (F.col("n") + 1).alias("n"), F.col("least").alias("leastBelow"),
+                           F.col("width").alias("widthBelow"))
+    above = heights.select("chainId", (F.col("n") - 1).alias("n"), F.lit(True).alias("continued"))
+    parents = reports.select("chainId", (F.col("n") + 1).alias("n"), F.col("blockHash").alias("parentHash"),
+                             F.lit(True).alias("known"))
+    linked = (reports.join(heights, ["chainId", "n"]).join(below, ["chainId", "n"], "left")
+              .join(above, ["chainId", "n"], "left").join(parents, ["chainId", "n", "parentHash"], "left")
+              .withColumn("link", F.when(F.col("leastBelow").isNull(), "start").when(F.col("known"), "linked")
+                          .otherwise("broken"))
+              .withColumn("up", F.when(F.col("known"), F.col("parentHash")).otherwise(F.col("leastBelow")))
+              .select(*block, "link", "up", "width", "widthBelow", "least",
+                      F.coalesce("continued", F.lit(False)).alias("continued"))).checkpoint()
+
+    marks = [linked.where("width = 1 AND widthBelow > 1").select("chainId", (F.col("n") - 1).alias("n"),
+                                                                 F.col("up").alias("blockHash"))
+             .union(linked.where("width > 1 AND NOT continued AND blockHash = least").select(*block))]
+    jump = linked.where("width > 1 AND widthBelow > 1").select(*block, "up")
+    step = 1
+    while not jump.isEmpty():
+        marked = reduce(DataFrame.union, marks)
+        marks.append(marked.join(jump, block).select("chainId", (F.col("n") - step).alias("n"),
+                                                     F.col("up").alias("blockHash")).checkpoint())
+        further = jump.select("chainId", (F.col("n") + step).alias("n"), F.col("blockHash").alias("up"),
+                              F.col("up").alias("_up"))
+        jump = jump.join(further, ["chainId", "n", "up"]).select(*block, F.col("_up").alias("up")).checkpoint()
+        step *= 2
+    marked = reduce(DataFrame.union, marks).withColumn("marked", F.lit(True))
+    return linked.join(marked, block, "left").select(
+        "chainId", F.col("n").alias("blockNumber"), "blockHash", "link",
+        F.when((F.col("width") == 1) | F.col("marked"), "canonical").otherwise("orphan").alias("status"))
+
+
 def keyset_page(df: DataFrame, key: str, page_size: int, after=None,
                 descending: bool = False) -> DataFrame:
     """One page after a token: ``filter(key > token).orderBy(key).limit(n)``.

@@ -477,6 +477,30 @@ def q_chain_continuity(spark, sf_dir):
     return W.chain_continuity(Fixtures(spark, sf_dir).blocks)
 
 
+# The oracle walks every stretch back from its tip, block by block.
+@query("chain_forks", oracle("""
+SELECT chainId, n AS blockNumber, blockHash, link, CASE WHEN onWay THEN 'canonical' ELSE 'orphan' END AS status
+FROM (
+  WITH RECURSIVE r AS MATERIALIZED (
+    SELECT chainId, cast(blockNumber AS bigint) AS n, blockHash, min(parentHash) AS parentHash
+    FROM block_reports GROUP BY ALL),
+  h AS MATERIALIZED (SELECT chainId, n, min(blockHash) AS least FROM r GROUP BY ALL),
+  b AS MATERIALIZED (
+    SELECT r.*, CASE WHEN h.n IS NULL THEN 'start' WHEN p.n IS NULL THEN 'broken' ELSE 'linked' END AS link,
+      coalesce(p.blockHash, h.least) AS up
+    FROM r LEFT JOIN h ON h.chainId = r.chainId AND h.n = r.n - 1
+    LEFT JOIN r AS p ON p.chainId = r.chainId AND p.n = r.n - 1 AND p.blockHash = r.parentHash),
+  walk AS (
+    SELECT chainId, n, least AS blockHash FROM h
+    WHERE NOT EXISTS (SELECT 1 FROM h AS x WHERE x.chainId = h.chainId AND x.n = h.n + 1)
+    UNION ALL
+    SELECT b.chainId, b.n - 1, b.up FROM walk JOIN b USING (chainId, n, blockHash) WHERE b.link <> 'start')
+  SELECT b.*, walk.n IS NOT NULL AS onWay FROM b LEFT JOIN walk USING (chainId, n, blockHash)
+) q""", ("block_reports",)))
+def q_chain_forks(spark, sf_dir):
+    return W.chain_forks(Fixtures(spark, sf_dir).block_reports)
+
+
 def _pages_sql(desc: bool, after: int | None) -> str:
     cond = f"WHERE cast(blockNumber AS bigint) > {after}" if after is not None else ""
     d = "DESC" if desc else ""

@@ -106,6 +106,23 @@ SELECT chainId, blockNumber, max(blockTimestamp) AS blockTimestamp, max(blockHas
 FROM {D.t("transactions")} GROUP BY chainId, blockNumber"""
 
 
+def _block_reports(D: Dialect) -> str:
+    # Blocks as several nodes report them: rival branches over three heights, half of
+    # them extended by the next block, some parents that nobody reports, and repeats.
+    n, at = "cast(blockNumber AS bigint)", "cast({} AS string)"
+    rival = "'0x' || " + D.sha("chainId || ':rival:' || " + at)
+    return f"""
+SELECT chainId, blockNumber, blockHash, CASE
+    WHEN {n} % 22 = 6 THEN {rival.format(n + " - 1")}
+    WHEN {n} % 13 = 7 THEN '0x' || {D.sha("chainId || ':lost:' || blockNumber")}
+    ELSE parentHash END AS parentHash
+FROM {D.t("blocks")}
+UNION ALL
+SELECT chainId, blockNumber, {rival.format(n)}, CASE WHEN {n} % 11 = 3 THEN parentHash ELSE {rival.format(n + " - 1")} END
+FROM {D.t("blocks")} CROSS JOIN (SELECT 1 AS copy UNION ALL SELECT 2) c
+WHERE {n} % 11 IN (3, 4, 5) AND (copy = 1 OR {n} % 5 = 0)"""
+
+
 def _children(D: Dialect) -> str:
     # The window partitions by the same column the consumers group and join
     # on (orderKey), so Spark reuses one hash partitioning for all of them;
@@ -318,6 +335,7 @@ FROM {D.t("supplier")} WHERE s_suppkey % 2 = 0"""
 VIEWS: dict[str, tuple] = {
     "transactions": (_transactions, ("events",)),
     "blocks": (_blocks, ("transactions",)),
+    "block_reports": (_block_reports, ("blocks",)),
     "children": (_children, ("lineitem", "orders")),
     "orders_tx": (_orders_tx, ("orders",)),
     "sightings": (_sightings, ("transactions",)),

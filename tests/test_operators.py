@@ -77,6 +77,48 @@ def test_chain_continuity(spark):
     assert got == [("a", 3, "missing"), ("a", 4, "missing"), ("a", 6, "parent_mismatch")]
 
 
+BLOCKS = "chainId string, blockNumber string, blockHash string, parentHash string"
+
+
+def test_chain_forks(spark):
+    rows = [("a", "1", "A1", "?"), ("a", "2", "A2", "A1"), ("a", "2", "B2", "A1"), ("a", "3", "A3", "A2"),
+            ("a", "3", "B3", "B2"), ("a", "3", "B3", "B2"), ("a", "4", "B4", "B3"), ("a", "5", "X5", "lost"),
+            ("a", "7", "D7", "X6"), ("a", "8", "D8", "D7"), ("a", "8", "C8", None), ("b", "2", "A2", "A1"),
+            (None, "1", "A1", None), ("a", "x", "A1", None), ("a", "9", None, "C8")]
+    got = {(r.chainId, r.blockNumber, r.blockHash): (r.link, r.status)
+           for r in W.chain_forks(spark.createDataFrame(rows, BLOCKS)).collect()}
+    assert got == {
+        ("a", 1, "A1"): ("start", "canonical"), ("a", 2, "A2"): ("linked", "orphan"),
+        ("a", 2, "B2"): ("linked", "canonical"), ("a", 3, "A3"): ("linked", "orphan"),
+        ("a", 3, "B3"): ("linked", "canonical"), ("a", 4, "B4"): ("linked", "canonical"),
+        ("a", 5, "X5"): ("broken", "canonical"), ("a", 7, "D7"): ("start", "canonical"),
+        ("a", 8, "D8"): ("linked", "orphan"), ("a", 8, "C8"): ("broken", "canonical"),
+        ("b", 2, "A2"): ("start", "canonical")}
+    assert W.chain_forks(spark.createDataFrame([], BLOCKS)).isEmpty()
+
+
+def test_chain_forks_against_a_walk(spark):
+    rnd = random.Random(5)
+    rows = []
+    for n in range(120):
+        if n % 41 == 40:
+            continue
+        for k in range(3 if n % 50 < 37 else 1):
+            up = rnd.choice([f"{n - 1}-0", f"{n - 1}-1", f"{n - 1}-2", "lost"])
+            rows.append(("a", str(n), f"{n}-{k}", up))
+    least, parent = {}, {}
+    for _, n, h, up in rows:
+        least[int(n)] = min(h, least.get(int(n), h))
+        parent[h] = up
+    want = set()
+    for n in sorted(least, reverse=True):
+        at = least[n] if n + 1 not in least else (parent[at] if parent[at] in parent else least[n])
+        want.add(at)
+    got = W.chain_forks(spark.createDataFrame(rows, BLOCKS)).collect()
+    assert len(got) == len(rows)
+    assert {r.blockHash for r in got if r.status == "canonical"} == want
+
+
 def test_snapshot_changes(spark):
     cur = spark.createDataFrame([("a", "1", None), ("b", "2", 5), ("c", "3", None)], "k string, x string, y long")
     prev = spark.createDataFrame([("a", "1", None), ("b", "2", 6)], "k string, x string, y long")
