@@ -2,9 +2,10 @@
 
 Writing: payloads that occur more than once are found by their SHA-256 (counted
 map-side first); the record with the smallest page_id is the response, the others are
-revisits of it.  Records are cut into shards by ranges of page_id, from exact byte counts
-per range, so the same table gives the same archives however it is partitioned.  A
-task sorts its shard, regenerates headers and digests, writes each record as its own gzip
+revisits of it.  Records are cut into shards by exact bytes along the order (page_id, payload
+digest), so the same table gives the same archives however it is partitioned, clustered ids
+fill no shard, and the pages of one id (or of none) are cut by their payloads.  Only rows of
+one id with equal payloads stay together.  A task sorts its shard, regenerates headers and digests, writes each record as its own gzip
 member and rolls to the next file when the compressed size reaches ``roll_bytes``.
 
 Commit: files are written under names that hold a random part; the job's result is the
@@ -25,12 +26,14 @@ percent-encoded; extra columns are ignored; an empty table gives an empty manife
 from __future__ import annotations
 
 import base64
+import bisect
 import hashlib
 import posixpath
 import uuid
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,7 +46,8 @@ RECORDS = ("page_id long, url string, record_type string, payload binary, payloa
 #: Fixed value: the profile of a revisit that has the same payload.
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MAX_BROADCAST_ROWS = 200_000
-_RANGES = 1 << 14
+#: The shards' borders go to every task (about 25 bytes each); a larger table gets larger shards.
+MAX_SHARDS = 200_000
 
 
 def file_system(uri: str):
@@ -99,22 +103,62 @@ class _File:
         return (self.shard, self.number, self.temporary, self.name, self.records, self.bytes, self.sha.hexdigest())
 
 
-def _shards(pages: DataFrame, shard_bytes: int) -> tuple[list[int], int, int, int]:
-    """(shard of each id range, lowest id, ids per range, shards), from exact bytes per range."""
-    low, high = pages.agg(F.min("page_id"), F.max("page_id")).first()
-    if low is None:
-        return [0], 0, 1, 1
-    width = -(-(high - low + 1) // _RANGES)
-    sizes = {r.range: r.bytes for r in pages.where("page_id IS NOT NULL")
-             .groupBy(F.floor((F.col("page_id") - low) / width).cast("int").alias("range"))
-             .agg(F.sum(F.octet_length("payload") + 600).alias("bytes")).collect()}
-    shards, shard, filled = [], 0, 0
-    for i in range((high - low) // width + 1):
-        if filled >= shard_bytes:
-            shard, filled = shard + 1, 0
-        shards.append(shard)
-        filled += sizes.get(i, 0)
-    return shards, low, width, shard + 1
+def _borders(pages: DataFrame, shard_bytes: int) -> list[tuple]:
+    """First (no id, page_id, key's head) of each shard: shards are cut by bytes along that order.
+
+    Rows are first added up per (page_id, head), so that copies are one row; those are
+    sorted by range, and a place is the bytes before it in its range and in the ranges below.
+    """
+    order = [F.col("page_id").asc_nulls_last(), F.col("head")]
+    parts = max(1, int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    groups = (pages.groupBy("page_id", "head").agg(F.sum(F.octet_length("payload") + 600).alias("bytes"))
+              .repartitionByRange(parts, *order).sortWithinPartitions(*order))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        part, before = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            size = batch.column(2).to_numpy()
+            ends = before + np.cumsum(size)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(size), part, np.int32)), *batch.columns, pa.array(ends - size)],
+                ["part", "page_id", "head", "bytes", "before"])
+            before = int(ends[-1]) if len(ends) else before
+
+    placed = C.written(groups.mapInArrow(place, C.take("part int, page_id long, head long, bytes long, before long")),
+                       "places")
+    ranges, offset = [], 0
+    for part, size in sorted(placed.groupBy("part").agg(F.sum("bytes")).collect()):
+        ranges.append((part, offset))
+        offset += size
+    if not ranges:
+        return []
+    shard_bytes = max(shard_bytes, -(-offset // MAX_SHARDS))
+    offsets = pages.sparkSession.createDataFrame(ranges, "part int, offset long")
+    at = F.floor((F.col("offset") + F.col("before")) / shard_bytes)
+    firsts = (placed.join(F.broadcast(offsets), "part").groupBy(at.alias("shard"))
+              .agg(F.min(F.struct(F.col("page_id").isNull().alias("none"), "page_id", "head")).alias("first")))
+    return sorted((r["first"].none, r["first"].page_id or 0, r["first"].head) for r in firsts.collect())
+
+
+def _shard_of(borders: list[tuple]):
+    """Arrow function (page_id, head) -> number of the shard; only ids that are cut look at the head."""
+    none = bisect.bisect_left(borders, (True,))
+    ids = np.array([b[1] for b in borders[:none]], np.int64)
+    heads = [b[2] for b in borders]
+
+    def number(page_id: pa.Array, head: pa.Array) -> pa.Array:
+        missing = np.asarray(page_id.is_null())
+        values = page_id.fill_null(0).to_numpy(zero_copy_only=False)
+        low = np.where(missing, none, np.searchsorted(ids, values, "left"))
+        high = np.where(missing, len(heads), np.searchsorted(ids, values, "right"))
+        shard = low - 1
+        for i in np.flatnonzero(low < high):
+            shard[i] = bisect.bisect_right(heads, head[int(i)].as_py(), int(low[i]), int(high[i])) - 1
+        return pa.array(shard, pa.int32())
+
+    return number
 
 
 def write_warc(pages: DataFrame, out: str, shard_bytes: int = 32 << 20, roll_bytes: int = 4 << 20,
@@ -129,13 +173,13 @@ def write_warc(pages: DataFrame, out: str, shard_bytes: int = 32 << 20, roll_byt
     again = C.written(src.where(F.octet_length("payload") >= min_revisit_bytes).groupBy("key")
                       .agg(F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
                       .where("n > 1").select("key", "first_id", F.lit(True).alias("repeated")), "repeated")
-    ranges, low, width, count = _shards(src, shard_bytes)
+    src = src.withColumn("head", F.conv(F.substring("key", 1, 15), 16, 10).cast("long"))
+    borders = _borders(src, shard_bytes)
     if again.count() <= MAX_BROADCAST_ROWS:
         again = F.broadcast(again)
-    at = F.floor((F.col("page_id") - low) / width).cast("int")
-    shard = F.coalesce(F.get(F.array(*map(F.lit, ranges)), at), F.lit(count - 1)) if len(ranges) <= 64 else \
-        F.coalesce(F.get(F.from_json(F.lit(str(ranges)), "array<int>"), at), F.lit(count - 1))
-    ready = (src.join(again, "key", "left").withColumn("shard", shard).repartition(count, "shard")
+    number = F.arrow_udf(_shard_of(borders), "int")
+    ready = (src.withColumn("shard", number("page_id", "head")).join(again, "key", "left")
+             .repartitionById(max(1, len(borders)), F.col("shard"))
              .sortWithinPartitions("shard", F.col("page_id").asc_nulls_last(), "key", "url")
              .select("shard", "page_id", "url", "payload", "key", "first_id",
                      F.coalesce("repeated", F.lit(False)).alias("repeated")))

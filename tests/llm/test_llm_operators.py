@@ -358,6 +358,25 @@ def test_archives_round_trip_and_are_deterministic(spark, scratch):
         assert f.read().startswith(b"WARC/1.1\r\nWARC-Type: response\r\n")
 
 
+def test_shards_of_clustered_repeated_and_missing_ids(spark, scratch):
+    rows = [(i, "u", f"{i} " * 300) for i in range(100)] + [(1 << 60, "far", "far"), (-(1 << 62), "low", "low")]
+    rows += [(7, "hot", f"hot {i} " * 200) for i in range(150)] + [(None, "none", f"none {i} " * 200) for i in range(150)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = []
+    for i, parts in enumerate((1, 5)):
+        out = f"file://{scratch}/hot{i}"
+        manifest = warc.write_warc(df.repartition(parts), out, shard_bytes=30_000).collect()
+        found.append(sorted((r.name, r.sha256, r.records) for r in manifest))
+    assert found[0] == found[1]
+    size = sum(len(r[2]) + 600 for r in rows)
+    assert len({f[0][:12] for f in found[0]}) >= 0.9 * size / 30_000
+    assert max(f[2] for f in found[0]) <= 30  # 30,000 bytes of 1,100 or more, and those that share its last border
+    got = warc.read_warc(spark, out).collect()
+    want = [(str(k), u, h.encode()) for k, u, h in rows]
+    assert sorted((str(r.page_id), r.url, bytes(r.payload)) for r in got) == sorted(want)
+    assert {r.record_type for r in got} == {"response"}
+
+
 def test_archives_of_nothing_and_of_damage(spark, scratch):
     _, df = pages(spark)
     out = f"file://{scratch}/none"
