@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from chainflow.functions import scalar as C
@@ -15,7 +17,8 @@ from chainflow.plans import metric_queries as _Q
 from chainflow.plans.duck import DELIVERIES, arity, part, vwd
 from chainflow.plans.metric_queries import oracle
 from chainflow.plans.registry import query
-from chainflow.sources import decode, feeds
+from chainflow.session import checkpoint_dir
+from chainflow.sources import block_store, decode, feeds
 from chainflow.sources.feeds import TRANSFER_SINGLE_TOPIC, WEBHOOK_SECRET
 from chainflow.sources.fixtures import Fixtures
 
@@ -601,6 +604,38 @@ def q_block_range(spark, sf_dir):
     return FL.block_range(Fixtures(spark, sf_dir).blocks.select("chainId", "blockNumber"), 947000, 947500)
 
 
+def _stored_blocks(spark, sf_dir) -> str:
+    path = f"{checkpoint_dir(spark).rstrip('/')}/blocks-{uuid.uuid4().hex}"
+    block_store.write_blocks(Fixtures(spark, sf_dir).blocks, path)
+    return path
+
+
+@query("stored_block_range", oracle("""
+SELECT chainId, cast(blockNumber AS bigint) AS number, blockHash FROM blocks
+WHERE cast(blockNumber AS bigint) BETWEEN 947000 AND 947500""", ("blocks",)))
+def q_stored_block_range(spark, sf_dir):
+    """F07 over the stored blocks: bounds reach the scan."""
+    return block_store.read_numbers(spark, _stored_blocks(spark, sf_dir), 947000, 947500) \
+        .select("chainId", "number", "blockHash")
+
+
+@query("stored_time_range", oracle(f"""
+SELECT chainId, blockNumber, blockTimestamp FROM blocks
+WHERE blockTimestamp >= {_T0} AND blockTimestamp < {_T1}""", ("blocks",)))
+def q_stored_time_range(spark, sf_dir):
+    """F06 over the stored blocks: other days are not listed."""
+    return block_store.read_times(spark, _stored_blocks(spark, sf_dir), _T0, _T1) \
+        .select("chainId", "blockNumber", "blockTimestamp")
+
+
+@query("stored_block_page", _pages_sql(False, PAGE_TOKEN))
+def q_stored_block_page(spark, sf_dir):
+    """S03 over the stored blocks: the page token reaches the scan."""
+    rows = block_store.read_numbers(spark, _stored_blocks(spark, sf_dir), PAGE_TOKEN + 1)
+    return W.keyset_pages(rows, "chainId", "number", PAGE, after=PAGE_TOKEN) \
+        .select("chainId", "blockNumber", "blockHash", "next_token")
+
+
 @query("event_signature", oracle(f"""
 SELECT t.txHash, c.logIndex FROM children c JOIN {DELIVERIES} t ON c.orderKey = t.orderKey
 WHERE c.kind = 'erc1155'""", ("children", "orders_tx")))
