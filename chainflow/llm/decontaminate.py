@@ -139,13 +139,15 @@ def _scan(block, texts: pa.Array, want_text: bool) -> dict:
     return {"n_words": n_words, "n_hit": n_hit, "items": items, "hit_spans": spans, "clean_text": clean}
 
 
-def _blocks(windows: DataFrame, max_bytes: int) -> list:
-    """The windows as broadcast blocks; each one's bytes are bounded before it is collected."""
+def _block_count(windows: DataFrame, max_bytes: int) -> int:
+    """How many broadcast blocks keep the windows' bytes below the bound."""
     total = windows.agg(F.sum(F.length("words") + F.coalesce(F.length("item_id"), F.lit(0)) + 64)).first()[0] or 0
-    count = -(-int(total) // max_bytes) or 1
-    for b in range(count):
-        part = windows if count == 1 else windows.where(F.pmod(F.xxhash64("words"), F.lit(count)) == b)
-        yield C.Shared(windows.sparkSession, Windows(part.collect()))
+    return -(-int(total) // max_bytes) or 1
+
+
+def _block(windows: DataFrame, number: int, count: int) -> C.Shared:
+    part = windows if count == 1 else windows.where(F.pmod(F.xxhash64("words"), F.lit(count)) == number)
+    return C.Shared(windows.sparkSession, Windows(part.collect()))
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", n: int = 10,
@@ -159,7 +161,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text"
     names = [f.name for f in schema]
     docs = C.without(docs, [x for x in names if x != text])
     windows = C.written(benchmark_windows(benchmark, item_id, item_text, n), "windows")
-    blocks = list(_blocks(windows, max_broadcast_bytes))
+    count = _block_count(windows, max_broadcast_bytes)
     where = docs.columns.index(text)
 
     def scanner(block):
@@ -169,14 +171,18 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text"
 
     docs_columns = docs.columns
     full = type(docs.schema)(docs.schema.fields + schema.fields)
-    if len(blocks) == 1:
-        return C.map_arrow(docs, scanner(blocks[0]), full)
-    # Beyond the bound: one scan per block; hits are sparse and meet again by the text's digest.
+    if count == 1:
+        return C.map_arrow(docs, scanner(_block(windows, 0, 1)), full)
+    # Beyond the bound: one scan per block, ended before the next block is built, so that one block at a time
+    # is held; hits are sparse and meet again by the text's digest.
     digest = F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256)
     hits = None
-    for block in blocks:
+    for number in range(count):
+        block = _block(windows, number, count)
         part = (C.map_arrow(docs.select(text), _text_scanner(block, text), C.take(f"`{text}` string, " + FOUND))
                 .where("n_hit > 0").select(digest.alias("_text_key"), "items", "hit_spans").distinct())
+        part = C.written(part, "hits")
+        block.packed.unpersist()
         hits = part if hits is None else hits.unionByName(part)
     empty = Windows([])
     base = C.map_arrow(docs, scanner(C.Shared(docs.sparkSession, empty)), full)

@@ -44,7 +44,6 @@ def check_packing(rows, texts):
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tok.encode_special_tokens = True
     ids = {k: tok.encode(t or "", add_special_tokens=False).ids + [2] for k, t in texts}
     pieces, places = {}, {}
     for r in rows:
