@@ -86,16 +86,28 @@ def grain_seconds(start: Column, grain: str) -> Column:
     return F.lit({"hour": HOUR, "day": 24 * HOUR, "week": 168 * HOUR}[grain])
 
 
-def _of_grain(totals: DataFrame, bits: DataFrame, grain: str) -> DataFrame:
-    start = grain_start(F.col("hour"), grain).alias("timestamp")
-    key = ["chainId", "timestamp"]
-    added = totals.groupBy("chainId", start).agg(
+def _at_grains(rows: DataFrame, grains: tuple[str, ...]) -> DataFrame:
+    """Each row of an hour once per grain, with ``interval`` and ``timestamp``, the grain's start."""
+    starts = F.array(*(F.struct(F.lit(g).alias("interval"), grain_start(F.col("hour"), g).alias("timestamp")) for g in grains))
+    return rows.select("*", F.inline(starts)).drop("hour")
+
+
+def metric_series(tx: DataFrame, blocks: DataFrame, grains: tuple[str, ...] = GRAINS) -> DataFrame:
+    """All series: chainId, timestamp, interval, metric, value.  A point without rows of its kind is left out.
+
+    One plan for all grains: the hours' rows are dealt to the grains, so the hourly rollup is in it once.
+    """
+    feat = M.tx_features(tx)
+    codes = number_addresses(feat)
+    totals, bits = hourly_totals(tx, blocks, codes), address_bitmaps(feat, codes)
+    key = ["chainId", "interval", "timestamp"]
+    added = _at_grains(totals, grains).groupBy(*key).agg(
         *(F.sum(c).alias(c) for c in ("n", "g", "sp", "np", "gu", "fs", "na", "nk", "nd")),
         *(F.max(c).alias(c) for c in ("mn", "mg", "mp")))
-    sets = (bits.groupBy("chainId", start, "role", "bucket").agg(F.bitmap_count(F.bitmap_or_agg("bits")).alias("n"))
+    sets = (_at_grains(bits, grains).groupBy(*key, "role", "bucket").agg(F.bitmap_count(F.bitmap_or_agg("bits")).alias("n"))
             .groupBy(*key).agg(*(F.sum(F.when(F.col("role") == r, F.col("n"))).alias(f"set_{r}") for r in "as")))
-    running = Window.partitionBy("chainId").orderBy("timestamp").rowsBetween(Window.unboundedPreceding, 0)
-    seconds = grain_seconds(F.col("timestamp"), grain)
+    running = Window.partitionBy("chainId", "interval").orderBy("timestamp").rowsBetween(Window.unboundedPreceding, 0)
+    seconds = F.coalesce(*(F.when(F.col("interval") == g, grain_seconds(F.col("timestamp"), g)) for g in grains))
 
     def total(c):
         return F.sum(F.coalesce(c, F.lit(0))).over(running)
@@ -107,20 +119,9 @@ def _of_grain(totals: DataFrame, bits: DataFrame, grain: str) -> DataFrame:
         "avgTps": M._ratio(F.col("n"), seconds), "maxTps": F.col("mn"), "avgGasPrice": M._ratio(F.col("sp"), F.col("np")),
         "maxGasPrice": F.col("mp"), "feesPaid": F.col("fs")}
     return (added.join(sets, key, "left")
-            .select(*key, F.lit(grain).alias("interval"), *(value[m].cast("double").alias(m) for m in SERIES))
-            .unpivot([*key, "interval"], list(SERIES), "metric", "value").filter(F.col("value").isNotNull()))
-
-
-def metric_series(tx: DataFrame, blocks: DataFrame, grains: tuple[str, ...] = GRAINS) -> DataFrame:
-    """All series: chainId, timestamp, interval, metric, value.  A point without rows of its kind is left out."""
-    feat = M.tx_features(tx)
-    codes = number_addresses(feat)
-    totals, bits = hourly_totals(tx, blocks, codes), address_bitmaps(feat, codes)
-    out = None
-    for grain in grains:
-        part = _of_grain(totals, bits, grain)
-        out = part if out is None else out.unionByName(part)
-    return out
+            .select(*key, *(value[m].cast("double").alias(m) for m in SERIES))
+            .unpivot(key, list(SERIES), "metric", "value").filter(F.col("value").isNotNull())
+            .select("chainId", "timestamp", "interval", "metric", "value"))
 
 
 def in_range(series: DataFrame, start: int = 0, end: int = 0) -> DataFrame:

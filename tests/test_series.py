@@ -91,3 +91,15 @@ def test_heavy_match_keys_are_dealt_out(spark):
         assert sorted((r.clientId, r.offset) for r in over_time.collect()) == sorted(
             (c, m.offset) for c, t, x, since in subs for m in rows
             if meets(t, x, m) and m.at >= since and not (c == "a" and since == 0 and m.at >= 250))
+
+
+def test_series_plan_holds_the_hourly_rollup_once(spark):
+    tx = spark.createDataFrame(
+        [("1", t, "a", "b", "0x12", "1", "5", "21000", "5") for t in range(0, 40 * 86400, 7000)],
+        'chainId string, blockTimestamp long, `from` string, `to` string, input string, txStatus string, gasPrice string, '
+        'receiptGasUsed string, receiptEffectiveGasPrice string')
+    blocks = spark.createDataFrame([], "chainId string, blockNumber string, blockTimestamp long, txCount int, gasUsed string, "
+                                       "gasLimit string, feesSpent string")
+    aggregates = [series.metric_series(tx, blocks, grains)._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [")
+                  for grains in (series.GRAINS[:1], series.GRAINS)]
+    assert aggregates[0] == aggregates[1]
