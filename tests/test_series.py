@@ -103,3 +103,13 @@ def test_series_plan_holds_the_hourly_rollup_once(spark):
     aggregates = [series.metric_series(tx, blocks, grains)._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [")
                   for grains in (series.GRAINS[:1], series.GRAINS)]
     assert aggregates[0] == aggregates[1]
+
+
+def test_window_hourly_has_every_hour(spark, scratch):
+    from __spark_entry__ import queries
+    days = 3
+    spark.range(0, days * 24).selectExpr(
+        "id AS event_id", "id % 2 AS user_id", "timestamp_seconds(1704067200 + id * 3600) AS ts", "'view' AS event_type",
+        "1.5D AS value", "'{}' AS props").write.parquet(os.path.join(scratch, "events.parquet"))
+    hours = queries()["window_hourly"](spark, scratch).select("chainId", "window_start").collect()
+    assert sorted(map(tuple, hours), key=lambda r: r[1]) == [(str(h % 2), 1704067200 + h * 3600) for h in range(days * 24)]
