@@ -278,10 +278,11 @@ def resubscribe_stream(subscriptions: DataFrame) -> DataFrame:
 
 
 def live_fanout_stream(messages: DataFrame, subscriptions: DataFrame) -> DataFrame:
-    """Topic stream -> arity filter -> stamp -> match against the current
-    subscriptions (static side, latest per client) -> envelope per subscriber."""
+    """Topic stream -> arity filter -> stamp -> envelope -> match against the subscriptions
+    (static side), each message by the one that a client had at its time (T13)."""
     from chainflow.operators import filters
-    from chainflow.operators.lookups import fanout_subscriptions, resolve_subscriptions
+    from chainflow.operators.lookups import fanout_subscriptions, subscription_periods
     msgs = P.stamp_live(filters.topic_arity_filter(messages), F.col("eventTime"))
-    matched = fanout_subscriptions(msgs, resolve_subscriptions(subscriptions))
-    return P.live_envelope(matched, data_col="value").select("clientId", "offset", "envelope")
+    sent = P.live_envelope(msgs, data_col="value").select("offset", "type", "chainId", "eventTime", "envelope")
+    return fanout_subscriptions(sent, subscription_periods(subscriptions), time_col="eventTime") \
+        .select("clientId", "offset", "envelope")
