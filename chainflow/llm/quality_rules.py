@@ -125,33 +125,44 @@ def references(counts: DataFrame, lang: str = "lang") -> DataFrame:
     return C.written(sums.select("lang", shares("chars"), shares("words")), "references")
 
 
+def shares_of(counts: Column) -> Column:
+    """A count array as shares of its sum, which is added up once and not once a bin."""
+    total = F.aggregate(counts, F.lit(0).cast("long"), lambda a, x: a + x)
+    return F.transform(F.array(total), lambda t: F.transform(counts, lambda x: x / t))[0]
+
+
 def js_distance(counts: Column, reference: list[float] | Column) -> Column:
     """Jensen-Shannon distance (base 2, 0 to 1) of a count array from a distribution without zeros."""
-    total = F.aggregate(counts, F.lit(0).cast("long"), lambda a, x: a + x)
+    return shares_distance(shares_of(counts), reference)
+
+
+def shares_distance(shares: Column, reference: list[float] | Column) -> Column:
+    """``js_distance`` of a count array's shares, for several references."""
 
-    def term(x: Column, q: Column) -> Column:
-        p = x / total
+    def term(p: Column, q: Column) -> Column:
         m = (p + q) / 2
-        return F.when(x > 0, p * F.log2(p / m)).otherwise(F.lit(0.0)) + q * F.log2(q / m)
+        # a share of zero leaves q * log2(2)
+        return F.when(p > 0, p * F.log2(p / m) + q * F.log2(q / m)).otherwise(q)
 
-    parts = F.zip_with(counts, reference if isinstance(reference, Column) else F.array(*map(F.lit, reference)), term)
+    parts = F.zip_with(shares, reference if isinstance(reference, Column) else F.array(*map(F.lit, reference)), term)
     return F.sqrt(F.greatest(F.aggregate(parts, F.lit(0.0), lambda a, x: a + x) / 2, F.lit(0.0)))
 
 
 def folded(column: str, which: str):
-    return lambda r: js_distance(F.col(column), r[which])
+    return lambda r: shares_distance(F.col(column), r[which])
 
 
 def judge(counts: DataFrame, refs: DataFrame) -> DataFrame:
     """``counts`` with char_distance, word_distance (to the nearest reference; null below the guards) and kept."""
     size = F.aggregate("char_counts", F.lit(0).cast("long"), lambda a, x: a + x)
-    sides = (("char_distance", "char_counts", "chars", size >= MIN_CHARS),
-             ("word_distance", "word_counts", "words", F.col("n_words") >= MIN_COMMON))
-    far, many = counts, refs.count()
+    sides = (("char_distance", "_chars", "chars", size >= MIN_CHARS),
+             ("word_distance", "_words", "words", F.col("n_words") >= MIN_COMMON))
+    far, many = counts.withColumns({column: F.when(enough, shares_of(F.col(of))) for (_, column, _, enough), of in zip(
+        sides, ("char_counts", "word_counts"))}), refs.count()
     if many <= LITERALS:
         rows = refs.collect()
         for name, column, which, enough in sides:
-            found = [js_distance(F.col(column), r[which]) for r in rows]
+            found = [shares_distance(F.col(column), r[which]) for r in rows]
             far = far.withColumn(name, F.when(enough, F.least(*found) if len(found) > 1 else found[0])
                                  if found else F.lit(None).cast("double"))
     else:
@@ -165,7 +176,7 @@ def judge(counts: DataFrame, refs: DataFrame) -> DataFrame:
             ).drop("_refs")
     bad = F.coalesce(F.col("char_distance") > CHAR_DISTANCE, F.lit(False)) | F.coalesce(
         F.col("word_distance") > WORD_DISTANCE, F.lit(False))
-    return far.withColumn("kept", ~F.col("base_failed") & ~bad)
+    return far.withColumn("kept", ~F.col("base_failed") & ~bad).drop("_chars", "_words")
 
 
 def quality_rules(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:

@@ -100,6 +100,19 @@ def test_js_distance_is_the_textbook_one(spark):
     assert got == pytest.approx(np.sqrt(sum(kl) / 2))
 
 
+def test_a_histogram_is_added_up_once_for_all_languages_and_bins(spark):
+    n = len(quality_rules.WORDS) + 1
+    counts = spark.createDataFrame([(1, 60, False, [30] * 8, [2] * n), (2, 0, True, [0] * 8, [0] * n)],
+                                   "doc_id long, n_words long, base_failed boolean, char_counts array<long>, word_counts array<long>")
+    refs = spark.createDataFrame([(lang, [0.125] * 8, [1 / n] * n) for lang in ("a", "b")],
+                                 "lang string, chars array<double>, words array<double>")
+    judged = quality_rules.judge(counts, refs)
+    plan = judged._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("aggregate(word_counts") == 1
+    assert [(r.doc_id, r.char_distance, r.word_distance, r.kept) for r in judged.orderBy("doc_id").collect()] == [
+        (1, pytest.approx(0, abs=1e-7), pytest.approx(0, abs=1e-7), True), (2, None, None, False)]
+
+
 # ---------------------------------------------------------------- Jaccard join
 
 def planted(seed):
