@@ -51,3 +51,25 @@ def test_a_body_is_made_and_parsed_once(spark, scratch):
     plan = "\n".join(_plan(logs))
     assert plan.count("from_json(") == 1 and plan.count("StructsToJsonEvaluator(") == 1
     assert logs.count() == 6
+
+
+def test_lines_are_shuffled_and_sorted_once(spark, scratch):
+    fx = _tables(spark, scratch)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for df in (fx.children, feeds.transactions_nested(fx)):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert (plan.count("Exchange hashpartitioning("), plan.count("- Sort [")) == (2, 2), plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_children_of_repeated_orders_take_each_order_s_customer_and_have_their_own_index(spark, scratch):
+    at = datetime(2024, 1, 1)
+    fx = _tables(spark, scratch)
+    fx._cache["orders"] = spark.createDataFrame([(1, c, "O", 10.0, at, "1-URGENT") for c in (8, 7)], fx.orders.schema)
+    want = sorted((i, "0x" + str(c).rjust(40, "0")) for i, c in enumerate((7, 8, 7, 8)))
+    assert sorted((r.logIndex, r.to) for r in fx.children.select("logIndex", "to").collect()) == want
+    nested = feeds.transactions_nested(fx).select(F.explode("logs.logIndex").alias("i")).collect()
+    assert sorted(r.i for r in nested) == [0, 0, 1, 1, 2, 2, 3, 3]
