@@ -73,3 +73,31 @@ def test_children_of_repeated_orders_take_each_order_s_customer_and_have_their_o
     assert sorted((r.logIndex, r.to) for r in fx.children.select("logIndex", "to").collect()) == want
     nested = feeds.transactions_nested(fx).select(F.explode("logs.logIndex").alias("i")).collect()
     assert sorted(r.i for r in nested) == [0, 0, 1, 1, 2, 2, 3, 3]
+
+
+def test_more_rows_are_dealt_over_more_tasks(spark, scratch, monkeypatch):
+    """What a task sorts is bounded by a number of rows, not by the session's number of partitions."""
+    from chainflow.sources import fixtures
+
+    fx = _tables(spark, scratch)
+    want = [sorted(map(str, df.collect())) for df in (fx.children, feeds.transactions_nested(fx))]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), spark.conf.get("spark.sql.shuffle.partitions")
+    monkeypatch.setattr(fixtures, "ROWS_A_TASK", 1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    try:
+        fx = Fixtures(spark, scratch)
+        for df, rows in zip((fx.children, feeds.transactions_nested(fx)), want, strict=True):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert plan.count(", 5), REPARTITION_BY_NUM") == 2 and plan.count("Exchange hashpartitioning(") == 2, plan
+            assert sorted(map(str, df.collect())) == rows
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before[0])
+        spark.conf.set("spark.sql.shuffle.partitions", before[1])
+
+
+def test_an_order_s_strings_are_made_once_an_order(spark, scratch):
+    """Hash, receiver and time of children come from the order, not from an expression run for each line."""
+    line = next(x for x in _plan(feeds.transactions_nested(_tables(spark, scratch))) if "flatten(transform(" in x)
+    made = line[line.index("flatten(transform("):]
+    assert "sha2(" not in made and "o_custkey" not in made and "unix_micros(" not in made
