@@ -10,6 +10,7 @@ from chainflow import schemas as S
 from chainflow.functions import scalar as C
 from chainflow.operators import fanout as P
 from chainflow.operators import filters as FL
+from chainflow.operators.lookups import small
 from chainflow.plans.duck import part, vwd
 from chainflow.plans.metric_queries import oracle
 from chainflow.plans.registry import query
@@ -341,7 +342,7 @@ def q_value_with_decimals(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
     transfers = feeds.child_rows(fx, "erc20").select(
         "transactionHash", "logIndex", "value", F.col("erc20Token.address").alias("tokenAddress"))
-    j = transfers.join(fx.tokens.select("address", "decimals"),
+    j = transfers.join(small(fx.tokens.select("address", "decimals")),
                        transfers["tokenAddress"] == F.col("address"))
     return j.select("transactionHash", "logIndex", "decimals",
                     C.value_with_decimals("value", F.col("decimals")).alias("valueWithDecimals"))

@@ -101,3 +101,27 @@ def test_an_order_s_strings_are_made_once_an_order(spark, scratch):
     line = next(x for x in _plan(feeds.transactions_nested(_tables(spark, scratch))) if "flatten(transform(" in x)
     made = line[line.index("flatten(transform("):]
     assert "sha2(" not in made and "o_custkey" not in made and "unix_micros(" not in made
+
+
+def test_counted_small_sides_are_broadcast(spark):
+    from chainflow.operators import lookups
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tx = spark.createDataFrame([("t1", "0xA", "0xb", "0x")], "txHash string, from string, to string, input string").select(
+            "*", *(F.array().cast("array<struct<from:string,to:string>>").alias(c) for c in (
+                "erc20Transfers", "erc721Transfers", "erc1155Transfers", "internalTransactions")),
+            F.array().cast("array<struct<address:string>>").alias("logs"))
+        watch = spark.createDataFrame([("0xa",), ("0xz",), ("0xa",), (None,)], "address string")
+        pairs = lookups.tx_semi_watchlist(tx, watch)
+        assert "BroadcastHashJoin" in pairs._jdf.queryExecution().executedPlan().toString()
+        assert [(r.txHash, r.address) for r in pairs.collect()] == [("t1", "0xa")]
+        assert lookups.small(watch, 3) is watch  # more rows than may be: the planner decides
+        moves = spark.createDataFrame([("0xA", "10"), ("0xq", "7")], "tokenAddress string, value string")
+        prices = spark.createDataFrame([("0xa", 1, 2.0)], "address string, decimals int, price double")
+        priced = lookups.transfers_join_prices(moves, prices)
+        assert "BroadcastHashJoin" in priced._jdf.queryExecution().executedPlan().toString()
+        assert sorted((r.tokenAddress, r.valueUsd) for r in priced.collect()) == [("0xA", 2.0), ("0xq", None)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
