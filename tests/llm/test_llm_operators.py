@@ -713,3 +713,11 @@ def test_no_python_in_native_plans(spark, edge):
 
 def test_shared_folder_comes_from_the_session(spark):
     assert common.scratch(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir").rstrip("/") + "/x-")
+
+
+def test_arrow_batches_are_bounded_by_bytes(spark):
+    """A batch of long texts does not grow with their lengths up to Spark's 64 MB."""
+    docs = spark.range(0, 6000, 1, 1).select(F.repeat(F.lit("x"), 2000).alias("text"))
+    sizes = common.map_arrow(docs, lambda b: {"rows": [b.num_rows], "bytes": [b.nbytes]}, common.take("rows long, bytes long"))
+    rows, most = sizes.agg(F.sum("rows"), F.max("bytes")).first()
+    assert rows == 6000 and most <= common.BATCH_BYTES + 10_000
