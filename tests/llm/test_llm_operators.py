@@ -185,6 +185,26 @@ def test_keep_one_without_broadcast(spark):
         assert sorted(r.doc_id for r in jaccard_join.keep_one(df, max_broadcast_ids=limit).collect()) == want
 
 
+def test_a_written_step_leaves_no_shuffle_files(spark):
+    """pipeline: the shuffle files of all steps of the Jaccard join lay on disk together."""
+    def files():
+        manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return {n for n in re.findall(r"shuffle_\d+_\d+_\d+\.data", manager.getAllFiles().toString())}
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, setting = files(), spark.conf.get(key)
+    counts = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    kept = common.written(counts.join(counts.withColumnRenamed("count", "again"), "k"), "counts")
+    for _ in range(50):  # they are removed in the background
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before
+    assert spark.conf.get(key) == setting
+    assert sorted(map(tuple, kept.collect())) == [(k, n, n) for k, n in enumerate([143] * 6 + [142])]
+    assert counts.count() == 7
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (102, 101)], "a long, b long")
     got = {r.node: r.root for r in jaccard_join.components(links).collect()}
