@@ -2,6 +2,7 @@
 
 import os
 import random
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -93,6 +94,32 @@ def test_heavy_match_keys_are_dealt_out(spark):
             if meets(t, x, m) and m.at >= since and not (c == "a" and since == 0 and m.at >= 250))
 
 
+def test_few_subscribers_are_broadcast_as_lists(spark, monkeypatch):
+    """A message is shuffled once, without its match keys; many subscribers are joined by parts, with the same result."""
+    monkeypatch.setattr(lookups, "LIST_ROWS", 3)
+    messages = spark.createDataFrame([(i, t, c, i) for i in range(90) for t, c in [("t", "1"), ("t", None), (None, "2"), ("u", "2")]],
+                                     "offset long, type string, chainId string, at long").repartition(3)
+    rows = [(f"c{i}", ("t", "u", "*", "", None)[i % 5], ("1", "2", "*", "7")[i % 4], at) for i in range(40) for at in (0, i, i)]
+    subs = spark.createDataFrame([*rows, (None, "t", "1", 5), ("n", "t", "1", None)],
+                                 "clientId string, subTopic string, subChain string, subTime long")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        few, many = ([lookups.fanout_subscriptions(messages, table, time_col=at, part_rows=40, small_rows=most)
+                      for table, at in ((lookups.resolve_subscriptions(subs), None), (lookups.subscription_periods(subs), "at"))]
+                     for most in (1000, 0))
+        assert all("_part" not in df._jdf.queryExecution().toString() for df in few)
+        for a, b, periods in zip(few, many, (False, True)):
+            table = lookups.subscription_periods(subs).collect() if periods else lookups.resolve_subscriptions(subs).collect()
+            want = Counter((m.offset, m.type, m.chainId, s.clientId) for m in messages.collect() for s in table
+                           if s.subTopic in ("", "*", None) or s.subTopic == m.type
+                           if s.subChain in ("", "*", None) or s.subChain == m.chainId
+                           if not periods or s.validFrom is not None and s.validFrom <= m.at and (s.validTo is None or m.at < s.validTo))
+            for got in (a, b):
+                assert Counter((r.offset, r.type, r.chainId, r.clientId) for r in got.collect()) == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_series_plan_holds_the_hourly_rollup_once(spark):
     tx = spark.createDataFrame(
         [("1", t, "a", "b", "0x12", "1", "5", "21000", "5") for t in range(0, 40 * 86400, 7000)],
