@@ -120,6 +120,15 @@ def test_few_subscribers_are_broadcast_as_lists(spark, monkeypatch):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_pairs_are_dealt_over_tasks(spark, monkeypatch):
+    """One key with all messages and all subscribers is many tasks, by the pairs that it makes."""
+    monkeypatch.setattr(lookups, "TASK_PAIRS", 50_000)
+    messages = spark.range(2000).select(F.col("id").alias("offset"), F.lit("t").alias("type"), F.lit("1").alias("chainId")).coalesce(1)
+    subs = spark.range(300).select(F.concat(F.lit("c"), "id").alias("clientId"), F.lit("*").alias("subTopic"), F.lit("").alias("subChain"))
+    got = lookups.fanout_subscriptions(messages, subs).groupBy(F.spark_partition_id()).count().collect()
+    assert len(got) == 12 and sum(r["count"] for r in got) == 600_000 and max(r["count"] for r in got) < 100_000
+
+
 def test_series_plan_holds_the_hourly_rollup_once(spark):
     tx = spark.createDataFrame(
         [("1", t, "a", "b", "0x12", "1", "5", "21000", "5") for t in range(0, 40 * 86400, 7000)],
