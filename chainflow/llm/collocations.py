@@ -45,8 +45,11 @@ TOP = 2000
 #: Words of the dictionary that are broadcast at once, and phrases of one trie.
 DICTIONARY = 2_000_000
 BLOCK = 500_000
-#: Entries that a task gathers before it hands them on.
-_HELD = 1 << 21
+#: Entries that a task gathers before it hands them on, and rows that it hands on at once: Spark reads a batch into memory beside its heap.
+_HELD = 1 << 20
+_HANDED = 1 << 16
+#: Bytes of a trie in a row.
+_PIECE = 1 << 20
 
 
 def _texts(docs: DataFrame, text: str, lang: str) -> DataFrame:
@@ -62,10 +65,16 @@ def _by_language(batch: pa.RecordBatch):
     texts = batch.column(1).take(pa.array(order))
     cuts = np.searchsorted(at[order], np.arange(len(codes.dictionary) + 1))
     for lang, lo, hi in zip(codes.dictionary.to_pylist(), cuts.tolist(), cuts[1:].tolist()):
-        for _, _, raw, offsets in K.slices(texts.slice(lo, hi - lo), 4 * K.CHUNK_BYTES):
+        for _, _, raw, offsets in K.slices(texts.slice(lo, hi - lo)):
             yield lang, raw, offsets
 
 
+def _handed(rows: pa.RecordBatch):
+    """``rows`` in small batches."""
+    for lo in range(0, rows.num_rows, _HANDED):
+        yield rows.slice(lo, _HANDED)
+
+
 def split_words(raw: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
     """Lower-cased words of a slice, and whether each is the first of its piece."""
     words = K.Words(raw, offsets, WORDS, hashed=False)
@@ -86,22 +95,26 @@ def count_words(docs: DataFrame, text: str = "text", lang: str = "lang") -> Data
         size = 0
 
         def out():
-            rows = [(x, w, n) for x, counts in held.items() for w, n in counts.items()]
-            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in
-                                               enumerate((pa.string(), pa.string(), pa.int64()))], ["lang", "word", "n"])
+            for x, counts in held.items():
+                yield from _handed(pa.RecordBatch.from_arrays(
+                    [pa.repeat(pa.scalar(x, pa.string()), len(counts)), pa.array(counts.keys(), pa.string(), size=len(counts)),
+                     pa.array(counts.values(), pa.int64(), size=len(counts))], ["lang", "word", "n"]))
 
         for batch in batches:
+            words: dict[str, list[pa.Array]] = {}
             for x, raw, offsets in _by_language(batch) if batch.num_rows else ():
+                words.setdefault(x, []).append(split_words(raw, offsets)[0])
+            for x, names in words.items():
                 counts = held.setdefault(x, {})
                 size -= len(counts)
-                found = pc.value_counts(split_words(raw, offsets)[0])
+                found = pc.value_counts(pa.chunked_array(names))
                 for w, n in zip(found.field(0).to_pylist(), found.field(1).to_pylist()):
                     counts[w] = counts.get(w, 0) + n
                 size += len(counts)
-                if size > _HELD // 4:
-                    yield out()
+                if size > _HELD // 2:
+                    yield from out()
                     held, size = {}, 0
-        yield out()
+        yield from out()
 
     parts = _texts(docs, text, lang).mapInArrow(run, C.take("lang string, word string, n long"))
     return parts.groupBy("lang", "word").agg(F.sum("n").alias("n"))
@@ -120,13 +133,20 @@ def numbered(df: DataFrame, name: str, start: int = 0) -> DataFrame:
             .withColumn("num", F.col("_start") + F.col("_at").bitwiseAND((1 << 33) - 1)).drop("_at", "_part", "_start"))
 
 
-def _pick(words: pa.Array, known: dict, lang: str) -> np.ndarray:
-    """Numbers of words of a language, 0 where a block of the dictionary hasn't them."""
-    if lang not in known:
-        return np.zeros(len(words), np.int32)
-    names, numbers = known[lang]
-    at = pc.index_in(words, value_set=names)
-    return np.where(np.asarray(at.is_valid()), numbers[pc.fill_null(at, 0).to_numpy()], 0).astype(np.int32)
+def _pick(words: list[pa.Array], known: dict, langs: list[str]) -> list[np.ndarray]:
+    """Numbers of lists of words, each of a language, 0 where a block of the dictionary hasn't them.
+
+    A look-up hashes a language's whole dictionary, so all lists of a language share one.
+    """
+    out = [np.zeros(len(w), np.int32) for w in words]
+    for x in known.keys() & set(langs):
+        names, numbers = known[x]
+        mine = [i for i, lang in enumerate(langs) if lang == x]
+        at = pc.index_in(pa.chunked_array([words[i] for i in mine]), value_set=names).combine_chunks()
+        found = np.where(np.asarray(at.is_valid()), numbers[pc.fill_null(at, 0).to_numpy()], 0).astype(np.int32)
+        for i, part in zip(mine, np.split(found, np.cumsum([len(words[i]) for i in mine])[:-1])):
+            out[i] = part
+    return out
 
 
 def _stream(numbers: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -156,7 +176,7 @@ def number_texts(docs: DataFrame, words: DataFrame, n_words: int, text: str = "t
         for x in pc.unique(rows["lang"]).to_pylist():
             mine = rows.filter(pc.equal(rows["lang"], x))
             known[x] = (mine["word"].combine_chunks(), mine["num"].to_numpy().astype(np.int32))
-        return C.Shared(spark, known)
+        return spark.sparkContext.broadcast(known)  # plain arrays, so that a worker holds them once, not packed as well
 
     src = _texts(docs, text, lang)
     if n_words <= dictionary:
@@ -164,11 +184,14 @@ def number_texts(docs: DataFrame, words: DataFrame, n_words: int, text: str = "t
 
         def whole(batches):
             for batch in batches:
+                langs, names, first = [], [], []
                 for x, raw, offsets in _by_language(batch) if batch.num_rows else ():
-                    names, first = split_words(raw, offsets)
-                    yield _rows([_stream(_pick(names, known.value, x), first)])
+                    for to, part in zip((langs, names, first), (x, *split_words(raw, offsets))):
+                        to.append(part)
+                for ids, heads in zip(_pick(names, known.value, langs), first):
+                    yield _rows([_stream(ids, heads)])
 
-        return C.written(src.mapInArrow(whole, C.take("ids array<int>")), "streams")
+        return C.written(src.mapInArrow(whole, C.take("ids array<int>")), "streams", C.LONG_VALUES)
 
     # a dictionary of several blocks: each adds the numbers of its words
     def spread(batches):
@@ -182,19 +205,19 @@ def number_texts(docs: DataFrame, words: DataFrame, n_words: int, text: str = "t
                     ["lang", "words", "first", "ids"])
 
     fields = "lang string, words array<string>, first array<boolean>, ids array<int>"
-    table = C.written(src.mapInArrow(spread, C.take(fields)), "spread")
+    table = C.written(src.mapInArrow(spread, C.take(fields)), "spread", C.LONG_VALUES)
     for at in range(0, n_words, dictionary):
         known = block(at)
 
         def add(batches, known=known):
             for batch in batches:
-                for i in range(batch.num_rows):
-                    row = batch.slice(i, 1)
-                    names = row.column("words").flatten()
-                    ids = row.column("ids").flatten().to_numpy() + _pick(names, known.value, row.column("lang")[0].as_py())
+                rows = [batch.slice(i, 1) for i in range(batch.num_rows)]
+                found = _pick([row.column("words").flatten() for row in rows], known.value, batch.column("lang").to_pylist())
+                for row, more in zip(rows, found):
+                    ids = row.column("ids").flatten().to_numpy() + more
                     yield _rows([ids], lang=row.column("lang"), words=row.column("words"), first=row.column("first"))
 
-        table = C.written(table.mapInArrow(add, C.take(fields)), "spread")
+        table = C.written(table.mapInArrow(add, C.take(fields)), "spread", C.LONG_VALUES)
 
     def close(batches):
         for batch in batches:
@@ -203,7 +226,7 @@ def number_texts(docs: DataFrame, words: DataFrame, n_words: int, text: str = "t
                 yield _rows([_stream(row.column("ids").flatten().to_numpy(),
                                      row.column("first").flatten().to_numpy(zero_copy_only=False))])
 
-    return C.written(table.mapInArrow(close, C.take("ids array<int>")), "streams")
+    return C.written(table.mapInArrow(close, C.take("ids array<int>")), "streams", C.LONG_VALUES)
 
 
 class Trie:
@@ -221,11 +244,12 @@ class Trie:
         a, m = len(self.alphabet), len(phrases)
         self.symbol = np.empty(a, np.int32)
         self.symbol[np.argsort(-uses, kind="stable")] = np.arange(1, a + 1)
-        phrases = self.symbol[at.reshape(phrases.shape)].astype(np.int64)
+        phrases = self.symbol[at.reshape(phrases.shape)]
+        del at
         order = np.lexsort(phrases.T[::-1])
         phrases, numbers = phrases[order], numbers[order]
-        self.base = np.zeros(a + 1, np.int64)
-        self.check = np.full(a + 1, -1, np.int64)  # the root's children come first
+        self.base = np.zeros(a + 1, np.int32)
+        self.check = np.full(a + 1, -1, np.int32)  # the root's children come first
         new = np.zeros(m, bool)
         new[:1] = True
         state = np.zeros(m, np.int64)
@@ -241,7 +265,7 @@ class Trie:
             state = here[np.cumsum(new) - 1]
         end = int(np.flatnonzero(self.check >= 0).max(initial=0)) + a + 2  # any symbol of any state stays inside
         self._reserve(end)
-        self.base, self.check = self.base[:end].astype(np.int32), self.check[:end].astype(np.int32)
+        self.base, self.check = self.base[:end], self.check[:end]
         self.number = np.full(end, -1, np.int32)
         self.number[state] = numbers
 
@@ -256,8 +280,8 @@ class Trie:
         more = size - len(self.base)
         if more > 0:
             more += len(self.base) // 2
-            self.base = np.concatenate([self.base, np.zeros(more, np.int64)])
-            self.check = np.concatenate([self.check, np.full(more, -1, np.int64)])
+            self.base = np.concatenate([self.base, np.zeros(more, np.int32)])
+            self.check = np.concatenate([self.check, np.full(more, -1, np.int32)])
 
     def _place(self, parents: np.ndarray, symbols: np.ndarray) -> None:
         """Bases for parents (grouped, symbols ascending): the widest first, each at its first fit; single children fill gaps."""
@@ -306,8 +330,13 @@ class Trie:
         return where, self.number[state].astype(np.int64)
 
 
-def _noted(codes: np.ndarray, cap: int) -> pa.RecordBatch:
-    code, n = np.unique(codes, return_counts=True)
+def _noted(held: list[np.ndarray], cap: int) -> pa.RecordBatch:
+    """The codes with their numbers up to ``cap``; ``held`` is emptied."""
+    codes = np.concatenate(held)
+    held.clear()
+    codes.sort()
+    heads = np.flatnonzero(np.concatenate(([True], codes[1:] != codes[:-1]))[:len(codes)])
+    code, n = codes[heads], np.diff(np.append(heads, len(codes)))
     return pa.RecordBatch.from_arrays([pa.array(np.ones(len(code), bool)), pa.array(code),
                                        pa.array(np.minimum(n, cap).astype(np.int64))], ["next", "code", "n"])
 
@@ -331,48 +360,58 @@ def _follow(ids: np.ndarray, where: np.ndarray, numbers: np.ndarray, words: int,
 def scan(streams: DataFrame, trie, words: int, size: int, least: int, alone: bool, more: bool) -> DataFrame:
     """(next, code, n): counts of the trie's phrases, by number, and with ``more`` candidates with a word more.
 
-    ``trie`` is a shared trie with its least number, or None for single words (not counted here).
+    ``trie`` is a broadcast trie's arrays with its least number, or None for single words (not counted here).
     """
 
     def run(batches):
         held: list[np.ndarray] = []
         many = 0
         counts = np.zeros(size, np.int64)
-        low = 0
+        parts, low = (None, 0) if trie is None else trie.value
+        tree = parts and Trie.of(parts)
         for batch in batches:
             for ids in batch.column(0):
                 ids = ids.values.to_numpy()
-                if trie is None:
+                if tree is None:
                     where = np.flatnonzero(ids)
                     numbers = ids[where].astype(np.int64)
                 else:
-                    tree, low = trie.value
                     where, numbers = tree.accepted(ids)
-                    counts += np.bincount(numbers - low, minlength=size)
+                    np.add.at(counts, numbers - low, 1)
                 if more:
                     held.append(_follow(ids, where, numbers, words, alone))
                     many += len(held[-1])
                     if many > _HELD:
-                        yield _noted(np.concatenate(held), least)
-                        held, many = [], 0
+                        yield from _handed(_noted(held, least))
+                        many = 0
         if held:
-            yield _noted(np.concatenate(held), least)
+            yield from _handed(_noted(held, least))
         found = np.flatnonzero(counts)
-        yield _counts(found + low, counts[found])
+        yield from _handed(_counts(found + low, counts[found]))
 
     return streams.mapInArrow(run, C.take("next boolean, code long, n long")).groupBy("next", "code").agg(F.sum("n").alias("n"))
 
 
 def _tries(phrases: DataFrame, words: int, block: int) -> DataFrame:
-    """A pickled trie for each block of phrase numbers."""
+    """A pickled trie for each block of phrase numbers, in pieces: Arrow and Parquet hold a value several times beside Spark's heap."""
 
     def build(key, table):
         flat = table.column("ids").combine_chunks().flatten().to_numpy().reshape(-1, words)
-        trie = Trie(flat, table.column("num").to_numpy())
-        return pa.table({"block": pa.array([key[0].as_py()], pa.int64()), "trie": pa.array([pickle.dumps(vars(trie))], pa.binary())})
+        packed = memoryview(pickle.dumps(vars(Trie(flat, table.column("num").to_numpy()))))
+        pieces = [pa.RecordBatch.from_arrays(
+            [pa.array([key[0].as_py()], pa.int64()), pa.array([i], pa.int32()), pa.array([packed[i * _PIECE:(i + 1) * _PIECE]], pa.binary())],
+            ["block", "piece", "trie"])
+                  for i in range(-(-len(packed) // _PIECE))]
+        return pa.Table.from_batches(pieces)
 
     return C.written(phrases.select(F.floor(F.col("num") / block).alias("block"), "num", "ids").groupBy("block")
-                     .applyInArrow(build, "block long, trie binary"), "tries")
+                     .applyInArrow(build, "block long, piece int, trie binary"), "tries", C.LONG_VALUES)
+
+
+def _trie(tries: DataFrame, block: int) -> dict:
+    """The arrays of a block's trie."""
+    pieces = sorted(tries.where(F.col("block") == block).select("piece", "trie").collect())
+    return pickle.loads(b"".join(piece for _, piece in pieces))
 
 
 def count_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST, longest: int = LONGEST,
@@ -408,9 +447,8 @@ def count_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", least
         scans = None
         for b in range(-(-size // block)):
             low = b * block
-            trie = Trie.of(pickle.loads(tries.where(F.col("block") == b).first()["trie"]))
-            part = C.written(scan(streams, C.Shared(spark, (trie, low)), k, min(block, size - low), least,
-                                  size <= block, k < longest), "noted")
+            trie = spark.sparkContext.broadcast((_trie(tries, b), low))
+            part = C.written(scan(streams, trie, k, min(block, size - low), least, size <= block, k < longest), "noted")
             scans = part if scans is None else scans.union(part)
         heard = scans
         counts = heard.where("NOT next").select(F.col("code").alias("num"), "n")

@@ -9,6 +9,7 @@ from fractions import Fraction
 import numpy as np
 import pandas as pd
 import plain
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -151,6 +152,38 @@ def test_collocation_edges(spark, edge, none):
     assert sorted(map(tuple, collocations.collocations(edge, least=2, top=9).collect())) == plain_collocations(rows, 2, 9)
 
 
+def test_a_task_hands_on_little_at_once(spark, monkeypatch):
+    """Streams hold a slice of 1 MiB of text, and counts and candidates leave a worker in small batches."""
+    texts = spark.range(700).select(F.expr("repeat('a b ', 1500)").alias("text"), F.lit("en").alias("lang")).coalesce(1)
+    words = spark.createDataFrame([("en", "a", 1), ("en", "b", 2)], "lang string, word string, num long")
+    for dictionary in (5, 1):
+        ids = collocations.number_texts(texts, words, 2, dictionary=dictionary).select(F.size("ids")).collect()
+        assert sum(r[0] for r in ids) == 700 * 3001 + len(ids) and max(r[0] for r in ids) <= (1 << 20) // 2 + 700
+
+    class Task:
+        def mapInArrow(self, run, schema):
+            self.run = run
+            return self
+
+        def __getattr__(self, name):
+            return lambda *a, **b: self
+
+    class Known:
+        trie = collocations.Trie(np.arange(1, 150_001, dtype=np.int32)[:, None], np.arange(7, 150_007))
+        value = vars(trie), 7
+
+    ids = np.tile(np.append(np.arange(1, 150_001, dtype=np.int32), 0), 3)
+    batch = pa.RecordBatch.from_arrays([pa.array([ids], pa.list_(pa.int32()))], ["ids"])
+    for trie, first in ((None, 1), (Known, 7)):
+        task = Task()
+        collocations.scan(task, trie, 1, 150_000, 100, False, True)
+        out = list(task.run(iter([batch])))
+        assert max(b.num_rows for b in out) <= 1 << 16
+        rows = [r for b in out for r in zip(*b.to_pydict().values())]
+        assert sorted(r for r in rows if r[0]) == [(True, (first + i) << 32 | (i + 2), 3) for i in range(149_999)]
+        assert sorted(r for r in rows if not r[0]) == [(False, 7 + i, 3) for i in range(150_000 if trie else 0)]
+
+
 def test_scores_pass_64_bits(spark):
     """1000 * a * n is beyond a long here; a cut's floor is still exact."""
     a, left, right, total = 3 * 10**9, 4 * 10**9 + 7, 5 * 10**9 + 9, 9 * 10**12
