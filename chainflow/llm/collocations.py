@@ -411,7 +411,9 @@ def _tries(phrases: DataFrame, words: int, block: int) -> DataFrame:
 def _trie(tries: DataFrame, block: int) -> dict:
     """The arrays of a block's trie."""
     pieces = sorted(tries.where(F.col("block") == block).select("piece", "trie").collect())
-    return pickle.loads(b"".join(piece for _, piece in pieces))
+    packed = b"".join(piece for _, piece in pieces)
+    del pieces  # the driver is short of memory as well
+    return pickle.loads(packed)
 
 
 def count_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST, longest: int = LONGEST,
